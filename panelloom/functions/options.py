@@ -9,9 +9,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_cdf(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Standard normal distribution function; Spark has no erf of its own."""
     erf = np.vectorize(math.erf, otypes=[float])

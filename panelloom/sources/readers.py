@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,9 +46,16 @@ def read_tree(spark: SparkSession, base: str, schema: StructType | str, *, serie
         reader = spark.read.format(fmt).schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ext}")
         parts.append(reader.options(**({"header": True} if fmt == "csv" else {})).load(base).select("*", "_metadata.file_path"))
     both = parts[0].unionByName(parts[1])
-    where = F.regexp_extract(F.col("file_path"), r"([^/]+)/([^/]+?)\.[a-z]+$", 1)
-    name = F.regexp_extract(F.col("file_path"), r"([^/]+)/([^/]+?)\.[a-z]+$", 2)
-    return both.select(where.alias(series), name.alias("dataset"), *[c for c in both.columns if c != "file_path"])
+    return both.select(
+        folder_of("file_path").alias(series),
+        F.regexp_extract("file_path", r"([^/]+?)\.[^/]+$", 1).alias("dataset"),
+        *[c for c in both.columns if c != "file_path"],
+    )
+
+
+def folder_of(path: str) -> Column:
+    """Name of the folder a file lies in; of a partition folder `key=value` the value."""
+    return F.url_decode(F.regexp_extract(path, r"([^/=]+)/[^/]+$", 1))
 
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.sources.payloads import long_values, parse_payloads
+from panelloom.sources.readers import folder_of
 
 
 def payload_stream(spark: SparkSession, path: str, *, files_per_batch: int = 1000) -> DataFrame:
@@ -28,7 +29,7 @@ def ingest_once(spark: SparkSession, source: str, target: str, checkpoint: str,
     replayed after a failure replaces its own folder.
     """
     rows = payload_stream(spark, source, files_per_batch=files_per_batch).withColumn(
-        series, F.regexp_extract("file_path", r"([^/]+)/[^/]+$", 1)
+        series, folder_of("file_path")
     )
     fresh = rows.withWatermark("landed", keep).dropDuplicatesWithinWatermark([series, "ts", "name"])
 
