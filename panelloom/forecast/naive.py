@@ -153,9 +153,9 @@ def seasonal_index(train: DataFrame, period: int, mode: str = "multiplicative",
 
 def demand(train: DataFrame, *, keys: Sequence[str] = KEYS, y: str = "y",
            block_rows: int = blocks.BLOCK_ROWS) -> DataFrame:
-    """Non-zero rows numbered k = 0..K-1, with size z and the interval q since the previous one."""
+    """Non-zero rows numbered k = 0..kn-1, with size z and the interval q since the previous one."""
     rows = train.filter(F.col(y) != 0).withColumn("_b", F.expr(f"idx div {block_rows}"))
-    ranked = blocks.rank_in_order(rows, keys=list(keys), blocks=["_b"], order=["idx"], name="k", total="K").drop("_b")
+    ranked = blocks.rank_in_order(rows, keys=list(keys), blocks=["_b"], order=["idx"], name="k", total="kn").drop("_b")
     return blocks.over_halo(
         ranked.withColumn("z", F.col(y).cast("double")),
         {"q": lambda w: (F.col("idx") - F.coalesce(F.lag("idx").over(w), F.lit(-1))).cast("double")},
@@ -181,12 +181,12 @@ def croston(train: DataFrame, *, horizon: int, version: str = "classic", alpha:
         q = ses_on_grid(rows.select(*keys, F.col("k").alias("idx"), F.col("q").alias("v")), grid, keys=keys).select(*keys, F.col("level").alias("q"))
         fitted, value = z.join(q, list(keys)), F.try_divide(F.col("z"), F.col("q"))
     elif version == "tsb":
-        size = rows.groupBy(*keys).agg(F.sum(ses_weight(alpha_d, F.col("k"), F.col("K")) * F.col("z")).alias("z"))
+        size = rows.groupBy(*keys).agg(F.sum(ses_weight(alpha_d, F.col("k"), F.col("kn")) * F.col("z")).alias("z"))
         occurs = F.when(F.col(y) != 0, 1.0).otherwise(0.0)
         chance = train.groupBy(*keys).agg(F.sum(ses_weight(alpha_p, F.col("idx"), F.col("nt")) * occurs).alias("p"))
         fitted, value = size.join(chance, list(keys)), F.col("z") * F.col("p")
     elif version in ("classic", "sba"):
-        w = ses_weight(alpha, F.col("k"), F.col("K"))
+        w = ses_weight(alpha, F.col("k"), F.col("kn"))
         fitted = rows.groupBy(*keys).agg(F.sum(w * F.col("z")).alias("z"), F.sum(w * F.col("q")).alias("q"))
         factor = 1.0 if version == "classic" else 1 - alpha / 2
         value = factor * F.try_divide(F.col("z"), F.col("q"))

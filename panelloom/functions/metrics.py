@@ -37,8 +37,9 @@ def mse(y: Column, yhat: Column) -> Column:
 
 
 def rmsle(y: Column, yhat: Column) -> Column:
+    """Null when a value is -1 or less, where the logarithm is undefined."""
     d = F.log1p(y) - F.log1p(yhat)
-    return F.sqrt(F.avg(d * d))
+    return F.when(F.min(F.least(y, yhat)) > -1, F.sqrt(F.avg(d * d)))
 
 
 def r2(y: Column, yhat: Column) -> Column:

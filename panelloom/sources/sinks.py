@@ -85,7 +85,7 @@ def update_leaderboard(new: DataFrame, path: str, first: Sequence[str]) -> int:
     """
     stored = read_or_none(new.sparkSession, path)
     version = 0 if stored is None else stored.agg(F.max("version")).first()[0]
-    old = None if stored is None else stored.filter(F.col("version") == version).drop("version")
+    old = read_or_none(new.sparkSession, f"{path}/version={version}")
     merged = merge_leaderboard(old, new, first)
     merged.withColumn("version", F.lit(version + 1)).write.mode("append").partitionBy("version").parquet(path)
     return version + 1
@@ -93,9 +93,8 @@ def update_leaderboard(new: DataFrame, path: str, first: Sequence[str]) -> int:
 
 def read_leaderboard(spark: SparkSession, path: str) -> DataFrame:
     """Latest version of a leaderboard."""
-    stored = spark.read.parquet(path)
-    latest = stored.agg(F.max("version")).first()[0]
-    return stored.filter(F.col("version") == latest).drop("version")
+    latest = spark.read.parquet(path).agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/version={latest}")
 
 
 def trial_columns(trials: DataFrame, prefix: str = "user_attrs_") -> DataFrame:
