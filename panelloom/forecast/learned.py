@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from panelloom.forecast.naive import KEYS
 from panelloom.functions.timeaxis import next_steps
+from panelloom.operators.blocks import BLOCK_ROWS, over_halo
+from panelloom.sources.sinks import stage
 
 SEED = 42
 
@@ -35,8 +37,6 @@ def lag_table(panel: DataFrame, *, lags: int, past: dict[str, int] | None = None
     `past` gives lags of other columns; `future` the (first, last) steps ahead of columns that
     are known in advance.
     """
-    from panelloom.operators.blocks import over_halo
-
     past, future = past or {}, future or {}
     names = {f"f_{y}_{i}": (y, -i) for i in range(lags)}
     names |= {f"f_{c}_{i}": (c, -i) for c, k in past.items() for i in range(k)}
@@ -64,14 +64,16 @@ def direct(panel: DataFrame, estimator: Estimator, *, lags: int = 12, past: dict
     keys = list(keys)
     table, features = lag_table(panel, lags=lags, past=past, future=future, output_len=output_len, shift=shift, y=y, keys=keys)
     known = table.filter(F.col("idx") < F.col("nt")).dropna("any", subset=features)
-    ready = VectorAssembler(inputCols=features, outputCol="features").transform(known)
+    targets = [f"target{h}" for h in range(output_len)]
+    rows = VectorAssembler(inputCols=features, outputCol="features").transform(known).select(*keys, "idx", "nt", "ts", "features", *targets)
+    # every step reads the table again; a fixed order of rows makes bagging repeatable
+    ready = stage(rows.repartition(*keys, F.expr(f"idx div {BLOCK_ROWS}")).sortWithinPartitions(*keys, "idx"))
     origin = ready.filter(F.col("idx") == F.col("nt") - 1)
     models, parts = [], []
     for h in range(output_len):
         step = 1 + shift + h
-        rows = ready.filter(F.col("idx") + step < F.col("nt")).select("features", F.col(f"target{h}").cast("double").alias("label"))
-        model = estimator.fit(rows.persist())
-        rows.unpersist()
+        fit_on = ready.filter(F.col("idx") + step < F.col("nt")).select("features", F.col(f"target{h}").cast("double").alias("label"))
+        model = estimator.fit(fit_on)
         models.append(model)
         parts.append(model.transform(origin).select(
             *keys, F.lit(step).alias("step"), next_steps(F.col("ts"), F.lit(step), freq).alias("ts"), F.col("prediction").alias("pred")

@@ -10,7 +10,8 @@ travels in a small table with one row per block:
 * `over_halo`      - bounded frames (lag, moving average, samples): each block also receives
                      copies of the few rows just outside of it.
 
-Only the block table (rows / block length) is ever ordered per series.
+Only the block table (rows / block length) is ever ordered per series.  It is computed from the
+same input as the rows, which Spark evaluates once for each: `stage` an expensive input first.
 """
 
 from __future__ import annotations
@@ -70,56 +71,74 @@ def position(
     return rank_in_order(cut, keys=[series], blocks=["_tb"], order=[ts], name=name, total=total).drop("_tb")
 
 
-def fill(
+def known_neighbours(
     df: DataFrame,
     cols: Sequence[str],
     *,
     series: str = "series",
     idx: str = "idx",
-    forward: int | None = 0,
-    backward: int | None = 0,
+    back: bool = True,
+    ahead: bool = False,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Carry the last known value forward, then the next one backward.
+    """Add `_prev_<i>` / `_next_<i>`: struct (i, v) of the nearest known value before / after a row.
 
-    `forward` / `backward` bound the distance in rows; None is unbounded, 0 is off.
-    The filled rows of the forward pass sit behind an original value, so the backward pass
-    reaches the same next original value whether or not the forward pass ran first; both use
-    one block table and one shuffle.
+    The row itself does not count.  Within a block this is a running window; across blocks the
+    first and last known value of each block are carried through the block table.
     """
     home = df.withColumn("_blk", F.expr(f"{idx} div {block_rows}"))
-    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(idx).alias("i"), F.col(c).alias("v"))) for c in cols}
-    cells = range(len(cols))
-    back, ahead = forward != 0, backward != 0
-    edges = home.groupBy(series, "_blk").agg(
-        *[F.max(known[c]).alias(f"_prev_{i}") for i, c in enumerate(cols) if back],
-        *[F.min(known[c]).alias(f"_next_{i}") for i, c in enumerate(cols) if ahead],
-    )
+    known = [F.when(F.col(c).isNotNull(), F.struct(F.col(idx).alias("i"), F.col(c).alias("v"))) for c in cols]
+    sides = [("_prev", F.max, "asc")] * back + [("_next", F.min, "desc")] * ahead
+
     # looking ahead is looking back in descending order: a frame that ends with the partition
     # would be evaluated anew for every row
-    def before(order: Column, upto: int, *keys: str) -> WindowSpec:
-        return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, upto)
+    def earlier(by: str, direction: str, *keys: str) -> WindowSpec:
+        order = getattr(F.col(by), direction)()
+        return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
 
-    earlier, later = before(F.col("_blk").asc(), -1, series), before(F.col("_blk").desc(), -1, series)
+    edges = home.groupBy(series, "_blk").agg(
+        *[pick(k).alias(f"{side}_{i}") for side, pick, _ in sides for i, k in enumerate(known)]
+    )
     carry = edges.select(
         series,
         "_blk",
-        *[F.last(f"_prev_{i}", True).over(earlier).alias(f"_prev_{i}") for i in cells if back],
-        *[F.last(f"_next_{i}", True).over(later).alias(f"_next_{i}") for i in cells if ahead],
+        *[F.last(f"{side}_{i}", True).over(earlier("_blk", d, series)).alias(f"{side}_{i}")
+          for side, _, d in sides for i in range(len(cols))],
     )
-    upto = before(F.col(idx).asc(), 0, series, "_blk")
-    onward = before(F.col(idx).desc(), 0, series, "_blk")
+    nearest = {
+        f"{side}_{i}": F.coalesce(F.last(k, True).over(earlier(idx, d, series, "_blk")), F.col(f"{side}_{i}"))
+        for side, _, d in sides for i, k in enumerate(known)
+    }
+    return home.join(carry, [series, "_blk"]).select(*df.columns, *[c.alias(n) for n, c in nearest.items()])
+
+
+def fill(
+    df: DataFrame,
+    cols: Sequence[str],
+    *,
+    series: str = "series",
+    idx: str = "idx",
+    forward: int | None = 0,
+    backward: int | None = 0,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Carry the last known value forward, then the next one backward.
+
+    `forward` / `backward` bound the distance in rows; None is unbounded, 0 is off.
+    The filled rows of the forward pass sit behind an original value, so the backward pass
+    reaches the same next original value whether or not the forward pass ran first; both use
+    one block table and one shuffle.
+    """
+    near = known_neighbours(df, cols, series=series, idx=idx, back=forward != 0, ahead=backward != 0, block_rows=block_rows)
     filled = {}
     for i, c in enumerate(cols):
         options = [F.col(c)]
-        if back:
-            prev = F.coalesce(F.last(known[c], True).over(upto), F.col(f"_prev_{i}"))
-            options.append(_within(prev, F.col(idx) - prev["i"], forward))
-        if ahead:
-            nxt = F.coalesce(F.last(known[c], True).over(onward), F.col(f"_next_{i}"))
-            options.append(_within(nxt, nxt["i"] - F.col(idx), backward))
+        if forward != 0:
+            options.append(_within(F.col(f"_prev_{i}"), F.col(idx) - F.col(f"_prev_{i}.i"), forward))
+        if backward != 0:
+            options.append(_within(F.col(f"_next_{i}"), F.col(f"_next_{i}.i") - F.col(idx), backward))
         filled[c] = F.coalesce(*options)
-    return home.join(carry, [series, "_blk"]).select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+    return near.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def _within(found: Column, distance: Column, limit: int | None) -> Column:
@@ -203,3 +222,24 @@ def lookup(
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+HOT_SHARE = 64
+
+
+def lookup_weighted(fact: DataFrame, dim: DataFrame, on: str, *, weight: str, spread_by: str) -> DataFrame:
+    """Left join to a dimension that may be about as large as the rows, with `weight` rows per key.
+
+    Only keys with more than 1/64 of all rows are salted.  There are at most 64 of them by
+    arithmetic, so marking them is a broadcast of a bounded table, and the dimension grows by at
+    most 64 * 64 rows.
+    """
+    total = dim.agg(F.sum(weight)).scalar()
+    is_hot = F.col(weight) * HOT_SHARE > F.col("_total")
+    sized = dim.withColumn("_total", total)
+    hot = sized.filter(is_hot).select(on, F.lit(True).alias("_hot"))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SHARE - 1))).otherwise(F.array(F.lit(0)))
+    copies = sized.withColumn("_salt", F.explode(salts)).drop(weight, "_total")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(HOT_SHARE)).cast("int")).otherwise(0)
+    salted = fact.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_hot")
+    return salted.join(copies, [on, "_salt"], "left").drop("_salt")

@@ -83,25 +83,18 @@ def drop_weak(df: DataFrame, *, target: str, thresh: float, protected: Sequence[
     return df.drop(*weak_columns(df, target=target, thresh=thresh, protected=protected))
 
 
-def with_position(df: DataFrame, *, series: str, ts: str) -> tuple[DataFrame, bool]:
-    if "idx" in df.columns:
-        return df, False
-    return blocks.position(df, series=series, ts=ts), True
-
-
 def percent_change(df: DataFrame, cols: Sequence[str], *, series: str = "series", ts: str = "ts") -> DataFrame:
-    """Change to the previous row in percent, as column "<c> (%)"; gaps carry the last value."""
-    indexed, added = with_position(df, series=series, ts=ts)
-    carried = blocks.fill(
-        indexed.select("*", *[F.col(c).alias(f"_f_{c}") for c in cols]), [f"_f_{c}" for c in cols],
-        series=series, forward=None,
-    )
+    """Change to the previous row in percent, as column "<c> (%)"; gaps carry the last value.
 
-    def change(c: str):
-        return lambda w: (F.try_divide(F.col(f"_f_{c}"), F.lag(f"_f_{c}").over(w)) - 1) * 100
-
-    out = blocks.over_halo(carried, {f"{c} (%)": change(c) for c in cols}, before=1, series=series)
-    return out.drop(*[f"_f_{c}" for c in cols], *(["idx"] if added else []))
+    With gaps carried, the previous row holds the last known value before this row.
+    """
+    indexed = df if "idx" in df.columns else blocks.position(df, series=series, ts=ts)
+    near = blocks.known_neighbours(indexed, cols, series=series)
+    change = [
+        ((F.try_divide(F.coalesce(F.col(c), F.col(f"_prev_{i}.v")), F.col(f"_prev_{i}.v")) - 1) * 100).alias(f"{c} (%)")
+        for i, c in enumerate(cols)
+    ]
+    return near.select(*df.columns, *change)
 
 
 def from_percent_change(changes: DataFrame, history: DataFrame, cols: Sequence[str], *, series: str = "series",
@@ -110,14 +103,16 @@ def from_percent_change(changes: DataFrame, history: DataFrame, cols: Sequence[s
 
     The level is the last known value times the running product of the changes.
     """
-    new = blocks.position(rows_after_last(changes, history, series=series, ts=ts), series=series, ts=ts)
+    new = rows_after_last(changes, history, series=series, ts=ts)
+    if "idx" not in new.columns:
+        new = blocks.position(new, series=series, ts=ts)
     for c in cols:
         new = blocks.running(new, value=1 + F.col(f"{c} (%)") / 100, name=f"_p_{c}", how="product", series=series)
     last = history.groupBy(series).agg(*[F.max_by(c, ts).alias(f"_l_{c}") for c in cols])
     levels = blocks.lookup(new, last, [series], spread_by=ts)
+    dropped = {*cols, *[f"{c} (%)" for c in cols], *[f"_p_{c}" for c in cols]} | ({"idx"} - set(history.columns))
     out = levels.select(
-        *[c for c in new.columns if not c.startswith("_p_") and c != "idx" and c not in cols and not c.endswith(" (%)")],
-        *[(F.col(f"_l_{c}") * F.col(f"_p_{c}")).alias(c) for c in cols],
+        *[c for c in new.columns if c not in dropped], *[(F.col(f"_l_{c}") * F.col(f"_p_{c}")).alias(c) for c in cols],
     )
     return history.unionByName(out, allowMissingColumns=True)
 

@@ -10,45 +10,47 @@ from pyspark.sql import functions as F
 
 from panelloom.operators.blocks import lookup
 
-
-CELLS = 64
+ACCURACY = 1000  # ranks of the sketch are off by at most one part in this many
 
 
 def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, q, value) by linear interpolation between order statistics.
 
-    Equal values are counted first.  A sketch of each group gives cut points that split it into
-    cells of similar size; the cuts only balance the work, the ranks within cells are exact.
+    A sketch of each group brackets every quantile by two values.  Values below the bracket are
+    only counted; the few inside are counted by value and ordered.
     """
-    keys = list(keys)
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("c")
-    )
-    shares = F.array(*[F.lit(i / CELLS) for i in range(1, CELLS)])
-    cuts = counted.groupBy(*keys).agg(F.percentile_approx("v", shares, 1000).alias("cuts"))
-    placed = lookup(counted, cuts, keys, spread_by="v").withColumn(
-        "cell", F.size(F.filter("cuts", lambda c: c < F.col("v")))
-    ).drop("cuts")
-    cells = placed.groupBy(*keys, "cell").agg(F.sum("c").alias("rows"))
-    w = W.partitionBy(*keys)
-    starts = cells.select(
-        *keys, "cell", F.sum("rows").over(w).alias("n"),
-        F.coalesce(F.sum("rows").over(w.orderBy("cell").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("start"),
+    keys, margin = list(keys), 3 / ACCURACY
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
+    shares = F.array(*[F.lit(max(q - margin, 0.0)) for q in qs], *[F.lit(min(q + margin, 1.0)) for q in qs])
+    sketch = rows.groupBy(*keys).agg(
+        F.percentile_approx("v", shares, ACCURACY).alias("cuts"), F.count(F.lit(1)).alias("n"), F.min("v").alias("least"),
+        F.max("v").alias("most"),
     )
-    upto = F.col("start") + F.sum("c").over(W.partitionBy(*keys, "cell").orderBy("v"))
-    ranked = placed.join(starts, [*keys, "cell"]).withColumn("upto", upto)
-    # a value holds the ranks upto - c .. upto - 1
-    aggs = []
-    for i, q in enumerate(qs):
-        at = F.lit(float(q)) * (F.col("n") - 1)
-        for name, r in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            inside = (F.col("upto") - F.col("c") <= r) & (r < F.col("upto"))
-            aggs.append(F.max(F.when(inside, F.col("v"))).alias(f"{name}{i}"))
-    found = ranked.groupBy(*keys, "n").agg(*aggs)
-    rows = F.array(*[
+    few = F.col("n") < 10 * ACCURACY  # here a rank is no longer small against the margin
+    table = F.array(*[
         F.struct(
             F.lit(float(q)).alias("q"),
-            (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (F.lit(float(q)) * (F.col("n") - 1) % 1)).alias(value),
+            (F.col("least") if q <= margin else F.when(few, F.col("least")).otherwise(F.col("cuts")[i])).alias("lo"),
+            (F.col("most") if q >= 1 - margin else F.when(few, F.col("most")).otherwise(F.col("cuts")[len(qs) + i])).alias("hi"),
+            (F.lit(float(q)) * (F.col("n") - 1)).alias("at"),
         ) for i, q in enumerate(qs)
     ])
-    return found.select(*keys, F.inline(rows))
+    brackets = sketch.select(*keys, table.alias("brackets"))
+    placed = lookup(rows, brackets, keys, spread_by="v")
+    below = placed.groupBy(*keys).agg(*[F.count_if(F.col("v") < F.col("brackets")[i]["lo"]).alias(f"b{i}") for i in range(len(qs))])
+    below = below.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(float(q)).alias("q"), F.col(f"b{i}").alias("below")) for i, q in enumerate(qs)
+    ])))
+    inside = placed.withColumn("b", F.explode(F.filter("brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))))
+    counted = inside.groupBy(*keys, "b.q", "b.at", "v").agg(F.count(F.lit(1)).alias("c"))
+    upto = F.col("below") + F.sum("c").over(W.partitionBy(*keys, "q").orderBy("v"))
+    ranked = counted.join(below, [*keys, "q"]).withColumn("upto", upto)
+
+    def at_rank(r):
+        # a value holds the ranks upto - c .. upto - 1
+        return F.max(F.when((F.col("upto") - F.col("c") <= r) & (r < F.col("upto")), F.col("v")))
+
+    found = ranked.groupBy(*keys, "q", "at").agg(at_rank(F.floor("at")).alias("lo"), at_rank(F.ceil("at")).alias("hi"))
+    missed = F.raise_error(F.lit("the sketch did not bracket a quantile"))
+    exact = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") % 1)
+    return found.select(*keys, "q", F.coalesce(exact, missed).alias(value))

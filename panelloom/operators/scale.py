@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from panelloom.functions.timeaxis import time_block
 from panelloom.operators import blocks
 from panelloom.operators.clean import numeric_columns
+from panelloom.sources.sinks import stage
 
 Scaler = tuple[Callable[[Column], Column], Callable[[Column], Column]]
 
@@ -80,36 +81,45 @@ def log_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.log1p(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def time_rank(df: DataFrame, col: str, *, name: str | None = None, block_seconds: int = blocks.BLOCK_SECONDS,
-              spread_by: str = "series") -> DataFrame:
-    """Dense rank 1..n of the timestamps, taken over the distinct ones only.  Null stays null."""
-    times = df.select(col).dropna().distinct().withColumn("_tb", time_block(F.col(col), block_seconds))
-    ranks = blocks.rank_in_order(times, keys=[], blocks=["_tb"], order=[col], name="_rank").select(
-        col, (F.col("_rank") + 1).alias("_rank")
-    )
-    out = blocks.lookup(df, ranks, [col], spread_by=spread_by, how="left")
-    if name:
-        return out.withColumnRenamed("_rank", name).select(*df.columns, name)
-    return out.withColumn(col, F.col("_rank")).select(*df.columns)
+def time_ranks(df: DataFrame, col: str, *, block_seconds: int = blocks.BLOCK_SECONDS) -> DataFrame:
+    """Dense rank 1..n of the distinct timestamps: (col, _rows, _code)."""
+    times = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+    cut = times.withColumn("_tb", time_block(F.col(col), block_seconds))
+    ranks = blocks.rank_in_order(cut, keys=[], blocks=["_tb"], order=[col], name="_code")
+    return ranks.select(col, "_rows", (F.col("_code") + 1).alias("_code"))
 
 
-def factorize(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"), name: str | None = None,
-              block_seconds: int = blocks.BLOCK_SECONDS) -> DataFrame:
-    """F16: 0-based code by first appearance in (series, ts) order, null is -1.
+def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"),
+                block_seconds: int = blocks.BLOCK_SECONDS) -> DataFrame:
+    """Code 0.. of the distinct values by first appearance in (series, ts) order: (col, _rows, _code).
 
     Only the distinct values are ordered, cut into blocks by series and time of appearance.
     """
     series, ts = order
-    first = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.min(F.struct(series, ts)).alias("_at"))
-    seen = first.select(col, F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t")).withColumn(
+    first = df.filter(F.col(col).isNotNull()).groupBy(col).agg(
+        F.min(F.struct(series, ts)).alias("_at"), F.count(F.lit(1)).alias("_rows")
+    )
+    seen = first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t")).withColumn(
         "_tb", time_block(F.col("_t"), block_seconds)
     )
     codes = blocks.rank_in_order(seen, keys=[], blocks=["_s", "_tb"], order=["_t", col], name="_code")
-    codes = codes.select(col, "_code")
-    out = blocks.lookup(df, codes, [col], spread_by=ts, how="left").withColumn(
-        name or col, F.coalesce("_code", F.lit(-1)).cast("int")
-    )
-    return out.select(*df.columns, *([name] if name and name not in df.columns else []))
+    return codes.select(col, "_rows", "_code")
+
+
+def time_rank(df: DataFrame, col: str, *, name: str | None = None, spread_by: str = "series",
+              ranks: DataFrame | None = None) -> DataFrame:
+    """Dense rank of the timestamps, taken over the distinct ones only.  Null stays null."""
+    dim = time_ranks(df, col) if ranks is None else ranks
+    out = blocks.lookup_weighted(df, dim, col, weight="_rows", spread_by=spread_by)
+    return out.withColumn(name or col, F.col("_code")).drop("_code")
+
+
+def factorize(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"), name: str | None = None,
+              codes: DataFrame | None = None) -> DataFrame:
+    """F16: 0-based code by first appearance, null is -1."""
+    dim = value_codes(df, col, order=order) if codes is None else codes
+    out = blocks.lookup_weighted(df, dim, col, weight="_rows", spread_by=order[1])
+    return out.withColumn(name or col, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code")
 
 
 def preprocess(df: DataFrame, *, target: str = "y", series: str = "series", ts: str = "ts", method: str = "zscore",
@@ -133,16 +143,16 @@ def preprocess(df: DataFrame, *, target: str = "y", series: str = "series", ts:
     dated = {}
     if texts:
         dated = df.agg(*[F.count_if(F.col(c).try_cast("timestamp_ntz").isNotNull()).alias(c) for c in texts]).first().asDict()
-    # the encoders need the raw keys for their order, so results go to side columns first
-    done = {}
-    for c in texts:
-        if c == series or not dated[c]:
-            df = factorize(df, c, order=(series, ts), name=f"_enc_{c}")
+    # code tables come from the stored panel, so that encoding a column does not repeat the others
+    base = stage(df.select("*", *[F.col(c).try_cast("timestamp_ntz").alias(f"_time_{c}") for c in texts if c != series and dated[c]]))
+    out, done = base, {}
+    for c in [*texts, *times]:
+        new = done[c] = f"_enc_{c}"
+        if c in times:
+            out = time_rank(out, c, name=new, spread_by=series, ranks=stage(time_ranks(base, c)))
+        elif f"_time_{c}" in base.columns:
+            out = time_rank(out, f"_time_{c}", name=new, spread_by=ts, ranks=stage(time_ranks(base, f"_time_{c}")))
         else:
-            df = time_rank(df.withColumn(f"_enc_{c}", F.col(c).try_cast("timestamp_ntz")), f"_enc_{c}", spread_by=ts)
-        done[c] = f"_enc_{c}"
-    for c in times:
-        df = time_rank(df, c, name=f"_enc_{c}", spread_by=series)
-        done[c] = f"_enc_{c}"
-    out = df.select(*[F.col(done[c]).alias(c) if c in done else F.col(c) for c in df.columns if c not in done.values()])
+            out = factorize(out, c, order=(series, ts), name=new, codes=stage(value_codes(base, c, order=(series, ts))))
+    out = out.select(*[F.col(done.get(c, c)).alias(c) for c in df.columns])
     return drop_weak(out, target=target, thresh=corr_thresh, protected=[series, ts, *protected]) if corr_thresh > 0 else out

@@ -11,6 +11,7 @@ from panelloom.operators import blocks, features, scale, splits
 from panelloom.plans import views as v
 from panelloom.plans.catalog import query, rounded
 from panelloom.plans.q_clean import SHIP_COLS, _corr_sql
+from panelloom.sources.sinks import stage
 
 TARGET = "price_sum"
 FEATURES = [c for c in SHIP_COLS if c != TARGET]
@@ -101,21 +102,21 @@ UNION ALL
 SELECT c.series, c.ts, round(h.last * product(ratio) OVER (PARTITION BY c.series ORDER BY c.ts), 2)
 FROM c JOIN hist h ON h.series = c.series AND c.ts > h.t""")
 def w5(spark, sf):
-    days = v.supplier_days(spark, sf).select("series", "ts", "y")
-    history = days.filter(F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz"))
-    out = features.from_percent_change(features.percent_change(days, ["y"]), history, ["y"])
+    days = stage(blocks.position(v.supplier_panel(spark, sf).select("series", "ts", "y")))
+    history = days.filter(F.col("ts") < F.lit("2000-01-01").cast("timestamp_ntz")).drop("idx")
+    out = features.from_percent_change(stage(features.percent_change(days, ["y"])), history, ["y"])
     return rounded(out.select("series", "ts", "y"), y=2)
 
 
 @query("w6_dense_time_rank", f"WITH {v.SUPPLIER} SELECT series, ts, dense_rank() OVER (ORDER BY ts) AS time_idx FROM supplier_days")
 def w6(spark, sf):
-    return scale.time_rank(v.supplier_days(spark, sf).select("series", "ts"), "ts", name="time_idx")
+    return scale.time_rank(v.supplier_panel(spark, sf).select("series", "ts"), "ts", name="time_idx")
 
 
 @query("w7_position", f"""
 WITH {v.SUPPLIER} SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) - 1 AS idx, count(*) OVER (PARTITION BY series) AS n FROM supplier_days""")
 def w7(spark, sf):
-    return blocks.position(v.supplier_days(spark, sf), total="n").select("series", "ts", "idx", "n")
+    return blocks.position(v.supplier_panel(spark, sf), total="n").select("series", "ts", "idx", "n")
 
 
 @query("w8_train_split", f"WITH {v.PREP} SELECT series, is_train, count(*) AS n, min(ts) AS lo, max(ts) AS hi FROM prep GROUP BY ALL")

@@ -199,7 +199,7 @@ def _board(spark, sf) -> DataFrame:
 UNION ALL SELECT "val_MAPE", "val_RMSE", name || '-again', window_id, ckpt_path, 'second' FROM board""")
 def s15(spark, sf):
     path = sinks.scratch_dir(spark) + "/leaderboard"
-    board = sinks.cut_lineage(_board(spark, sf))
+    board = sinks.stage(_board(spark, sf))
     first = ["val_MAPE", "val_RMSE"]
     sinks.update_leaderboard(board, path, first)
     again = board.withColumn("name", F.concat("name", F.lit("-again"))).withColumn("note", F.lit("second"))
@@ -218,7 +218,7 @@ def s16(spark, sf):
 @query("s17_a9_best_settings", f"""{BOARD_SQL} SELECT min("val_MAPE") AS loss, 1 AS n_saved FROM board""")
 def s17(spark, sf):
     path = sinks.scratch_dir(spark) + "/best"
-    board = sinks.cut_lineage(_board(spark, sf))
+    board = sinks.stage(_board(spark, sf))
     best = ranking.best_loss(board, "val_MAPE")
     sinks.save_if_better(spark, path, {"loss_name": "val_MAPE"}, best, None)
     sinks.save_if_better(spark, path, {"loss_name": "worse"}, best + 1, best)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions.timeaxis import HOUR, floor_to
 from panelloom.operators import align, blocks
+from panelloom.sources.sinks import stage
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -27,12 +28,12 @@ def daily_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders_grid(spark: SparkSession, sf: str) -> DataFrame:
     """daily_orders on the full daily grid with gaps as nulls: (series, ts, idx, n, y, n_orders)."""
-    return align.on_grid(daily_orders(spark, sf))
+    return align.on_grid(stage(daily_orders(spark, sf)))
 
 
 def orders_panel(spark: SparkSession, sf: str) -> DataFrame:
     """The grid with gaps filled forward, then backward, by at most 91 rows; `n` is the series length."""
-    return blocks.fill(orders_grid(spark, sf), ["y", "n_orders"], forward=91, backward=91)
+    return stage(blocks.fill(orders_grid(spark, sf), ["y", "n_orders"], forward=91, backward=91))
 
 
 def hourly_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,6 +50,11 @@ def supplier_days(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def supplier_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """supplier_days as a stored table, for operators that use their input more than once."""
+    return stage(supplier_days(spark, sf))
+
+
 def ship_features(spark: SparkSession, sf: str) -> DataFrame:
     """Wide numeric panel by return flag and ship date."""
     return table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("series"), F.col("l_shipdate").alias("ts")).agg(

@@ -20,15 +20,20 @@ def scratch_dir(spark: SparkSession) -> str:
     Only where none is set, as on a single machine in tests, a temporary folder is used.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}" if base else tempfile.mkdtemp(prefix="panelloom-")
+    if base is None:
+        return tempfile.mkdtemp(prefix="panelloom-")
+    return f"{base.rstrip('/')}/panelloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint in the shared folder, so that lost executors do not recompute the past."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(scratch_dir(spark))
-    return df.checkpoint()
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate panel to the shared folder and read it back.
+
+    For inputs that several branches of a plan use: they are computed once, later branches read
+    only the columns they need, and a lost executor costs a read instead of the whole past.
+    """
+    path = scratch_dir(df.sparkSession) + "/stage"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_by(df: DataFrame, path: str, by: Sequence[str], *, mode: str = "append") -> None:
