@@ -322,7 +322,7 @@ def f12(spark, sf):
 
 @query("f13_train_only_scaling", f"""
 WITH {v.ROLLING},
-fit AS (SELECT series, window_id, avg(y) AS m, stddev_pop(y) AS d, min(n_orders) AS lo, max(n_orders) - min(n_orders) AS span FROM prep WHERE is_train GROUP BY ALL)
+fit AS (SELECT series, window_id, avg(y) AS m, stddev_pop(y) AS d, min(n_orders) AS lo, coalesce(nullif(max(n_orders) - min(n_orders), 0), 1) AS span FROM prep WHERE is_train GROUP BY ALL)
 SELECT series, window_id, ts, round((y - m) / d, 7) AS y, round((n_orders - lo) / span, 7) AS n_orders FROM prep JOIN fit USING (series, window_id)""")
 def f13(spark, sf):
     from panelloom.forecast.registry import prepare

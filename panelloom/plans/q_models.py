@@ -264,9 +264,9 @@ SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INT
 FROM c CROSS JOIN range(1, {{h}} + 1) t(step) WHERE len(path) = 12 + 30"""
 
 
-@query("m3_window_mean", CHUNKS_SQL.format(agg="list_avg", h=30, digits=2))
+@query("m3_window_mean", CHUNKS_SQL.format(agg="list_avg", h=30, digits=5))
 def m3(spark, sf):
-    return _out(naive.window_aggregate(prepared(spark, sf).filter("is_train"), horizon=30))
+    return _out(naive.window_aggregate(prepared(spark, sf).filter("is_train"), horizon=30), 5)
 
 
 @query("m3_k2_custom_aggregate", CHUNKS_SQL.format(agg="list_max", h=30, digits=2))
