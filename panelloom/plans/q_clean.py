@@ -8,8 +8,8 @@ from panelloom.operators import clean, features, splits
 from panelloom.plans import views as v
 from panelloom.plans.catalog import query, rounded
 
-SHIP_COLS = ["price_sum", "price_avg", "price_max", "qty_sum", "qty_avg", "disc_avg", "tax_avg", "tax_max", "n_lines",
-             "line_max", "n_supp", "constant", "qty_copy"]
+SHIP_COLS = ["price_sum", "price_avg", "price_max", "qty_sum", "qty_avg", "disc_avg", "tax_avg", "tax_sum", "n_lines",
+             "line_sum", "n_supp", "constant", "qty_copy"]
 
 
 @query("p1_time_range", """
@@ -33,9 +33,9 @@ def p3(spark, sf):
     return splits.cutoff_time(v.table(spark, sf, "orders"), 0.75, ts="o_orderdate")
 
 
-@query("p4_p5_drop_and_reorder", f"WITH {v.SHIP} SELECT series, ts, * EXCLUDE (series, ts, line_max, tax_max) FROM ship")
+@query("p4_p5_drop_and_reorder", f"WITH {v.SHIP} SELECT series, ts, * EXCLUDE (series, ts, line_sum, tax_sum) FROM ship")
 def p4(spark, sf):
-    return clean.leading(v.ship_features(spark, sf).drop("line_max", "tax_max", "not_there"), ["series", "ts"])
+    return clean.leading(v.ship_features(spark, sf).drop("line_sum", "tax_sum", "not_there"), ["series", "ts"])
 
 
 @query("p6_drop_constant_columns", f"WITH {v.SHIP} SELECT * EXCLUDE (constant) FROM ship")

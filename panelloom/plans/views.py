@@ -65,9 +65,9 @@ def ship_features(spark: SparkSession, sf: str) -> DataFrame:
         _mean("l_quantity").alias("qty_avg"),
         _mean("l_discount").alias("disc_avg"),
         _mean("l_tax").alias("tax_avg"),
-        F.max("l_tax").alias("tax_max"),
+        F.round(F.sum("l_tax"), 2).alias("tax_sum"),
         F.count(F.lit(1)).alias("n_lines"),
-        F.max("l_linenumber").alias("line_max"),
+        F.sum("l_linenumber").alias("line_sum"),
         F.count_distinct("l_suppkey").alias("n_supp"),
         F.lit(1).alias("constant"),
         F.sum("l_quantity").cast("bigint").alias("qty_copy"),
@@ -128,6 +128,6 @@ SHIP = """ship AS (
   SELECT l_returnflag AS series, l_shipdate AS ts,
     round(sum(l_extendedprice), 2) AS price_sum, round(sum(l_extendedprice), 2) / count(*) AS price_avg, max(l_extendedprice) AS price_max,
     sum(l_quantity) AS qty_sum, round(sum(l_quantity), 2) / count(*) AS qty_avg, round(sum(l_discount), 2) / count(*) AS disc_avg,
-    round(sum(l_tax), 2) / count(*) AS tax_avg, max(l_tax) AS tax_max, count(*) AS n_lines, max(l_linenumber) AS line_max,
+    round(sum(l_tax), 2) / count(*) AS tax_avg, round(sum(l_tax), 2) AS tax_sum, count(*) AS n_lines, CAST(sum(l_linenumber) AS BIGINT) AS line_sum,
     count(DISTINCT l_suppkey) AS n_supp, 1 AS constant, CAST(sum(l_quantity) AS BIGINT) AS qty_copy
   FROM lineitem GROUP BY ALL)"""
