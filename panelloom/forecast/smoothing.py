@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.forecast.naive import KEYS, ends, unfold_array
-from panelloom.operators import blocks
 
 GRID = (0.1, 0.3, 0.5, 0.7, 0.9)
+REDUCE = 4096  # rows reduced by one task call
 COMPOSE = 1024  # blocks composed by one task
 
 
@@ -116,7 +116,7 @@ def initial_state(head: np.ndarray, trend: bool, period: int) -> np.ndarray:
 
 
 def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[str] = KEYS, value: str = "v",
-        block_rows: int = blocks.BLOCK_ROWS) -> DataFrame:
+        block_rows: int = REDUCE) -> DataFrame:
     """Final state and squared error of every candidate: (keys, cand, sse, n, state array).
 
     `rows` hold (keys, idx, value) with dense positions from 0.

@@ -33,8 +33,8 @@ def floor_to(ts: Column, step: int) -> Column:
     return from_epoch(s - F.pmod(s, F.lit(step)))
 
 
-def time_block(ts: Column, seconds: int) -> Column:
-    """Coarse cell number of a timestamp; order-preserving."""
+def time_block(ts: Column, seconds: Column) -> Column:
+    """Number of the `seconds` long cell of a timestamp; order-preserving."""
     return F.floor(epoch_seconds(ts) / seconds).cast("bigint")
 
 

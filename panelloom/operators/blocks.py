@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelloom.functions.timeaxis import DAY, time_block
+from panelloom.functions.timeaxis import epoch_seconds, time_block
 
-BLOCK_SECONDS = 366 * DAY
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 65_536
+TASK_ROWS = 1_000_000
 
 
 def rank_in_order(
@@ -39,24 +39,44 @@ def rank_in_order(
 ) -> DataFrame:
     """0-based position of each row in (`blocks`, `order`) order within `keys`.
 
-    `blocks` are columns that coarsen the order; (`keys`, `blocks`, `order`) must be unique.
-    `total` adds the number of rows per key, taken from the same block table.
+    `blocks` are columns that coarsen the order, from coarse to fine; (`keys`, `blocks`, `order`)
+    must be unique.  Offsets are summed level by level, so ordering the finest blocks happens
+    inside one coarser block.  `total` adds the number of rows per key.
     """
     cell = [*keys, *blocks]
-    counts = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_cnt"))
-    w = W.partitionBy(*keys)
-    before = w.orderBy(*blocks).rowsBetween(W.unboundedPreceding, -1)
-    cols = [*cell, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")]
-    if total:
-        cols.append(F.sum("_cnt").over(w).alias(total))
+    table = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_cnt"))
+    offset = F.lit(0).cast("bigint")
+    for depth in range(len(blocks)):
+        outer = [*keys, *blocks[:depth]]
+        level = table.groupBy(*outer, blocks[depth]).agg(F.sum("_cnt").alias("_cnt")) if depth + 1 < len(blocks) else table
+        w = W.partitionBy(*outer)
+        before = w.orderBy(blocks[depth]).rowsBetween(W.unboundedPreceding, -1)
+        cols = [F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias(f"_off{depth}")]
+        if total and depth == 0:
+            cols.append(F.sum("_cnt").over(w).alias(total))
+        step = level.select(*outer, blocks[depth], *cols)
+        offsets = step if depth == 0 else step.join(offsets, outer)
+        offset = offset + F.col(f"_off{depth}")
     in_block = W.partitionBy(*cell).orderBy(*order)
+    placed = offsets.select(*cell, offset.alias("_off"), *([total] if total else []))
     return (
-        df.join(counts.select(*cols), cell)
+        df.join(placed, cell)
         .withColumn(name, F.col("_off") + F.row_number().over(in_block) - 1)
         .drop("_off")
     )
 
 
+def block_seconds(df: DataFrame, ts: str, series: str | None = None) -> Column:
+    """Block length at which the longest series has about `TASK_ROWS` rows per block.
+
+    A scalar subquery over two columns; it only balances the work, any length gives the same result.
+    """
+    sec = epoch_seconds(F.col(ts))
+    per = df.groupBy(*([series] if series else [])).agg(F.count(F.lit(1)).alias("n"), F.min(sec).alias("lo"), F.max(sec).alias("hi"))
+    span = F.max("hi") - F.min("lo") + 1
+    return per.agg(F.greatest(F.ceil(span * TASK_ROWS / F.max("n")), F.lit(1)).cast("bigint")).scalar()
+
+
 def position(
     df: DataFrame,
     *,
@@ -64,10 +84,11 @@ def position(
     ts: str = "ts",
     name: str = "idx",
     total: str | None = None,
-    block_seconds: int = BLOCK_SECONDS,
+    width: int | None = None,
 ) -> DataFrame:
-    """0-based position of a row in its series."""
-    cut = df.withColumn("_tb", time_block(F.col(ts), block_seconds))
+    """0-based position of a row in its series; `width` fixes the block length in seconds."""
+    seconds = block_seconds(df, ts, series) if width is None else F.lit(width)
+    cut = df.withColumn("_tb", time_block(F.col(ts), seconds))
     return rank_in_order(cut, keys=[series], blocks=["_tb"], order=[ts], name=name, total=total).drop("_tb")
 
 

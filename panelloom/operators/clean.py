@@ -91,20 +91,25 @@ def classify_columns(df: DataFrame, *, target: str, series: str = "series", ts:
     return values, [c for c in cols if c in static]
 
 
-def column_kinds(df: DataFrame, *, series: str = "series", ts: str = "ts") -> DataFrame:
-    """P7/A5 as a table: distinct count and whether a column is constant globally and per series."""
+def column_kinds(df: DataFrame, *, series: str = "series", ts: str = "ts", approx: bool = False) -> DataFrame:
+    """P7/A5 as a table: distinct count and whether a column is constant globally and per series.
+
+    Exact distinct counts shuffle every distinct value of every column; `approx` replaces them by
+    sketches.  Whether a column is constant stays exact either way.
+    """
     cols = value_columns(df, [series, ts])
     per_series = df.groupBy(series).agg(*[(F.min(c).eqNullSafe(F.max(c))).alias(c) for c in cols])
     kinds = per_series.agg(*[F.every(c).alias(c) for c in cols])
-    counts = df.agg(*[F.count_distinct(c).alias(c) for c in cols])
+    distinct = F.approx_count_distinct if approx else F.count_distinct
+    counts = df.agg(*[distinct(c).alias(c) for c in cols])
+    constant = df.agg(*[(F.min(c) == F.max(c)).alias(c) for c in cols])
     as_rows = "stack({n}, {pairs}) as (column, {name})"
 
     def rows(one: DataFrame, name: str) -> DataFrame:
         return one.selectExpr(as_rows.format(n=len(cols), pairs=", ".join(f"'{c}', `{c}`" for c in cols), name=name))
 
-    return rows(counts, "n_distinct").join(rows(kinds, "static_in_series"), "column").withColumn(
-        "static_global", F.col("n_distinct") == 1
-    )
+    both = rows(counts, "n_distinct").join(rows(kinds, "static_in_series"), "column")
+    return both.join(rows(constant, "static_global"), "column")
 
 
 def series_dimension(df: DataFrame, static: Sequence[str], *, series: str = "series", ts: str = "ts") -> DataFrame:
@@ -128,7 +133,7 @@ def duplicate_columns(df: DataFrame, keys: Sequence[str]) -> list[str]:
         return F.col(c).cast("double") if c in numeric else F.col(c).cast("string")
 
     prints = profile_row(
-        df, {c: F.sum(F.xxhash64(*keys, content(c)).cast("decimal(38,0)")) for c in cols}
+        df, {c: F.bit_xor(F.xxhash64(*keys, content(c))) for c in cols}
     )
     # only columns of one kind can be equal: a numeric and a string fingerprint never compare
     first: dict = {}

@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 
 from panelloom.operators.blocks import lookup
 
-ACCURACY = 1000  # ranks of the sketch are off by at most one part in this many
+ACCURACY = 20_000  # ranks of the sketch are off by at most one part in this many
+FEW = 10 * ACCURACY  # rows up to which a group is small enough for one buffer
 
 
 def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, q, value) by linear interpolation between order statistics.
 
-    A sketch of each group brackets every quantile by two values.  Values below the bracket are
-    only counted; the few inside are counted by value and ordered.
+    Small groups use the exact aggregate, which buffers their values.  For a large group a sketch
+    brackets every quantile by two values; values below the bracket are only counted, and the few
+    inside are counted by value and ordered.
     """
     keys, margin = list(keys), 3 / ACCURACY
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
@@ -26,22 +28,28 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
         F.percentile_approx("v", shares, ACCURACY).alias("cuts"), F.count(F.lit(1)).alias("n"), F.min("v").alias("least"),
         F.max("v").alias("most"),
     )
-    few = F.col("n") < 10 * ACCURACY  # here a rank is no longer small against the margin
     table = F.array(*[
         F.struct(
             F.lit(float(q)).alias("q"),
-            (F.col("least") if q <= margin else F.when(few, F.col("least")).otherwise(F.col("cuts")[i])).alias("lo"),
-            (F.col("most") if q >= 1 - margin else F.when(few, F.col("most")).otherwise(F.col("cuts")[len(qs) + i])).alias("hi"),
+            (F.col("least") if q <= margin else F.col("cuts")[i]).alias("lo"),
+            (F.col("most") if q >= 1 - margin else F.col("cuts")[len(qs) + i]).alias("hi"),
             (F.lit(float(q)) * (F.col("n") - 1)).alias("at"),
         ) for i, q in enumerate(qs)
     ])
-    brackets = sketch.select(*keys, table.alias("brackets"))
-    placed = lookup(rows, brackets, keys, spread_by="v")
-    below = placed.groupBy(*keys).agg(*[F.count_if(F.col("v") < F.col("brackets")[i]["lo"]).alias(f"b{i}") for i in range(len(qs))])
+    brackets = F.when(F.col("n") > FEW, table)
+    placed = lookup(rows, sketch.select(*keys, brackets.alias("brackets")), keys, spread_by="v")
+    small = placed.filter(F.col("brackets").isNull()).groupBy(*keys).agg(
+        F.percentile("v", F.array(*[F.lit(float(q)) for q in qs])).alias("p")
+    )
+    small = small.select(*keys, F.inline(F.array(*[
+        F.struct(F.lit(float(q)).alias("q"), F.col("p")[i].alias(value)) for i, q in enumerate(qs)
+    ])))
+    large = placed.filter(F.col("brackets").isNotNull())
+    below = large.groupBy(*keys).agg(*[F.count_if(F.col("v") < F.col("brackets")[i]["lo"]).alias(f"b{i}") for i in range(len(qs))])
     below = below.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(float(q)).alias("q"), F.col(f"b{i}").alias("below")) for i, q in enumerate(qs)
     ])))
-    inside = placed.withColumn("b", F.explode(F.filter("brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))))
+    inside = large.withColumn("b", F.explode(F.filter("brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))))
     counted = inside.groupBy(*keys, "b.q", "b.at", "v").agg(F.count(F.lit(1)).alias("c"))
     upto = F.col("below") + F.sum("c").over(W.partitionBy(*keys, "q").orderBy("v"))
     ranked = counted.join(below, [*keys, "q"]).withColumn("upto", upto)
@@ -53,4 +61,4 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
     found = ranked.groupBy(*keys, "q", "at").agg(at_rank(F.floor("at")).alias("lo"), at_rank(F.ceil("at")).alias("hi"))
     missed = F.raise_error(F.lit("the sketch did not bracket a quantile"))
     exact = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") % 1)
-    return found.select(*keys, "q", F.coalesce(exact, missed).alias(value))
+    return small.unionByName(found.select(*keys, "q", F.coalesce(exact, missed).alias(value)))

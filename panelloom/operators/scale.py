@@ -81,16 +81,23 @@ def log_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.log1p(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def time_ranks(df: DataFrame, col: str, *, block_seconds: int = blocks.BLOCK_SECONDS) -> DataFrame:
-    """Dense rank 1..n of the distinct timestamps: (col, _rows, _code)."""
+def time_ranks(df: DataFrame, col: str, *, width: int | None = None) -> DataFrame:
+    """Dense rank 1..n of the distinct timestamps: (col, _rows, _code); `width` as in `blocks.position`."""
     times = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-    cut = times.withColumn("_tb", time_block(F.col(col), block_seconds))
+    seconds = blocks.block_seconds(times, col) if width is None else F.lit(width)
+    cut = times.withColumn("_tb", time_block(F.col(col), seconds))
     ranks = blocks.rank_in_order(cut, keys=[], blocks=["_tb"], order=[col], name="_code")
     return ranks.select(col, "_rows", (F.col("_code") + 1).alias("_code"))
 
 
-def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"),
-                block_seconds: int = blocks.BLOCK_SECONDS) -> DataFrame:
+def coarse(df: DataFrame, col: str) -> Column:
+    """Order-preserving grouping of many series into fewer: leading characters, or a number range."""
+    if isinstance(df.schema[col].dataType, T.NumericType):
+        return F.floor(F.col(col) / 10_000)
+    return F.substring(col, 1, 2)
+
+
+def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"), width: int | None = None) -> DataFrame:
     """Code 0.. of the distinct values by first appearance in (series, ts) order: (col, _rows, _code).
 
     Only the distinct values are ordered, cut into blocks by series and time of appearance.
@@ -99,10 +106,10 @@ def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series",
     first = df.filter(F.col(col).isNotNull()).groupBy(col).agg(
         F.min(F.struct(series, ts)).alias("_at"), F.count(F.lit(1)).alias("_rows")
     )
-    seen = first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t")).withColumn(
-        "_tb", time_block(F.col("_t"), block_seconds)
-    )
-    codes = blocks.rank_in_order(seen, keys=[], blocks=["_s", "_tb"], order=["_t", col], name="_code")
+    seen = first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t"))
+    seconds = blocks.block_seconds(seen, "_t", "_s") if width is None else F.lit(width)
+    cut = seen.withColumn("_c", coarse(seen, "_s")).withColumn("_tb", time_block(F.col("_t"), seconds))
+    codes = blocks.rank_in_order(cut, keys=[], blocks=["_c", "_s", "_tb"], order=["_t", col], name="_code")
     return codes.select(col, "_rows", "_code")
 
 

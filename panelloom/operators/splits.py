@@ -71,17 +71,19 @@ def before_last(df: DataFrame, horizon: int, *, time_idx: str = "idx") -> DataFr
     return df.filter(F.col(time_idx) <= cutoff)
 
 
-def cutoff_time(df: DataFrame, share: float, *, ts: str = "ts", block_seconds: int = blocks.BLOCK_SECONDS) -> DataFrame:
+def cutoff_time(df: DataFrame, share: float, *, ts: str = "ts", width: int | None = None) -> DataFrame:
     """The timestamp at position int(n * share) of the time-sorted table, as a one-row frame.
 
     Rows are counted per timestamp; the time block that holds the position is found in the block
     table, and only that block is ordered.
     """
-    per_ts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("c")).withColumn("_tb", time_block(F.col(ts), block_seconds))
+    counts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("c"))
+    seconds = blocks.block_seconds(counts, ts) if width is None else F.lit(width)
+    per_ts = counts.withColumn("_tb", time_block(F.col(ts), seconds))
     w = W.orderBy("_tb").rowsBetween(W.unboundedPreceding, -1)
-    tables = per_ts.groupBy("_tb").agg(F.sum("c").alias("rows"))
+    table = per_ts.groupBy("_tb").agg(F.sum("c").alias("rows"))
     target = F.floor(F.sum("rows").over(W.partitionBy()) * F.lit(share))
-    starts = tables.select("_tb", "rows", F.coalesce(F.sum("rows").over(w), F.lit(0)).alias("start"), target.alias("at"))
+    starts = table.select("_tb", "rows", F.coalesce(F.sum("rows").over(w), F.lit(0)).alias("start"), target.alias("at"))
     hit = starts.filter((F.col("start") <= F.col("at")) & (F.col("at") < F.col("start") + F.col("rows")))
     upto = F.col("start") + F.sum("c").over(W.partitionBy("_tb").orderBy(ts))
     return per_ts.join(hit, "_tb").withColumn("upto", upto).filter("upto > at").agg(F.min(ts).alias("cutoff"))

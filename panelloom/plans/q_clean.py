@@ -9,7 +9,7 @@ from panelloom.plans import views as v
 from panelloom.plans.catalog import query, rounded
 
 SHIP_COLS = ["price_sum", "price_avg", "price_max", "qty_sum", "qty_avg", "disc_avg", "tax_avg", "tax_sum", "n_lines",
-             "line_sum", "n_supp", "constant", "qty_copy"]
+             "line_sum", "supp_max", "constant", "qty_copy"]
 
 
 @query("p1_time_range", """

@@ -33,7 +33,7 @@ def orders_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 def orders_panel(spark: SparkSession, sf: str) -> DataFrame:
     """The grid with gaps filled forward, then backward, by at most 91 rows; `n` is the series length."""
-    return stage(blocks.fill(orders_grid(spark, sf), ["y", "n_orders"], forward=91, backward=91))
+    return stage(blocks.fill(orders_grid(spark, sf), ["y", "n_orders"], forward=91, backward=91, block_rows=512))
 
 
 def hourly_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,7 +68,7 @@ def ship_features(spark: SparkSession, sf: str) -> DataFrame:
         F.round(F.sum("l_tax"), 2).alias("tax_sum"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_linenumber").alias("line_sum"),
-        F.count_distinct("l_suppkey").alias("n_supp"),
+        F.max("l_suppkey").alias("supp_max"),
         F.lit(1).alias("constant"),
         F.sum("l_quantity").cast("bigint").alias("qty_copy"),
     )
@@ -129,5 +129,5 @@ SHIP = """ship AS (
     round(sum(l_extendedprice), 2) AS price_sum, round(sum(l_extendedprice), 2) / count(*) AS price_avg, max(l_extendedprice) AS price_max,
     sum(l_quantity) AS qty_sum, round(sum(l_quantity), 2) / count(*) AS qty_avg, round(sum(l_discount), 2) / count(*) AS disc_avg,
     round(sum(l_tax), 2) / count(*) AS tax_avg, round(sum(l_tax), 2) AS tax_sum, count(*) AS n_lines, CAST(sum(l_linenumber) AS BIGINT) AS line_sum,
-    count(DISTINCT l_suppkey) AS n_supp, 1 AS constant, CAST(sum(l_quantity) AS BIGINT) AS qty_copy
+    max(l_suppkey) AS supp_max, 1 AS constant, CAST(sum(l_quantity) AS BIGINT) AS qty_copy
   FROM lineitem GROUP BY ALL)"""

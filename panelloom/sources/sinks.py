@@ -39,11 +39,10 @@ def stage(df: DataFrame) -> DataFrame:
 def write_by(df: DataFrame, path: str, by: Sequence[str], *, mode: str = "append") -> None:
     """Parquet partitioned by columns.
 
-    Rows are first gathered per partition value and spread over a few files, so a large symbol is
-    not written by one task.
+    Rows are first gathered per partition value; the rebalancing exchange splits a large symbol
+    over several tasks and merges small ones.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in df.columns if c not in by]), F.lit(8))
-    df.withColumn("_f", spread).repartition(*by, "_f").drop("_f").write.mode(mode).partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

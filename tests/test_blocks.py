@@ -23,12 +23,12 @@ def test_fill_matches_whole_series_windows(spark, size, limits):
     assert by_series(got, "y") == by_series(want, "y")
 
 
-@pytest.mark.parametrize("days", [1, 5, 366])
+@pytest.mark.parametrize("days", [None, 1, 5, 366])
 def test_position(spark, days):
     df = panel(spark, skewed()).drop("idx", "n").withColumn("y", F.rand(1)).filter("y < 0.7")
     w = W.partitionBy("series").orderBy("ts")
     want = df.withColumn("idx", F.row_number().over(w) - 1).withColumn("n", F.count("*").over(W.partitionBy("series")))
-    got = blocks.position(df.cache(), total="n", block_seconds=days * DAY)
+    got = blocks.position(df.cache(), total="n", width=days and days * DAY)
     key = lambda d: sorted(map(tuple, d.select("series", "ts", "idx", "n").collect()))
     assert key(got) == key(want)
 
@@ -77,11 +77,13 @@ def test_lookups_keep_every_row(spark):
     assert sorted(map(tuple, weighted.select("series", "idx", "top").collect())) == plain
 
 
-def test_time_rank_and_factorize(spark):
+@pytest.mark.parametrize("width", [None, DAY, 10 * DAY])
+def test_time_rank_and_factorize(spark, width):
     df = panel(spark, skewed()).withColumn("label", F.when(F.col("y") > 8, F.round("y").cast("string")))
-    ranks = {r.ts: r.t for r in scale.time_rank(df, "ts", name="t").collect()}
+    ranks = {r.ts: r.t for r in scale.time_rank(df, "ts", name="t", ranks=scale.time_ranks(df, "ts", width=width)).collect()}
     assert [ranks[t] for t in sorted(ranks)] == list(range(1, len(ranks) + 1))
-    coded = scale.factorize(df, "label", name="code").orderBy("series", "ts").collect()
+    codes = scale.value_codes(df, "label", width=width)
+    coded = scale.factorize(df, "label", name="code", codes=codes).orderBy("series", "ts").collect()
     seen: dict = {}
     for r in coded:
         want = -1 if r.label is None else seen.setdefault(r.label, len(seen))
@@ -89,7 +91,10 @@ def test_time_rank_and_factorize(spark):
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 30_000])
-def test_exact_quantiles(spark, n):
+def test_exact_quantiles(spark, n, monkeypatch):
+    # with a coarse sketch the larger groups take the bracketing path
+    monkeypatch.setattr(quantiles, "ACCURACY", 1000)
+    monkeypatch.setattr(quantiles, "FEW", 10_000)
     qs = [0.01, 0.25, 0.5, 0.9, 0.99]
     rng = np.random.default_rng(n)
     values = np.where(rng.random(n) < 0.4, 5.0, np.round(np.exp(rng.normal(0, 3, n)), 2))  # heavy tail, many ties

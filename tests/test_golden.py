@@ -76,7 +76,7 @@ def test_overlapping_windows(spark):
 def test_cutoff_time(spark):
     df = panel(spark, {"s": range(10), "t": range(10)})
     # 20 rows, two per day: position 15 lies on day 7
-    assert splits.cutoff_time(df, 0.75, block_seconds=86400 * 3).first()[0] == START + dt.timedelta(days=7)
+    assert splits.cutoff_time(df, 0.75, width=86400 * 3).first()[0] == START + dt.timedelta(days=7)
 
 
 def test_samples_cover_starts(spark):
