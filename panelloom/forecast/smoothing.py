@@ -33,7 +33,7 @@ def candidates(kinds: Sequence[str] = ("simple",), *, alphas: Sequence[float] =
         ps = phis if trend == "damped" else [1.0 if trend == "holt" else 0.0]
         for a, b, p, g in product(alphas, bs, ps, gammas if season else [0.0]):
             # k counts the smoothing parameters and start values, for information criteria
-            out.append({"kind": kind, "alpha": a, "beta": b, "phi": p, "gamma": g,
+            out.append({"kind": kind, "alpha": a, "beta": b, "phi": p, "gamma": g, "season": bool(season),
                         "k": 2 + 2 * (trend != "simple") + (trend == "damped") + (1 if season else 0)})
     return out
 
@@ -45,7 +45,7 @@ def transition(c: dict, period: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     A[0, 0], A[0, 1], A[1, 1] = 1, c["phi"], c["phi"]
     w[0], w[1] = 1, c["phi"]
     g[0], g[1] = c["alpha"], c["alpha"] * c["beta"]
-    if period:
+    if c["season"]:
         w[2] = 1
         for i in range(period):
             A[2 + i, 2 + (i + 1) % period] = 1
@@ -99,10 +99,10 @@ def _unpack(raw: bytes, m: int, d: int) -> tuple:
     return tuple(out)
 
 
-def initial_state(head: np.ndarray, trend: bool, period: int) -> np.ndarray:
-    """Start of level, trend and seasons from the first two cycles (or first two values)."""
-    x = np.zeros(2 + period)
-    if period and len(head) >= 2 * period:
+def initial_state(head: np.ndarray, c: dict, period: int) -> np.ndarray:
+    """Start of level, trend and seasons from the first two cycles, without season the first two values."""
+    x, trend = np.zeros(2 + period), c["phi"] > 0
+    if c["season"] and len(head) >= 2 * period:
         one, two = head[:period], head[period:2 * period]
         x[0] = one.mean()
         x[1] = (two.mean() - one.mean()) / period if trend else 0.0
@@ -122,7 +122,6 @@ def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[s
     `rows` hold (keys, idx, value) with dense positions from 0.
     """
     systems = [transition(c, period) for c in cands]
-    trends = [c["phi"] > 0 for c in cands]
     m, d = len(cands), 2 + period
     keys = list(keys)
     key_ddl = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
@@ -156,7 +155,7 @@ def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[s
         first = pdf[keys].iloc[0]
         records = []
         for i in range(m):
-            x = initial_state(np.asarray(head), trends[i], period)
+            x = initial_state(np.asarray(head), cands[i], period)
             sse = float(s[i] + q[i] @ x + x @ Q[i] @ x)
             records.append([*first, i, max(sse, 0.0), n, (M[i] @ x + c[i]).tolist()])
         return pd.DataFrame(records, columns=[*keys, "cand", "sse", "n", "state"])

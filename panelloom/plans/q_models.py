@@ -321,10 +321,36 @@ def m7_holt(spark, sf):
     return _out(smoothing.exponential_smoothing(train, horizon=H, kinds=["holt"], alphas=[0.3], betas=[0.1], keys=["series"]))
 
 
-@query("m7_automatic_smoothing")
+KINDS = ["simple", "holt", "damped", "simple+season", "holt+season"]
+CANDIDATES = ", ".join(
+    f"({i}, '{c['kind']}', {c['alpha']}::DOUBLE, {c['beta']}::DOUBLE, {c['phi']}::DOUBLE, {c['gamma']}::DOUBLE, {c['k']}, {7 if '+' in c['kind'] else 1})"
+    for i, c in enumerate(smoothing.candidates(KINDS)))
+
+
+@query("m7_automatic_smoothing", f"""
+WITH RECURSIVE {v.PREP}, tr AS MATERIALIZED (SELECT * FROM prep WHERE is_train),
+cand(id, kind, alpha, beta, phi, gamma, k, per) AS (VALUES {CANDIDATES}),
+head AS (SELECT series, list(y ORDER BY idx) AS h FROM tr WHERE idx < 14 GROUP BY series),
+start AS (SELECT series, cand.*,
+  CASE WHEN per = 7 THEN list_avg(h[1:7]) WHEN phi > 0 THEN 2 * h[1] - h[2] ELSE h[1] END AS l,
+  CASE WHEN phi = 0 THEN 0.0 WHEN per = 7 THEN (list_avg(h[8:14]) - list_avg(h[1:7])) / 7 ELSE h[2] - h[1] END AS b,
+  CASE WHEN per = 7 THEN [x - list_avg(h[1:7]) FOR x IN h[1:7]] ELSE [0.0::DOUBLE] END AS s FROM head CROSS JOIN cand),
+r AS (SELECT series, id, alpha, beta, phi, gamma, -1::BIGINT AS idx, l, b, s, 0.0::DOUBLE AS e FROM start
+  UNION ALL SELECT n.series, id, alpha, beta, phi, gamma, n.idx, l + phi * b + alpha * err, phi * b + alpha * beta * err,
+    s[2:] || [s[1] + gamma * (1 - alpha) * err], err
+  FROM (SELECT r.series, id, alpha, beta, phi, gamma, t.idx, l, b, s, t.y - l - phi * b - s[1] AS err FROM r JOIN tr t ON t.series = r.series AND t.idx = r.idx + 1) n),
+sums AS (SELECT series, id, sum(e * e) AS sse, max(idx) + 1 AS n FROM r GROUP BY ALL),
+ic AS (SELECT series, id, n, kind, alpha, phi, per, n * ln(sse / n) + 2 * k AS criterion FROM sums JOIN cand USING (id)),
+best AS (SELECT * FROM ic QUALIFY row_number() OVER (PARTITION BY series ORDER BY criterion, id) = 1),
+fin AS (SELECT best.*, r.l, r.b, r.s FROM best JOIN r ON r.series = best.series AND r.id = best.id AND r.idx = best.n - 1),
+e AS (SELECT series, max(ts) AS last_ts FROM tr GROUP BY series)
+SELECT series, 0::BIGINT AS window_id, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts,
+  round(l + b * CASE WHEN phi = 1 THEN step WHEN phi = 0 THEN 0 ELSE phi * (1 - phi ** step) / (1 - phi) END + s[(step - 1) % per + 1], 2) AS pred,
+  kind, alpha, round(criterion, 4) AS criterion
+FROM fin JOIN e USING (series) CROSS JOIN range(1, {H + 1}) t(step)""")
 def m7_auto(spark, sf):
     train = prepared(spark, sf).filter("is_train")
-    kinds = ["simple", "holt", "damped", "simple+season"]
+    kinds = KINDS
     return rounded(smoothing.exponential_smoothing(train, horizon=H, kinds=kinds, period=7, keys=KEYS), pred=2, criterion=4)
 
 
@@ -427,9 +453,18 @@ def m12(spark, sf):
     return _out(spectral.fft(prepared(spark, sf).filter("is_train"), horizon=H))
 
 
-@query("m12_fft_with_trend")
+@query("m12_fft_with_trend", f"""
+WITH {v.PREP}, raw AS (SELECT * FROM prep WHERE is_train),
+line AS (SELECT series, regr_slope(y, idx) AS b, regr_intercept(y, idx) AS a FROM raw GROUP BY series),
+tr AS (SELECT raw.series, ts, idx, nt, y - a - b * idx AS y FROM raw JOIN line USING (series)),
+s AS (SELECT series, k, max(nt) AS nt, max(ts) AS last_ts, sum(y * cos(2 * pi() * ((k * idx) % nt) / nt)) AS re, sum(y * sin(2 * pi() * ((k * idx) % nt) / nt)) AS im
+  FROM tr JOIN range(0, 100000) f(k) ON k <= nt // 2 GROUP BY series, k),
+top AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY series ORDER BY sqrt(re * re + im * im) DESC, k) <= 10)
+SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts,
+  round(max(a + b * (nt - 1 + step)) + sum(CASE WHEN k = 0 OR 2 * k = nt THEN 1 ELSE 2 END * (re * cos(2 * pi() * ((k * (nt - 1 + step)) % nt) / nt) + im * sin(2 * pi() * ((k * (nt - 1 + step)) % nt) / nt)) / nt), 2) AS pred
+FROM top JOIN line USING (series) CROSS JOIN range(1, {H + 1}) t(step) GROUP BY series, step, last_ts""")
 def m12_trend(spark, sf):
-    return _out(spectral.fft(prepared(spark, sf).filter("is_train"), horizon=H, trend="poly", degree=2))
+    return _out(spectral.fft(prepared(spark, sf).filter("is_train"), horizon=H, trend="poly", degree=1))
 
 
 @query("m13_trend_seasons_holidays")
@@ -510,12 +545,26 @@ def m19(spark, sf):
     return rounded(registry.search_smoothing(prepared(spark, sf, True), [0.05, 0.1, 0.2, 0.4, 0.8], horizon=H), MAPE=5)
 
 
-@query("m19_m20_m21_trials")
+TRIALS = registry.draw({"theta_": [1.5, 3.0], "alpha": [0.05, 0.5]}, 4)
+
+
+@query("m19_m20_m21_trials", f"""
+WITH RECURSIVE {v.ROLLING}, tr AS MATERIALIZED (SELECT * FROM prep WHERE is_train),
+p(trial, alpha, theta) AS (VALUES {", ".join(f"({i}, {t['alpha']!r}::DOUBLE, {t['theta_']!r}::DOUBLE)" for i, t in enumerate(TRIALS))}),
+r AS (SELECT series, window_id, regr_slope(y, idx) AS b, regr_intercept(y, idx) AS a, max(nt) AS nt FROM tr GROUP BY ALL),
+z AS MATERIALIZED (SELECT trial, series, window_id, idx, alpha, theta * y + (1 - theta) * (a + b * idx) AS z FROM tr JOIN r USING (series, window_id) CROSS JOIN p),
+s AS (SELECT trial, series, window_id, idx, z AS level FROM z WHERE idx = 0
+  UNION ALL SELECT z.trial, z.series, z.window_id, z.idx, alpha * z.z + (1 - alpha) * s.level FROM s
+  JOIN z ON z.trial = s.trial AND z.series = s.series AND z.window_id = s.window_id AND z.idx = s.idx + 1),
+f AS (SELECT trial, series, window_id, arg_max(level, idx) AS level FROM s GROUP BY ALL),
+m AS (SELECT trial, f.series, f.window_id, 100 * avg(abs(x.y - ((1 - 1 / theta) * (a + b * x.idx) + level / theta)) / abs(x.y)) AS mape
+  FROM f JOIN r USING (series, window_id) JOIN p USING (trial) JOIN prep x
+  ON x.series = f.series AND x.window_id = f.window_id AND x.idx >= r.nt AND x.idx < r.nt + {H} GROUP BY ALL),
+l AS (SELECT trial, avg(mape) AS loss FROM m GROUP BY trial)
+SELECT trial, round(loss, 5) AS loss, round(min(loss) OVER (ORDER BY trial), 5) AS best_so_far FROM l""")
 def m21(spark, sf):
-    space = {"theta_": [1.5, 3.0], "alpha": [0.05, 0.5]}
-    trials = registry.draw(space, 4)
-    scored = registry.search(prepared(spark, sf, True), "Theta", trials, horizon=H)
-    return rounded(ranking.trial_history(scored), loss=5, best_so_far=5)
+    scored = registry.search(prepared(spark, sf, True), "Theta", TRIALS, horizon=H)
+    return rounded(ranking.trial_history(scored).drop("params"), loss=5, best_so_far=5)
 
 
 def _learned(estimator_name: str, **params):
