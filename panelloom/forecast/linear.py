@@ -252,11 +252,11 @@ def chunk_linear(train: DataFrame, *, horizon: int, kind: str = "nlinear", input
                 out.append(w[len(t):len(t) + horizon])
             yield pd.Series(out)
 
-    # one row of output_len * (input_len + 1) numbers, whatever the size of the data
-    beta = sums.select(F.lit(1).alias("_one"), pooled("xx", "xy").alias("beta"))
-    ready = tails(train, L, [y], keys).filter(F.size(f"tail_{y}") == L).withColumn("_one", F.lit(1))
-    ready = ready.join(F.broadcast(beta), "_one")
-    return unfold_array(ready.withColumn("path", path("beta", f"tail_{y}")), keys, F.col("path"), freq=freq)
+    # the fitted map: output_len * (input_len + 1) numbers, whatever the size of the data
+    beta = sums.select(pooled("xx", "xy").alias("beta")).first()["beta"]
+    ready = tails(train, L, [y], keys).filter(F.size(f"tail_{y}") == L)
+    fitted = ready.withColumn("path", path(F.array(*map(F.lit, beta)), f"tail_{y}"))
+    return unfold_array(fitted, keys, F.col("path"), freq=freq)
 
 
 def fourier_terms(t: Column, periods: dict[float, int]) -> list[Column]:

@@ -72,10 +72,11 @@ def infer_frequency(df: DataFrame, *, ts: str = "ts") -> DataFrame:
     Steps are differences of consecutive distinct timestamps; distinct times are ordered per
     time block and the first step of a block looks back through the block table.
     """
+    from panelloom.sources.sinks import stage
     from panelloom.operators.blocks import block_seconds, over_halo, rank_in_order
     from panelloom.functions.timeaxis import DAY, HOUR, epoch_seconds, time_block
 
-    distinct = df.select(F.col(ts).alias("t")).distinct()
+    distinct = stage(df.select(F.col(ts).alias("t")).distinct())
     times = distinct.withColumn("_tb", time_block(F.col("t"), block_seconds(distinct, "t")))
     ranked = rank_in_order(times, keys=[], blocks=["_tb"], order=["t"]).withColumn("_one", F.lit(0))
     steps = over_halo(

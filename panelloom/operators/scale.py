@@ -1,5 +1,7 @@
 """Scaling and encoding.
 
+Tables of distinct values are staged: ranking them reads them once per level of blocks.
+
 Scaler parameters are a table with one row per series and window, joined back to the rows.
 """
 
@@ -83,7 +85,7 @@ def log_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def time_ranks(df: DataFrame, col: str, *, width: int | None = None) -> DataFrame:
     """Dense rank 1..n of the distinct timestamps: (col, _rows, _code); `width` as in `blocks.position`."""
-    times = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+    times = stage(df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows")))
     seconds = blocks.block_seconds(times, col) if width is None else F.lit(width)
     cut = times.withColumn("_tb", time_block(F.col(col), seconds))
     ranks = blocks.rank_in_order(cut, keys=[], blocks=["_tb"], order=[col], name="_code")
@@ -106,7 +108,7 @@ def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series",
     first = df.filter(F.col(col).isNotNull()).groupBy(col).agg(
         F.min(F.struct(series, ts)).alias("_at"), F.count(F.lit(1)).alias("_rows")
     )
-    seen = first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t"))
+    seen = stage(first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t")))
     seconds = blocks.block_seconds(seen, "_t", "_s") if width is None else F.lit(width)
     cut = seen.withColumn("_c", coarse(seen, "_s")).withColumn("_tb", time_block(F.col("_t"), seconds))
     codes = blocks.rank_in_order(cut, keys=[], blocks=["_c", "_s", "_tb"], order=["_t", col], name="_code")
@@ -116,7 +118,7 @@ def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series",
 def time_rank(df: DataFrame, col: str, *, name: str | None = None, spread_by: str = "series",
               ranks: DataFrame | None = None) -> DataFrame:
     """Dense rank of the timestamps, taken over the distinct ones only.  Null stays null."""
-    dim = time_ranks(df, col) if ranks is None else ranks
+    dim = stage(time_ranks(df, col)) if ranks is None else ranks
     out = blocks.lookup_weighted(df, dim, col, weight="_rows", spread_by=spread_by)
     return out.withColumn(name or col, F.col("_code")).drop("_code")
 
@@ -124,7 +126,7 @@ def time_rank(df: DataFrame, col: str, *, name: str | None = None, spread_by: st
 def factorize(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"), name: str | None = None,
               codes: DataFrame | None = None) -> DataFrame:
     """F16: 0-based code by first appearance, null is -1."""
-    dim = value_codes(df, col, order=order) if codes is None else codes
+    dim = stage(value_codes(df, col, order=order)) if codes is None else codes
     out = blocks.lookup_weighted(df, dim, col, weight="_rows", spread_by=order[1])
     return out.withColumn(name or col, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code")
 

@@ -25,7 +25,7 @@ def prepared(spark: SparkSession, sf: str, rolling: bool = False) -> DataFrame:
 
 def demand_panel(spark: SparkSession, sf: str) -> DataFrame:
     """Intermittent demand: the daily grid, days without orders are 0."""
-    return registry.prepare(v.orders_grid(spark, sf).withColumn("y", F.coalesce("y", F.lit(0.0))))
+    return sinks.stage(registry.prepare(v.orders_grid(spark, sf).withColumn("y", F.coalesce("y", F.lit(0.0)))))
 
 
 def evaluations(spark: SparkSession, sf: str, names: list[str] = BASIC, rolling: bool = True) -> DataFrame:
@@ -154,7 +154,7 @@ b AS (SELECT 'mean' AS rule, model, avg("SMAPE") AS loss FROM evals GROUP BY mod
 c AS (SELECT 'r2' AS rule, model, "R2" AS loss FROM evals ORDER BY "R2" DESC, model LIMIT 1)
 SELECT rule, model, round(loss, 6) AS loss FROM (FROM a UNION ALL FROM b UNION ALL FROM c)""")
 def o7(spark, sf):
-    ev = evaluations(spark, sf)
+    ev = sinks.stage(evaluations(spark, sf))
     parts = [("row", ranking.best_model(ev, "SMAPE")), ("mean", ranking.best_model(ev, "SMAPE", by="mean")), ("r2", ranking.best_model(ev, "R2"))]
     rows = [df.select(F.lit(name).alias("rule"), "model", "loss") for name, df in parts]
     return rounded(rows[0].unionByName(rows[1]).unionByName(rows[2]), loss=6)
@@ -509,7 +509,7 @@ SELECT series, CAST(step AS INTEGER) AS step, q, round(last + off, 4) AS pred FR
 def m17(spark, sf):
     p = prepared(spark, sf, True)
     aligned = registry.score(p, naive.last_value(p.filter("is_train"), horizon=H, keys=KEYS))
-    errors = aligned.select("series", "step", (F.col("y") - F.col("pred")).alias("err"))
+    errors = sinks.stage(aligned.select("series", "step", (F.col("y") - F.col("pred")).alias("err")))
     point = naive.last_value(v.orders_panel(spark, sf).withColumn("nt", F.col("n")), horizon=H)
     return rounded(registry.quantile_forecast(point, errors, QS).select("series", "step", "q", "pred"), pred=4)
 

@@ -54,7 +54,7 @@ def prediction_rows(forecast: DataFrame, model: str, *, series: str = "series",
     """Forecasts in the stored layout; series_id numbers the series by name from 0."""
     from panelloom.operators.blocks import lookup, rank_in_order
 
-    names = forecast.select(series).distinct().withColumn("_p", F.substring(series, 1, 3))
+    names = stage(forecast.select(series).distinct()).withColumn("_p", F.substring(series, 1, 3))
     ids = rank_in_order(names, keys=[], blocks=["_p"], order=[series], name="series_id").drop("_p")
     return lookup(forecast, ids, [series], spread_by=ts).select(
         F.col(ts).alias("timestamp"), "pred", F.lit(model).alias("model"), "series_id", F.col(series).alias("stock_name")
