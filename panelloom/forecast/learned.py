@@ -19,7 +19,7 @@ SEED = 42
 
 
 def regressor(name: str, **params) -> Estimator:
-    """linear, random_forest or boosted_trees with reference-like defaults, or your own settings."""
+    """linear, random_forest or boosted_trees; `params` override the defaults."""
     if name == "linear":
         return LinearRegression(**{"solver": "normal", **params})
     if name == "random_forest":

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,17 +34,36 @@ def corr_with_target(df: DataFrame, target: str, cols: Sequence[str] | None = No
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A3: all pairs in long form (a, b, r), both orders and the diagonal."""
+    """A3: all pairs in long form (a, b, r), both orders and the diagonal, pairwise complete.
+
+    One pass for the means and one for the moments, however many columns: each task multiplies its
+    batches as matrices and hands on one row per pair.
+    """
     cols = list(cols or numeric_columns(df))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    parts = []
-    for i in range(0, len(pairs), AGG_CHUNK):
-        rs = F.array(*[
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r"))
-            for a, b in pairs[i:i + AGG_CHUNK]
-        ])
-        parts.append(df.agg(rs.alias("rs")).select(F.inline("rs")))
-    upper = reduce(DataFrame.unionByName, parts)
+    means = df.agg(*[F.coalesce(F.avg(F.col(c).cast("double")), F.lit(0.0)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    # moments around the mean do not cancel
+    centred = df.select(*[(F.col(c).cast("double") - F.lit(means[i])).alias(f"c{i}") for i, c in enumerate(cols)])
+    i, j = np.triu_indices(len(cols))
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, len(i)))
+        for pdf in batches:
+            x = pdf.to_numpy(float)
+            known = ~np.isnan(x)
+            x, k = np.where(known, x, 0.0), known.astype(float)
+            xk, x2k = x.T @ k, (x * x).T @ k
+            total += [(k.T @ k)[i, j], xk[i, j], xk[j, i], x2k[i, j], x2k[j, i], (x.T @ x)[i, j]]
+        yield pd.DataFrame(np.vstack([i, j, total]).T, columns=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = centred.mapInPandas(moments, "i double, j double, n double, x double, y double, xx double, yy double, xy double")
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    var = [F.greatest(F.col(c + c) - F.col(c) * F.col(c) / n, F.lit(0.0)) for c in ("x", "y")]
+    # what rounding leaves of the spread of a constant column is not a spread
+    spread = [F.when(v > 1e-12 * F.col(c + c), v) for v, c in zip(var, ("x", "y"))]
+    r = F.try_divide(F.col("xy") - F.col("x") * F.col("y") / n, F.sqrt(spread[0] * spread[1]))
+    names = F.array(*map(F.lit, cols))
+    upper = sums.select(F.get(names, F.col("i").cast("int")).alias("a"), F.get(names, F.col("j").cast("int")).alias("b"), r.alias("r"))
     mirrored = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(
         F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     )

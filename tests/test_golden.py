@@ -100,6 +100,26 @@ def test_corr_is_pairwise_complete(spark):
     assert features.corr_with_target(df, "y").first().r == pytest.approx(1.0)
 
 
+def test_corr_matrix_matches_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame(rng.normal(1e6, 1, (300, 5)), columns=list("abcde"))
+    pdf["b"] = pdf["a"] * 2 + rng.normal(0, 1, 300)
+    pdf["e"] = 7.7
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.2)
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in row] for row in pdf.to_numpy()], "a double, b double, c double, d double, e double")
+    want = pdf.corr()
+    for r in features.corr_matrix(df).collect():
+        if "e" in (r.a, r.b):
+            assert r.r is None
+        else:
+            assert r.r == pytest.approx(want.loc[r.a, r.b], abs=1e-9)
+    target = {r.column: r.r for r in features.corr_with_target(df, "a").collect()}
+    assert target["b"] == pytest.approx(want.loc["a", "b"], abs=1e-6)
+
+
 def test_zscore_of_constant(spark):
     assert values(scale.zscore_all(panel(spark, {"s": [5, 5, 5]}), ["y"])) == [0, 0, 0]
 

@@ -126,3 +126,10 @@ def test_ingest_is_incremental_and_keeps_old_dates(spark, tmp_path):
     land("X", "2.json", days(d2024_01_02="5", d2024_01_03="6", d1999_01_04="1"))
     assert run() == [("X", "1999-01-04", "1"), ("X", "2024-01-02", "5"), ("X", "2024-01-03", "6"), ("Y", "2024-01-02", "7")]
     assert len(run()) == 4
+
+
+def test_staged_tables_lie_in_the_shared_folder(spark):
+    df = panel(spark, {"s": [1, None]}).withColumnRenamed("y", "y (%)")
+    staged = sinks.stage(df)
+    assert sorted(map(tuple, staged.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert spark.conf.get("spark.checkpoint.dir") in staged.inputFiles()[0]
