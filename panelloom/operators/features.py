@@ -70,15 +70,20 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return upper.select(F.explode(mirrored).alias("p"), "r").select("p.a", "p.b", "r")
 
 
+def strength() -> Column:
+    """|r| without the digits that depend on the order of summation, so that equal columns tie."""
+    return F.round(F.abs("r"), 12)
+
+
 def ranked(corrs: DataFrame) -> DataFrame:
     """O1: strongest first, ties by name."""
-    return corrs.orderBy(F.abs("r").desc_nulls_last(), "column")
+    return corrs.orderBy(strength().desc_nulls_last(), "column")
 
 
 def strongest_and_weakest(corrs: DataFrame, k: int = 10) -> DataFrame:
     """O2: the k strongest and the k weakest columns; they overlap when there are fewer than 2k."""
     top = ranked(corrs).limit(k).withColumn("side", F.lit("top"))
-    bottom = corrs.orderBy(F.abs("r").asc_nulls_first(), F.col("column").desc()).limit(k).withColumn("side", F.lit("bottom"))
+    bottom = corrs.orderBy(strength().asc_nulls_first(), F.col("column").desc()).limit(k).withColumn("side", F.lit("bottom"))
     return top.unionByName(bottom)
 
 

@@ -42,18 +42,18 @@ def a4(spark, sf):
 
 
 @query("o1_ranked_by_corr", f"""{CORRS}
-SELECT row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, "column") AS place, "column", round(r, 8) AS r FROM corrs""")
+SELECT row_number() OVER (ORDER BY round(abs(r), 12) DESC NULLS LAST, "column") AS place, "column", round(r, 8) AS r FROM corrs""")
 def o1(spark, sf):
     from pyspark.sql import Window as W
 
     corrs = features.corr_with_target(v.ship_features(spark, sf), TARGET)  # one row per column
-    w = W.orderBy(F.abs("r").desc_nulls_last(), "column")
+    w = W.orderBy(features.strength().desc_nulls_last(), "column")
     return rounded(features.ranked(corrs).select(F.row_number().over(w).alias("place"), "column", "r"), r=8)
 
 
 @query("o2_strongest_and_weakest", f"""{CORRS},
-p AS (SELECT *, row_number() OVER (ORDER BY abs(r) DESC NULLS LAST, "column") AS a,
-  row_number() OVER (ORDER BY abs(r) ASC NULLS FIRST, "column" DESC) AS b FROM corrs)
+p AS (SELECT *, row_number() OVER (ORDER BY round(abs(r), 12) DESC NULLS LAST, "column") AS a,
+  row_number() OVER (ORDER BY round(abs(r), 12) ASC NULLS FIRST, "column" DESC) AS b FROM corrs)
 SELECT "column", round(r, 8) AS r, 'top' AS side FROM p WHERE a <= 10 UNION ALL SELECT "column", round(r, 8), 'bottom' FROM p WHERE b <= 10""")
 def o2(spark, sf):
     return rounded(features.strongest_and_weakest(features.corr_with_target(v.ship_features(spark, sf), TARGET)), r=8)

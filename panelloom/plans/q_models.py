@@ -350,8 +350,7 @@ SELECT series, 0::BIGINT AS window_id, CAST(step AS INTEGER) AS step, last_ts +
 FROM fin JOIN e USING (series) CROSS JOIN range(1, {H + 1}) t(step)""")
 def m7_auto(spark, sf):
     train = prepared(spark, sf).filter("is_train")
-    kinds = KINDS
-    return rounded(smoothing.exponential_smoothing(train, horizon=H, kinds=kinds, period=7, keys=KEYS), pred=2, criterion=4)
+    return rounded(smoothing.exponential_smoothing(train, horizon=H, kinds=KINDS, period=7, keys=KEYS), pred=2, criterion=4)
 
 
 DEMAND = v.GRID + """,
