@@ -8,7 +8,8 @@ with at least `threshold` * lines collisions is verified by its exact inner prod
 `share` of the block is verified, or when the k-th best verified vector is nearer than the width guarantees.
 
 Nearness is the largest inner product: vectors get one more component, sqrt(M^2 - |x|^2) with M the largest
-norm of all, and queries get 0, so that the nearest by distance have the largest inner product.
+norm of all, queries are stretched to the norm M and get 0, so that the nearest by distance have the
+largest inner product.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from panelloom.sources.sinks import stage
 
 BLOCK = 8192
 LINES = 64
-THRESHOLD = 0.7
-SHARE = 0.12
+THRESHOLD = 0.65
+SHARE = 0.15
 GROWTH = 1.2
 
 
@@ -34,7 +35,7 @@ class Windows:
     """Sorted projections of a block."""
 
     def __init__(self, vectors: np.ndarray, largest: float, lines: int, seed: int):
-        self.vectors = vectors
+        self.vectors, self.largest = vectors, largest
         extra = np.sqrt(np.maximum(largest**2 - (vectors**2).sum(axis=1), 0.0))
         self.axes = np.random.default_rng(seed).normal(size=(lines, vectors.shape[1] + 1))
         projected = self.axes[:, :-1] @ vectors.T + self.axes[:, -1:] * extra
@@ -44,10 +45,10 @@ class Windows:
     def near(self, query: np.ndarray, k: int, threshold: float, share: float, growth: float) -> tuple[np.ndarray, np.ndarray]:
         """Verified rows and their exact inner products, k at least where the block has as many."""
         n, lines = len(self.vectors), len(self.axes)
-        if n <= 4 * k:
+        if n <= 16 * k:
             return np.arange(n), self.vectors @ query
-        need, enough = int(np.ceil(threshold * lines)), min(n, max(4 * k, int(share * n)))
-        centre = self.axes[:, :-1] @ query
+        need, enough = int(np.ceil(threshold * lines)), min(n, max(16 * k, int(share * n)))
+        centre = self.axes[:, :-1] @ query * (self.largest / np.linalg.norm(query))
         low = np.array([np.searchsorted(own, c) for own, c in zip(self.sorted, centre)])
         high = low.copy()
         hits, width = np.zeros(n, dtype=np.int16), float(np.median(self.sorted[:, -1] - self.sorted[:, 0])) / 16

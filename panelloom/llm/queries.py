@@ -110,9 +110,9 @@ FROM ruled r LEFT JOIN bad b ON b.a = r.host || regexp_extract(coalesce(r.url, '
 
 EXACT_TOP_K = """
 WITH v AS (
-    SELECT vec_id, row_number() OVER () AS place, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT vec_id, row_number() OVER () AS place, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
     FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
     SELECT q.place, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[]) AS BIGINT) AS score
     FROM v q JOIN v c ON c.place <> q.place WHERE q.vec_id % 100 = 0),
