@@ -27,7 +27,7 @@ from panelloom.sources.sinks import stage
 BLOCK = 8192
 LINES = 64
 THRESHOLD = 0.65
-SHARE = 0.15
+SHARE = 0.2
 GROWTH = 1.2
 
 
