@@ -34,19 +34,19 @@ class Lists:
         n, lists = len(self.vectors), np.flatnonzero(query)
         if n <= max(k, few) or not len(lists):
             return np.arange(n), self.vectors @ query
-        partial, unread = np.zeros(n, dtype=np.int64), np.ones((len(lists), n))
-        worst = np.array([query[d] * self.values[d, 0 if query[d] > 0 else -1] for d in lists], dtype=np.float64)
-        depth, step = 0, max(1, n // 16)
+        weights = query[lists]
+        up = weights > 0  # lists that are read from their largest value down
+        partial, unread = np.zeros(n), np.ones((len(lists), n))
+        worst = weights * np.where(up, self.values[lists, 0], self.values[lists, -1]).astype(np.float64)
+        depth, step = 0, max(1, n // 12)
         while True:
-            new = min(n, depth + step)
-            last = np.empty(len(lists))
-            for i, d in enumerate(lists):
-                w = query[d]
-                part = slice(n - new, n - depth) if w > 0 else slice(depth, new)
-                rows, products = self.order[d, part], w * self.values[d, part]
-                partial[rows] += products
-                unread[i, rows] = 0.0
-                last[i] = products[0 if w > 0 else -1]
+            new, last = min(n, depth + step), np.empty(len(lists))
+            for side, part, edge in ((up, slice(n - new, n - depth), 0), (~up, slice(depth, new), -1)):
+                rows = self.order[lists[side], part]
+                products = weights[side][:, None] * self.values[lists[side], part].astype(np.float64)
+                partial += np.bincount(rows.ravel(), weights=products.ravel(), minlength=n)
+                unread[np.flatnonzero(side)[:, None], rows] = 0.0
+                last[side] = products[:, edge]
             depth = new
             lower = partial + worst @ unread
             least = np.partition(lower, n - k)[n - k]
@@ -137,7 +137,8 @@ def exact_top_k(vectors: DataFrame, *, k: int = 10, every: int = 100, scale: int
     Queries are the rows of `vectors` (vec_id, embedding) whose id is divisible by `every`; candidates are all
     rows but the query's own.  Vectors that are null, hold a null or non-finite component, have no id or
     another length than most take no part.  A repeated row is another row: a candidate, and a query of its own.
-    Other columns are ignored; an empty table gives no rows.  Components must fit in 24 bits after scaling.
+    Other columns are ignored; an empty table gives no rows.  Scores must stay below 2^53, where doubles count
+    exactly.
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
     rows = widest(stage(placed(vectors, valid(), whole)))
