@@ -11,19 +11,21 @@ import re
 from collections.abc import Callable
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-ENTRIES = 700_000  # pieces that a cache holds before it is emptied
+ENTRIES = 1_400_000  # pieces that a cache holds before it is emptied
 LONGEST = 64  # characters of a piece that is worth keeping
 
 
 class Pieces:
     """Encode whole texts as the concatenation of what their pieces give.
 
-    `encode` takes pieces as they stand in a text and gives the bytes for each.  The cache holds pieces
-    that follow a space, without that space; none of them is empty or has white space at an end.
+    `encode` takes any pieces as they stand in a text and gives the bytes for each.  `follow` takes pieces
+    that follow a space, without that space, none empty or with white space at an end, and gives the bytes of
+    space and piece; these are kept in the cache.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], follow: Callable[[list[str]], list[bytes]] | None = None):
         self.encode, self.known = encode, {}
+        self.follow = follow or (lambda pieces: encode([" " + x for x in pieces]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Encoded texts, in order."""
@@ -39,7 +41,7 @@ class Pieces:
             self.known.clear()
             new = {x for tail in tails for x in tail}
         missing = list(new - odd)
-        self.known.update(zip(missing, self.encode([" " + x for x in missing])))
+        self.known.update(zip(missing, self.follow(missing)))
         out = [head + b"".join(map(self.known.__getitem__, tail)) if ok else self._odd(text)
                for text, tail, head, ok in zip(texts, tails, self.encode(heads), plain)]
         for x in missing:

@@ -72,8 +72,10 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int, patienc
     """
     bins = [list(b) for b in bins]
     fill = [sum(sizes[i] for i in b) for b in bins]
-    for giver in sorted((k for k in range(len(bins)) if fill[k] < capacity), key=lambda k: fill[k]):
-        takers = sorted((k for k in range(len(bins)) if k != giver and fill[giver] <= fill[k] < capacity), key=lambda k: fill[k])
+    underfull = [k for k in range(len(bins)) if fill[k] < capacity]
+    for giver in sorted(underfull, key=lambda k: fill[k]):
+        underfull = [k for k in underfull if 0 < fill[k] < capacity]
+        takers = sorted((k for k in underfull if k != giver and fill[giver] <= fill[k]), key=lambda k: fill[k])
         idle = 0
         for k in takers:
             while bins[giver] and fill[k] < capacity and fill[k] >= fill[giver]:
@@ -105,25 +107,23 @@ class Encoder:
         self.lengths = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.lengths[i] = len(token)  # byte-level: a character for each byte
-        self.texts = Pieces(self._encode)
+        self.texts = Pieces(self._encode, self._follow)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _encode(self, pieces: list[str], many: int = 400) -> list[bytes]:
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(ids, dtype="<u4").tobytes() for ids in self._ids(pieces)]
+
+    def _follow(self, pieces: list[str], many: int = 400) -> list[bytes]:
         """Pieces that follow a space are encoded side by side and told apart by the bytes of their tokens."""
-        out: list[bytes] = [b""] * len(pieces)
-        joined = [k for k, p in enumerate(pieces) if p[:1] == " " and p[1:2].strip() and p[-1:].strip()]
-        alone = sorted(set(range(len(pieces))).difference(joined))
-        for k, ids in zip(alone, self._ids([pieces[k] for k in alone])):
-            out[k] = np.array(ids, dtype="<u4").tobytes()
-        groups = [joined[i : i + many] for i in range(0, len(joined), many)]
-        for group, ids in zip(groups, self._ids(["".join(pieces[k] for k in g) for g in groups])):
+        groups = [pieces[i : i + many] for i in range(0, len(pieces), many)]
+        out: list[bytes] = []
+        for group, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
             codes = np.array(ids, dtype="<u4")
-            ends = np.searchsorted(np.cumsum(self.lengths[codes]), np.cumsum([len(pieces[k].encode()) for k in group])) + 1
-            data, at = codes.tobytes(), 0
-            for k, end in zip(group, (ends * 4).tolist()):
-                out[k], at = data[at:end], end
+            ends = np.searchsorted(np.cumsum(self.lengths[codes]), np.cumsum([len(x.encode()) + 1 for x in group])) + 1
+            data, bounds = codes.tobytes(), [0, *(ends * 4).tolist()]
+            out.extend([data[a:b] for a, b in zip(bounds, bounds[1:])])
         return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
