@@ -27,7 +27,7 @@ from panelloom.sources.sinks import stage
 BLOCK = 8192
 LINES = 64
 THRESHOLD = 0.65
-SHARE = 0.2
+SHARE = 0.12
 GROWTH = 1.2
 
 
@@ -39,8 +39,19 @@ class Windows:
         extra = np.sqrt(np.maximum(largest**2 - (vectors**2).sum(axis=1), 0.0))
         self.axes = np.random.default_rng(seed).normal(size=(lines, vectors.shape[1] + 1))
         projected = self.axes[:, :-1] @ vectors.T + self.axes[:, -1:] * extra
-        self.order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
+        self.order = np.argsort(projected, axis=1, kind="stable")
         self.sorted = np.take_along_axis(projected, self.order, axis=1)
+        self.spread = float(np.median(self.sorted[:, -1] - self.sorted[:, 0]))
+        # All arrays as one growing array, each line shifted beyond the one before: one search finds all ends.
+        self.shift = np.arange(lines) * 4 * max(1.0, float(np.abs(projected).max()))
+        self.joined = (self.sorted + self.shift[:, None]).ravel()
+        self.first = np.arange(lines) * len(vectors)
+
+    def _ends(self, values: np.ndarray) -> np.ndarray:
+        """Place of a value in the array of each line."""
+        limit = self.shift[1] / 2 if len(self.shift) > 1 else np.inf
+        n = len(self.vectors)
+        return np.clip(np.searchsorted(self.joined, np.clip(values, -limit, limit) + self.shift) - self.first, 0, n)
 
     def near(self, query: np.ndarray, k: int, threshold: float, share: float, growth: float) -> tuple[np.ndarray, np.ndarray]:
         """Verified rows and their exact inner products, k at least where the block has as many."""
@@ -49,19 +60,18 @@ class Windows:
             return np.arange(n), self.vectors @ query
         need, enough = int(np.ceil(threshold * lines)), min(n, max(16 * k, int(share * n)))
         centre = self.axes[:, :-1] @ query * (self.largest / np.linalg.norm(query))
-        low = np.array([np.searchsorted(own, c) for own, c in zip(self.sorted, centre)])
+        low = self._ends(centre)
         high = low.copy()
-        hits, width = np.zeros(n, dtype=np.int16), float(np.median(self.sorted[:, -1] - self.sorted[:, 0])) / 16
+        hits, width = np.zeros(n, dtype=np.int64), self.spread / 12
         while True:
-            for i, (own, c) in enumerate(zip(self.sorted, centre)):
-                a, b = np.searchsorted(own, (c - width, c + width))
-                a, b = min(a, low[i]), max(b, high[i])
-                hits[self.order[i, a : low[i]]] += 1
-                hits[self.order[i, high[i] : b]] += 1
-                low[i], high[i] = a, b
+            a, b = np.minimum(self._ends(centre - width), low), np.maximum(self._ends(centre + width), high)
+            new = [own[x:y] for own, x, y in zip(self.order, a.tolist(), low.tolist())]
+            new += [own[x:y] for own, x, y in zip(self.order, high.tolist(), b.tolist())]
+            hits += np.bincount(np.concatenate(new), minlength=n)
+            low, high = a, b
             found = np.flatnonzero(hits >= need)
             if len(found) >= enough or (low.max() == 0 and high.min() == n):
-                return found, self.vectors[found] @ query
+                return found, self.vectors.take(found, axis=0) @ query
             width *= growth
 
 

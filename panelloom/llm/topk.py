@@ -116,7 +116,10 @@ def ranked(found: DataFrame, k: int, score: str) -> DataFrame:
 
 def best_of_block(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best, ties to the smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+    if len(scores) <= 2 * k:
+        return np.lexsort((ids, -scores))[:k]
+    able = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    return able[np.lexsort((ids[able], -scores[able]))[:k]]
 
 
 def placed(vectors: DataFrame, keep, value) -> DataFrame:
