@@ -33,7 +33,7 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents with their sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path(PACKING_TOKENIZER), capacity=SEQUENCE, end_id=END_ID)
+    return packing.pack_documents(docs, public_tokenizers.path(PACKING_TOKENIZER), public_tokenizers.PATTERN, capacity=SEQUENCE, end_id=END_ID)
 
 
 STAGES = [("quality", keep_quality), ("language", keep_identified), ("near_duplicates", keep_distinct), ("packing", pack)]

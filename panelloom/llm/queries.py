@@ -23,7 +23,8 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER), capacity=SEQUENCE, end_id=END_ID)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER), public_tokenizers.PATTERN,
+                                  capacity=SEQUENCE, end_id=END_ID)
 
 
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

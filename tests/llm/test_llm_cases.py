@@ -117,17 +117,29 @@ def test_exchange_kinds():
 
 
 def test_encoder(strange_texts):
+    """The encoder by ranks gives the tokenizer's ids, around every kind of character."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         definition = f.read()
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.encode_special_tokens = True
-    want = [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(strange_texts, add_special_tokens=False)]
-    assert packing.Encoder(definition)(strange_texts) == want
+    texts = strange_texts + [f"a{c}b {c} 1{c}{c}2  {c}x !{c}'s{c}" for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000, 7)])]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    own = packing.Encoder(definition, public_tokenizers.PATTERN)
+    assert own.tokenizer is None and own(texts) == want
+
+
+def test_other_tokenizer():
+    """A file of another kind is encoded by the tokenizer itself."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        definition = f.read()
+    own = packing.Encoder(definition, public_tokenizers.PATTERN)
+    ids = Tokenizer.from_str(definition).encode("Two words", add_special_tokens=False).ids
+    assert own.ranks is None and own(["Two words"]) == [np.array(ids, dtype="<u4").tobytes()]
 
 
 def test_packing_cases(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    got = packing.pack_documents(odd(spark), path, capacity=64).collect()
+    got = packing.pack_documents(odd(spark), path, public_tokenizers.PATTERN, capacity=64).collect()
     by_doc = collections.Counter(r.doc_id for r in got)
     assert set(by_doc) == {1, 2, 3, 4, 5, 6, 7, 8, 9, None} and by_doc[7] == 2
     assert [(r.start, r.length) for r in got if r.doc_id == 2] == [(0, 1)]
@@ -135,7 +147,7 @@ def test_packing_cases(spark):
     for r in got:
         fills[r.sequence_id] += r.length
     assert max(fills.values()) <= 64 and len(fills) <= math.ceil(sum(fills.values()) / 64) + 1
-    assert packing.pack_documents(empty(spark), path).count() == 0
+    assert packing.pack_documents(empty(spark), path, public_tokenizers.PATTERN).count() == 0
 
 
 # byte-level BPE
