@@ -124,6 +124,7 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, *, doc_id: str =
                 part = batch.slice(at, step)
                 ids = own.encode([x or "" for x in part.column(1).to_pylist()])
                 yield pa.record_batch([part.column(0), pa.array(ids, pa.binary()), pa.array(map(own.decode, ids), pa.binary())], names=["doc_id", "ids", "decoded"])
+        own.texts.trim()
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import islice
 
 CUT = re.compile(r"(?<=\S) (?=\S)")
-ENTRIES = 1_400_000  # pieces that a cache holds before it is emptied
+ENTRIES = 800_000  # pieces that a cache holds before it is cut back
+KEPT = 250_000  # pieces that are left then: the first that came, so the frequent ones
 LONGEST = 64  # characters of a piece that is worth keeping
 
 
@@ -38,8 +40,8 @@ class Pieces:
         odd = {x for x in new if not x or x[0].isspace() or x[-1].isspace()}
         plain = [not head[-1:].isspace() and (not odd or odd.isdisjoint(tail)) for head, tail in zip(heads, tails)]
         if len(self.known) + len(new) > ENTRIES:
-            self.known.clear()
-            new = {x for tail in tails for x in tail}
+            self.trim()
+            new = {x for tail in tails for x in tail}.difference(self.known)
         missing = list(new - odd)
         self.known.update(zip(missing, self.follow(missing)))
         out = [head + b"".join(map(self.known.__getitem__, tail)) if ok else self._odd(text)
@@ -49,6 +51,11 @@ class Pieces:
                 del self.known[x]
         return out
 
+    def trim(self) -> None:
+        """Cut the cache back; a worker that goes idle holds no more than that."""
+        if len(self.known) > KEPT:
+            self.known = dict(islice(self.known.items(), KEPT))
+
     def _odd(self, text: str) -> bytes:
         """A text with white space beside a space: only its safe places are cut."""
         first, *rest = CUT.split(text)
