@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelloom.llm.common import by_batch, utf8
 from panelloom.sources.sinks import stage
@@ -200,12 +201,25 @@ def score_documents(docs: DataFrame, labels: DataFrame, held_out: Column, **opti
 
 
 def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, **options) -> DataFrame:
-    """Rows of `docs` with a score of at least 0.5; all columns stay."""
-    stats = stage(with_statistics(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id"))
-    model = fit(stats, labels, ~held_out, **options)
+    """Rows of `docs` with a score of at least 0.5; all columns stay.
+
+    Statistics are taken once and written beside the rows, so that no text is shuffled.
+    """
+    columns, extra = docs.columns, "_stats"
+    while extra in columns:
+        extra += "_"
+    schema = T.StructType([*docs.schema.fields, T.StructField(extra, T.ArrayType(T.FloatType()))])
+
+    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = np.array([statistics(t) for t in utf8(batch.column(batch.schema.get_field_index("text")))], dtype=np.float32)
+        stats = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), WIDTH).cast(pa.list_(pa.float32()))
+        return pa.record_batch([*batch.columns, stats], names=[*batch.schema.names, extra])
+
+    both = stage(docs.mapInArrow(by_batch(add), schema))
+    model = fit(both.select("doc_id", F.col(extra).alias("stats")), labels, ~held_out, **options)
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = np.array([statistics(t) for t in utf8(batch.column(batch.schema.get_field_index("text")))], dtype=np.float32).astype(np.float64)
-        return batch.filter(pa.array(model.score(rows) >= 0.5)) if model else batch
+        own = batch.select(columns)
+        return own.filter(pa.array(model.score(_matrix(batch, extra)) >= 0.5)) if model else own
 
-    return docs.mapInArrow(by_batch(keep), docs.schema)
+    return both.mapInArrow(by_batch(keep), docs.schema)

@@ -227,5 +227,9 @@ def one_of_each(docs: DataFrame, text: str = "text", shingle: int = 3, max_bits:
     while place in docs.columns:
         place += "_"
     placed = docs.withColumn(place, F.monotonically_increasing_id())
-    keep = near_duplicates(placed, place, text, shingle, max_bits).where("doc_id = component_id").select(F.col("doc_id").alias(place))
-    return placed.join(stage(keep), place, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    kept = near_duplicates(placed, place, text, shingle, max_bits).where("doc_id = component_id")
+    # A bit for each row: the table that the texts are joined with is small, and where it is not, both sides are shuffled.
+    bits = stage(kept.groupBy(F.shiftright("doc_id", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(doc_id & 63 as int)))").alias("_bits")))
+    at = F.col(place)
+    joined = placed.join(bits, F.shiftright(at, 6) == F.col("_word"))
+    return joined.where(F.getbit("_bits", at.bitwiseAND(63)) == 1).select(*[placed[c] for c in docs.columns])
