@@ -112,7 +112,8 @@ def draw(space: dict, trials: int, seed: int = SEARCH_SEED) -> list[dict]:
     """Parameter sets from a search space.
 
     Bools and strings are choices, integers a range from the first to the last, any float a
-    log-uniform range, a leading None counts as 0, scalars are fixed, other lists are skipped.
+    log-uniform range (a uniform one where it reaches 0, which has no logarithm), a leading None
+    counts as 0, scalars are fixed, other lists are skipped; an empty list is an error.
     """
     rng = random.Random(seed)
     out = []
@@ -122,13 +123,16 @@ def draw(space: dict, trials: int, seed: int = SEARCH_SEED) -> list[dict]:
             if not isinstance(spec, list):
                 params[name] = spec
                 continue
+            if not spec:
+                raise ValueError(f"parameter {name!r} has no values to choose from")
             values = [0 if spec[0] is None else spec[0], *spec[1:]]
             if all(isinstance(v, bool) for v in values) or all(isinstance(v, str) for v in values):
                 params[name] = rng.choice(values)
             elif all(isinstance(v, int) and not isinstance(v, bool) for v in values):
                 params[name] = rng.randint(values[0], values[-1])
             elif any(isinstance(v, float) for v in values):
-                params[name] = math.exp(rng.uniform(math.log(values[0]), math.log(values[-1])))
+                low, high = values[0], values[-1]
+                params[name] = math.exp(rng.uniform(math.log(low), math.log(high))) if low > 0 and high > 0 else rng.uniform(low, high)
         out.append(params)
     return out
 

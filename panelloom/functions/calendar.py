@@ -74,29 +74,29 @@ def infer_frequency(df: DataFrame, *, ts: str = "ts") -> DataFrame:
     """
     from panelloom.sources.sinks import stage
     from panelloom.operators.blocks import block_seconds, over_halo, rank_in_order
-    from panelloom.functions.timeaxis import DAY, HOUR, epoch_seconds, time_block
+    from panelloom.functions.timeaxis import DAY, HOUR, epoch_micros, time_block
 
     distinct = stage(df.select(F.col(ts).alias("t")).distinct())
     times = distinct.withColumn("_tb", time_block(F.col("t"), block_seconds(distinct, "t")))
     ranked = rank_in_order(times, keys=[], blocks=["_tb"], order=["t"]).withColumn("_one", F.lit(0))
     steps = over_halo(
         ranked,
-        {"step": lambda w: epoch_seconds(F.col("t")) - epoch_seconds(F.lag("t").over(w))},
+        {"step": lambda w: epoch_micros(F.col("t")) - epoch_micros(F.lag("t").over(w))},
         before=1, series="_one",
     )
-    weekday, step = F.weekday("t"), F.col("step")
+    weekday, step, second = F.weekday("t"), F.col("step"), 1_000_000
     return steps.agg(
         F.min(step).alias("lo"), F.max(step).alias("hi"),
         F.max(weekday).alias("last_weekday"),
-        F.every((step == DAY) | ((weekday == 0) & (step == 3 * DAY))).alias("weekend_gaps"),
+        F.every((step == DAY * second) | ((weekday == 0) & (step == 3 * DAY * second))).alias("weekend_gaps"),
         F.count(F.lit(1)).alias("n_times"),
     ).select(
         F.when(F.col("n_times") < 3, None)
-        .when((F.col("lo") == DAY) & (F.col("hi") == DAY), "D")
-        .when((F.col("lo") == HOUR) & (F.col("hi") == HOUR), "H")
+        .when((F.col("lo") == DAY * second) & (F.col("hi") == DAY * second), "D")
+        .when((F.col("lo") == HOUR * second) & (F.col("hi") == HOUR * second), "H")
         .when(F.col("weekend_gaps") & (F.col("last_weekday") <= 4), "B")
         .alias("freq"),
-        F.col("n_times"), F.col("lo").alias("min_step"), F.col("hi").alias("max_step"),
+        F.col("n_times"), F.floor(F.col("lo") / second).alias("min_step"), F.floor(F.col("hi") / second).alias("max_step"),
     )
 
 
@@ -147,10 +147,16 @@ def holiday_table(spark: SparkSession, first_year: int, last_year: int) -> DataF
     return days.filter((F.year("ts") <= last_year) & is_us_holiday(F.col("ts")))
 
 
+def holidays_of(df: DataFrame, *, ts: str = "ts") -> DataFrame:
+    """Holidays of all years that `df` touches; two numbers reach the driver."""
+    first, last = df.agg(F.min(F.year(ts)), F.max(F.year(ts))).first()
+    return holiday_table(df.sparkSession, first or 1970, last or 1970)
+
+
 def join_holidays(df: DataFrame, holidays: DataFrame, *, ts: str = "ts") -> DataFrame:
     """Membership of a timestamp in the holiday dimension."""
     dim = holidays.select(F.col("ts").alias(ts), F.lit(1.0).alias("holiday"))
-    return df.join(F.broadcast(dim), ts, "left").fillna(0.0, ["holiday"])
+    return df.join(dim, ts, "left").fillna(0.0, ["holiday"])
 
 
 def encode_times(df: DataFrame, encoders: dict[str, Callable[[Column], Column]], *, ts: str = "ts") -> DataFrame:

@@ -15,6 +15,12 @@ def epoch_seconds(ts: Column) -> Column:
     return days * DAY + F.hour(ts) * HOUR + F.minute(ts) * 60 + F.second(ts)
 
 
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 as a bigint."""
+    fraction = F.pmod(F.date_part(F.lit("SECOND"), ts), F.lit(1).cast("decimal(8,6)"))
+    return epoch_seconds(ts) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
+
+
 def from_epoch(seconds: Column) -> Column:
     days = F.floor(seconds / DAY).cast("int")
     rest = F.pmod(seconds, F.lit(DAY)).cast("int")

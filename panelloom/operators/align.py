@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.functions.timeaxis import DAY, epoch_seconds, floor_to, from_epoch, next_steps
+from panelloom.functions.timeaxis import DAY, epoch_seconds, floor_to, from_epoch, next_steps, plus_seconds, time_block
 from panelloom.operators import blocks
 
 
@@ -61,8 +61,8 @@ def asof_grid(df: DataFrame, cols: Sequence[str], *, series: str = "series", ts:
 
     A value inside a cell counts from the next cell on, a value on the cell start counts at once.
     """
-    late = epoch_seconds(F.col(ts)) % step
-    up = F.when(late > 0, from_epoch(epoch_seconds(F.col(ts)) - late + step)).otherwise(F.col(ts))
+    start = floor_to(F.col(ts), step)  # compared as it is: a fraction of a second is inside the cell, too
+    up = F.when(start < F.col(ts), plus_seconds(start, F.lit(step))).otherwise(start)
     latest = df.groupBy(series, up.alias("_cell")).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in cols]
     ).withColumnRenamed("_cell", ts)
@@ -86,9 +86,12 @@ def combine_complete(panels: dict[str, DataFrame], *, keys: Sequence[str]) -> Da
     return reduce(lambda a, b: a.join(b, list(keys), "full"), named).dropna("any")
 
 
-def outer_join_named(long: DataFrame, names: Sequence[str], *, ts: str = "ts", name: str = "name", value: str = "value") -> DataFrame:
-    """Full outer join of many named series on time, as one grouping instead of a chain of joins."""
-    return long.groupBy(ts).pivot(name, list(names)).agg(F.max(value))
+def outer_join_named(long: DataFrame, names: Sequence[str] | None = None, *, ts: str = "ts", name: str = "name", value: str = "value") -> DataFrame:
+    """Full outer join of many named series on time, as one grouping instead of a chain of joins.
+
+    Every name becomes a column; without `names` they are taken from the data, in order.
+    """
+    return long.groupBy(ts).pivot(name, list(names) if names is not None else None).agg(F.max(value))
 
 
 def merge_first(left: DataFrame, right: DataFrame, *, keys: Sequence[str]) -> DataFrame:
@@ -105,13 +108,14 @@ def merge_first(left: DataFrame, right: DataFrame, *, keys: Sequence[str]) -> Da
 def join_calendar(panel: DataFrame, econ: DataFrame, *, series: str = "series", ts: str = "ts") -> DataFrame:
     """Outer join of every series with data that has no series of its own.
 
-    Each series gets all dates of `econ`.  The dates are generated per series on the daily range
-    of `econ` and kept by an equi-join, so nothing is paired that does not appear in the result.
+    Each series gets all times of `econ`, whatever their step.  A series is unfolded over the days of
+    the range of `econ`, and a day is joined with its times, so that one long calendar is spread over
+    many keys and nothing is paired that does not appear in the result.
     """
-    sec = epoch_seconds(F.col(ts))
-    lo, hi = econ.agg(F.min(sec)).scalar(), econ.agg(F.max(sec)).scalar()
-    days = panel.select(series).distinct().select(series, F.explode(F.sequence(lo, hi, F.lit(DAY).cast("bigint"))).alias("s"))
-    dates = days.select(series, from_epoch(F.col("s")).alias(ts)).join(econ.select(ts), ts, "left_semi")
+    times = econ.select(ts).where(F.col(ts).isNotNull()).distinct().withColumn("_day", time_block(F.col(ts), F.lit(DAY)))
+    lo, hi = times.agg(F.min("_day")).scalar(), times.agg(F.max("_day")).scalar()
+    days = panel.select(series).distinct().select(series, F.explode(F.sequence(lo, hi)).alias("_day"))
+    dates = days.join(times, "_day").select(series, ts)
     every = panel.join(dates, [series, ts], "full")
     return every.join(econ, ts, "left").select(series, ts, *[c for c in panel.columns if c not in (series, ts)],
                                                *[c for c in econ.columns if c != ts])

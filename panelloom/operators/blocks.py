@@ -86,7 +86,11 @@ def position(
     total: str | None = None,
     width: int | None = None,
 ) -> DataFrame:
-    """0-based position of a row in its series; `width` fixes the block length in seconds."""
+    """0-based position of a row in its series; `width` fixes the block length in seconds.
+
+    Rows without a time or a series have no position: they are left out and do not count.
+    """
+    df = df.where(F.col(ts).isNotNull() & F.col(series).isNotNull())
     seconds = block_seconds(df, ts, series) if width is None else F.lit(width)
     cut = df.withColumn("_tb", time_block(F.col(ts), seconds))
     return rank_in_order(cut, keys=[series], blocks=["_tb"], order=[ts], name=name, total=total).drop("_tb")

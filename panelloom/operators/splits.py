@@ -53,7 +53,11 @@ def overlapping_windows(df: DataFrame, size: int, sessions: int = 5, *, split: f
 
     The windows of a row are a range of numbers computed from its position, so no join is needed.
     """
-    step = F.greatest(F.expr(f"({n} - {size}) div {sessions - 1}"), F.lit(1).cast("bigint"))
+    if sessions < 1:
+        raise ValueError("at least one session")
+    # a single session is the window at the start: the step then leads beyond the last start
+    spread = F.expr(f"({n} - {size}) div {sessions - 1}") if sessions > 1 else F.expr(f"{n} - {size} + 1")
+    step = F.greatest(spread, F.lit(1).cast("bigint"))
     fits = df.filter(F.col(n) >= size).withColumn("_step", step)
     last = F.expr(f"({n} - {size}) div _step")
     lo = F.greatest(F.lit(0).cast("bigint"), F.ceil((F.col(idx) - size + 1) / F.col("_step")))

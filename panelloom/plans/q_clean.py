@@ -52,11 +52,11 @@ def p7(spark, sf):
     return clean.column_kinds(v.ship_features(spark, sf))
 
 
-@query("p9_p8_numeric_value_columns", f"WITH {v.SHIP} SELECT qty_sum, qty_avg, n_lines FROM ship")
+@query("p9_p8_numeric_value_columns", f"WITH {v.SHIP} SELECT {', '.join(SHIP_COLS)} FROM ship")
 def p9(spark, sf):
     df = v.ship_features(spark, sf)
     wanted = [c for c in clean.value_columns(df, ["series", "ts"]) if c in clean.numeric_columns(df)]
-    return df.select(*[c for c in wanted if c in ("qty_sum", "qty_avg", "n_lines")])
+    return df.select(*wanted)
 
 
 @query("p10_drop_duplicate_columns", f"WITH {v.SHIP} SELECT * EXCLUDE (qty_copy) FROM ship")
@@ -112,12 +112,16 @@ def a1(spark, sf):
     return v.table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_shipdate", "l_quantity").dropDuplicates()
 
 
+# The numeric columns of the table.
+LINE_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 @query("a5_a6_column_profile", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi, "
     f"count(*) - count({c}) AS n_null, bool_and({c} = round({c})) AS whole FROM lineitem"
-    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]))
+    for c in LINE_COLS))
 def a5(spark, sf):
-    return clean.column_profile(v.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"])
+    return clean.column_profile(v.table(spark, sf, "lineitem"), LINE_COLS)
 
 
 @query("a6_narrow_types", "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS SMALLINT) AS l_quantity, l_discount FROM lineitem")

@@ -25,7 +25,7 @@ def a2(spark, sf):
     return rounded(features.corr_with_target(v.ship_features(spark, sf), TARGET), r=8)
 
 
-MATRIX_COLS = ["price_sum", "qty_sum", "disc_avg", "tax_avg", "n_lines"]
+MATRIX_COLS = [c for c in SHIP_COLS if c != "constant"]  # a constant has no correlation
 
 
 @query("a3_corr_matrix", f"WITH {v.SHIP} " + " UNION ALL ".join(
@@ -307,11 +307,10 @@ def f10(spark, sf):
 
 
 @query("f11_zscore", f"""
-WITH {v.SHIP}, s AS (SELECT avg(qty_sum) AS m, stddev_pop(qty_sum) AS d, avg(tax_avg) AS tm, stddev_pop(tax_avg) AS td FROM ship)
-SELECT series, ts, round((qty_sum - m) / d, 7) AS qty_sum, round((tax_avg - tm) / td, 7) AS tax_avg, 0.0::DOUBLE AS constant FROM ship CROSS JOIN s""")
+WITH {v.SHIP}, s AS (SELECT {", ".join(f"avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_d" for c in MATRIX_COLS)} FROM ship)
+SELECT series, ts, {", ".join(f"round(({c} - {c}_m) / {c}_d, 7) AS {c}" for c in MATRIX_COLS)}, 0.0::DOUBLE AS constant FROM ship CROSS JOIN s""")
 def f11(spark, sf):
-    df = v.ship_features(spark, sf).select("series", "ts", "qty_sum", "tax_avg", "constant")
-    return rounded(scale.zscore_all(df, ["qty_sum", "tax_avg", "constant"]), qty_sum=7, tax_avg=7)
+    return rounded(scale.zscore_all(v.ship_features(spark, sf), [*MATRIX_COLS, "constant"]), **{c: 7 for c in MATRIX_COLS})
 
 
 @query("f12_log_scaling", f"WITH {v.SHIP} SELECT series, ts, round(ln(1 + qty_sum), 8) AS qty_sum, round(ln(1 + price_sum), 8) AS price_sum FROM ship")

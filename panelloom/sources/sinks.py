@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -17,10 +18,13 @@ from panelloom.functions.metrics import better_first
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below the shared folder that the session names in spark.checkpoint.dir.
 
-    Only where none is set, as on a single machine in tests, a temporary folder is used.
+    A session on a single machine may have none; a temporary folder is used there.  On a cluster that
+    would be a folder which the executors do not share, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
         return tempfile.mkdtemp(prefix="panelloom-")
     return f"{base.rstrip('/')}/panelloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 

@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from panelloom.sources.payloads import long_values, parse_payloads
 from panelloom.sources.readers import folder_of
+from panelloom.sources.sinks import read_or_none
+
+
+PARTS = 256  # folders per batch that stored values are spread over
 
 
 def payload_stream(spark: SparkSession, path: str, *, files_per_batch: int = 1000) -> DataFrame:
-    """Parsed rows (file_path, landed, shape, ts, name, value) of files as they land."""
+    """Parsed rows (file_path, landed, shape, ts, name, value) of files as they land.
+
+    A file source ignores files much older than the newest one unless told otherwise; here none is too
+    old, so the source remembers the names of all files that it has read.
+    """
     raw = (
-        spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", files_per_batch).load(path)
+        spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d").load(path)
         .select(F.col("_metadata.file_path"), F.col("_metadata.file_modification_time").alias("landed"),
                 F.col("value").alias("payload"))
     )
@@ -20,23 +29,32 @@ def payload_stream(spark: SparkSession, path: str, *, files_per_batch: int = 100
 
 
 def ingest_once(spark: SparkSession, source: str, target: str, checkpoint: str, *, series: str = "series",
-                keep: str = "30 days", files_per_batch: int = 1000) -> None:
+                files_per_batch: int = 1000) -> None:
     """Append new values of all files landed since the last run, then stop.
 
-    The series is the name of the file's folder.  A response fetched again repeats old dates;
-    repeats within `keep` of landing time are dropped.  The watermark follows the landing time,
-    not the date of a value, so a late file with old dates is never thrown away.  A batch that is
-    replayed after a failure replaces its own folder.
+    The series is the name of the file's folder.  A response fetched again repeats old dates: a value
+    whose (series, ts, name) is stored already is dropped, however long ago that was, and of repeats in
+    one batch the first landed stays.  Nothing depends on file times, so a file that arrives with an old
+    one is read like any other.  Stored values lie in folders by a hash of the series, and only folders
+    that a batch touches are compared with it.  A batch that is replayed after a failure replaces its own
+    folder.  One writer per target.
     """
-    rows = payload_stream(spark, source, files_per_batch=files_per_batch).withColumn(
-        series, folder_of("file_path")
-    )
-    fresh = rows.withWatermark("landed", keep).dropDuplicatesWithinWatermark([series, "ts", "name"])
+    keys = [series, "ts", "name"]
+    rows = payload_stream(spark, source, files_per_batch=files_per_batch).withColumn(series, folder_of("file_path"))
 
     def append(batch: DataFrame, epoch: int) -> None:
-        batch.select(series, "ts", "name", "value").write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
-
-    query = (
-        fresh.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+        own = batch.groupBy(*keys).agg(F.min_by("value", F.struct("landed", "file_path")).alias("value"))
+        own = own.withColumn("part", F.pmod(F.xxhash64(series), F.lit(PARTS)).cast("int")).persist()
+        stored = read_or_none(batch.sparkSession, target)
+        if stored is not None:
+            before = stored.where(F.col("epoch") < epoch)
+            touched = before.join(own.select("part").distinct(), "part", "left_semi").select(*keys)
+            seen = [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in keys]
+            fresh = own.alias("new").join(touched.alias("old"), seen, "left_anti")
+        else:
+            fresh = own
+        fresh.select(*keys, "value", "part").write.mode("overwrite").partitionBy("part").parquet(f"{target}/epoch={epoch}")
+        own.unpersist()
+
+    query = rows.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
