@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from panelloom.forecast.naive import KEYS, ends, unfold_array
 from panelloom.functions.timeaxis import next_steps
-from panelloom.operators import blocks
 
 
 def normal_equations(df: DataFrame, keys: Sequence[str], xs: Sequence[Column], ys: Sequence[Column]) -> DataFrame:
@@ -83,16 +82,10 @@ def lagged(train: DataFrame, cols: Sequence[str], lags: int, keys: Sequence[str]
     return lag_features(train, {c: range(1, lags + 1) for c in cols}, leads=steps, series=list(keys))
 
 
-def differenced(train: DataFrame, col: str, d: int, keys: Sequence[str]) -> DataFrame:
-    """d-th differences, as column `w`; each needs one row back."""
-    out = train.withColumn("w", F.col(col).cast("double"))
-    if d:
-        def diff(w):
-            signed = [(-1) ** i * math.comb(d, i) * (F.lag(col, i).over(w) if i else F.col(col)) for i in range(d + 1)]
-            return sum(signed[1:], signed[0])
-
-        out = blocks.over_halo(train, {"w": diff}, before=d, series=list(keys))
-    return out
+def difference(col: str, d: int, lag: int) -> Column:
+    """The d-th difference of a column, `lag` rows back, from its lags <col>_lag1.. in the same row."""
+    terms = [(-1) ** i * math.comb(d, i) * F.col(f"{col}_lag{lag + i}" if lag + i else col).cast("double") for i in range(d + 1)]
+    return sum(terms[1:], terms[0])
 
 
 def ar_path(tail: np.ndarray, beta: np.ndarray, d: int, horizon: int) -> np.ndarray:
@@ -118,19 +111,21 @@ def arima(train: DataFrame, *, horizon: int, p: int = 12, d: int = 1, orders: Se
     """ARIMA(p, d, 0) per series by conditional least squares; with `orders` the p of least AIC.
 
     All orders come from one set of sums: the equations of a smaller order are a leading part of
-    those of the largest.  Adds the chosen p and d and the AIC.
+    those of the largest.  Adds the chosen p and d and the AIC.  A series too short for the lags has
+    null forecasts.
     """
     orders = [p] if orders is None else list(orders)
     differences = [d] if differences is None else list(differences)
     most, deep = max(orders), max(differences)
     keys = list(keys)
     parts = []
+    # one halo of lags of the values; differences and their lags are arithmetic on it
+    rows = lagged(train, [y], most + deep, keys) if most + deep else train
+    # every order and difference is fitted on the same rows, so that criteria compare
+    rows = rows.filter(F.col("idx") >= most + deep)
     for dd in differences:
-        lags = lagged(differenced(train, y, dd, keys), ["w"], most, keys) if most else differenced(train, y, dd, keys)
-        # every order and difference is fitted on the same rows, so that criteria compare
-        lags = lags.filter(F.col("idx") >= most + deep)
-        xs = [F.col(f"w_lag{i}") for i in range(1, most + 1)] + [F.lit(1.0)]
-        parts.append(normal_equations(lags, keys, xs, [F.col("w")]).withColumn("d", F.lit(dd)))
+        xs = [difference(y, dd, i) for i in range(1, most + 1)] + [F.lit(1.0)]
+        parts.append(normal_equations(rows, keys, xs, [difference(y, dd, 0)]).withColumn("d", F.lit(dd)))
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
@@ -141,6 +136,9 @@ def arima(train: DataFrame, *, horizon: int, p: int = 12, d: int = 1, orders: Se
         for m, xx, xy, yy, dd, tail in batches:
             rows = []
             for mi, u, v, s, di, t in zip(m, xx, xy, yy, dd, tail):
+                if u is None or len(t) <= most + deep:
+                    rows.append((None, None, [None] * horizon))
+                    continue
                 full, rhs = symmetric(u, k), np.asarray(v)
                 choice = None
                 for order in orders:
@@ -153,7 +151,7 @@ def arima(train: DataFrame, *, horizon: int, p: int = 12, d: int = 1, orders: Se
                 rows.append(choice)
             yield pd.DataFrame(rows, columns=["aic", "p", "path"])
 
-    joined = sums.join(tails(train, most + deep + 1, [y], keys), keys)
+    joined = tails(train, most + deep + 1, [y], keys).join(sums, keys, "left")
     fitted = joined.withColumn("b", best("m", "xx", "xy", "yy", "d", f"tail_{y}"))
     chosen = fitted.groupBy(*keys).agg(F.min(F.struct("b.aic", "d", "b.p", "b.path", "last_ts")).alias("c")).select(*keys, "c.*")
     return unfold_array(chosen, keys, F.col("path"), freq=freq).join(chosen.select(*keys, "p", "d", "aic"), keys)
@@ -163,18 +161,19 @@ def varima(train: DataFrame, *, horizon: int, cols: Sequence[str], p: int = 12,
            freq: str = "D") -> DataFrame:
     """VARIMA(p, d, 0): every component on the lags of all; `pred` is the first, `preds` all of them."""
     keys, m = list(keys), len(cols)
-    data = train
-    for c in cols:
-        data = differenced(data, c, d, keys).withColumnRenamed("w", f"w_{c}")
-    data = lagged(data, [f"w_{c}" for c in cols], p, keys)
-    xs = [F.col(f"w_{c}_lag{i}") for i in range(1, p + 1) for c in cols] + [F.lit(1.0)]
-    fitted = coefficients(normal_equations(data, keys, xs, [F.col(f"w_{c}") for c in cols]), len(xs), m)
+    # one halo of lags of all values; differences and their lags are arithmetic on it
+    data = lagged(train, cols, p + d, keys)
+    xs = [difference(c, d, i) for i in range(1, p + 1) for c in cols] + [F.lit(1.0)]
+    fitted = coefficients(normal_equations(data, keys, xs, [difference(c, d, 0) for c in cols]), len(xs), m)
 
     @F.pandas_udf("array<array<double>>")
     def path(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for beta, *tail in batches:
             out = []
             for i, b in enumerate(beta):
+                if b is None or len(tail[0].iloc[i]) < p + d:
+                    out.append([[None] * m] * horizon)
+                    continue
                 B = np.reshape(b, (m, -1))
                 level = np.stack([np.asarray(t.iloc[i]) for t in tail], 1)
                 steps = [level]
@@ -191,7 +190,7 @@ def varima(train: DataFrame, *, horizon: int, cols: Sequence[str], p: int = 12,
                 out.append(res.tolist())
             yield pd.Series(out)
 
-    joined = fitted.join(tails(train, p + d, cols, keys), keys)
+    joined = tails(train, p + d, cols, keys).join(fitted, keys, "left")
     preds = joined.withColumn("path", path("beta", *[f"tail_{c}" for c in cols]))
     rows = unfold_array(preds, keys, F.col("path"), freq=freq).withColumnRenamed("pred", "preds")
     return rows.withColumn("pred", F.col("preds")[0])
@@ -213,7 +212,8 @@ def chunk_linear(train: DataFrame, *, horizon: int, kind: str = "nlinear", input
 
     "linear" maps the values, "nlinear" the values minus the last one, "dlinear" their moving
     average and the remainder by two maps (moving average and remainder are linear in the chunk,
-    so their equations follow from those of the chunk).  Longer horizons continue chunk by chunk.
+    so their equations follow from those of the chunk).  Longer horizons continue chunk by chunk.  A
+    series shorter than `input_len` has null forecasts.
     """
     keys, L, O = list(keys), input_len, output_len
     data = lagged(train, [y], L, keys, leads=O)
@@ -244,6 +244,9 @@ def chunk_linear(train: DataFrame, *, horizon: int, kind: str = "nlinear", input
         for beta, tail in batches:
             out = []
             for b, t in zip(beta, tail):
+                if len(t) < L:
+                    out.append([None] * horizon)
+                    continue
                 B, w = np.reshape(b, (O, L + 1)), list(t)
                 while len(w) < len(t) + horizon:
                     x = np.asarray(w[-L:])
@@ -254,7 +257,7 @@ def chunk_linear(train: DataFrame, *, horizon: int, kind: str = "nlinear", input
 
     # the fitted map: output_len * (input_len + 1) numbers, whatever the size of the data
     beta = sums.select(pooled("xx", "xy").alias("beta")).first()["beta"]
-    ready = tails(train, L, [y], keys).filter(F.size(f"tail_{y}") == L)
+    ready = tails(train, L, [y], keys)
     fitted = ready.withColumn("path", path(F.array(*map(F.lit, beta)), f"tail_{y}"))
     return unfold_array(fitted, keys, F.col("path"), freq=freq)
 

@@ -119,7 +119,7 @@ def theta(train: DataFrame, *, horizon: int, theta_: float = 2.0, alpha: float =
     data, index = train, None
     if season > 1:
         index = seasonal_index(train, season, season_mode, keys=keys, y=y)
-        data = blocks.lookup(train.withColumn("phase", F.col("idx") % season), index, [*keys, "phase"], spread_by="idx")
+        data = blocks.lookup(train.withColumn("phase", F.col("idx") % season), index, [*keys, "phase"])
         data = data.withColumn(y, F.col(y) / F.col("s") if season_mode == "multiplicative" else F.col(y) - F.col("s"))
     w = ses_weight(alpha, F.col("idx"), F.col("nt"))
     fitted = ends(
@@ -132,10 +132,10 @@ def theta(train: DataFrame, *, horizon: int, theta_: float = 2.0, alpha: float =
     if index is None:
         return unfold(fitted, keys, horizon, pred, freq=freq)
     base = unfold(fitted, keys, horizon, pred, freq=freq)
-    phased = blocks.lookup(base, fitted.select(*keys, "nt"), list(keys), spread_by="step").withColumn(
+    phased = blocks.lookup(base, fitted.select(*keys, "nt"), list(keys)).withColumn(
         "phase", (F.col("nt") - 1 + F.col("step")) % season
     )
-    back = blocks.lookup(phased, index, [*keys, "phase"], spread_by="step")
+    back = blocks.lookup(phased, index, [*keys, "phase"])
     value = F.col("pred") * F.col("s") if season_mode == "multiplicative" else F.col("pred") + F.col("s")
     return back.select(*keys, "step", "ts", value.alias("pred"))
 

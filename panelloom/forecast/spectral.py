@@ -52,7 +52,7 @@ def fft(train: DataFrame, *, horizon: int, keep: int = 10, trend: str | None = N
     if trend:
         target = F.log(y) if trend == "exp" else F.col(y)
         fitted = coefficients(normal_equations(train, keys, polynomial_basis(deg), [target]), deg + 1).select(*keys, "beta")
-        data = blocks.lookup(data, fitted, keys, spread_by="idx")
+        data = blocks.lookup(data, fitted, keys)
         base = base.join(fitted, keys)
 
         def level():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.timeaxis import DAY, epoch_seconds, floor_to, from_epoch, next_steps, plus_seconds, time_block
@@ -143,7 +143,7 @@ def extend_with_forecast(panel: DataFrame, forecast: DataFrame, *, target: str =
     `forecast` holds (series, step, pred) on the original scale.
     """
     last = panel.groupBy(series).agg(F.max(ts).alias("_last"))
-    future = blocks.lookup(forecast, last, [series], spread_by="step").select(
+    future = blocks.lookup(forecast, last, [series]).select(
         series, next_steps(F.col("_last"), F.col("step"), freq).alias(ts), F.col("pred").alias(target)
     )
     return union_panels([panel.withColumn("is_forecast", F.lit(False)), future.withColumn("is_forecast", F.lit(True))])

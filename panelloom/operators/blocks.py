@@ -66,6 +66,15 @@ def rank_in_order(
     )
 
 
+def range_blocks(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Number of the range of `order` that a row falls into, cut from samples of the data itself.
+
+    Ranges hold about equally many rows whatever the values look like.  `stage` the result: the cuts are
+    drawn when the plan runs.
+    """
+    return df.repartitionByRange(*order).withColumn(name, F.spark_partition_id())
+
+
 def block_seconds(df: DataFrame, ts: str, series: str | None = None) -> Column:
     """Block length at which the longest series has about `TASK_ROWS` rows per block.
 
@@ -230,23 +239,14 @@ def over_halo(
     return out.filter(F.col("_blk") == F.col("_home")).drop("_blk", "_home")
 
 
-def lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    *,
-    spread_by: str,
-    how: str = "inner",
-    spread: int = 32,
-) -> DataFrame:
-    """Join per-series parameters to rows without sending one hot series to one task.
+def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str], *, how: str = "inner") -> DataFrame:
+    """Join per-series parameters (one row per key) to rows.
 
-    The small side is repeated once per salt, the row side takes its salt from `spread_by`.
-    When the small side turns out tiny, adaptive execution still makes this a broadcast join.
+    Which keys are hot, and whether the small side may be broadcast, is decided by adaptive execution
+    from the sizes that the shuffle has: it splits the rows of a large partition over tasks and copies
+    only the parameters that these need, so a panel of many short series is not copied at all.
     """
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(spread)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    return fact.join(dim, list(on), how)
 
 
 HOT_SHARE = 64

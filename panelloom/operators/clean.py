@@ -177,7 +177,7 @@ def rows_after_last(new: DataFrame, history: DataFrame, *, series: str = "series
 
     last = history.groupBy(series).agg(F.max(ts).alias("_last"))
     late = F.col("_last").isNull() | (F.col(ts) > F.col("_last"))
-    return lookup(new, last, [series], spread_by=ts, how="left").filter(late).drop("_last")
+    return lookup(new, last, [series], how="left").filter(late).drop("_last")
 
 
 def parse_time(df: DataFrame, col: str, *, strict: bool = False) -> DataFrame:

@@ -135,7 +135,7 @@ def from_percent_change(changes: DataFrame, history: DataFrame, cols: Sequence[s
     for c in cols:
         new = blocks.running(new, value=1 + F.col(f"{c} (%)") / 100, name=f"_p_{c}", how="product", series=series)
     last = history.groupBy(series).agg(*[F.max_by(c, ts).alias(f"_l_{c}") for c in cols])
-    levels = blocks.lookup(new, last, [series], spread_by=ts)
+    levels = blocks.lookup(new, last, [series])
     dropped = {*cols, *[f"{c} (%)" for c in cols], *[f"_p_{c}" for c in cols]} | ({"idx"} - set(history.columns))
     out = levels.select(
         *[c for c in new.columns if c not in dropped], *[(F.col(f"_l_{c}") * F.col(f"_p_{c}")).alias(c) for c in cols],

@@ -37,7 +37,7 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
         ) for i, q in enumerate(qs)
     ])
     brackets = F.when(F.col("n") > FEW, table)
-    placed = lookup(rows, sketch.select(*keys, brackets.alias("brackets")), keys, spread_by="v")
+    placed = lookup(rows, sketch.select(*keys, brackets.alias("brackets")), keys)
     small = placed.filter(F.col("brackets").isNull()).groupBy(*keys).agg(
         F.percentile("v", F.array(*[F.lit(float(q)) for q in qs])).alias("p")
     )

@@ -48,19 +48,17 @@ def scaler_rows(params: DataFrame, cols: Sequence[str], *, keys: Sequence[str] =
     return params.select(*keys, F.inline(rows))
 
 
-def apply_scaler(df: DataFrame, params: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = ("series",),
-                 spread_by: str = "ts") -> DataFrame:
+def apply_scaler(df: DataFrame, params: DataFrame, cols: Sequence[str], *, keys: Sequence[str] = ("series",)) -> DataFrame:
     """Scale columns in place."""
-    joined = blocks.lookup(df, params, list(keys), spread_by=spread_by)
+    joined = blocks.lookup(df, params, list(keys))
     return joined.select(*[
         ((F.col(c) - F.col(f"{c}_center")) / F.col(f"{c}_scale")).alias(c) if c in cols else F.col(c) for c in df.columns
     ])
 
 
-def invert_scaler(df: DataFrame, params: DataFrame, col: str, *, target: str, keys: Sequence[str] = ("series",),
-                  spread_by: str = "ts") -> DataFrame:
+def invert_scaler(df: DataFrame, params: DataFrame, col: str, *, target: str, keys: Sequence[str] = ("series",)) -> DataFrame:
     """Bring `col` back to the scale of the column `target` was fitted on."""
-    joined = blocks.lookup(df, params, list(keys), spread_by=spread_by)
+    joined = blocks.lookup(df, params, list(keys))
     back = F.col(col) * F.col(f"{target}_scale") + F.col(f"{target}_center")
     return joined.select(*[back.alias(c) if c == col else F.col(c) for c in df.columns])
 
@@ -92,33 +90,25 @@ def time_ranks(df: DataFrame, col: str, *, width: int | None = None) -> DataFram
     return ranks.select(col, "_rows", (F.col("_code") + 1).alias("_code"))
 
 
-def coarse(df: DataFrame, col: str) -> Column:
-    """Order-preserving grouping of many series into fewer: leading characters, or a number range."""
-    if isinstance(df.schema[col].dataType, T.NumericType):
-        return F.floor(F.col(col) / 10_000)
-    return F.substring(col, 1, 2)
-
-
-def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"), width: int | None = None) -> DataFrame:
+def value_codes(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts")) -> DataFrame:
     """Code 0.. of the distinct values by first appearance in (series, ts) order: (col, _rows, _code).
 
-    Only the distinct values are ordered, cut into blocks by series and time of appearance.
+    Only the distinct values are ordered, cut into ranges of their place of appearance.
     """
     series, ts = order
     first = df.filter(F.col(col).isNotNull()).groupBy(col).agg(
         F.min(F.struct(series, ts)).alias("_at"), F.count(F.lit(1)).alias("_rows")
     )
-    seen = stage(first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t")))
-    seconds = blocks.block_seconds(seen, "_t", "_s") if width is None else F.lit(width)
-    cut = seen.withColumn("_c", coarse(seen, "_s")).withColumn("_tb", time_block(F.col("_t"), seconds))
-    codes = blocks.rank_in_order(cut, keys=[], blocks=["_c", "_s", "_tb"], order=["_t", col], name="_code")
-    return codes.select(col, "_rows", "_code")
+    place = ["_s", "_t", col]
+    seen = first.select(col, "_rows", F.col(f"_at.{series}").alias("_s"), F.col(f"_at.{ts}").alias("_t"))
+    ranges = stage(blocks.range_blocks(seen, place, "_range"))
+    return blocks.rank_in_order(ranges, keys=[], blocks=["_range"], order=place, name="_code").select(col, "_rows", "_code")
 
 
 def time_rank(df: DataFrame, col: str, *, name: str | None = None, spread_by: str = "series",
               ranks: DataFrame | None = None) -> DataFrame:
     """Dense rank of the timestamps, taken over the distinct ones only.  Null stays null."""
-    dim = stage(time_ranks(df, col)) if ranks is None else ranks
+    dim = time_ranks(df, col) if ranks is None else ranks
     out = blocks.lookup_weighted(df, dim, col, weight="_rows", spread_by=spread_by)
     return out.withColumn(name or col, F.col("_code")).drop("_code")
 
@@ -126,7 +116,7 @@ def time_rank(df: DataFrame, col: str, *, name: str | None = None, spread_by: st
 def factorize(df: DataFrame, col: str, *, order: tuple[str, str] = ("series", "ts"), name: str | None = None,
               codes: DataFrame | None = None) -> DataFrame:
     """F16: 0-based code by first appearance, null is -1."""
-    dim = stage(value_codes(df, col, order=order)) if codes is None else codes
+    dim = value_codes(df, col, order=order) if codes is None else codes
     out = blocks.lookup_weighted(df, dim, col, weight="_rows", spread_by=order[1])
     return out.withColumn(name or col, F.coalesce("_code", F.lit(-1)).cast("int")).drop("_code")
 
@@ -158,10 +148,10 @@ def preprocess(df: DataFrame, *, target: str = "y", series: str = "series", ts:
     for c in [*texts, *times]:
         new = done[c] = f"_enc_{c}"
         if c in times:
-            out = time_rank(out, c, name=new, spread_by=series, ranks=stage(time_ranks(base, c)))
+            out = time_rank(out, c, name=new, spread_by=series, ranks=time_ranks(base, c))
         elif f"_time_{c}" in base.columns:
-            out = time_rank(out, f"_time_{c}", name=new, spread_by=ts, ranks=stage(time_ranks(base, f"_time_{c}")))
+            out = time_rank(out, f"_time_{c}", name=new, spread_by=ts, ranks=time_ranks(base, f"_time_{c}"))
         else:
-            out = factorize(out, c, order=(series, ts), name=new, codes=stage(value_codes(base, c, order=(series, ts))))
+            out = factorize(out, c, order=(series, ts), name=new, codes=value_codes(base, c, order=(series, ts)))
     out = out.select(*[F.col(done.get(c, c)).alias(c) for c in df.columns])
     return drop_weak(out, target=target, thresh=corr_thresh, protected=[series, ts, *protected]) if corr_thresh > 0 else out

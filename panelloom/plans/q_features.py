@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import calendar
 from panelloom.functions.options import option_chain
-from panelloom.functions.timeaxis import HOUR
 from panelloom.operators import blocks, features, scale, splits
 from panelloom.plans import views as v
 from panelloom.plans.catalog import query, rounded

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.forecast import learned, linear, naive, registry, smoothing, spectral
 from panelloom.functions import metrics
+from panelloom.functions.timeaxis import next_steps
 from panelloom.operators import ranking
 from panelloom.plans import views as v
 from panelloom.plans.catalog import query, rounded
@@ -70,7 +72,7 @@ def e_naive_drift(spark, sf):
     p = prepared(spark, sf)
     params = scale.fit_scaler(p, ["y"], keys=KEYS, fit_on=F.col("is_train"))
     train = scale.apply_scaler(p.filter("is_train"), params, ["y"], keys=KEYS)
-    pred = scale.invert_scaler(naive.drift(train, horizon=H, keys=KEYS), params, "pred", target="y", keys=KEYS, spread_by="step")
+    pred = scale.invert_scaler(naive.drift(train, horizon=H, keys=KEYS), params, "pred", target="y", keys=KEYS)
     return rounded(metrics.evaluate(registry.score(p, pred), ["series"]), **DIGITS)
 
 
@@ -618,6 +620,22 @@ def _gaussian():
     return GeneralizedLinearRegression(family="gaussian", link="identity")
 
 
+@query("s13_s14_stored_model", _pooled_sql("a + b * last"))
+def s13_s14(spark, sf):
+    """Two versions are fitted, stored and registered; the latest is loaded again and predicts."""
+    p, base = prepared(spark, sf), sinks.scratch_dir(spark)
+    for version, estimator in (("20240102", learned.regressor("boosted_trees", maxIter=1, maxDepth=0)), ("20240301", learned.regressor("linear"))):
+        _, models = learned.direct(p, estimator, lags=1, output_len=1)
+        sinks.save_fitted(models[0], f"{base}/model/{version}")
+        sinks.register_model(spark, f"{base}/registry", "orders", "one_lag", f"{base}/model/{version}", f"{base}/settings", version)
+    entries, keys = spark.read.parquet(f"{base}/registry"), ["dataset", "model"]
+    latest = entries.join(ranking.latest_version(entries, by=keys), [*keys, "version"]).first()
+    table, features = learned.lag_table(p, lags=1)
+    origin = VectorAssembler(inputCols=features, outputCol="features").transform(table.filter(F.col("idx") == F.col("nt") - 1))
+    pred = sinks.load_fitted(spark, latest.model_path).transform(origin)
+    return _out(pred.select("series", F.lit(1).alias("step"), next_steps(F.col("ts"), F.lit(1)).alias("ts"), F.col("prediction").alias("pred")))
+
+
 query("m4_linear_on_one_lag", _pooled_sql("a + b * last"))(_one_lag(lambda: learned.regressor("linear")))
 query("k3_custom_estimator_on_one_lag", _pooled_sql("a + b * last"))(_one_lag(_gaussian))
 query("m6_boosted_trees_without_splits", _pooled_sql("m"))(_one_lag(lambda: learned.regressor("boosted_trees", maxIter=1, maxDepth=0)))

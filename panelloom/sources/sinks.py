@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,11 +57,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def prediction_rows(forecast: DataFrame, model: str, *, series: str = "series", ts: str = "ts") -> DataFrame:
     """Forecasts in the stored layout; series_id numbers the series by name from 0."""
-    from panelloom.operators.blocks import lookup, rank_in_order
+    from panelloom.operators.blocks import lookup, range_blocks, rank_in_order
 
-    names = stage(forecast.select(series).distinct()).withColumn("_p", F.substring(series, 1, 3))
+    names = stage(range_blocks(forecast.select(series).distinct(), [series], "_p"))
     ids = rank_in_order(names, keys=[], blocks=["_p"], order=[series], name="series_id").drop("_p")
-    return lookup(forecast, ids, [series], spread_by=ts).select(
+    return lookup(forecast, ids, [series]).select(
         F.col(ts).alias("timestamp"), "pred", F.lit(model).alias("model"), "series_id", F.col(series).alias("stock_name")
     )
 
@@ -139,6 +140,11 @@ def save_fitted(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def load_fitted(spark: SparkSession, path: str):
+    """The model that `save_fitted` stored, whatever its class."""
+    return DefaultParamsReader.loadParamsInstance(path, spark)
+
+
 def register_model(spark: SparkSession, path: str, dataset: str, model: str, model_path: str, settings_path: str,
                    version: str) -> None:
     """Append a row to the model registry."""

@@ -71,7 +71,7 @@ def test_lookups_keep_every_row(spark):
     df = panel(spark, skewed())
     dim = df.groupBy("series").agg(F.count(F.lit(1)).alias("rows"), F.max("y").alias("top"))
     plain = sorted(map(tuple, df.join(dim.drop("rows"), "series").select("series", "idx", "top").collect()))
-    salted = blocks.lookup(df, dim.drop("rows"), ["series"], spread_by="ts")
+    salted = blocks.lookup(df, dim.drop("rows"), ["series"])
     weighted = blocks.lookup_weighted(df, dim, "series", weight="rows", spread_by="ts")
     assert sorted(map(tuple, salted.select("series", "idx", "top").collect())) == plain
     assert sorted(map(tuple, weighted.select("series", "idx", "top").collect())) == plain
@@ -82,7 +82,7 @@ def test_time_rank_and_factorize(spark, width):
     df = panel(spark, skewed()).withColumn("label", F.when(F.col("y") > 8, F.round("y").cast("string")))
     ranks = {r.ts: r.t for r in scale.time_rank(df, "ts", name="t", ranks=scale.time_ranks(df, "ts", width=width)).collect()}
     assert [ranks[t] for t in sorted(ranks)] == list(range(1, len(ranks) + 1))
-    codes = scale.value_codes(df, "label", width=width)
+    codes = scale.value_codes(df, "label")
     coded = scale.factorize(df, "label", name="code", codes=codes).orderBy("series", "ts").collect()
     seen: dict = {}
     for r in coded:
