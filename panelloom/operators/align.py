@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.functions.timeaxis import DAY, epoch_seconds, floor_to, from_epoch, next_steps, plus_seconds, time_block
+from panelloom.functions.timeaxis import DAY, epoch_seconds, floor_to, from_epoch, next_steps, time_block
 from panelloom.operators import blocks
 
 
@@ -61,8 +61,9 @@ def asof_grid(df: DataFrame, cols: Sequence[str], *, series: str = "series", ts:
 
     A value inside a cell counts from the next cell on, a value on the cell start counts at once.
     """
-    start = floor_to(F.col(ts), step)  # compared as it is: a fraction of a second is inside the cell, too
-    up = F.when(start < F.col(ts), plus_seconds(start, F.lit(step))).otherwise(start)
+    late = epoch_seconds(F.col(ts)) % step
+    inside = (late > 0) | (F.date_part(F.lit("SECOND"), F.col(ts)) % 1 > 0)  # a fraction of a second is inside a cell, too
+    up = F.when(inside, from_epoch(epoch_seconds(F.col(ts)) - late + step)).otherwise(F.col(ts))
     latest = df.groupBy(series, up.alias("_cell")).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in cols]
     ).withColumnRenamed("_cell", ts)
