@@ -5,7 +5,7 @@ projection.  A query opens a window of equal width around its own projection on
 collides on a line where it lies in the window.  The width grows by a factor from round to round (virtual
 rehashing: the arrays stay, only the windows widen), and just the new ends of a window are counted.  A vector
 with at least `threshold` * lines collisions is verified by its exact inner product.  A query is done when
-`share` of the block is verified, or when the k-th best verified vector is nearer than the width guarantees.
+`share` of the block is verified (16 * k rows at least).  Recall is measured, not guaranteed.
 
 Nearness is the largest inner product: vectors get one more component, sqrt(M^2 - |x|^2) with M the largest
 norm of all, queries are stretched to the norm M and get 0, so that the nearest by distance have the
@@ -27,7 +27,7 @@ from panelloom.sources.sinks import stage
 BLOCK = 8192
 LINES = 64
 THRESHOLD = 0.65
-SHARE = 0.12
+SHARE = 0.25
 GROWTH = 1.2
 
 

@@ -272,6 +272,29 @@ def test_neighbours_of_unequal_norms(spark):
     assert len(got) == 150 and hits >= 0.9 * total
 
 
+@pytest.mark.parametrize("source", ["sf0.1", "noise"])
+def test_recall_where_the_share_binds(spark, source):
+    """Blocks in which the share, not the least number of verified rows, ends the search."""
+    if source == "sf0.1":
+        found = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+        every = 20
+    else:
+        every, noise = 82, np.random.default_rng(0).normal(size=(ann.BLOCK, 64))
+        found = spark.createDataFrame([(k, v) for k, v in enumerate(noise.tolist())], "vec_id bigint, embedding array<double>")
+    held = found.collect()
+    block, ids = np.array([r.embedding for r in held]), np.array([r.vec_id for r in held])
+    assert 16 * 21 < ann.SHARE * len(block)
+    got = collections.defaultdict(set)
+    for r in ann.nearest(found, every=every).collect():
+        got[r.query_id].add(r.vec_id)
+    assert sorted(got) == sorted(ids[ids % every == 0].tolist())
+    hits = 0
+    for q, own in got.items():
+        scores = block @ block[ids == q][0]
+        hits += len(own & set([ids[i] for i in np.argsort(-scores) if ids[i] != q][:20]))
+    assert hits >= 0.92 * 20 * len(got)
+
+
 # language ID
 
 def naive_length(trees_of, text, classes):
