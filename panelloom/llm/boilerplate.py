@@ -1,8 +1,9 @@
 """Main text of web pages by site template removal.
 
 A page is read into elements; every block element has a hash of its subtree (tags, attributes, texts).
-Spark counts on how many pages of its host each hash stands.  A subtree that recurs on many pages of the
-host belongs to the site's template and is deleted.  Hosts with few pages give too few counts, so elements
+Spark counts on how many pages of its host each hash stands; pages with the same main text are one page, so
+that copies of an article do not make it a template.  A subtree that recurs on many pages of the host
+belongs to the site's template and is deleted.  Hosts with few pages give too few counts, so elements
 that say by their tag, class, id or role that they are not content go as well; if an article is marked,
 only what is left inside it is the text.
 """
@@ -23,7 +24,7 @@ from panelloom.llm.urls import host_of
 from panelloom.sources.sinks import stage
 
 MIN_PAGES = 5  # a template stands on at least so many pages of its host
-MIN_SHARE = 0.01  # and on this share of them; so a host has at most (blocks of a page) / MIN_SHARE templates
+MIN_SHARE = 0.01  # and on this share of them; so a host has at most (blocks of a page and its copies) / MIN_SHARE templates
 WITHIN_PAGES, WITHIN_SHARE = 20, 0.5  # the same for subtrees inside an article, where copies and quotations recur too
 BODY_PAGES, BODY_SHARE = 10, 0.1  # and for pages without a marked article
 
@@ -199,26 +200,29 @@ def main_text(page: Page, common: set[int], body: set[int], within: set[int]) ->
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, hashes, shares, pages): per host the subtrees that recur, with the share of its pages that have them.
+    """(host, found, pages): per host the subtrees that recur, with the number of its pages that have them.
 
-    Hashes are counted per host and subtree, partial counts first, so that a host of any size is spread over
-    all tasks.  Only subtrees above MIN_SHARE are gathered per host, which bounds their number.
+    Rows whose text is the same before any template is deleted are one page, here and in `pages`.  Hashes are
+    counted per host and subtree, partial counts first, so that a host of any size is spread over all
+    tasks.  Only subtrees above MIN_SHARE are gathered per host, which bounds their number.
     """
 
     def hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, own = [], []
+            hosts, own, contents = [], [], []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = read_page(source or "")
                 found = {page.hashes[k] for k, name in enumerate(page.tags) if name in BLOCKS and name not in ("html", "body", "head")}
+                own.append(None)  # stands for the page itself
                 own.extend(found)
-                hosts.extend([host] * len(found))
-            yield pa.record_batch({"host": pa.array(hosts, pa.string()), "hash": pa.array(own, pa.int64())})
-
-    named = pages.where("host <> ''")
-    counts = named.select("host", "html").mapInArrow(hashes, "host string, hash bigint").groupBy("host", "hash").agg(F.count("*").alias("n"))
-    totals = stage(named.groupBy("host").agg(F.count("*").alias("pages")))
-    recurring = counts.where(F.col("n") >= MIN_PAGES).join(totals, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
+                hosts.extend([host] * (len(found) + 1))
+                contents.extend([xxhash.xxh64_intdigest(main_text(page, set(), set(), set())) >> 1] * (len(found) + 1))
+            yield pa.record_batch({"host": pa.array(hosts, pa.string()), "hash": pa.array(own, pa.int64()), "content": pa.array(contents, pa.int64())})
+
+    rows = pages.where("host <> ''").select("host", "html").mapInArrow(hashes, "host string, hash bigint, content bigint")
+    counts = stage(rows.distinct().groupBy("host", "hash").agg(F.count("*").alias("n")).where((F.col("n") >= MIN_PAGES) | F.col("hash").isNull()))
+    totals = counts.where("hash is null").select("host", F.col("n").alias("pages"))
+    recurring = counts.where("hash is not null").join(totals, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
     entry = F.struct("hash", F.col("n").cast("double").alias("n"))
     return recurring.groupBy("host").agg(F.collect_list(entry).alias("found"), F.max("pages").cast("double").alias("pages"))
 
@@ -228,7 +232,7 @@ def extract(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
 
     Null html counts as empty; a page without any text left has an empty one.  Character references are
     decoded, white space inside a block is one space.  A null url has no host, so no templates.  Repeated
-    rows count as pages of their own and give repeated rows; other columns are ignored; an empty table gives
+    rows and other copies of a text count as one page and give a row each; other columns are ignored; an empty table gives
     no rows.
     """
     kind = pages.schema[page_id].dataType.simpleString()

@@ -208,6 +208,22 @@ def test_template_removal(spark):
     assert boilerplate.extract(spark.createDataFrame([], pages.schema)).count() == 0
 
 
+def test_copies_are_no_template(spark):
+    """A page that is copied keeps its text; frames still go, from copies too."""
+    story, frame = "<h1>Title {0}</h1><p>The story of {0}.</p>", "<div><p>Unmarked frame</p></div>"
+    rows, want = [], []
+    for host, copies, others, ads in (("only.org", 24, 0, False), ("half.org", 25, 25, False), ("most.org", 30, 10, False), ("ads.org", 24, 20, True)):
+        for kind in ("article", "section"):
+            for k in range(copies + others):
+                own = "copies" if k < copies else f"page {k}"
+                ad = f"<div class=ad>Buy {k}</div>" if ads else ""
+                rows.append((len(rows), f"http://{kind}.{host}/{k}", page(f"{frame if others else ''}{ad}<{kind}>{story.format(own)}</{kind}>")))
+                want.append(f"Title {own}\nThe story of {own}.")
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in boilerplate.extract(pages).collect()}
+    assert [got[k] for k in range(len(rows))] == want
+
+
 # top-k and neighbours
 
 def vectors(spark, values):
