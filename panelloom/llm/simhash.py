@@ -221,12 +221,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """`docs` with one row kept of every group, the one read first; all columns stay.
 
-    Rows are told apart by their place in the files, so `docs` must be a table that is read from files.
+    Rows are told apart by their place, which is written with them once: a second scan of `docs` may split
+    the files in another way.
     """
     place = "_place"
     while place in docs.columns:
         place += "_"
-    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    placed = stage(docs.withColumn(place, F.monotonically_increasing_id()))
     kept = near_duplicates(placed, place, text, shingle, max_bits).where("doc_id = component_id")
     # A bit for each row: the table that the texts are joined with is small, and where it is not, both sides are shuffled.
     bits = stage(kept.groupBy(F.shiftright("doc_id", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(doc_id & 63 as int)))").alias("_bits")))

@@ -511,3 +511,23 @@ def test_one_of_each_keeps_one_row(spark, tmp_path):
     left = simhash.one_of_each(docs)
     texts = collections.Counter(" ".join((r.text or "").split()) for r in left.collect())
     assert left.columns == docs.columns and max(texts.values()) == 1 and len(texts) == 7
+
+
+def test_one_of_each_with_another_split(spark, tmp_path, monkeypatch):
+    """The files are split in another way between the first scan of the documents and the last."""
+    texts = [(k, f"document {k % 30} " + " ".join(f"w{(k % 30) * 97 + j}" for j in range(40))) for k in range(60)]
+    documents(spark, texts).repartition(12, "doc_id").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    inner = simhash.near_duplicates
+
+    def then_split(*args, **kwargs):
+        out = inner(*args, **kwargs)
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return out
+
+    monkeypatch.setattr(simhash, "near_duplicates", then_split)
+    try:
+        left = collections.Counter(r.doc_id % 30 for r in simhash.one_of_each(spark.read.parquet(str(tmp_path / "d"))).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert docs.count() == 60 and left == dict.fromkeys(range(30), 1)
