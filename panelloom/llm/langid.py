@@ -22,8 +22,7 @@ from panelloom.llm.common import by_batch, utf8
 
 DEPTH = 3  # longest context in bytes
 MAX_TEXTS = 1500  # texts per language that a tree is counted from, in expectation
-MAX_BYTES = 20_000_000  # no text longer than this is learned from
-PIECE = 1 << 20  # bytes of a text that are scored at once
+PIECE = 1 << 20  # bytes of a text that are counted or scored at once
 SEEN = 3  # a byte that fewer texts hold is outside the alphabet
 
 LETTER = re.compile(r"[^\W\d_]")
@@ -76,19 +75,36 @@ class Trees:
 def counted(texts: DataFrame) -> DataFrame:
     """(lang, gram, n): strings of DEPTH + 1 bytes, and the shorter ones that begin a text, with their counts.
 
-    Counts of a batch are summed before they are shuffled.  A gram is a long: its bytes, below a leading 1.
+    Counts of a batch are summed before they are shuffled, a language as soon as it has more than PIECE grams, so
+    that a text of any length takes bounded memory.  A gram is a long: its bytes, below a leading 1.
     """
 
+    def summed(own: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        grams, place = np.unique(np.concatenate([g for g, _ in own]), return_inverse=True)
+        return grams, np.bincount(place, weights=np.concatenate([n for _, n in own]), minlength=len(grams)).astype(np.int64)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found: dict[str, list[np.ndarray]] = {}
+        found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        waiting: dict[str, int] = {}
+
+        def add(lang: str, grams: np.ndarray) -> None:
+            own = found.setdefault(lang, [])
+            own.append((grams, np.ones(len(grams), dtype=np.int64)))
+            waiting[lang] = waiting.get(lang, 0) + len(grams)
+            if waiting[lang] > PIECE:
+                found[lang], waiting[lang] = [summed(own)], 0
+
         for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            codes = np.frombuffer(text, dtype=np.uint8).astype(np.int64)
-            grams = np.ones(max(0, len(codes) - DEPTH), dtype=np.int64)
-            for k in range(DEPTH + 1):
-                grams = grams << 8 | codes[k : k + len(grams)]
-            starts = [sum(int(x) << 8 * (k - i) for i, x in enumerate(codes[: k + 1])) | 1 << 8 * (k + 1) for k in range(min(DEPTH, len(codes)))]
-            found.setdefault(lang, []).append(np.concatenate([grams, np.array(starts, dtype=np.int64)]))
-        out = [(lang, *np.unique(np.concatenate(own), return_counts=True)) for lang, own in found.items()]
+            whole = np.frombuffer(text, dtype=np.uint8)
+            starts = [sum(int(x) << 8 * (k - i) for i, x in enumerate(whole[: k + 1])) | 1 << 8 * (k + 1) for k in range(min(DEPTH, len(whole)))]
+            add(lang, np.array(starts, dtype=np.int64))
+            for at in range(0, len(whole), PIECE):
+                codes = whole[max(0, at - DEPTH) : at + PIECE].astype(np.int64)
+                grams = np.ones(max(0, len(codes) - DEPTH), dtype=np.int64)
+                for k in range(DEPTH + 1):
+                    grams = grams << 8 | codes[k : k + len(grams)]
+                add(lang, grams)
+        out = [(lang, *summed(own)) for lang, own in found.items()]
         return pa.record_batch({
             "lang": pa.array([lang for lang, grams, _ in out for _ in range(len(grams))], pa.string()),
             "gram": pa.array(np.concatenate([g for _, g, _ in out])), "n": pa.array(np.concatenate([n for _, _, n in out]))})
@@ -169,7 +185,7 @@ def fit(docs: DataFrame, train: Column, *, text: str = "text", lang: str = "lang
     are not drawn together.
     """
     texts = docs.where(train).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    texts = texts.where("lang is not null and text is not null").where(F.length("text") < MAX_BYTES // 4)
+    texts = texts.where("lang is not null and text is not null")
     share = {r.lang: min(1.0, max_texts / r.n) for r in texts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not share:
         return None

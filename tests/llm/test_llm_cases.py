@@ -361,6 +361,17 @@ def test_language_cases(spark):
     assert langid.identified(docs, F.lit(False)).count() == 42
 
 
+def test_long_texts_teach(spark, monkeypatch):
+    """A language of which all texts have 5 million characters and more, and counts that do not depend on pieces."""
+    docs = documents(spark, [(k, "the cat and the dog " * 3) for k in range(5)] + [(9, "le chat et la souris " * 240_000), (10, "la souris et le chat")], ["en"] * 5 + ["fr", None])
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, F.lit(False)).collect()}
+    assert got == {**dict.fromkeys(range(5), "en"), 9: "fr", 10: "fr"}
+    texts = spark.createDataFrame([("en", "the cat ate " * 30), ("fr", "la"), ("fr", ""), ("fr", "le chat")], "lang string, text string")
+    want = sorted(langid.counted(texts).collect())
+    monkeypatch.setattr(langid, "PIECE", 5)
+    assert sorted(langid.counted(texts).collect()) == want
+
+
 # language model
 
 def test_tree():
