@@ -25,6 +25,8 @@ MAX_TEXTS = 1500  # texts per language that a tree is counted from, in expectati
 PIECE = 1 << 20  # bytes of a text that are counted or scored at once
 SEEN = 3  # a byte that fewer texts hold is outside the alphabet
 
+DEVIATIONS = 8.0  # a text that costs so many standard deviations more than texts of its language is in none of them
+
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -65,11 +67,15 @@ class Trees:
 
     def predict(self, text: bytes) -> tuple[str, float]:
         """Language with the shortest code and its posterior probability; ("und", 0) without a letter."""
+        return self.told(text)[:2]
+
+    def told(self, text: bytes) -> tuple[str, float, float]:
+        """As `predict`, and the bits a byte of the shortest code."""
         if not self.languages or not LETTER.search(text.decode("utf-8", "replace")):
-            return "und", 0.0
+            return "und", 0.0, 0.0
         bits = self.code_lengths(text)
         best = int(bits.argmin())
-        return self.languages[best], float(1 / np.exp2(-np.minimum(bits - bits[best], 1000)).sum())
+        return self.languages[best], float(1 / np.exp2(-np.minimum(bits - bits[best], 1000)).sum()), float(bits[best]) / len(text)
 
 
 def counted(texts: DataFrame) -> DataFrame:
@@ -226,12 +232,61 @@ def identify(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text:
     return rows.mapInArrow(by_batch(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def identified(docs: DataFrame, held_out: Column, least: float = 0.5, **options) -> DataFrame:
-    """Rows of `docs` whose language is told with a score of at least `least`; all columns stay."""
-    predict = _predictor(docs, fit(docs, ~held_out, **options))
+def _limits(docs: DataFrame, train: Column, *, text: str = "text", lang: str = "lang", **options) -> dict[str, tuple[float, float, float]]:
+    """Per language: bits a byte of its texts, and their variance per text of a byte and between texts.
+
+    Texts cost less under trees that have learned them.  So trees of one half of the training texts (copies
+    of a text stand in the same half) measure all rows of the other half that they tell right.  Texts vary
+    by chance, which evens out over their bytes, and by kind, which does not.  A language without rows in
+    both halves has no entry.
+    """
+    half = F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(2)) == 0
+    trees = fit(docs, train & half, text=text, lang=lang, **options)
+    rows = docs.where(train & ~half).select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    rows = rows.where("lang is not null and text is not null")
+    if not trees:
+        return {}
+    shared = docs.sparkSession.sparkContext.broadcast(vars(trees))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = Trees(**shared.value)
+        sums: dict[str, np.ndarray] = {}
+        for name, source in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            best, _, rate = own.told(source)
+            if best == name:
+                n = len(source)
+                sums[name] = sums.get(name, 0.0) + np.array([1.0, n, rate * n, rate * rate * n])
+        columns = np.array(list(sums.values())).reshape(-1, 4).T
+        return pa.record_batch([pa.array(list(sums), pa.string()), *map(pa.array, columns)], names=["lang", "texts", "n", "bits", "squares"])
+
+    found = rows.mapInArrow(by_batch(run), "lang string, texts double, n double, bits double, squares double").groupBy("lang").agg(
+        *[F.sum(c).alias(c) for c in ("texts", "n", "bits", "squares")]).collect()
+    limits = {}
+    for r in found:
+        spread = max(0.0, r.squares - r.bits**2 / r.n)
+        limits[r.lang] = r.bits / r.n, spread / r.texts, spread / r.n
+    return limits
+
+
+def identified(docs: DataFrame, held_out: Column, least: float = 0.5, deviations: float = DEVIATIONS, **options) -> DataFrame:
+    """Rows of `docs` whose language is told with a score of at least `least`; all columns stay.
+
+    A text that costs more bits a byte than `deviations` standard deviations above the training texts of the
+    language is in no learned language and goes.
+    """
+    trees, limits = fit(docs, ~held_out, **options), _limits(docs, ~held_out, **options)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(trees) if trees else None)
+
+    def fits(text: bytes, own: Trees | None) -> bool:
+        name, p, rate = own.told(text) if own else ("und", 0.0, 0.0)
+        if name == "und" or p < least:
+            return False
+        mean, chance, kind = limits.get(name, (np.inf, 0.0, 0.0))
+        return rate <= mean + deviations * np.sqrt(chance / len(text) + kind)
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = predict(utf8(batch.column(batch.schema.get_field_index("text"))))
-        return batch.filter(pa.array([name != "und" and p >= least for name, p in found], pa.bool_()))
+        own = Trees(**shared.value) if shared.value else None
+        texts = utf8(batch.column(batch.schema.get_field_index("text")))
+        return batch.filter(pa.array([fits(t, own) for t in texts], pa.bool_()))
 
     return docs.mapInArrow(by_batch(keep), docs.schema)

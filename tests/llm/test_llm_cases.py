@@ -372,6 +372,19 @@ def test_long_texts_teach(spark, monkeypatch):
     assert sorted(langid.counted(texts).collect()) == want
 
 
+def test_no_learned_language(spark):
+    """Texts in none of the learned languages go; unseen texts in one of them stay."""
+    rng = random.Random(6)
+    en, fr = "the cat and dog ate a hat with some milk under this tree".split(), "le chat et la souris mange du pain avec une pomme sous arbre".split()
+    def say(words, n): return " ".join(rng.choice(words) for _ in range(n))
+    texts = [(k, say(en, rng.randint(20, 90))) for k in range(60)] + [(100 + k, say(fr, rng.randint(20, 90))) for k in range(60)]
+    texts += [(200, "".join(rng.choice("qxzjkvwbyg ") for _ in range(400))), (201, say("jeg kjoper noen fisk pa torget hver lordag formiddag".split(), 60)),
+              (202, say(en, 400)), (203, say(fr, 25))]
+    docs = documents(spark, texts, ["en"] * 60 + ["fr"] * 60 + [None] * 4)
+    kept = {r.doc_id for r in langid.identified(docs, F.col("doc_id") >= 200).collect()}
+    assert kept == {*range(60), *range(100, 160), 202, 203}
+
+
 # language model
 
 def test_tree():
