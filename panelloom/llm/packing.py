@@ -182,7 +182,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, pattern: str, *, capacity: i
     stand there; other columns are ignored; an empty table gives no rows.  Sequences are gapless from 0.
     Full pieces have a sequence of their own.  The others are dealt out evenly over groups of about GROUP
     pieces, whatever their ids, so no id or copy makes a group larger, and each group is packed by itself:
-    that costs about one underfull sequence a group.
+    that costs about one underfull sequence a group.  The local search is capped: a giver stops after 24 partners
+    in a row that take nothing, and each bin gives once.
     """
     cuts = stage(pieces(docs, tokenizer, pattern, capacity=capacity, end_id=end_id, doc_id=doc_id, text=text))
     full = cuts.where(F.col("length") == capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
