@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import ann, boilerplate, bpe, langid, packing, quality, simhash, suffixtree, topk, urls
+from panelloom.llm import ann, boilerplate, bpe, langid, packing, periodic, quality, simhash, suffixtree, topk, urls
 from panelloom.llm.common import held_out, table
 
 # The rules, lengths and limits that the queries are asked for.
@@ -60,10 +60,34 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=SHINGLE, max_bits=MAX_BITS)
 
 
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in the documents whose id has a checksum divisible by 10 the words from some place on repeat a stretch."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", (F.floor(h / 10)).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words").cast("bigint")
+    a = F.col("g") % n
+    rows = rows.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, a))
+    rows = rows.withColumn("p", 1 + F.expr("(n - a) div (3 + g % 8)"))
+    cycled = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.expr("words")[(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")]))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(cycled, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_cycles(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("longest.start")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"), F.expr("(1000 * longest.length) div -longest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_url_filters, op2_best_fit_packing, op3_html_extraction, op4_byte_level_bpe, op5_exact_top_k, op6_language_id,
-        op7_lm_scoring, op8_nearest_neighbours, op9_quality_classifier, op10_simhash_near_dedup)}
+        op7_lm_scoring, op8_nearest_neighbours, op9_quality_classifier, op10_simhash_near_dedup, op11_periodic_runs)}
 
 # Links that pages declare are rare, so the recursive part is small; a component is walked from each of its urls.
 URL_FILTERS = r"""
