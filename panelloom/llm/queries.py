@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import ann, boilerplate, bpe, langid, packing, periodic, quality, simhash, suffixtree, topk, urls
+from panelloom.llm import ann, boilerplate, bpe, langid, packing, periodic, quality, ranked, simhash, suffixtree, topk, urls
 from panelloom.llm.common import held_out, table
 
 # The rules, lengths and limits that the queries are asked for.
@@ -84,10 +84,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_url_filters, op2_best_fit_packing, op3_html_extraction, op4_byte_level_bpe, op5_exact_top_k, op6_language_id,
-        op7_lm_scoring, op8_nearest_neighbours, op9_quality_classifier, op10_simhash_near_dedup, op11_periodic_runs)}
+        op7_lm_scoring, op8_nearest_neighbours, op9_quality_classifier, op10_simhash_near_dedup, op11_periodic_runs, op13_ranked_search)}
 
 # Links that pages declare are rare, so the recursive part is small; a component is walked from each of its urls.
 URL_FILTERS = r"""
@@ -145,4 +149,28 @@ r AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_i
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-ORACLES: dict[str, str] = {"op1_url_filters": URL_FILTERS, "op5_exact_top_k": EXACT_TOP_K}
+RANKED_SEARCH = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS place, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+posting AS (SELECT place, term, count(*) AS tf FROM (SELECT place, unnest(terms) AS term FROM doc) GROUP BY place, term),
+total AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc WHERE len(terms) > 0),
+item AS (
+    SELECT place, item_id, term, count(*) AS repeats FROM (
+        SELECT row_number() OVER () AS place, item_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark) GROUP BY place, item_id, term),
+weight AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), total),
+scored AS (
+    SELECT i.place, i.item_id, d.place AS doc_place, d.doc_id,
+           sum(i.repeats * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * (100 - 75 + (75 * len(d.terms) * t.n_docs) // t.n_terms))))::BIGINT AS score
+    FROM item i JOIN weight w USING (term) JOIN posting p USING (term) JOIN doc d ON d.place = p.place, total t
+    GROUP BY i.place, i.item_id, d.place, d.doc_id),
+placed AS (SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_url_filters": URL_FILTERS, "op5_exact_top_k": EXACT_TOP_K, "op13_ranked_search": RANKED_SEARCH}
