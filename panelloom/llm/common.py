@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelloom.sources.sinks import stage
+
 SLICE = 4 << 20  # bytes of text that a worker handles at once
 
 
@@ -46,6 +48,27 @@ def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]
         yield batch.slice(a, b - a)
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """`name` with as many underscores as no name in `taken` has; names differ in more than case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def rows_at(placed: DataFrame, places: DataFrame, place: str = "place") -> DataFrame:
+    """Rows of `placed` whose number `place` is among those in the one column of `places`.
+
+    A bit for each row: the table that the rows are joined with is small, and where it is not, both sides are shuffled.
+    """
+    word, bits = free_name("_word", placed.columns), free_name("_bits", placed.columns)
+    at = F.col(places.columns[0])
+    marks = stage(places.groupBy(F.shiftright(at, 6).alias(word)).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{places.columns[0]}` & 63 as int))")).alias(bits)))
+    at = F.col(place)
+    joined = placed.withColumn(word, F.shiftright(at, 6)).join(marks, word)
+    return joined.where(F.getbit(bits, at.bitwiseAND(63)) == 1).select(*[placed[c] for c in placed.columns])
+
+
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for mapInArrow from one that handles some rows, by parts of bounded bytes."""
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import ann, boilerplate, bpe, langid, packing, periodic, quality, ranked, simhash, suffixtree, topk, urls
+from panelloom.llm import ann, boilerplate, bpe, jaccard, langid, packing, periodic, quality, ranked, simhash, suffixtree, topk, urls
 from panelloom.llm.common import held_out, table
 
 # The rules, lengths and limits that the queries are asked for.
@@ -84,6 +84,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"), shingle=SHINGLE, percent=90)
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
@@ -91,7 +95,7 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn for fn in (
         op1_url_filters, op2_best_fit_packing, op3_html_extraction, op4_byte_level_bpe, op5_exact_top_k, op6_language_id,
-        op7_lm_scoring, op8_nearest_neighbours, op9_quality_classifier, op10_simhash_near_dedup, op11_periodic_runs, op13_ranked_search)}
+        op7_lm_scoring, op8_nearest_neighbours, op9_quality_classifier, op10_simhash_near_dedup, op11_periodic_runs, op12_ngram_jaccard_join, op13_ranked_search)}
 
 # Links that pages declare are rare, so the recursive part is small; a component is walked from each of its urls.
 URL_FILTERS = r"""
