@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from panelloom.sources.sinks import stage
 
-SLICE = 4 << 20  # bytes of text that a worker handles at once
+SLICE = 2 << 20  # bytes of text that a worker handles at once
+ROWS = 1000  # rows that a worker gets at once where they hold texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,19 @@ def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]
         yield batch.slice(a, b - a)
 
 
+def staged_in_python(df: DataFrame, rows: int = ROWS) -> DataFrame:
+    """`stage` for a plan that sends whole texts to Python: at most `rows` of them at once, so that workers hold little."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    if int(before) > 0:
+        rows = min(rows, int(before))
+    conf.set(key, str(rows))
+    try:
+        return stage(df)
+    finally:
+        conf.set(key, before)
+
+
 def free_name(name: str, taken: Iterable[str]) -> str:
     """`name` with as many underscores as no name in `taken` has; names differ in more than case."""
     low = {c.lower() for c in taken}
@@ -56,8 +70,8 @@ def free_name(name: str, taken: Iterable[str]) -> str:
     return name
 
 
-def rows_at(placed: DataFrame, places: DataFrame, place: str = "place") -> DataFrame:
-    """Rows of `placed` whose number `place` is among those in the one column of `places`.
+def rows_at(placed: DataFrame, places: DataFrame, place: str = "place", *, others: bool = False) -> DataFrame:
+    """Rows of `placed` whose number `place` is among those in the one column of `places`; the `others` on request.
 
     A bit for each row: the table that the rows are joined with is small, and where it is not, both sides are shuffled.
     """
@@ -65,8 +79,8 @@ def rows_at(placed: DataFrame, places: DataFrame, place: str = "place") -> DataF
     at = F.col(places.columns[0])
     marks = stage(places.groupBy(F.shiftright(at, 6).alias(word)).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(`{places.columns[0]}` & 63 as int))")).alias(bits)))
     at = F.col(place)
-    joined = placed.withColumn(word, F.shiftright(at, 6)).join(marks, word)
-    return joined.where(F.getbit(bits, at.bitwiseAND(63)) == 1).select(*[placed[c] for c in placed.columns])
+    marked = F.getbit(F.coalesce(F.col(bits), F.lit(0).cast("bigint")), at.bitwiseAND(63)) == F.lit(0 if others else 1)
+    return placed.withColumn(word, F.shiftright(at, 6)).join(marks, word, "left" if others else "inner").where(marked).select(*[f"`{c}`" for c in placed.columns])
 
 
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -6,8 +6,8 @@ stand in the lists of documents per n-gram.  Pairs of groups of a list are filte
 n-gram, and by parity bits of their sets, which bound how much they differ.  What passes is expanded into pairs of
 members, which are verified on their whole sets.
 
-The order is by hash, but n-grams that are in many prefixes, and frequent ones of the documents with such a prefix,
-come last, the most frequent at the end: a passage that many documents share leaves their prefixes.
+The order is by hash, but n-grams found in many prefixes come last, the most frequent at the end: a passage that many
+documents share leaves their prefixes.  The order decides how much work there is, not what is found.
 
 Members of a dense group of near-copies are not verified pair by pair: a first round verifies for every entry of a list
 one earlier entry that passes the filters; the second round leaves out pairs that links of the first connect.
@@ -19,18 +19,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import by_batch, rows_at, utf8
+from panelloom.llm.common import by_batch, rows_at, staged_in_python, utf8
 from panelloom.llm.components import components
 from panelloom.sources.sinks import stage
 
-WORDS = 8  # 64-bit words of parity bits
+WORDS = 4  # 64-bit words of parity bits in a list
 FREQUENT = 64  # prefixes that an n-gram is in before it counts as frequent
-MOST_FREQUENT = 1 << 18  # bound of the frequent n-grams of each of both counts: a larger corpus raises the number above
+MOST_FREQUENT = 1 << 18  # bound of the n-grams that one round finds frequent: a larger corpus raises the number above
+ROUNDS = 2  # of looking for frequent n-grams
 BLOCK = 2048  # groups of one list that are compared in one part; longer lists are cut into pairs of blocks
+PIECE = 1 << 20  # bytes whose hashes are held at once
+
+SPACES = bytes(b in b" \t\n\x0b\x0c\r" for b in range(256))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -40,26 +45,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+NEAR = mixed(mixed(np.arange(1 << 14, dtype=np.uint64) + np.uint64(1)))  # numbers for (place below 64 in a word, byte)
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the ASCII-lower-cased words of all texts, and the number of words before each text and in all.
+
+    A hash is the sum of one number for each byte and its place in the word.
+    """
+    whole = b"\n".join([*texts, b""]).lower()
+    space = np.frombuffer(whole.translate(SPACES), dtype=np.bool_)
+    edges = np.diff(space.astype(np.int8), prepend=1)
+    starts = np.flatnonzero(edges == -1)
+    lengths = np.flatnonzero(edges == 1) - starts
+    codes, hashes = np.frombuffer(whole, dtype=np.uint8), np.empty(len(starts), dtype=np.uint64)
+    part = (np.cumsum(lengths) - lengths) // PIECE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(starts)]
+    for a, b in zip(cuts, cuts[1:]):
+        if a == b:
+            continue
+        size = lengths[a:b]
+        first = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(first, size)
+        key = (place << 8) + codes[place + np.repeat(starts[a:b], size)]
+        value = NEAR[np.minimum(key, len(NEAR) - 1)]
+        far = np.flatnonzero(key >= len(NEAR))
+        value[far] = mixed(mixed(key[far].astype(np.uint64) + np.uint64(1)))
+        hashes[a:b] = np.add.reduceat(value, first)
+    sizes = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return hashes, np.searchsorted(starts, sizes)
+
+
 def hashed_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
-    """For every text the distinct n-grams of its ASCII-lower-cased words as sorted 64-bit hashes.
+    """For every text the distinct n-grams of its words as sorted 64-bit hashes.
 
     Fewer words than an n-gram has are one n-gram; without words the set is empty.
     """
-    lists = [t.lower().split() for t in texts]
-    codes = pa.array([w for words in lists for w in words], pa.binary()).dictionary_encode()
-    word = np.fromiter((xxhash.xxh64_intdigest(w, 11) for w in codes.dictionary.to_pylist()), dtype=np.uint64, count=len(codes.dictionary))
-    words = word[codes.indices.to_numpy()] if len(codes) else np.zeros(0, dtype=np.uint64)
-    odd, grams = np.uint64(0x9E3779B97F4A7C15), words
+    words, at = hashed_words(texts)
+    odd, grams = np.uint64(0x9E3779B97F4A7C15), mixed(words)
+    short = np.diff(at)
+    fewer = {}
     for i in range(1, shingle):
-        grams = mixed(grams[: len(words) - i] * odd + words[i:]) if len(words) > i else np.zeros(0, dtype=np.uint64)
-    out, at = [], 0
-    for own in lists:
-        if len(own) >= shingle:
-            out.append(np.unique(grams[at : at + len(own) - shingle + 1]))
-        else:
-            out.append(np.array([xxhash.xxh64_intdigest(b" ".join(own), 12)] if own else [], dtype=np.uint64))
-        at += len(own)
-    return out
+        for k in np.flatnonzero(short == i):
+            fewer[k] = mixed(grams[at[k] : at[k] + 1] + odd * np.uint64(i))
+        grams = mixed(grams[: max(0, len(words) - i)] * odd + words[i:])
+    return [fewer[k] if k in fewer else np.unique(grams[a : max(a, b - shingle + 1)]) for k, (a, b) in enumerate(zip(at, at[1:]))]
 
 
 def prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -73,12 +103,20 @@ def prefix(tokens: np.ndarray, percent: int, frequent: np.ndarray, counts: np.nd
     return tokens[:many]
 
 
-def parity(tokens: np.ndarray) -> np.ndarray:
-    """Bit b is the parity of the n-grams that fall on it; sets that differ in d n-grams differ in at most d bits."""
-    odd = np.bincount((mixed(tokens) & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1
+def parity(tokens: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """Bit b is the parity of the n-grams that fall on it; sets that differ in d n-grams differ in at most d bits.
+
+    The number of words is a power of two; the two halves of a parity together give that of half as many words.
+    """
+    odd = np.bincount((mixed(tokens) & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
+def wide(n: int) -> int:
+    """Words of parity bits, at least a bit for two n-grams, that tell large sets apart."""
+    return max(WORDS, 1 << max(0, (n - 1) // 128).bit_length())
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -89,19 +127,24 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), _signed(flat))
 
 
-def summaries(placed: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(place, doc_id, n, key, prefix, bits) of every row of `placed` (place, doc_id, text); the order of n-grams is by hash."""
+def summaries(placed: DataFrame, shingle: int, percent: int, late=None) -> DataFrame:
+    """(place, n, key, same, prefix, bits, wide) of every row of `placed` (place, text).
+
+    `key` stands for the set, `same` for the prefix.  The order of n-grams is by hash; those of `late` (a broadcast of
+    sorted hashes and counts) come last.
+    """
     none = np.zeros(0, dtype=np.uint64)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = hashed_sets(utf8(batch.column(2)), shingle)
-        keys = np.array([xxhash.xxh64_intdigest(s.tobytes(), 13) for s in sets], dtype=np.uint64)
-        bits = pa.FixedSizeListArray.from_arrays(_signed(np.concatenate([parity(s) for s in sets])), WORDS).cast(pa.list_(pa.int64()))
-        return pa.record_batch([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), _signed(keys),
-                                _lists([prefix(s, percent, none, none) for s in sets]), bits], names=["place", "doc_id", "n", "key", "prefix", "bits"])
+        sets = hashed_sets(utf8(batch.column(1)), shingle)
+        first = [prefix(s, percent, *(late.value if late else (none, none))) for s in sets]
+        keys, same = (np.array([xxhash.xxh64_intdigest(s.tobytes(), 13) for s in x], dtype=np.uint64) for x in (sets, first))
+        return pa.record_batch([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), _signed(keys), _signed(same), _lists(first),
+                                _lists([parity(s) for s in sets]), _lists([parity(s, wide(len(s))) for s in sets])],
+                               names=["place", "n", "key", "same", "prefix", "bits", "wide"])
 
-    kind = placed.schema["doc_id"].dataType.simpleString()
-    return placed.mapInArrow(by_batch(run), f"place bigint, doc_id {kind}, n bigint, key bigint, prefix array<bigint>, bits array<bigint>")
+    return placed.select("place", "text").mapInArrow(
+        by_batch(run), "place bigint, n bigint, key bigint, same bigint, prefix array<bigint>, bits array<bigint>, wide array<bigint>")
 
 
 def _sets(placed: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
@@ -113,66 +156,89 @@ def _sets(placed: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
     return rows_at(placed, places).select("place", "text").mapInArrow(by_batch(run), "place bigint, tokens array<bigint>")
 
 
-def _collected(counts: DataFrame) -> dict[int, int]:
-    return {r.token: r.c for r in counts.collect()}
-
+CLASS = "place bigint, n bigint, same bigint, prefix array<bigint>, bits array<bigint>"
 
-def _frequent(placed: DataFrame, classes: DataFrame, shingle: int) -> dict[int, int]:
-    """Frequent n-grams with counts: those of many prefixes, and of many documents that have one of these in the prefix."""
-    in_prefix = classes.select("place", F.explode("prefix").alias("token"))
-    total, sizes = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    many = in_prefix.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= max(FREQUENT, -(-total // MOST_FREQUENT)))
-    first = _collected(many)
-    if not first:
-        return {}
-    hit = in_prefix.join(F.broadcast(_table(classes, first)), "token").select("place").distinct()
 
-    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens, c = np.unique(batch.column(1).flatten().to_numpy(), return_counts=True)
-        return pa.record_batch({"token": pa.array(tokens), "c": pa.array(c.astype(np.int64))})
-
-    whole = _sets(placed, hit, shingle).mapInArrow(by_batch(counted), "token bigint, c bigint")
-    return first | _collected(whole.groupBy("token").agg(F.sum("c").alias("c")).where(F.col("c") >= max(FREQUENT, -(-sizes // MOST_FREQUENT))))
+def _holding(classes: DataFrame, late, holds: bool) -> DataFrame:
+    """The classes whose prefix holds an n-gram of `late`, or the others."""
 
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        flat = pc.list_flatten(batch.column(3)).to_numpy().view(np.uint64)
+        own = pc.list_parent_indices(batch.column(3)).to_numpy()
+        has = np.bincount(own[np.isin(flat, late.value[0])], minlength=batch.num_rows) > 0
+        return batch.filter(pa.array(has == holds))
 
-def _table(like: DataFrame, tokens: dict[int, int]) -> DataFrame:
-    return like.sparkSession.createDataFrame([(t,) for t in tokens], "token bigint")
+    return classes.mapInArrow(by_batch(run), CLASS)
 
 
 def ordered_classes(placed: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """`classes` with prefixes by the order that has frequent n-grams last."""
-    late = _frequent(placed, classes, shingle)
-    if not late:
-        return classes
-    hit = classes.select("place", F.explode("prefix").alias("token")).join(F.broadcast(_table(classes, late)), "token").select("place").distinct()
-    tokens = np.array(sorted(late, key=lambda t: t % (1 << 64)), dtype=np.int64)
-    shared = placed.sparkSession.sparkContext.broadcast((tokens.view(np.uint64), np.array([late[t] for t in tokens.tolist()], dtype=np.int64)))
+    """`classes` with prefixes by the order that has frequent n-grams last.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = hashed_sets(utf8(batch.column(1)), shingle)
-        return pa.record_batch([batch.column(0), _lists([prefix(s, percent, *shared.value) for s in sets])], names=["place", "moved"])
+    N-grams that take the place of frequent ones may be frequent too, so there are some rounds; what is left after the last
+    costs work and loses nothing.  A prefix without an n-gram that was found frequent since stays as it is.
+    """
+    late: dict[int, int] = {}
+    for _ in range(ROUNDS):
+        total = classes.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+        least = max(FREQUENT, -(-total // MOST_FREQUENT))
+        many = classes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= least)
+        more = {r.token: r.c for r in many.collect() if r.token not in late}
+        if not more:
+            break
+        late |= more
+        tokens = np.array(list(late), dtype=np.int64).view(np.uint64)
+        by = np.argsort(tokens)
+        shared = placed.sparkSession.sparkContext.broadcast((tokens[by], np.array(list(late.values()), dtype=np.int64)[by]))
+        fresh = placed.sparkSession.sparkContext.broadcast((np.sort(np.array(list(more), dtype=np.int64).view(np.uint64)),))
+        hit = _holding(classes, fresh, True).select("place")
+        moved = staged_in_python(summaries(rows_at(placed, hit), shingle, percent, shared).select("place", "n", "same", "prefix", "bits"))
+        classes = stage(_holding(classes, fresh, False).unionByName(moved))
+    return classes
+
+
+def _entries(classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Lists (token, node, pos, span), facts (node, span, n, bits, radius) and members (node, place).
+
+    A list per n-gram holds groups, by the first place of their members; a list per group of several holds its members.  `radius`
+    is the largest number of bits in which a member differs from the first; `span` is 1 for groups and 0 for members.
+    """
+    narrow = classes.select("place", "n", "same")
+    groups = narrow.groupBy("n", "same").agg(F.min("place").alias("node"), F.count("*").alias("many")).where("many > 1")
+    several = stage(narrow.join(groups, ["n", "same"]).select("place", "node"))
+    inner = stage(rows_at(classes.select("place", "n", "bits"), several.select("place")).join(several, "place"))
+    apart = F.aggregate(F.zip_with("bits", "own", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
+    radius = inner.join(inner.where("place = node").select("node", F.col("bits").alias("own")), "node").groupBy("node").agg(F.max(apart).alias("radius"))
+    heads = rows_at(classes, several.where("place <> node").select("place"), others=True).withColumnRenamed("place", "node")
 
-    moved = rows_at(placed, hit).select("place", "text").mapInArrow(by_batch(run), "place bigint, moved array<bigint>")
-    return stage(classes.join(moved, "place", "left").withColumn("prefix", F.coalesce("moved", "prefix")).drop("moved"))
+    lists = heads.select("node", F.posexplode("prefix").alias("pos", "token")).select("token", "node", "pos")
+    some = _without_singles(lists)
+    within = several.select(F.xxhash64("node").alias("token"), F.col("place").alias("node"), F.lit(0).alias("pos"), F.lit(0).alias("span"))
+    facts = heads.select("node", "n", "bits").join(radius, "node", "left").select(
+        "node", F.lit(1).alias("span"), "n", "bits", F.coalesce("radius", F.lit(0)).cast("int").alias("radius"))
+    facts = facts.unionByName(inner.select(F.col("place").alias("node"), F.lit(0).alias("span"), "n", "bits", F.lit(0).alias("radius")))
+    alone = rows_at(classes.select("place"), several.select("place"), others=True).select(F.col("place").alias("node"), "place")
+    return stage(some.withColumn("span", F.lit(1)).unionByName(within)), facts, alone.unionByName(several.select("node", "place"))
 
 
-def _entries(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lists (token, node, n, pos, bits, radius, span) and members (node, place).
+def _without_singles(lists: DataFrame) -> DataFrame:
+    """Rows (token, node, pos) whose token has another row."""
 
-    A list per n-gram holds groups, by the first place of their members; a list per group holds its members.  `radius` is
-    the largest number of bits in which a member differs from the first; `span` tells a member from a group.
-    """
-    groups = classes.groupBy("n", "prefix").agg(F.min("place").alias("node"), F.count("*").alias("many"), F.min_by("bits", "place").alias("own"))
-    named = classes.join(groups, ["n", "prefix"]).select("place", "n", "prefix", "bits", "node", "many", "own")
-    apart = F.aggregate(F.zip_with("bits", "own", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x)
-    named = stage(named.withColumn("apart", F.when(F.col("many") > 1, apart).otherwise(0)))
-    radius = named.where("many > 1").groupBy("node").agg(F.max("apart").alias("radius"))
-    heads = named.where("place = node").join(radius, "node", "left").withColumn("radius", F.coalesce("radius", F.lit(0)).cast("int"))
-    lists = heads.select("node", "n", "bits", "radius", F.posexplode("prefix").alias("pos", "token"))
-    some = lists.groupBy("token").count().where("count > 1").select("token")
-    within = named.where("many > 1").select(F.xxhash64("node").alias("token"), F.col("place").alias("node"), "n", F.lit(0).alias("pos"), "bits", F.lit(0).alias("radius"), F.lit(0).alias("span"))
-    between = lists.join(some, "token").select("token", "node", "n", "pos", "bits", "radius", F.lit(1).alias("span"))
-    return stage(between.unionByName(within)), named.select("node", "place")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wait, before = None, None  # the last row so far, and the token of the row before it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if wait is None else pa.concat_batches([wait, batch])
+            token = rows.column(0).to_numpy()
+            same = np.concatenate([[token[0] == before if before is not None else False], token[1:] == token[:-1]])
+            keep = same[:-1] | same[1:]
+            yield rows.slice(0, len(token) - 1).filter(pa.array(keep))
+            wait = rows.slice(len(token) - 1)
+            before = token[-2] if len(token) > 1 else before
+        if wait is not None and before is not None and wait.column(0)[0].as_py() == before:
+            yield wait
+
+    return lists.repartition("token").sortWithinPartitions("token").mapInArrow(run, "token bigint, node bigint, pos int")
 
 
 def passing(entries: dict[str, np.ndarray], run_end: np.ndarray, percent: int, first_only: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -205,14 +271,14 @@ def passing(entries: dict[str, np.ndarray], run_end: np.ndarray, percent: int, f
             later = np.setdiff1d(later, b[close], assume_unique=True)
 
 
-def _pairs(lists: DataFrame, percent: int, first_only: bool) -> DataFrame:
-    """(a, b, span): pairs of nodes of any list that pass the filters; `lists` has a label, pairs of the same one are left out."""
+def _pairs(lists: DataFrame, facts: DataFrame, percent: int, first_only: bool) -> DataFrame:
+    """(a, b, span): pairs of nodes of any list that pass the filters; `facts` has a label, pairs of the same one are left out."""
     large = stage(lists.groupBy("token", "span").count().where(F.col("count") > BLOCK)
                   .select("token", "span", F.ceil(F.col("count") / BLOCK).cast("bigint").alias("blocks")))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     both = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda j: F.shiftleft(F.least(own, j), 31) + F.greatest(own, j))
     part = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(both)).alias("part")
-    cut = lists.join(large, ["token", "span"], "left").select("token", "span", part, "n", "node", "pos", "bits", "radius", "label")
+    cut = lists.join(facts, ["node", "span"]).join(large, ["token", "span"], "left").select("token", "span", part, "n", "node", "pos", "bits", "radius", "label")
     runs = cut.repartition("token", "part").sortWithinPartitions("token", "span", "part", "n", "node")
     names = ["token", "span", "part", "n", "node", "pos", "radius", "label"]
 
@@ -243,24 +309,42 @@ def _pairs(lists: DataFrame, percent: int, first_only: bool) -> DataFrame:
     return runs.select(*names, "bits").mapInArrow(run, "a bigint, b bigint, span bigint").distinct()
 
 
-def verified(placed: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of places whose whole sets are similar enough."""
-    pairs = stage(pairs)
-    ends = pairs.select("a").unionAll(pairs.select("b")).distinct()
-    sets = stage(_sets(placed, ends, shingle))
-    joined = pairs.join(sets.select(F.col("place").alias("a"), F.col("tokens").alias("x")), "a")
-    joined = joined.join(sets.select(F.col("place").alias("b"), F.col("tokens").alias("y")), "b")
+def verified(placed: DataFrame, facts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of places whose whole sets are similar enough.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    Sets are compared where the parity bits of `facts` (place, n, wide) allow for so many common n-grams.
+    """
+
+    def both(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+        for end in ("a", "b"):
+            pairs = pairs.join(table.select(F.col("place").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
+        return pairs.select("a", "b", *[f"{c}_{end}" for c in columns for end in ("a", "b")])
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select("a").unionAll(pairs.select("b")).distinct()
+
+    def near(batch: pa.RecordBatch) -> pa.RecordBatch:
+        good = []
+        for n, m, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+            x, y = x.values.to_numpy().view(np.uint64), y.values.to_numpy().view(np.uint64)
+            while len(x) != len(y):
+                x, y = (x[: len(x) // 2] ^ x[len(x) // 2 :], y) if len(x) > len(y) else (x, y[: len(y) // 2] ^ y[len(y) // 2 :])
+            good.append(int(np.bitwise_count(x ^ y).sum(dtype=np.int64)) <= n + m - 2 * -(-percent * (n + m) // (100 + percent)))
+        return batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    def similar(batch: pa.RecordBatch) -> pa.RecordBatch:
         good = []
         for x, y in zip(batch.column(2), batch.column(3)):
             x, y = x.values.to_numpy(), y.values.to_numpy()
-            both = len(x) + len(y)
-            common = both - len(np.unique(np.concatenate([x, y])))
-            good.append((100 + percent) * common >= percent * both)
+            size = len(x) + len(y)
+            common = size - len(np.unique(np.concatenate([x, y])))
+            good.append((100 + percent) * common >= percent * size)
         return batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return stage(joined.select("a", "b", "x", "y").mapInArrow(by_batch(run), "a bigint, b bigint"))
+    pairs = stage(pairs)
+    some = stage(both(pairs, rows_at(facts, ends(pairs)), "n", "wide").mapInArrow(by_batch(near), "a bigint, b bigint"))
+    sets = staged_in_python(_sets(placed, ends(some), shingle))
+    return stage(both(some, sets, "tokens").mapInArrow(by_batch(similar), "a bigint, b bigint"))
 
 
 def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -275,25 +359,29 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     if not 0 < percent <= 100 or shingle < 1:
         raise ValueError("a threshold between 1 and 100 per cent and at least one word are needed")
     placed = stage(docs.select(F.monotonically_increasing_id().alias("place"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")))
-    rows = stage(summaries(placed, shingle, percent))
-    classes = stage(rows.where("n > 0").groupBy("n", "key", "prefix", "bits").agg(F.min("place").alias("place"), F.min("doc_id").alias("first")))
-    lists, members = _entries(ordered_classes(placed, classes, shingle, percent))
+    rows = staged_in_python(summaries(placed, shingle, percent))
+    sets = stage(rows.where("n > 0").groupBy("key", "n").agg(F.min("place").alias("place")))
+    classes = rows_at(rows.select("place", "n", "same", "prefix", "bits"), sets.select("place"))
+    lists, facts, members = _entries(ordered_classes(placed, classes, shingle, percent))
+    whole = rows.select("place", "n", "wide")
 
     # Nodes of a pair of groups are places of their first members, so they can be verified as they are.
-    links = verified(placed, _pairs(lists.withColumn("label", F.lit(-1).cast("bigint")), percent, True).select("a", "b").distinct(), shingle, percent)
+    first = _pairs(lists, facts.withColumn("label", F.lit(-1).cast("bigint")), percent, True)
+    links = verified(placed, whole, first.select("a", "b").distinct(), shingle, percent)
     known = components(links)
-    labelled = stage(members.join(known, members.place == known.node, "left").select(members.node, "place", F.coalesce("component", "place").alias("label")))
+    labelled = stage(members.join(known.withColumnRenamed("node", "place"), "place", "left").select("node", "place", F.coalesce("component", "place").alias("label")))
     pure = labelled.groupBy("node").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(-1).alias("label")).withColumn("span", F.lit(1))
     each = labelled.select(F.col("place").alias("node"), "label").withColumn("span", F.lit(0))
-    rest = stage(_pairs(lists.join(pure.unionByName(each), ["node", "span"]), percent, False))
+    rest = stage(_pairs(lists, facts.join(pure.unionByName(each), ["node", "span"]), percent, False))
 
     expanded = (rest.where("span = 1").join(labelled.select(F.col("node").alias("a"), F.col("place").alias("p"), F.col("label").alias("of_p")), "a")
                 .join(labelled.select(F.col("node").alias("b"), F.col("place").alias("q"), F.col("label").alias("of_q")), "b").where("of_p <> of_q"))
     more = expanded.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).unionByName(rest.where("span = 0").select("a", "b")).distinct()
-    groups = components(links.unionByName(verified(placed, more, shingle, percent)))
+    groups = components(links.unionByName(verified(placed, whole, more, shingle, percent)))
 
-    named = stage(classes.join(groups, classes.place == groups.node, "left").select("key", "n", "first", F.coalesce("component", "place").alias("component")))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = named.join(least, "component").select("key", "n", "component_id")
-    out = rows.select("doc_id", "n", "key").join(ids, ["key", "n"], "left")
+    named = sets.join(groups.withColumnRenamed("node", "place"), "place", "left").select("key", "n", F.coalesce("component", "place").alias("component"))
+    ids = placed.select("place", "doc_id").join(rows.select("place", "n", "key"), "place").join(named, ["key", "n"], "left").select("doc_id", "n", "component")
+    ids = stage(ids)
+    least = ids.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    out = ids.join(least, "component", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

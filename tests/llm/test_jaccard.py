@@ -65,6 +65,20 @@ def test_parts():
         assert np.bitwise_count(jaccard.parity(a) ^ jaccard.parity(b)).sum() <= len(a) + len(b) - 2 * common
 
 
+def test_hashes_of_words(monkeypatch):
+    monkeypatch.setattr(jaccard, "PIECE", 50)
+    rng = random.Random(6)
+    words = ["a", "b", "ab", "ba", "É", "é", "\x1c", "x" * 63, "x" * 64, "x" * 65, "x" * 300, "x" * 299 + "y"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "\n ", "\t", "\x0b\x0c\r"]) for _ in range(rng.randint(0, 9))).strip(rng.choice([" ", "\x00"])).encode() for _ in range(300)]
+    hashes, at = jaccard.hashed_words([*texts, b"", b"A  B"])
+    lists = [t.split() for t in texts] + [[], [b"a", b"b"]]
+    assert at.tolist() == np.cumsum([0, *map(len, lists)]).tolist()
+    known = {}
+    for word, h in zip([w for words in lists for w in words], hashes.tolist()):
+        assert known.setdefault(word, h) == h
+    assert len(set(known.values())) == len(known)
+
+
 @pytest.mark.parametrize("frequent,block", [(64, 2048), (3, 2048), (3, 4), (10**6, 4)])
 def test_components(spark, monkeypatch, frequent, block):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
