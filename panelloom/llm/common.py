@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -49,17 +50,28 @@ def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]
         yield batch.slice(a, b - a)
 
 
-def staged_in_python(df: DataFrame, rows: int = ROWS) -> DataFrame:
-    """`stage` for a plan that sends whole texts to Python: at most `rows` of them at once, so that workers hold little."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = conf.get(key)
-    if int(before) > 0:
-        rows = min(rows, int(before))
-    conf.set(key, str(rows))
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = ROWS) -> Iterator[None]:
+    """Plans that are run inside send at most `rows` rows to Python at once, so that workers on whole texts hold little."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
     try:
-        return stage(df)
+        yield
     finally:
-        conf.set(key, before)
+        spark.conf.set(key, before)
+
+
+def staged_in_python(df: DataFrame) -> DataFrame:
+    """`stage` for a plan that sends whole texts to Python."""
+    with short_batches(df.sparkSession):
+        return stage(df)
+
+
+def with_place(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` written once with a column that numbers the rows, and its name; a later scan may split files in another way."""
+    place = free_name("_place", docs.columns)
+    return stage(docs.withColumn(place, F.monotonically_increasing_id())), place
 
 
 def free_name(name: str, taken: Iterable[str]) -> str:
@@ -84,13 +96,23 @@ def rows_at(placed: DataFrame, places: DataFrame, place: str = "place", *, other
 
 
 def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for mapInArrow from one that handles some rows, by parts of bounded bytes."""
+    """A function for mapInArrow from one that handles a single batch."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows and (out := fn(batch)) is not None:
+                yield out
+
+    return run
+
+
+def by_slice(fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """As `by_batch`, by parts of bounded bytes, for functions that hold much more than the texts they get."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch) if batch.num_rows else ():
-                if (out := fn(part)) is not None:
-                    yield out
+                yield fn(part)
         pa.default_memory_pool().release_unused()
 
     return run

@@ -3,14 +3,15 @@
 Texts with the same set are one class from the start.  All sets are ordered alike; two similar sets then share one of
 the first few n-grams of either (the prefix).  Classes with the same prefix and size are one group, and only groups
 stand in the lists of documents per n-gram.  Pairs of groups of a list are filtered by their sizes, by the places of the
-n-gram, and by parity bits of their sets, which bound how much they differ.  What passes is expanded into pairs of
-members, which are verified on their whole sets.
+n-gram, and by parity bits of their sets, which bound how much they differ.  What passes is expanded into members, which
+are verified on their whole sets.
 
 The order is by hash, but n-grams found in many prefixes come last, the most frequent at the end: a passage that many
 documents share leaves their prefixes.  The order decides how much work there is, not what is found.
 
 Members of a dense group of near-copies are not verified pair by pair: a first round verifies for every entry of a list
-one earlier entry that passes the filters; the second round leaves out pairs that links of the first connect.
+those before and after it whose parity bits differ least.  In the second round every member of a group stands in its lists,
+and all pairs are verified that pass the filters and that links of the first round do not connect.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import by_batch, rows_at, staged_in_python, utf8
+from panelloom.llm.common import by_slice, rows_at, staged_in_python, utf8
 from panelloom.llm.components import components
 from panelloom.sources.sinks import stage
 
@@ -144,7 +145,7 @@ def summaries(placed: DataFrame, shingle: int, percent: int, late=None) -> DataF
                                names=["place", "n", "key", "same", "prefix", "bits", "wide"])
 
     return placed.select("place", "text").mapInArrow(
-        by_batch(run), "place bigint, n bigint, key bigint, same bigint, prefix array<bigint>, bits array<bigint>, wide array<bigint>")
+        by_slice(run), "place bigint, n bigint, key bigint, same bigint, prefix array<bigint>, bits array<bigint>, wide array<bigint>")
 
 
 def _sets(placed: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
@@ -153,7 +154,7 @@ def _sets(placed: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([batch.column(0), _lists(hashed_sets(utf8(batch.column(1)), shingle))], names=["place", "tokens"])
 
-    return rows_at(placed, places).select("place", "text").mapInArrow(by_batch(run), "place bigint, tokens array<bigint>")
+    return rows_at(placed, places).select("place", "text").mapInArrow(by_slice(run), "place bigint, tokens array<bigint>")
 
 
 CLASS = "place bigint, n bigint, same bigint, prefix array<bigint>, bits array<bigint>"
@@ -168,7 +169,7 @@ def _holding(classes: DataFrame, late, holds: bool) -> DataFrame:
         has = np.bincount(own[np.isin(flat, late.value[0])], minlength=batch.num_rows) > 0
         return batch.filter(pa.array(has == holds))
 
-    return classes.mapInArrow(by_batch(run), CLASS)
+    return classes.mapInArrow(by_slice(run), CLASS)
 
 
 def ordered_classes(placed: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -241,44 +242,56 @@ def _without_singles(lists: DataFrame) -> DataFrame:
     return lists.repartition("token").sortWithinPartitions("token").mapInArrow(run, "token bigint, node bigint, pos int")
 
 
-def passing(entries: dict[str, np.ndarray], run_end: np.ndarray, percent: int, first_only: bool) -> tuple[np.ndarray, np.ndarray]:
+def passing(entries: dict[str, np.ndarray], run_end: np.ndarray, percent: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of entries of one run, sorted by size in it, that pass the filters and differ in `label`.
 
-    With `first_only` one pair for every entry: with the nearest one before it.
+    With `nearest` at most two pairs for every entry: with those before it and after it whose parity bits differ least.
+    Where links are as near as the bits are, every entry but the first is then connected with one before it.
     """
     n, pos, bits, radius, label = (entries[k] for k in ("n", "pos", "bits", "radius", "label"))
-    later, d, left, right = np.arange(len(n)), 0, [], []
+    later, d, left, right = np.arange(len(n)), 0, [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
     start = np.zeros(len(n), dtype=np.int64)
+    least, partner = np.full((2, len(n)), np.iinfo(np.int64).max), np.full((2, len(n)), -1)
     if len(n):
         head = np.concatenate([[True], run_end[1:] != run_end[:-1]])
         start = np.flatnonzero(head)[np.cumsum(head) - 1]
     while True:
         d += 1
         later = later[later - d >= start[later]]
-        a, b = later - d, later
-        later = later[100 * n[a] >= percent * n[b]]
+        later = later[100 * n[later - d] >= percent * n[later]]
         if not len(later):
-            return np.concatenate([np.zeros(0, dtype=np.int64), *left]), np.concatenate([np.zeros(0, dtype=np.int64), *right])
+            break
         a, b = later - d, later
         need = -(-percent * (n[a] + n[b]) // (100 + percent))
         ok = (np.minimum(n[a] - pos[a], n[b] - pos[b]) >= need) & ((label[a] != label[b]) | (label[a] < 0))
         a, b, need = a[ok], b[ok], need[ok]
-        differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64) - radius[a] - radius[b]
-        close = differ <= n[a] + n[b] - 2 * need
-        left.append(a[close])
-        right.append(b[close])
-        if first_only:
-            later = np.setdiff1d(later, b[close], assume_unique=True)
+        differ = np.bitwise_count(bits[a] ^ bits[b]).sum(axis=1, dtype=np.int64)
+        close = differ - radius[a] - radius[b] <= n[a] + n[b] - 2 * need
+        a, b, differ = a[close], b[close], differ[close]
+        if not nearest:
+            left.append(a)
+            right.append(b)
+            continue
+        for side, own, other in ((0, b, a), (1, a, b)):
+            better = differ < least[side, own]
+            least[side, own[better]], partner[side, own[better]] = differ[better], other[better]
+    for own in partner:
+        left.append(np.flatnonzero(own >= 0))
+        right.append(own[own >= 0])
+    return np.concatenate(left), np.concatenate(right)
 
 
-def _pairs(lists: DataFrame, facts: DataFrame, percent: int, first_only: bool) -> DataFrame:
-    """(a, b, span): pairs of nodes of any list that pass the filters; `facts` has a label, pairs of the same one are left out."""
-    large = stage(lists.groupBy("token", "span").count().where(F.col("count") > BLOCK)
+def _pairs(entries: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """(a, b): pairs of nodes of any list that pass the filters and differ in `label`.
+
+    `entries` has (token, node, pos, span, n, bits, radius, label).
+    """
+    large = stage(entries.groupBy("token", "span").count().where(F.col("count") > BLOCK)
                   .select("token", "span", F.ceil(F.col("count") / BLOCK).cast("bigint").alias("blocks")))
     own = F.pmod(F.xxhash64("node"), F.col("blocks"))
     both = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda j: F.shiftleft(F.least(own, j), 31) + F.greatest(own, j))
     part = F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(both)).alias("part")
-    cut = lists.join(facts, ["node", "span"]).join(large, ["token", "span"], "left").select("token", "span", part, "n", "node", "pos", "bits", "radius", "label")
+    cut = entries.join(large, ["token", "span"], "left").select("token", "span", part, "n", "node", "pos", "bits", "radius", "label")
     runs = cut.repartition("token", "part").sortWithinPartitions("token", "span", "part", "n", "node")
     names = ["token", "span", "part", "n", "node", "pos", "radius", "label"]
 
@@ -286,9 +299,9 @@ def _pairs(lists: DataFrame, facts: DataFrame, percent: int, first_only: bool) -
         held = None
 
         def out(e: dict[str, np.ndarray]) -> pa.RecordBatch:
-            a, b = passing(e, e["end"], percent, first_only)
-            pairs = np.unique(np.stack([np.minimum(e["node"][a], e["node"][b]), np.maximum(e["node"][a], e["node"][b]), e["span"][a]]), axis=1)
-            return pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(pairs[2])], names=["a", "b", "span"])
+            a, b = passing(e, e["end"], percent, nearest)
+            pairs = np.unique(np.stack([np.minimum(e["node"][a], e["node"][b]), np.maximum(e["node"][a], e["node"][b])]), axis=1)
+            return pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -306,7 +319,7 @@ def _pairs(lists: DataFrame, facts: DataFrame, percent: int, first_only: bool) -
             held["end"] = np.full(len(held["n"]), len(held["n"]))
             yield out(held)
 
-    return runs.select(*names, "bits").mapInArrow(run, "a bigint, b bigint, span bigint").distinct()
+    return runs.select(*names, "bits").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def verified(placed: DataFrame, facts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -342,9 +355,9 @@ def verified(placed: DataFrame, facts: DataFrame, pairs: DataFrame, shingle: int
         return batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     pairs = stage(pairs)
-    some = stage(both(pairs, rows_at(facts, ends(pairs)), "n", "wide").mapInArrow(by_batch(near), "a bigint, b bigint"))
+    some = stage(both(pairs, rows_at(facts, ends(pairs)), "n", "wide").mapInArrow(by_slice(near), "a bigint, b bigint"))
     sets = staged_in_python(_sets(placed, ends(some), shingle))
-    return stage(both(some, sets, "tokens").mapInArrow(by_batch(similar), "a bigint, b bigint"))
+    return stage(both(some, sets, "tokens").mapInArrow(by_slice(similar), "a bigint, b bigint"))
 
 
 def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -366,17 +379,14 @@ def similar_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     whole = rows.select("place", "n", "wide")
 
     # Nodes of a pair of groups are places of their first members, so they can be verified as they are.
-    first = _pairs(lists, facts.withColumn("label", F.lit(-1).cast("bigint")), percent, True)
-    links = verified(placed, whole, first.select("a", "b").distinct(), shingle, percent)
+    first = _pairs(lists.join(facts, ["node", "span"]).withColumn("label", F.lit(-1).cast("bigint")), percent, True)
+    links = verified(placed, whole, first, shingle, percent)
     known = components(links)
     labelled = stage(members.join(known.withColumnRenamed("node", "place"), "place", "left").select("node", "place", F.coalesce("component", "place").alias("label")))
-    pure = labelled.groupBy("node").agg(F.when(F.min("label") == F.max("label"), F.min("label")).otherwise(-1).alias("label")).withColumn("span", F.lit(1))
-    each = labelled.select(F.col("place").alias("node"), "label").withColumn("span", F.lit(0))
-    rest = stage(_pairs(lists, facts.join(pure.unionByName(each), ["node", "span"]), percent, False))
-
-    expanded = (rest.where("span = 1").join(labelled.select(F.col("node").alias("a"), F.col("place").alias("p"), F.col("label").alias("of_p")), "a")
-                .join(labelled.select(F.col("node").alias("b"), F.col("place").alias("q"), F.col("label").alias("of_q")), "b").where("of_p <> of_q"))
-    more = expanded.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).unionByName(rest.where("span = 0").select("a", "b")).distinct()
+    between = lists.where("span = 1").join(labelled.select("node", "place"), "node").select("token", F.col("place").alias("node"), "pos", "span")
+    own = rows_at(rows.select("place", "n", "bits"), labelled.select("place")).join(labelled.select("place", "label"), "place").withColumnRenamed("place", "node")
+    expanded = between.unionByName(lists.where("span = 0")).join(own.withColumn("radius", F.lit(0)), "node")
+    more = _pairs(expanded, percent, False)
     groups = components(links.unionByName(verified(placed, whole, more, shingle, percent)))
 
     named = sets.join(groups.withColumnRenamed("node", "place"), "place", "left").select("key", "n", F.coalesce("component", "place").alias("component"))

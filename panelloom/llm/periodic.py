@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import by_batch, utf8
+from panelloom.llm.common import by_slice, utf8
 
 WORK = 1 << 20  # members of intervals, or words of rotations, that are tested at once
 
@@ -242,4 +242,4 @@ def periodic_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
         return pa.record_batch([batch.column(0), pa.ListArray.from_arrays(offsets, structs), collapsed], names=["doc_id", "runs", "collapsed"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        by_batch(run), f"doc_id {kind}, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string")
+        by_slice(run), f"doc_id {kind}, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import by_batch, utf8
+from panelloom.llm.common import by_slice, utf8
 from panelloom.sources.sinks import stage
 
 POSTINGS = 1 << 20  # postings of a block
@@ -159,7 +159,7 @@ def _postings(docs: DataFrame, numbers: dict[bytes, int], doc_id: str, text: str
         return out.filter(pa.array(np.array(lengths) > 0))
 
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        by_batch(run), "doc_id bigint, n bigint, terms array<int>, counts array<bigint>")
+        by_slice(run), "doc_id bigint, n bigint, terms array<int>, counts array<bigint>")
 
 
 def _document_counts(postings: DataFrame, n: int) -> np.ndarray:
