@@ -27,7 +27,12 @@ SEEN = 3  # a byte that fewer texts hold is outside the alphabet
 
 DEVIATIONS = 8.0  # a text that costs so many standard deviations more than texts of its language is in none of them
 
-LETTER = re.compile(r"[^\W\d_]")
+SIGNS = re.compile(r"[^\W\d_]+")  # letters, and numbers like fractions
+
+
+def has_letter(text: str) -> bool:
+    """Is there a character of the Unicode category L?"""
+    return any(c.isalpha() for m in SIGNS.finditer(text) for c in m.group())
 
 
 @dataclass
@@ -71,7 +76,7 @@ class Trees:
 
     def told(self, text: bytes) -> tuple[str, float, float]:
         """As `predict`, and the bits a byte of the shortest code."""
-        if not self.languages or not LETTER.search(text.decode("utf-8", "replace")):
+        if not self.languages or not has_letter(text.decode("utf-8", "replace")):
             return "und", 0.0, 0.0
         bits = self.code_lengths(text)
         best = int(bits.argmin())
