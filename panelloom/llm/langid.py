@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import by_batch, utf8
+from panelloom.llm.common import by_batch, rows_at, short_batches, staged_in_python, utf8, with_place
 
 DEPTH = 3  # longest context in bytes
 MAX_TEXTS = 1500  # texts per language that a tree is counted from, in expectation
@@ -201,7 +201,8 @@ def fit(docs: DataFrame, train: Column, *, text: str = "text", lang: str = "lang
     if not share:
         return None
     chosen = texts.where(F.rand(seed) < F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in share.items()]))
-    got = counted(chosen).where("n > 0").toPandas()
+    with short_batches(docs.sparkSession):
+        got = counted(chosen).where("n > 0").toPandas()
     return build(got["lang"].tolist(), got["gram"].to_numpy(), got["n"].to_numpy()) if len(got) else None
 
 
@@ -264,8 +265,10 @@ def _limits(docs: DataFrame, train: Column, *, text: str = "text", lang: str = "
         columns = np.array(list(sums.values())).reshape(-1, 4).T
         return pa.record_batch([pa.array(list(sums), pa.string()), *map(pa.array, columns)], names=["lang", "texts", "n", "bits", "squares"])
 
-    found = rows.mapInArrow(by_batch(run), "lang string, texts double, n double, bits double, squares double").groupBy("lang").agg(
-        *[F.sum(c).alias(c) for c in ("texts", "n", "bits", "squares")]).collect()
+    sums = rows.mapInArrow(by_batch(run), "lang string, texts double, n double, bits double, squares double").groupBy("lang").agg(
+        *[F.sum(c).alias(c) for c in ("texts", "n", "bits", "squares")])
+    with short_batches(docs.sparkSession):
+        found = sums.collect()
     limits = {}
     for r in found:
         spread = max(0.0, r.squares - r.bits**2 / r.n)
@@ -277,7 +280,9 @@ def identified(docs: DataFrame, held_out: Column, least: float = 0.5, deviations
     """Rows of `docs` whose language is told with a score of at least `least`; all columns stay.
 
     A text that costs more bits a byte than `deviations` standard deviations above the training texts of the
-    language is in no learned language and goes.
+    language is in no learned language and goes.  Null texts and those without a letter go; repeated rows stay or go
+    together.  Where no row names a language none is learned, and every row goes.  Extra columns stay whatever their
+    names; an empty table gives no rows.  Texts are sent to Python alone; rows are chosen by their place.
     """
     trees, limits = fit(docs, ~held_out, **options), _limits(docs, ~held_out, **options)
     shared = docs.sparkSession.sparkContext.broadcast(vars(trees) if trees else None)
@@ -291,7 +296,8 @@ def identified(docs: DataFrame, held_out: Column, least: float = 0.5, deviations
 
     def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = Trees(**shared.value) if shared.value else None
-        texts = utf8(batch.column(batch.schema.get_field_index("text")))
-        return batch.filter(pa.array([fits(t, own) for t in texts], pa.bool_()))
+        return batch.select([0]).filter(pa.array([fits(t, own) for t in utf8(batch.column(1))], pa.bool_()))
 
-    return docs.mapInArrow(by_batch(keep), docs.schema)
+    placed, place = with_place(docs)
+    kept = staged_in_python(placed.select(place, F.col("text").cast("string").alias("text")).mapInArrow(by_batch(keep), f"`{place}` bigint"))
+    return rows_at(placed, kept, place).select(*[f"`{c}`" for c in docs.columns])

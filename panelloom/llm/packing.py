@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from panelloom.llm.bpe import byte_characters
-from panelloom.llm.common import once_per_worker
-from panelloom.sources.sinks import stage
+from panelloom.llm.common import once_per_worker, staged_in_python
 
 GROUP = 40_000  # pieces that are packed together
 
@@ -185,7 +184,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, pattern: str, *, capacity: i
     that costs about one underfull sequence a group.  The local search is capped: a giver stops after 24 partners
     in a row that take nothing, and each bin gives once.
     """
-    cuts = stage(pieces(docs, tokenizer, pattern, capacity=capacity, end_id=end_id, doc_id=doc_id, text=text))
+    cuts = staged_in_python(pieces(docs, tokenizer, pattern, capacity=capacity, end_id=end_id, doc_id=doc_id, text=text))
     full = cuts.where(F.col("length") == capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     short = cuts.where(F.col("length") < capacity)
     groups = max(1, -(-short.count() // GROUP))

@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from panelloom.llm.common import by_batch, utf8
+from panelloom.llm.common import by_batch, rows_at, staged_in_python, utf8, with_place
 from panelloom.sources.sinks import stage
 
 MAX_ROWS = 200_000  # bound of the labelled rows that a model is fitted on, in expectation
@@ -203,23 +202,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, held_out: Column, **opti
 def accepted(docs: DataFrame, labels: DataFrame, held_out: Column, **options) -> DataFrame:
     """Rows of `docs` with a score of at least 0.5; all columns stay.
 
-    Statistics are taken once and written beside the rows, so that no text is shuffled.
+    Null and empty texts are scored like others; repeated rows stay or go together; without a labelled row nothing is
+    learned and every row stays; extra columns stay whatever their names; an empty table gives no rows.  Texts are sent to
+    Python once and do not come back; rows are chosen by their place.
     """
-    columns, extra = docs.columns, "_stats"
-    while extra in columns:
-        extra += "_"
-    schema = T.StructType([*docs.schema.fields, T.StructField(extra, T.ArrayType(T.FloatType()))])
-
-    def add(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = np.array([statistics(t) for t in utf8(batch.column(batch.schema.get_field_index("text")))], dtype=np.float32)
-        stats = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), WIDTH).cast(pa.list_(pa.float32()))
-        return pa.record_batch([*batch.columns, stats], names=[*batch.schema.names, extra])
-
-    both = stage(docs.mapInArrow(by_batch(add), schema))
-    model = fit(both.select("doc_id", F.col(extra).alias("stats")), labels, ~held_out, **options)
-
-    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = batch.select(columns)
-        return own.filter(pa.array(model.score(_matrix(batch, extra)) >= 0.5)) if model else own
-
-    return both.mapInArrow(by_batch(keep), docs.schema)
+    placed, place = with_place(docs)
+    stats = staged_in_python(with_statistics(placed, place, "doc_id"))
+    model = fit(stats, labels, ~held_out, **options)
+    kept = stage(score(stats.drop("doc_id"), model).where("score >= 0.5").select(place))
+    return rows_at(placed, kept, place).select(*[f"`{c}`" for c in docs.columns])

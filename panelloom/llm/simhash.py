@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import by_batch, utf8
+from panelloom.llm.common import by_batch, rows_at, staged_in_python, utf8, with_place
 from panelloom.llm.components import components
 from panelloom.sources.sinks import stage
 
@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     any other.  A null id takes part but is never a component id, unless a group has no other (then null).
     Other columns of `docs` are ignored; an empty table gives no rows.
     """
-    prints = stage(fingerprints(docs, doc_id, text, shingle))
+    prints = staged_in_python(fingerprints(docs, doc_id, text, shingle))
     first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     groups = components(links(prints, max_bits))
     named = first.join(groups, first.fp == groups.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
@@ -219,18 +219,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def one_of_each(docs: DataFrame, text: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """`docs` with one row kept of every group, the one read first; all columns stay.
+    """`docs` with one row kept of every group, the one read first; all columns stay, whatever their names.
 
-    Rows are told apart by their place, which is written with them once: a second scan of `docs` may split
-    the files in another way.
+    Null and empty texts are one group; of repeated rows one stays; an empty table gives no rows.
     """
-    place = "_place"
-    while place in docs.columns:
-        place += "_"
-    placed = stage(docs.withColumn(place, F.monotonically_increasing_id()))
+    placed, place = with_place(docs)
     kept = near_duplicates(placed, place, text, shingle, max_bits).where("doc_id = component_id")
-    # A bit for each row: the table that the texts are joined with is small, and where it is not, both sides are shuffled.
-    bits = stage(kept.groupBy(F.shiftright("doc_id", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(doc_id & 63 as int)))").alias("_bits")))
-    at = F.col(place)
-    joined = placed.join(bits, F.shiftright(at, 6) == F.col("_word"))
-    return joined.where(F.getbit("_bits", at.bitwiseAND(63)) == 1).select(*[placed[c] for c in docs.columns])
+    return rows_at(placed, kept.select("doc_id"), place).select(*[f"`{c}`" for c in docs.columns])

@@ -555,3 +555,32 @@ def test_one_of_each_with_another_split(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
     assert docs.count() == 60 and left == dict.fromkeys(range(30), 1)
+
+
+# stages of the pipeline on odd tables
+
+def clashing(df):
+    """Columns whose names the stages use or might use, in several cases."""
+    for name in ("_bits", "_word", "_STATS", "_Place", "place", "word", "bits", "kept"):
+        df = df.withColumn(name, F.lit("z"))
+    return df
+
+
+def test_stages_with_clashing_names_and_empty_tables(spark):
+    docs, labels = clashing(odd(spark)), spark.createDataFrame([(1, 1, 0), (5, 0, 0)], "doc_id bigint, quality int, toxic int")
+    held = F.col("doc_id") == 99
+    stages = [lambda d: quality.accepted(d, labels, held), lambda d: langid.identified(d, held), simhash.one_of_each]
+    for step in stages:
+        out = step(docs)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert len(rows) <= 11 and all(r["_STATS"] == "z" for r in rows)
+        assert step(docs.limit(0)).collect() == []
+    assert quality.accepted(docs, labels.limit(0), held).count() == 11
+    assert langid.identified(docs.withColumn("lang", F.lit(None).cast("string")), held).count() == 0
+
+
+def test_letters():
+    assert not any(map(langid.has_letter, ["", "½ ² ①", "12_3 !?", "Ⅷ ٣"])) and all(map(langid.has_letter, ["½a", "1 é", "日", "ʰ", "ǅ"]))
+    trees = langid.build(["en"], np.array([1 << 32 | int.from_bytes(b"abcd", "big")]), np.array([5]))
+    assert trees.predict("½ ² ①".encode()) == ("und", 0.0)
