@@ -8,6 +8,7 @@ series is never gathered.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -101,10 +102,17 @@ def ses_weight(alpha: Column | float, idx: Column, n: Column) -> Column:
     return F.pow(1 - a, n - 1 - idx) * F.when(idx == 0, 1.0).otherwise(a)
 
 
+def weighted_level(weight: Column, value: Column) -> Column:
+    """Weighted sum of a series; where values are null, the weighted mean of those that are known."""
+    known = F.sum(F.when(value.isNotNull(), weight))
+    total = F.sum(weight * value)
+    return F.when(F.count(value) == F.max("nt"), total).otherwise(F.try_divide(total, known))
+
+
 def smoothed(train: DataFrame, *, horizon: int, alpha: float = 0.3, keys: Sequence[str] = KEYS, y: str = "y",
              freq: str = "D") -> DataFrame:
-    """M7 simple: exponentially smoothed level with a given alpha."""
-    level = F.sum(ses_weight(alpha, F.col("idx"), F.col("nt")) * F.col(y))
+    """M7 simple: exponentially smoothed level with a given alpha; null values leave the weights of the others in proportion."""
+    level = weighted_level(ses_weight(alpha, F.col("idx"), F.col("nt")), F.col(y))
     return unfold(ends(train, keys, level=level), keys, horizon, F.col("level"), freq=freq)
 
 
@@ -114,7 +122,8 @@ def theta(train: DataFrame, *, horizon: int, theta_: float = 2.0, alpha: float =
 
     Smoothing is linear, so the level of the theta line follows from the smoothed y, the smoothed
     position and the regression, all in one aggregation.  With a `season`, values are adjusted by
-    the index of their phase before, and the forecast is adjusted back.
+    the index of their phase before, and the forecast is adjusted back.  Null values take no part.  A series with a phase
+    whose mean is 0 has no multiplicative season and is forecast without one.
     """
     data, index = train, None
     if season > 1:
@@ -124,7 +133,7 @@ def theta(train: DataFrame, *, horizon: int, theta_: float = 2.0, alpha: float =
     w = ses_weight(alpha, F.col("idx"), F.col("nt"))
     fitted = ends(
         data, keys, b=F.regr_slope(y, "idx"), a=F.regr_intercept(y, "idx"),
-        sy=F.sum(w * F.col(y)), st=F.sum(w * F.col("idx")),
+        sy=weighted_level(w, F.col(y)), st=weighted_level(w, F.when(F.col(y).isNotNull(), F.col("idx"))),
     )
     trend = F.col("a") + F.col("b") * (F.col("nt") - 1 + F.col("step"))
     level = theta_ * F.col("sy") + (1 - theta_) * (F.col("a") + F.col("b") * F.col("st"))
@@ -146,8 +155,13 @@ def seasonal_index(train: DataFrame, period: int, mode: str = "multiplicative",
     from pyspark.sql import Window as W
 
     phases = train.groupBy(*keys, (F.col("idx") % period).alias("phase")).agg(F.avg(y).alias("m"))
-    overall = F.avg("m").over(W.partitionBy(*keys))  # `period` rows per key
-    s = F.coalesce(F.try_divide(F.col("m"), overall), F.lit(1.0)) if mode == "multiplicative" else F.col("m") - overall
+    whole = W.partitionBy(*keys)  # `period` rows per key
+    overall = F.avg("m").over(whole)
+    if mode == "multiplicative":
+        s = F.when(F.min(F.abs("m")).over(whole) > 0, F.try_divide(F.col("m"), overall))
+        s = F.coalesce(s, F.lit(1.0))
+    else:
+        s = F.coalesce(F.col("m") - overall, F.lit(0.0))
     return phases.select(*keys, "phase", s.alias("s"))
 
 
@@ -196,41 +210,33 @@ def croston(train: DataFrame, *, horizon: int, version: str = "classic", alpha:
     return unfold(joined, keys, horizon, F.coalesce("value", F.lit(0.0)), freq=freq)
 
 
-def local_level_gains(q: float, r: float, p0: float, most: int = 5000) -> list[float]:
-    """Kalman gains of the local-level model until they no longer change."""
-    k = p0 / (p0 + r)
-    gains, p = [k], (1 - k) * p0
-    while len(gains) < most:
-        k = (p + q) / (p + q + r)
-        if k == gains[-1]:
-            return gains
-        gains.append(k)
-        p = (1 - k) * (p + q)
-    raise ValueError("the gains do not settle: the ratio q / r is too small")
-
-
 def local_level(train: DataFrame, *, horizon: int, q: float = 0.1, r: float = 1.0, p0: float = 1e6,
                 keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
     """Kalman filter with one random-walk state, started at 0 with variance p0.
 
-    The gains depend on the position only and soon settle, so the filtered state is again a
-    weighted sum: the early gains are a short literal array, the rest is a power.
+    The gains depend on the position only, so the filtered state is a weighted sum.  The variance after i values is a ratio
+    u / v of two numbers that the matrix [[r, qr], [1, q+r]] maps on; v is a sum of two powers of its eigenvalues, or
+    a line times a power where q is 0, and gains and their products are ratios of v.  Null values leave the weights of
+    the others in proportion.
     """
-    gains = local_level_gains(q, r, p0)
-    settled, last = len(gains), gains[-1]
-    # suffix[i] = product of (1 - gain) after position i within the early part
-    suffix = [1.0] * settled
-    for i in range(settled - 2, -1, -1):
-        suffix[i] = suffix[i + 1] * (1 - gains[i + 1])
-    idx, n = F.col("idx"), F.col("nt")
-    later = n - 1 - F.greatest(idx, F.lit(settled - 1))
-    gain = F.when(idx < settled, F.element_at(F.array(*map(F.lit, gains)), F.least(idx + 1, F.lit(settled)).cast("int"))).otherwise(last)
-    # only the part of the early gains that the series reaches counts
-    reach = F.least(n, F.lit(settled)).cast("int")
-    sfx = F.array(*map(F.lit, suffix))
-    early = F.when(
-        idx < settled,
-        F.element_at(sfx, F.least(idx + 1, F.lit(settled)).cast("int")) / F.element_at(sfx, reach),
-    ).otherwise(1.0)
-    level = F.sum(gain * early * F.pow(F.lit(1 - last), F.greatest(later, F.lit(0))) * F.col(y))
-    return unfold(ends(train, keys, level=level), keys, horizon, F.col("level"), freq=freq)
+    if q < 0 or r <= 0 or p0 <= 0:
+        raise ValueError("the variances r and p0 must be above 0, q at least 0")
+    idx, n = F.col("idx").cast("double"), F.col("nt").cast("double")
+    u0, v0 = p0 * r, p0 + r
+    root = math.sqrt(q * q + 4 * q * r)
+    large = (q + 2 * r + root) / 2
+    if q == 0:
+        def v(i: Column) -> Column:
+            return v0 + i * (u0 / r)
+    else:
+        small = r * r / large
+        first = (u0 + (q + r) * v0 - small * v0) / root
+        ratio = small / large
+
+        def v(i: Column) -> Column:
+            return first + (v0 - first) * F.pow(F.lit(ratio), i)
+
+    # v(i) is in units of large ** i
+    gain = F.when(idx == 0, F.lit(p0 / (p0 + r))).otherwise(1 - (r / large) * v(idx - 1) / v(idx))
+    weight = gain * v(idx) / v(n - 1) * F.pow(F.lit(r / large), n - 1 - idx)
+    return unfold(ends(train, keys, level=weighted_level(weight, F.col(y))), keys, horizon, F.col("level"), freq=freq)

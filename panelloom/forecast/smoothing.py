@@ -63,6 +63,9 @@ def reduce_block(y: np.ndarray, systems: list[tuple]) -> tuple:
     M, c = np.broadcast_to(np.eye(d), (m, d, d)).copy(), np.zeros((m, d))
     Q, q, s = np.zeros((m, d, d)), np.zeros((m, d)), np.zeros(m)
     for v in y:
+        if np.isnan(v):  # the state moves on without a correction
+            M, c = A @ M, np.einsum("mde,me->md", A, c)
+            continue
         r = v - (w * c).sum(1)
         u = np.einsum("md,mde->me", w, M)
         Q += u[:, :, None] * u[:, None, :]
@@ -119,7 +122,8 @@ def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[s
         block_rows: int = REDUCE) -> DataFrame:
     """Final state and squared error of every candidate: (keys, cand, sse, n, state array).
 
-    `rows` hold (keys, idx, value) with dense positions from 0.
+    `rows` hold (keys, idx, value) with dense positions from 0.  A null value corrects nothing and has no error; `n` counts
+    the others.  Start values take the place of nulls from their neighbours; a series without a known value among the first has no state.
     """
     systems = [transition(c, period) for c in cands]
     m, d = len(cands), 2 + period
@@ -133,7 +137,7 @@ def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[s
         y = pdf["v"].to_numpy(float)
         head = y[:head_rows].tolist() if pdf["idx"].iloc[0] == 0 else []
         out = pdf[keys + ["blk"]].iloc[:1].copy()
-        out["n"], out["summary"], out["head"] = len(y), [_pack(reduce_block(y, systems))], [head]
+        out["n"], out["summary"], out["head"] = int(np.isfinite(y).sum()), [_pack(reduce_block(y, systems))], [head]
         return out
 
     def merge(pdf: pd.DataFrame) -> tuple[tuple, int, list]:
@@ -155,7 +159,7 @@ def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[s
         first = pdf[keys].iloc[0]
         records = []
         for i in range(m):
-            x = initial_state(np.asarray(head), cands[i], period)
+            x = initial_state(pd.Series(head, dtype=float).ffill().bfill().to_numpy(), cands[i], period)
             sse = float(s[i] + q[i] @ x + x @ Q[i] @ x)
             records.append([*first, i, max(sse, 0.0), n, (M[i] @ x + c[i]).tolist()])
         return pd.DataFrame(records, columns=[*keys, "cand", "sse", "n", "state"])

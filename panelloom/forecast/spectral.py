@@ -43,11 +43,14 @@ def polynomial_basis(degree: int) -> list:
 
 def fft(train: DataFrame, *, horizon: int, keep: int = 10, trend: str | None = None, degree: int = 3,
         max_freq: int | None = None, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
-    """Remove an optional trend (poly or exp), keep the strongest frequencies, continue periodically."""
+    """Remove an optional trend (poly or exp), keep the strongest frequencies, continue periodically.
+
+    A transform needs every value: a series with a null has null forecasts and is to be filled before.
+    """
     from panelloom.forecast.linear import coefficients, normal_equations
 
     keys = list(keys)
-    base, data = ends(train, keys), train.withColumn("v", F.col(y).cast("double"))
+    base, data = ends(train, keys, known=F.count(y)), train.withColumn("v", F.col(y).cast("double"))
     deg = 1 if trend == "exp" else degree
     if trend:
         target = F.log(y) if trend == "exp" else F.col(y)
@@ -74,6 +77,7 @@ def fft(train: DataFrame, *, horizon: int, keep: int = 10, trend: str | None = N
     pred = F.aggregate("waves", F.lit(0.0), wave)
     if trend:
         pred = pred + level()
+    pred = F.when(F.col("known") == F.col("nt"), pred)
     from panelloom.functions.timeaxis import next_steps
 
     return rows.select(*keys, "step", next_steps(F.col("last_ts"), F.col("step"), freq).alias("ts"), pred.alias("pred"))

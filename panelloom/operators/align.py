@@ -59,14 +59,15 @@ def asof_grid(df: DataFrame, cols: Sequence[str], *, series: str = "series", ts:
               bounds: str = "global") -> DataFrame:
     """Reindex to the grid, each cell takes the last value at or before it.
 
-    A value inside a cell counts from the next cell on, a value on the cell start counts at once.
+    A value inside a cell counts from the next cell on, a value on the cell start counts at once, before 1970 too.
     """
-    late = epoch_seconds(F.col(ts)) % step
-    inside = (late > 0) | (F.date_part(F.lit("SECOND"), F.col(ts)) % 1 > 0)  # a fraction of a second is inside a cell, too
-    up = F.when(inside, from_epoch(epoch_seconds(F.col(ts)) - late + step)).otherwise(F.col(ts))
-    latest = df.groupBy(series, up.alias("_cell")).agg(
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
+    size = step * 1_000_000
+    # cells are numbered from 1970; a number is as good a key as a time, and less work to group by
+    cells = df.withColumn("_cell", F.ceil(micros.cast("decimal(20,0)") / size).cast("bigint"))
+    latest = cells.groupBy(series, "_cell").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in cols]
-    ).withColumnRenamed("_cell", ts)
+    ).select(series, from_epoch(F.col("_cell") * step).alias(ts), *cols)
     grid = time_grid(df, series=series, ts=ts, step=step, bounds=bounds)
     return blocks.fill(grid.join(latest, [series, ts], "left"), cols, series=series, forward=None)
 

@@ -127,14 +127,14 @@ def from_percent_change(changes: DataFrame, history: DataFrame, cols: Sequence[s
                         ts: str = "ts") -> DataFrame:
     """Turn percent changes after the last known row back to levels and append them.
 
-    The level is the last known value times the running product of the changes.
+    The level is the last known value times the running product of the changes; a null in the last row is no value.
     """
     new = rows_after_last(changes, history, series=series, ts=ts)
     if "idx" not in new.columns:
         new = blocks.position(new, series=series, ts=ts)
     for c in cols:
         new = blocks.running(new, value=1 + F.col(f"{c} (%)") / 100, name=f"_p_{c}", how="product", series=series)
-    last = history.groupBy(series).agg(*[F.max_by(c, ts).alias(f"_l_{c}") for c in cols])
+    last = history.groupBy(series).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(f"_l_{c}") for c in cols])
     levels = blocks.lookup(new, last, [series])
     dropped = {*cols, *[f"{c} (%)" for c in cols], *[f"_p_{c}" for c in cols]} | ({"idx"} - set(history.columns))
     out = levels.select(

@@ -9,11 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from panelloom.operators.clean import nan_to_null
+
 FORMATS = {".csv": "csv", ".parquet": "parquet"}
 
 
 def read_panel(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """The format follows the file extension.  Give a schema for CSV to avoid a second pass."""
+    """The format follows the file extension.  Give a schema for CSV to avoid a second pass.
+
+    Floats that are not a number are read as null, so that fills and aggregates treat them as missing.
+    """
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     if ext not in FORMATS:
         raise ValueError(f"unsupported file type {ext!r}, expected one of {sorted(FORMATS)}")
@@ -22,7 +27,7 @@ def read_panel(spark: SparkSession, path: str, schema: StructType | str | None =
         reader = reader.schema(schema)
     if ext == ".csv":
         reader = reader.option("header", True).option("inferSchema", schema is None).option("preferDate", False)
-    return reader.load(path)
+    return nan_to_null(reader.load(path))
 
 
 def read_symbols(spark: SparkSession, path: str, k: int | None = 5, *, column: str = "Symbol") -> DataFrame:

@@ -9,12 +9,12 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from panelloom.forecast import registry
+from panelloom.forecast import naive, registry, smoothing, spectral
 from panelloom.functions import calendar
 from panelloom.functions.options import normal_cdf
 from panelloom.functions.timeaxis import HOUR
-from panelloom.operators import align, blocks, splits
-from panelloom.sources import sinks
+from panelloom.operators import align, blocks, features, splits
+from panelloom.sources import readers, sinks
 from panelloom.streaming.ingest import ingest_once
 
 DAY = dt.datetime(2024, 1, 1)
@@ -113,3 +113,79 @@ def test_ingest_ignores_file_times(spark, tmp_path):
         land("007", f"again{k}.json", "5", age)
     land("007", "new.json", "6", 400, "1999-01-04")
     assert run() == [("007", "1999-01-04", "6"), ("007", "2024-01-02", "5"), ("B", "2024-01-02", "7")]
+
+
+def test_asof_grid_before_1970(spark):
+    old = dt.datetime(1969, 12, 31)
+    rows = [("a", old, None), ("a", old + dt.timedelta(hours=1, minutes=30), 1.0), ("a", old + dt.timedelta(hours=4, minutes=30), 2.0),
+            ("a", old + dt.timedelta(hours=6), 3.0), ("a", old + dt.timedelta(hours=6, microseconds=1), 4.0), ("a", old + dt.timedelta(hours=8), None)]
+    shifted = [(s, t + dt.timedelta(days=400), y) for s, t, y in rows]
+    got, later = ([r.y for r in align.asof_grid(times(spark, x), ["y"], step=HOUR).orderBy("ts").collect()] for x in (rows, shifted))
+    assert got == later == [None, None, 1.0, 1.0, 1.0, 2.0, 3.0, 4.0, 4.0]
+
+
+def test_levels_follow_the_last_known_value(spark):
+    history = times(spark, [("a", DAY, 10.0), ("a", DAY + dt.timedelta(days=1), None), ("b", DAY, 4.0)])
+    changes = times(spark, [(s, DAY + dt.timedelta(days=d), 10.0) for s in "ab" for d in (2, 3)], value="change").withColumnRenamed("change", "y (%)")
+    got = features.from_percent_change(changes, history, ["y"]).where(F.col("ts") > DAY + dt.timedelta(days=1)).orderBy("series", "ts").collect()
+    assert [round(r.y, 6) for r in got] == [11.0, 12.1, 4.4, 4.84]
+
+
+def test_rejected_payloads_are_stored(spark, tmp_path):
+    good = {"name": "CPI", "data": [{"date": "2020-01-01", "value": "1.5"}, {"date": "bad", "value": "2.5"}]}
+    for name, payload in (("a", good), ("b", {"Note": "rate limit"}), ("c", {"name": "X", "data": []}), ("d", {"symbol": "Y", "quarterlyEarnings": []})):
+        folder = tmp_path / "in" / name
+        folder.mkdir(parents=True)
+        (folder / "f.json").write_text(json.dumps(payload))
+    (tmp_path / "in" / "b" / "g.json").write_text("not json")
+    paths = [str(tmp_path / x) for x in ("out", "state")]
+    for _ in range(2):
+        ingest_once(spark, str(tmp_path / "in" / "*"), *paths, files_per_batch=2)
+    stored = spark.read.parquet(paths[0]).collect()
+    assert [(r.series, r.ts, r.name, r.value) for r in stored] == [("a", dt.datetime(2020, 1, 1), "CPI", "1.5")]
+    refused = sorted((r.series, r.reason, r.name, r.value, (r.payload or "")[:8]) for r in spark.read.parquet(paths[0] + "-rejects").collect())
+    assert refused == [("a", "no time", "CPI", "2.5", ""), ("b", "unknown shape", None, None, "not json"), ("b", "unknown shape", None, None, '{"Note":'),
+                       ("c", "unknown shape", None, None, '{"name":'), ("d", "no values", None, None, '{"symbol')]
+
+
+def gap(spark, n=45, at=40, value=None):
+    """Values 0..n-1 with one replaced."""
+    rows = [("a", DAY + dt.timedelta(days=i), i, n, n, value if i == at else float(i)) for i in range(n)]
+    return spark.createDataFrame(rows, "series string, ts timestamp_ntz, idx bigint, n bigint, nt bigint, y double")
+
+
+def test_a_null_inside_a_series(spark):
+    train = gap(spark)
+    first = lambda df: df.orderBy("step").first().pred
+    weights = [(0.7 ** (44 - i)) * (1.0 if i == 0 else 0.3) for i in range(45)]
+    level = sum(w * i for i, w in enumerate(weights) if i != 40) / sum(w for i, w in enumerate(weights) if i != 40)
+    assert math.isclose(first(naive.smoothed(train, horizon=2)), level)
+    assert 41 < first(naive.local_level(train, horizon=2)) < 43
+    assert 42 < first(naive.theta(train, horizon=2)) < 44
+    assert math.isclose(first(smoothing.exponential_smoothing(train, horizon=2, kinds=("holt",))), 45.0, rel_tol=1e-6)
+    assert first(spectral.fft(train, horizon=2)) is None and first(spectral.fft(gap(spark, value=40.0), horizon=2)) is not None
+
+
+def test_theta_with_a_phase_of_zeros(spark):
+    rows = [("a", DAY + dt.timedelta(days=i), i, 30, 30, float(i % 3)) for i in range(30)]
+    rows += [("b", DAY + dt.timedelta(days=i), i, 30, 30, float(1 + i % 3)) for i in range(30)]
+    train = spark.createDataFrame(rows, "series string, ts timestamp_ntz, idx bigint, n bigint, nt bigint, y double")
+    got = naive.theta(train, horizon=3, season=3)
+    plain = {(r.series, r.step): r.pred for r in naive.theta(train, horizon=3).collect()}
+    for r in got.collect():
+        assert r.pred is not None and (r.series == "b" or math.isclose(r.pred, plain[r.series, r.step]))
+
+
+@pytest.mark.parametrize("q,r,p0", [(0.1, 1.0, 1e6), (1e-8, 1.0, 1e6), (0.0, 2.0, 5.0), (3.0, 0.01, 1.0)])
+def test_local_level_of_any_ratio(spark, q, r, p0):
+    train = gap(spark, 300, value=7.0)
+    m, p = 0.0, p0 - q
+    for row in train.orderBy("idx").collect():
+        k = (p + q) / (p + q + r)
+        m, p = m + k * (row.y - m), (1 - k) * (p + q)
+    assert math.isclose(naive.local_level(train, horizon=1, q=q, r=r, p0=p0).first().pred, m, rel_tol=1e-9)
+
+
+def test_not_a_number_is_read_as_null(spark, tmp_path):
+    spark.createDataFrame([("a", 1.0), ("b", float("nan")), (None, None)], "s string, y double").write.parquet(str(tmp_path / "p.parquet"))
+    assert {(r.s, r.y) for r in readers.read_panel(spark, str(tmp_path / "p.parquet")).collect()} == {("a", 1.0), ("b", None), (None, None)}
