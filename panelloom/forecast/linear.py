@@ -7,7 +7,7 @@ series and window, or a single one for pooled models) and the last few values of
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -206,62 +206,135 @@ def moving_average_matrix(size: int, kernel: int) -> np.ndarray:
     return out
 
 
+def known_ahead(ahead: DataFrame, cols: Sequence[str], rows: int, keys: Sequence[str]) -> DataFrame:
+    """Columns known in advance, for the `rows` rows after the training part: (keys, ahead), an array per column; missing rows are null."""
+    after = ahead.filter((F.col("idx") >= F.col("nt")) & (F.col("idx") < F.col("nt") + rows))
+    entries = [F.map_from_entries(F.collect_list(F.struct((F.col("idx") - F.col("nt")).cast("int"), F.col(c).cast("double")))).alias(f"m{i}")
+               for i, c in enumerate(cols)]
+    steps = F.sequence(F.lit(0), F.lit(rows - 1))
+
+    def along(i: int) -> Column:
+        return F.transform(steps, lambda h: F.try_element_at(F.col(f"m{i}"), h))
+
+    arrays = [along(i) for i in range(len(cols))]
+    return after.groupBy(*keys).agg(*entries).select(*keys, F.array(*arrays).alias("ahead"))
+
+
 def chunk_linear(train: DataFrame, *, horizon: int, kind: str = "nlinear", input_len: int = 12, output_len: int = 6,
-                 kernel: int = 25, ridge: float = 1e-6, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
+                 kernel: int = 25, ridge: float = 1e-6, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D",
+                 past: Sequence[str] = (), future: Sequence[str] = (), static: Sequence[str] = (), ahead: DataFrame | None = None) -> DataFrame:
     """One linear map from the last `input_len` values to the next `output_len`, pooled over all series.
 
     "linear" maps the values, "nlinear" the values minus the last one, "dlinear" their moving
     average and the remainder by two maps (moving average and remainder are linear in the chunk,
     so their equations follow from those of the chunk).  Longer horizons continue chunk by chunk.  A
     series shorter than `input_len` has null forecasts.
+
+    Covariates add their own columns to the map: `past` the last `input_len` values, of which the newest is held beyond the
+    training rows; `future` the values at the steps of the chunk itself, which `ahead` (rows with idx and nt, those after the
+    training part included) gives over the horizon; `static` the value of the last row.  A chunk whose inputs hold a null
+    has null forecasts, and so has what follows; in the last chunk a step beyond the horizon without a row takes the value before it.
     """
     keys, L, O = list(keys), input_len, output_len
+    past, future, static = list(past), list(future), list(static)
+    if future and ahead is None:
+        raise ValueError("columns known in advance need the rows of the horizon")
     data = lagged(train, [y], L, keys, leads=O)
+    if past or future:
+        from panelloom.operators.features import lag_features
+
+        data = lag_features(data, {c: range(1, L + 1) for c in past}, leads={c: range(O) for c in future}, series=keys)
     last = F.col(f"{y}_lag1")
     shift = last if kind == "nlinear" else F.lit(0.0)
     # x runs in time order: oldest first
-    xs = [F.col(f"{y}_lag{i}") - shift for i in range(L, 0, -1)] + [F.lit(1.0)]
+    xs = [F.col(f"{y}_lag{i}") - shift for i in range(L, 0, -1)] + [F.col(f"{c}_lag{i}") for c in past for i in range(L, 0, -1)]
+    xs += [F.col(f"{c}_lead{i}") for c in future for i in range(O)] + [F.col(c) for c in static] + [F.lit(1.0)]
     ys = [F.col(f"{y}_lead{i}") - shift for i in range(O)]
     sums = normal_equations(data, [], xs, ys)
-    T = np.eye(L + 1)
+    K = len(xs)
+    T = np.eye(K)
     if kind == "dlinear":
         M = moving_average_matrix(L, kernel)
-        T = np.zeros((2 * L + 1, L + 1))
-        T[:L, :L], T[L:2 * L, :L], T[2 * L, L] = M, np.eye(L) - M, 1
+        T = np.zeros((L + K, K))
+        T[:L, :L], T[L:2 * L, :L], T[2 * L:, L:] = M, np.eye(L) - M, np.eye(K - L)
 
     @F.pandas_udf("array<double>")
     def pooled(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for xx, xy in batches:
             out = []
             for u, v in zip(xx, xy):
-                a, b = symmetric(u, L + 1), np.reshape(v, (L + 1, O))
+                a, b = symmetric(u, K), np.reshape(v, (K, O))
                 beta = solve(T @ a @ T.T, T @ b, ridge, free=[len(T) - 1])
                 out.append((T.T @ beta).T.ravel().tolist())  # back to a map of the chunk itself
             yield pd.Series(out)
 
+    chunks = -(-horizon // O)
+
     @F.pandas_udf("array<double>")
-    def path(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for beta, tail in batches:
+    def path(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for beta, tail, before, later, fixed in batches:
             out = []
-            for b, t in zip(beta, tail):
+            for b, t, pasts, futures, constant in zip(beta, tail, before, later, fixed):
                 if len(t) < L:
                     out.append([None] * horizon)
                     continue
-                B, w = np.reshape(b, (O, L + 1)), list(t)
-                while len(w) < len(t) + horizon:
+                B, w = np.reshape(b, (O, K)), [np.nan if x is None else x for x in t]
+                held = [np.asarray(x, dtype=float) for x in pasts]
+                known = [pd.Series(x, dtype=float) for x in futures] if futures is not None else [pd.Series([np.nan] * chunks * O)] * len(future)
+                known = [x.where(x.index < horizon, x.ffill()).to_numpy() for x in known]
+                own = np.asarray(constant, dtype=float)
+                for k in range(chunks):
                     x = np.asarray(w[-L:])
                     base = x[-1] if kind == "nlinear" else 0.0
-                    w.extend((B @ np.append(x - base, 1.0) + base).tolist())
-                out.append(w[len(t):len(t) + horizon])
+                    inputs = np.concatenate([x - base, *held, *[z[k * O : (k + 1) * O] for z in known], own, [1.0]])
+                    w.extend((B @ inputs + base).tolist())
+                    held = [np.concatenate([z, np.repeat(z[-1], O)])[-L:] for z in held]
+                found = w[len(t):len(t) + horizon]
+                out.append([None if np.isnan(v) else v for v in found])
             yield pd.Series(out)
 
-    # the fitted map: output_len * (input_len + 1) numbers, whatever the size of the data
+    # the fitted map: output_len numbers for each input, whatever the size of the data
     beta = sums.select(pooled("xx", "xy").alias("beta")).first()["beta"]
-    ready = tails(train, L, [y], keys)
-    fitted = ready.withColumn("path", path(F.array(*map(F.lit, beta)), f"tail_{y}"))
+    ready = tails(train, L, [y, *past], keys)
+    none = F.array().cast("array<double>")
+    if static:
+        ends_of = train.filter(F.col("idx") == F.col("nt") - 1).select(*keys, F.array(*[F.col(c).cast("double") for c in static]).alias("static"))
+        ready = ready.join(ends_of, keys)
+    if future:
+        ready = ready.join(known_ahead(ahead, future, chunks * O, keys), keys, "left")
+    pasts = F.array(*[F.col(f"tail_{c}") for c in past]) if past else F.array().cast("array<array<double>>")
+    fitted = ready.withColumn("path", path(F.array(*map(F.lit, beta)), f"tail_{y}", pasts,
+                                           F.col("ahead") if future else F.array().cast("array<array<double>>"), F.col("static") if static else none))
     return unfold_array(fitted, keys, F.col("path"), freq=freq)
 
 
+def regressed(base: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A univariate forecaster that takes columns known in advance: it forecasts what a regression on them leaves.
+
+    The regression is per key; a step whose columns hold a null or have no row in `ahead` has a null forecast.
+    """
+
+    def fit_predict(train: DataFrame, *, horizon: int, future: Sequence[str] = (), ahead: DataFrame | None = None,
+                    keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D", **params) -> DataFrame:
+        if not future:
+            return base(train, horizon=horizon, keys=keys, y=y, freq=freq, **params)
+        if ahead is None:
+            raise ValueError("columns known in advance need the rows of the horizon")
+        from panelloom.operators import blocks
+
+        keys = list(keys)
+        xs = [F.col(c) for c in future]
+        fitted = coefficients(normal_equations(train, keys, [*xs, F.lit(1.0)], [F.col(y)]), len(future) + 1).select(*keys, "beta")
+        part = sum((F.col("beta")[i] * F.col(c).cast("double") for i, c in enumerate(future)), F.lit(0.0))
+        rest = blocks.lookup(train, fitted, keys).withColumn(y, F.col(y) - part).drop("beta")
+        pred = base(rest, horizon=horizon, keys=keys, y=y, freq=freq, **params)
+        after = ahead.filter(F.col("idx") >= F.col("nt")).select(*keys, "ts", *future)
+        later = blocks.lookup(after, fitted, keys).select(*keys, "ts", part.alias("_part"))
+        return pred.join(later, [*keys, "ts"], "left").withColumn("pred", F.col("pred") + F.col("_part")).drop("_part")
+
+    return fit_predict
+
+
 def fourier_terms(t: Column, periods: dict[float, int]) -> list[Column]:
     """Sine and cosine pairs: `order` of them for each period."""
     out = []

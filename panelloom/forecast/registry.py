@@ -23,7 +23,10 @@ SEARCH_SEED = 10
 
 @dataclass(frozen=True)
 class Forecaster:
-    """K5: a function (train, horizon=, keys=, y=, **params) -> (keys, step, ts, pred) and what it can use."""
+    """K5: a function (train, horizon=, keys=, y=, **params) -> (keys, step, ts, pred) and what it can use.
+
+    A multivariate model takes the kinds of covariates that it names as `past`, `future` (with `ahead`) and `static`.
+    """
 
     fit_predict: Callable[..., DataFrame]
     params: dict = field(default_factory=dict)
@@ -56,7 +59,7 @@ MODELS: dict[str, Forecaster] = {
                           {"input_len": [12, 24, 36], "output_len": [6, 12, 18]}, multivariate=True, past=True, future=True, static=True),
     "DLinear": Forecaster(linear.chunk_linear, {"kind": "dlinear", "input_len": 12, "output_len": 6, "kernel": 25},
                           {"kernel": [15, 25, 35]}, multivariate=True, past=True, future=True, static=True),
-    "Kalman": Forecaster(naive.local_level, {"q": 0.1, "r": 1.0}, {"q": [0.01, 1.0]}, multivariate=True, future=True),
+    "Kalman": Forecaster(linear.regressed(naive.local_level), {"q": 0.1, "r": 1.0}, {"q": [0.01, 1.0]}, multivariate=True, future=True),
 }
 
 
@@ -92,10 +95,13 @@ def score(prepared: DataFrame, forecast: DataFrame, *, keys: Sequence[str] = ("s
 
 
 def run_models(prepared: DataFrame, names: Iterable[str], *, horizon: int, y: str = "y",
-               overrides: dict[str, dict] | None = None) -> DataFrame:
+               overrides: dict[str, dict] | None = None, past: Sequence[str] = (), future: Sequence[str] = (),
+               static: Sequence[str] = ()) -> DataFrame:
     """Forecasts of several models for all series and windows: (model, series, window_id, step, ts, pred).
 
-    The loop is over model names; each adds one branch to the plan.
+    The loop is over model names; each adds one branch to the plan.  Every model gets the covariates that it can take
+    (P15): `past` columns are known on training rows, `future` ones on the rows of the horizon as well, `static` ones are
+    the same on all rows of a series.  No model sees a target or a past column after the training part.
     """
     keys = ["series", "window_id"]
     train = prepared.filter("is_train")
@@ -103,7 +109,10 @@ def run_models(prepared: DataFrame, names: Iterable[str], *, horizon: int, y: st
     for name in names:
         model = MODELS[name]
         params = {**model.params, **(overrides or {}).get(name, {})}
-        pred = model.fit_predict(train, horizon=horizon, keys=keys, y=y, **params)
+        inputs = {kind: cols for kind, cols in usable_inputs(model, past=past, future=future, static=static).items() if cols}
+        if "future" in inputs:
+            inputs["ahead"] = prepared.select(*keys, "idx", "nt", "ts", *future)
+        pred = model.fit_predict(train, horizon=horizon, keys=keys, y=y, **params, **inputs)
         parts.append(pred.select(F.lit(name).alias("model"), *keys, "step", "ts", "pred"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -545,6 +545,38 @@ def m17_exact(spark, sf):
     return rounded(exact_quantiles(rows, [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99], keys=["series"], value="price"), price=4)
 
 
+@query("p15_capability_filter", f"""
+WITH RECURSIVE {v.PREP}, tr AS MATERIALIZED (SELECT * FROM prep WHERE is_train),
+ends AS MATERIALIZED (SELECT series, max(nt) AS nt, max(ts) AS last_ts, arg_max(y, idx) AS last, arg_min(y, idx) AS first FROM tr GROUP BY series),
+lagged AS (SELECT y, n_orders AS x2, lag(y) OVER (PARTITION BY series ORDER BY idx) AS x1 FROM tr),
+s AS (SELECT covar_pop(x1, x1) AS s11, covar_pop(x2, x2) AS s22, covar_pop(x1, x2) AS s12, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y,
+  avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM lagged WHERE x1 IS NOT NULL),
+b AS MATERIALIZED (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS a FROM (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)),
+rec AS (SELECT series, 0 AS step, last AS pred FROM ends
+  UNION ALL SELECT r.series, r.step + 1, b.a + b.b1 * r.pred + b.b2 * p.n_orders FROM rec r JOIN ends e USING (series) JOIN prep p ON p.series = r.series AND p.idx = e.nt + r.step CROSS JOIN b WHERE r.step < {H}),
+preds AS (SELECT 'LinearRegression' AS model, series, step, pred FROM rec WHERE step > 0
+  UNION ALL SELECT 'NaiveDrift', series, step, last + step * (last - first) / (nt - 1) FROM ends CROSS JOIN range(1, {H + 1}) t(step))
+SELECT model, series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts, round(pred, 2) AS pred FROM preds JOIN ends USING (series)""")
+def p15(spark, sf):
+    """The number of orders is planned, so it is known ahead: a univariate model does without, a linear one takes it."""
+    exact = {"LinearRegression": {"input_len": 1, "output_len": 1, "ridge": 0.0}}
+    pred = registry.run_models(prepared(spark, sf), ["NaiveDrift", "LinearRegression"], horizon=H, overrides=exact, future=["n_orders"])
+    return rounded(pred.select("model", "series", "step", "ts", "pred"), pred=2)
+
+
+@query("m18_kalman_with_known_ahead", f"""
+WITH RECURSIVE {v.PREP}, tr AS MATERIALIZED (SELECT * FROM prep WHERE is_train),
+b AS MATERIALIZED (SELECT series, regr_slope(y, n_orders) AS b FROM tr GROUP BY series),
+r AS MATERIALIZED (SELECT tr.series, idx, y - b * n_orders AS e FROM tr JOIN b USING (series)),
+s AS (SELECT series, idx, e * (1e6 / (1e6 + 1)) AS m, (1 - 1e6 / (1e6 + 1)) * 1e6 AS p FROM r WHERE idx = 0
+  UNION ALL SELECT t.series, t.idx, s.m + (s.p + 0.1) / (s.p + 1.1) * (t.e - s.m), (1 - (s.p + 0.1) / (s.p + 1.1)) * (s.p + 0.1) FROM s JOIN r t ON t.series = s.series AND t.idx = s.idx + 1),
+f AS (SELECT series, arg_max(m, idx) AS m FROM s GROUP BY series), e AS (SELECT series, max(ts) AS last_ts, max(nt) AS nt FROM tr GROUP BY series)
+SELECT series, CAST(p.idx - e.nt + 1 AS INTEGER) AS step, p.ts, round(m + b * p.n_orders, 2) AS pred FROM f JOIN e USING (series) JOIN b USING (series) JOIN prep p USING (series) WHERE p.idx >= e.nt AND p.idx < e.nt + {H}""")
+def m18_kalman(spark, sf):
+    pred = registry.run_models(prepared(spark, sf), ["Kalman"], horizon=H, future=["n_orders"])
+    return rounded(pred.select("series", "step", "ts", "pred"), pred=2)
+
+
 @query("m18_all_formula_models")
 def m18(spark, sf):
     p = prepared(spark, sf)
