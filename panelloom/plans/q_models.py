@@ -180,13 +180,13 @@ def s11(spark, sf):
 
 @query("s13_stored_parameters", f"""
 WITH {v.PREP}, f AS (SELECT series, max(ts) AS last_ts, max(nt) AS nt, arg_max(y, idx) AS last, arg_min(y, idx) AS first FROM prep WHERE is_train GROUP BY series)
-SELECT series, CAST(step AS INTEGER) AS step, round(last + step * (last - first) / (nt - 1), 2) AS pred FROM f CROSS JOIN range(1, 31) t(step)""")
+SELECT series, CAST(step AS INTEGER) AS step, round(last + step * (last - first) / (nt - 1), 2) AS pred FROM f CROSS JOIN range(1, {H + 1}) t(step)""")
 def s13(spark, sf):
     path = sinks.scratch_dir(spark) + "/drift"
     train = prepared(spark, sf).filter("is_train")
     sinks.save_params(naive.ends(train, ["series"], first=F.min_by("y", "idx"), last=F.max_by("y", "idx")), path)
     slope = (F.col("last") - F.col("first")) / (F.col("nt") - 1)
-    out = naive.unfold(spark.read.parquet(path), ["series"], 30, F.col("last") + F.col("step") * slope)
+    out = naive.unfold(spark.read.parquet(path), ["series"], H, F.col("last") + F.col("step") * slope)
     return rounded(out.select("series", "step", "pred"), pred=2)
 
 
@@ -292,19 +292,19 @@ def m2(spark, sf):
 
 CHUNKS_SQL = f"""WITH RECURSIVE {v.PREP}, tr AS (SELECT * FROM prep WHERE is_train AND idx >= nt - 12),
 c AS (SELECT series, max(ts) AS last_ts, list(y ORDER BY idx) AS path FROM tr GROUP BY series
-  UNION ALL SELECT series, last_ts, path || list_resize([]::DOUBLE[], 6, {{agg}}(path[-12:])) FROM c WHERE len(path) < 12 + 30)
+  UNION ALL SELECT series, last_ts, path || list_resize([]::DOUBLE[], 6, {{agg}}(path[-12:])) FROM c WHERE len(path) < 12 + {{h}})
 SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts, round(path[12 + step], {{digits}}) AS pred
-FROM c CROSS JOIN range(1, {{h}} + 1) t(step) WHERE len(path) = 12 + 30"""
+FROM c CROSS JOIN range(1, {{h}} + 1) t(step) WHERE len(path) = 12 + {{h}}"""
 
 
-@query("m3_window_mean", CHUNKS_SQL.format(agg="list_avg", h=30, digits=5))
+@query("m3_window_mean", CHUNKS_SQL.format(agg="list_avg", h=H, digits=5))
 def m3(spark, sf):
-    return _out(naive.window_aggregate(prepared(spark, sf).filter("is_train"), horizon=30), 5)
+    return _out(naive.window_aggregate(prepared(spark, sf).filter("is_train"), horizon=H), 5)
 
 
-@query("m3_k2_custom_aggregate", CHUNKS_SQL.format(agg="list_max", h=30, digits=2))
+@query("m3_k2_custom_aggregate", CHUNKS_SQL.format(agg="list_max", h=H, digits=2))
 def k2(spark, sf):
-    return _out(naive.window_aggregate(prepared(spark, sf).filter("is_train"), horizon=30, agg_fn=F.array_max))
+    return _out(naive.window_aggregate(prepared(spark, sf).filter("is_train"), horizon=H, agg_fn=F.array_max))
 
 
 @query("m4_one_lag_regression", f"""
@@ -415,9 +415,9 @@ s AS (SELECT series, a, k, z, q::DOUBLE AS q, 0.0::DOUBLE AS ez, 0.0::DOUBLE AS
 f AS (SELECT series, a, arg_max(z, k) AS z, arg_max(q, k) AS q, sum(ez * ez) AS sz, sum(eq * eq) AS sq FROM s GROUP BY ALL),
 b AS (SELECT series, arg_min(z, sz) / arg_min(q, sq) AS pred FROM f GROUP BY series),
 e AS (SELECT series, max(ts) AS last_ts FROM tr GROUP BY series)
-SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts, round(pred, 2) AS pred FROM b JOIN e USING (series) CROSS JOIN range(1, 31) t(step)""")
+SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts, round(pred, 2) AS pred FROM b JOIN e USING (series) CROSS JOIN range(1, {H + 1}) t(step)""")
 def m8_opt(spark, sf):
-    return _out(naive.croston(demand_panel(spark, sf).filter("is_train"), horizon=30, version="optimized"))
+    return _out(naive.croston(demand_panel(spark, sf).filter("is_train"), horizon=H, version="optimized"))
 
 
 @query("m9_theta", f"""
@@ -455,13 +455,13 @@ d AS (SELECT series, ts, idx, y, y - lag(y) OVER w AS w FROM prep WHERE is_train
 x AS (SELECT *, lag(w) OVER (PARTITION BY series ORDER BY idx) AS x FROM d),
 fit AS (SELECT series, max(ts) AS last_ts, regr_slope(w, x) AS b, regr_intercept(w, x) AS a, arg_max(y, idx) AS last, arg_max(w, idx) AS lw FROM x GROUP BY series),
 r AS (SELECT series, 1 AS step, a + b * lw AS w, last + a + b * lw AS pred FROM fit
-  UNION ALL SELECT r.series, step + 1, a + b * r.w, pred + a + b * r.w FROM r JOIN fit USING (series) WHERE step < 30)
+  UNION ALL SELECT r.series, step + 1, a + b * r.w, pred + a + b * r.w FROM r JOIN fit USING (series) WHERE step < {H})
 SELECT r.series, step, last_ts + to_days(step) AS ts, round(pred, 2) AS pred FROM r JOIN fit USING (series)"""
 
 
 @query("m10_arima_one_lag", ONE_DIFFERENCED_LAG)
 def m10_one(spark, sf):
-    return _out(linear.arima(prepared(spark, sf).filter("is_train"), horizon=30, p=1, d=1))
+    return _out(linear.arima(prepared(spark, sf).filter("is_train"), horizon=H, p=1, d=1))
 
 
 @query("m10_arima_auto")
@@ -472,13 +472,13 @@ def m10(spark, sf):
 
 @query("m11_varima_one_component", ONE_DIFFERENCED_LAG)
 def m11_one(spark, sf):
-    return _out(linear.varima(prepared(spark, sf).filter("is_train"), horizon=30, cols=["y"], p=1, d=1))
+    return _out(linear.varima(prepared(spark, sf).filter("is_train"), horizon=H, cols=["y"], p=1, d=1))
 
 
 @query("m11_varima")
 def m11(spark, sf):
     train = prepared(spark, sf).filter("is_train")
-    return _out(linear.varima(train, horizon=30, cols=["y", "n_orders"], p=6, d=1))
+    return _out(linear.varima(train, horizon=H, cols=["y", "n_orders"], p=6, d=1))
 
 
 @query("m12_strongest_frequencies", f"""
@@ -531,12 +531,12 @@ def m14_one(spark, sf):
 
 @query("m14_nlinear")
 def m14(spark, sf):
-    return _out(linear.chunk_linear(prepared(spark, sf).filter("is_train"), horizon=30, kind="nlinear"))
+    return _out(linear.chunk_linear(prepared(spark, sf).filter("is_train"), horizon=H, kind="nlinear"))
 
 
 @query("m15_dlinear")
 def m15(spark, sf):
-    return _out(linear.chunk_linear(prepared(spark, sf).filter("is_train"), horizon=30, kind="dlinear"))
+    return _out(linear.chunk_linear(prepared(spark, sf).filter("is_train"), horizon=H, kind="dlinear"))
 
 
 @query("m16_local_level", f"""
