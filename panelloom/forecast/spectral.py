@@ -90,11 +90,22 @@ def spectrum(train: DataFrame, *, max_freq: int | None = None, value: str = "v",
     rows = train.select(*keys, F.col("nt").cast("bigint").alias("n"), F.col("idx").cast("bigint").alias("i"), F.col(value).cast("double").alias("re"), F.lit(0.0).alias("im"))
     divisors = F.filter(F.sequence(F.lit(1).cast("bigint"), F.floor(F.sqrt("n"))), lambda d: F.col("n") % d == 0)
     sizes = rows.where("n > 0").groupBy("n").agg(F.lit(1).alias("_")).select("n", F.when(F.col("n") <= local, F.col("n")).otherwise(F.array_max(divisors)).alias("n1"))
-    sizes = stage(sizes.withColumn("apart", (F.col("n") > local) & (F.expr("n div n1") > local)))
-    whole = rows.join(sizes, "n")
-    parts = [_four_steps(whole.where("not apart").drop("apart"), keys)]
-    if not sizes.where("apart").isEmpty():
-        parts.append(_chirp(whole.where("apart").drop("apart", "n1"), keys))
+    way = F.when(F.col("n1") == F.col("n"), "whole").when(F.expr("n div n1") <= local, "steps").otherwise("chirp")
+    sizes = stage(sizes.withColumn("way", way))
+    found = {r.way for r in sizes.select("way").distinct().collect()}
+    cut = rows.join(sizes, "n")
+
+    def part(name: str) -> DataFrame:
+        return cut.where(F.col("way") == name).drop("way")
+
+    parts = []
+    if "whole" in found or not found:
+        one = part("whole").withColumn("_one", F.lit(0))
+        parts.append(_groups(one, "_one", "i", "k", lambda pdf, x: x, keys).select(*keys, "n", "k", "re", "im"))
+    if "steps" in found:
+        parts.append(_four_steps(part("steps"), keys))
+    if "chirp" in found:
+        parts.append(_chirp(part("chirp").drop("n1"), keys))
     top = F.expr("n div 2") if max_freq is None else F.least(F.expr("n div 2"), F.lit(max_freq).cast("bigint"))
     sums = reduce(DataFrame.unionByName, parts).where(F.col("k") <= top)
     sums = sums.select(*keys, "k", "re", (-F.col("im")).alias("im"), F.col("n").alias("nt"))
