@@ -11,8 +11,8 @@ import hashlib
 import json
 import os
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -50,48 +50,119 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def _sums(give: list[int], sizes: list[int]) -> tuple[int, int]:
+    """Lengths of single items, and of one or two items, as sets of bits."""
+    count = Counter(sizes[i] for i in give)
+    one = 0
+    for y in count:
+        one |= 1 << y
+    both = one
+    for y, n in count.items():
+        both |= (one if n > 1 else one ^ 1 << y) << y
+    return one, both
+
+
 def _exchange(to: list[int], gap: int, give: list[int], sizes: list[int]) -> tuple[int, list[int], list[int]]:
-    """Best growth of `to` by items of `give`: a move, one for one, or two for one; (growth, taken, returned)."""
-    best: tuple[int, list[int], list[int]] = (0, [], [])
-    sources = [([y], sizes[y]) for y in give] + [([y, z], sizes[y] + sizes[z]) for y, z in combinations(give, 2)]
-    for taken, size in sources:
-        if len(taken) == 1 and best[0] < size <= gap:
-            best = (size, taken, [])
-        for x in to:
-            if best[0] < size - sizes[x] <= gap:
-                best = (size - sizes[x], taken, [x])
-        if best[0] == gap:
-            break
-    return best
-
-
-def local_search(bins: list[list[int]], sizes: list[int], capacity: int, patience: int = 24) -> list[list[int]]:
+    """Best growth of `to` by items of `give`: a move, one for one, or two for one; (growth, taken, returned).
+
+    Items of one length are alike, and a bin has few lengths (their sum is at most its capacity).
+    """
+    one, both = _sums(give, sizes)
+    growth, size, back = 0, 0, 0
+    for x in sorted({0, *(sizes[i] for i in to)}):
+        fitting = ((both if x else one) & (2 << x + gap) - 1).bit_length() - 1
+        if fitting - x > growth:
+            growth, size, back = fitting - x, fitting, x
+    if not growth:
+        return 0, [], []
+    lengths = [sizes[i] for i in give]
+    if one >> size & 1:
+        taken = [give[lengths.index(size)]]
+    else:
+        first = next(k for k, y in enumerate(lengths) if size - y in lengths[k + 1 :])
+        taken = [give[first], give[lengths.index(size - lengths[first], first + 1)]]
+    return growth, taken, [next(i for i in to if sizes[i] == back)] if back else []
+
+
+class _Underfull:
+    """Underfull bins by a length that they hold (0 for every bin) and by gap."""
+
+    def __init__(self, capacity: int):
+        self.gaps = [0] * capacity  # per length: bit g is set where a bin that holds it has a gap of g
+        self.bins: dict[tuple[int, int], set[int]] = {}
+
+    def add(self, k: int, lengths: set[int], gap: int) -> None:
+        for x in (0, *lengths):
+            self.gaps[x] |= 1 << gap
+            self.bins.setdefault((x, gap), set()).add(k)
+
+    def remove(self, k: int, lengths: set[int], gap: int) -> None:
+        for x in (0, *lengths):
+            found = self.bins[x, gap]
+            found.remove(k)
+            if not found:
+                del self.bins[x, gap]
+                self.gaps[x] ^= 1 << gap
+
+    def taker(self, one: int, both: int, widest: int) -> int | None:
+        """A bin with a gap of `widest` at most that items of these lengths make fuller: full if one can be, else by the largest growth."""
+        best, where, within = 0, None, (2 << widest) - 1
+        for x, gaps in enumerate(self.gaps):
+            if gaps := gaps & within:
+                top = gaps.bit_length()
+                if growths := (both if x else one) >> x & (1 << top) - 2:
+                    if full := growths & gaps:
+                        return next(iter(self.bins[x, full.bit_length() - 1]))
+                    if growths.bit_length() > best:
+                        best, where = growths.bit_length(), (x, top - 1)
+        return next(iter(self.bins[where])) if where else None
+
+
+def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
     """Raise the sum of squared fills by moves and swaps between underfull bins; emptied bins go.
 
-    The least filled bin gives to fuller ones, widest gap first.  A bin that loses nothing to `patience`
-    partners in a row is left as it is, and the next one gives.
+    The least filled bin gives to any that is at least as full, then the next one, over and over until no bin can give;
+    the sum grows with every exchange, so that ends.
     """
     bins = [list(b) for b in bins]
     fill = [sum(sizes[i] for i in b) for b in bins]
+    index = _Underfull(capacity)
+
+    def entry(k: int) -> tuple[int, set[int], int]:
+        return k, {sizes[i] for i in bins[k]}, capacity - fill[k]
+
     underfull = [k for k in range(len(bins)) if fill[k] < capacity]
-    for giver in sorted(underfull, key=lambda k: fill[k]):
-        underfull = [k for k in underfull if 0 < fill[k] < capacity]
-        takers = sorted((k for k in underfull if k != giver and fill[giver] <= fill[k]), key=lambda k: fill[k])
-        idle = 0
-        for k in takers:
-            while bins[giver] and fill[k] < capacity and fill[k] >= fill[giver]:
-                growth, taken, returned = _exchange(bins[k], capacity - fill[k], bins[giver], sizes)
-                if not growth:
-                    idle += 1
+    for k in underfull:
+        index.add(*entry(k))
+    exchanges, kept = 0, {}  # contents that could not give after so many exchanges
+    while True:
+        before = exchanges
+        underfull = sorted((k for k in underfull if 0 < fill[k] < capacity), key=lambda k: (fill[k], k))
+        for giver in underfull:
+            if fill[giver] == capacity:
+                continue
+            content = tuple(sorted(sizes[i] for i in bins[giver]))
+            if kept.get(content) == exchanges:
+                continue
+            index.remove(*entry(giver))
+            while bins[giver]:
+                k = index.taker(*_sums(bins[giver], sizes), capacity - fill[giver])
+                if k is None:
                     break
-                idle = 0
+                index.remove(*entry(k))
+                growth, taken, returned = _exchange(bins[k], capacity - fill[k], bins[giver], sizes)
                 bins[k] = [i for i in bins[k] if i not in returned] + taken
                 bins[giver] = [i for i in bins[giver] if i not in taken] + returned
                 fill[k] += growth
                 fill[giver] -= growth
-            if not bins[giver] or idle >= patience:
-                break
-    return [b for b in bins if b]
+                exchanges += 1
+                if fill[k] < capacity:
+                    index.add(*entry(k))
+            if bins[giver]:
+                index.add(*entry(giver))
+                kept[tuple(sorted(sizes[i] for i in bins[giver]))] = exchanges
+        if exchanges == before:
+            return [b for b in bins if b]
 
 
 def pack(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -181,8 +252,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, pattern: str, *, capacity: i
     stand there; other columns are ignored; an empty table gives no rows.  Sequences are gapless from 0.
     Full pieces have a sequence of their own.  The others are dealt out evenly over groups of about GROUP
     pieces, whatever their ids, so no id or copy makes a group larger, and each group is packed by itself:
-    that costs about one underfull sequence a group.  The local search is capped: a giver stops after 24 partners
-    in a row that take nothing, and each bin gives once.
+    that costs about one underfull sequence a group.  The local search goes on until no exchange is left.
     """
     cuts = staged_in_python(pieces(docs, tokenizer, pattern, capacity=capacity, end_id=end_id, doc_id=doc_id, text=text))
     full = cuts.where(F.col("length") == capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))

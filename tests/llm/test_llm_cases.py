@@ -116,6 +116,36 @@ def test_exchange_kinds():
     assert packing._exchange([1, 0], 5, [4, 3], sizes) == (5, [4, 3], [1])  # two for one
 
 
+def test_no_exchange_is_left():
+    """No move, swap or two-for-one between two bins of the result grows the sum of squared fills."""
+    rng = random.Random(5)
+    for low, high, n in ((1, 60, 60), (20, 45, 120), (34, 100, 80), (5, 5, 50)):
+        sizes = [rng.randint(low, high) for _ in range(n)]
+        found = packing.pack(sizes, 100)
+        fills = [sum(sizes[i] for i in b) for b in found]
+        assert sorted(i for b in found for i in b) == list(range(n)) and max(fills) <= 100
+        for a, give in enumerate(found):
+            for b, to in enumerate(found):
+                if a == b or fills[a] > fills[b]:
+                    continue
+                sums = [sizes[y] for y in give]
+                pairs = [sizes[y] + sizes[z] for y, z in itertools.combinations(give, 2)]
+                growths = [*sums, *(y - sizes[x] for y in sums + pairs for x in to)]
+                assert not any(0 < g <= 100 - fills[b] for g in growths)
+
+
+@pytest.mark.parametrize("low, high", [(3, 3), (300, 500), (513, 1023)])
+def test_whole_groups_are_searched_to_the_end(low, high):
+    """A group of the largest size, with lengths all alike, with many bins that can give, with none that can."""
+    rng = random.Random(7)
+    sizes = [rng.randint(low, high) for _ in range(packing.GROUP)]
+    first = packing.best_fit(sizes, 1024)
+    found = packing.local_search(first, sizes, 1024)
+    assert sorted(i for b in found for i in b) == list(range(packing.GROUP))
+    assert max(sum(sizes[i] for i in b) for b in found) <= 1024
+    assert len(found) < len(first) if low == 300 else len(found) == len(first)
+
+
 def test_encoder(strange_texts):
     """The encoder by ranks gives the tokenizer's ids, around every kind of character."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
