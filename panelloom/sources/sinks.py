@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.util import DefaultParamsReader
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions.metrics import better_first
+from panelloom.sources import commits
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -90,20 +92,23 @@ def merge_leaderboard(old: DataFrame | None, new: DataFrame, first: Sequence[str
 def update_leaderboard(new: DataFrame, path: str, first: Sequence[str]) -> int:
     """Write the merged table as a new version beside the old ones; returns the version.
 
-    A table cannot be overwritten while it is read, and a reader of the old version stays whole.
+    A table cannot be overwritten while it is read, and a reader of the old version stays whole.  Of two writers one comes second
+    and merges with what the first one wrote.
     """
-    stored = read_or_none(new.sparkSession, path)
-    version = 0 if stored is None else stored.agg(F.max("version")).first()[0]
-    old = read_or_none(new.sparkSession, f"{path}/version={version}")
-    merged = merge_leaderboard(old, new, first)
-    merged.withColumn("version", F.lit(version + 1)).write.mode("append").partitionBy("version").parquet(path)
-    return version + 1
+    spark = new.sparkSession
+
+    def write(old: str | None, folder: str) -> None:
+        merge_leaderboard(old and spark.read.parquet(old), new, first).write.parquet(folder)
+
+    return commits.commit_table(spark, path, write)
 
 
 def read_leaderboard(spark: SparkSession, path: str) -> DataFrame:
     """Latest version of a leaderboard."""
-    latest = spark.read.parquet(path).agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/version={latest}")
+    version, name = commits.latest(spark, path)
+    if not version:
+        raise ValueError(f"no leaderboard below {path}")
+    return spark.read.parquet(f"{path}/data/{name}")
 
 
 def trial_columns(trials: DataFrame, prefix: str = "user_attrs_") -> DataFrame:
@@ -117,17 +122,27 @@ def update_trials(trials: DataFrame, path: str, first: Sequence[str]) -> int:
 
 
 def save_if_better(spark: SparkSession, path: str, settings: dict, loss: float, best: float | None) -> bool:
-    """Keep the settings only when the new loss beats the recorded one."""
-    if best is not None and not loss < best:
-        return False
-    row = spark.createDataFrame([(json.dumps(settings, sort_keys=True), float(loss))], "settings string, loss double")
-    row.write.mode("append").parquet(path)
+    """Keep the settings only when the new loss beats the recorded one, in `best` and below `path`.
+
+    The record is committed before its row is appended to the table; a writer that another one overtook compares again.
+    """
+    saved = json.dumps(settings, sort_keys=True)
+    while True:
+        version, last = commits.latest(spark, path)
+        known = [x for x in (best, last and json.loads(last)["loss"]) if x is not None]
+        if not all(loss < x for x in known):
+            return False
+        if commits.commit(spark, path, version + 1, json.dumps({"loss": float(loss), "settings": saved})):
+            break
+    spark.createDataFrame([(saved, float(loss))], "settings string, loss double").write.mode("append").parquet(path)
     return True
 
 
 def best_settings(spark: SparkSession, path: str) -> dict:
-    row = spark.read.parquet(path).agg(F.min(F.struct("loss", "settings")).alias("b")).select("b.settings").first()
-    return json.loads(row[0])
+    _, last = commits.latest(spark, path)
+    if last is None:
+        raise ValueError(f"no settings below {path}")
+    return json.loads(json.loads(last)["settings"])
 
 
 def save_params(params: DataFrame, path: str) -> None:
@@ -147,7 +162,13 @@ def load_fitted(spark: SparkSession, path: str):
 
 def register_model(spark: SparkSession, path: str, dataset: str, model: str, model_path: str, settings_path: str,
                    version: str) -> None:
-    """Append a row to the model registry."""
+    """Append a row to the model registry.
+
+    A version of a model is claimed by a file first, so two writers cannot register the same one; the second gets an error.
+    """
+    claim = f"{path}/_commits/" + "/".join(quote(x, safe="") for x in (dataset, model, version))
+    if not commits.create_once(spark, claim, model_path):
+        raise ValueError(f"version {version!r} of {model!r} on {dataset!r} is registered already")
     row = [(dataset, model, model_path, settings_path, version)]
     spark.createDataFrame(
         row, "dataset string, model string, model_path string, settings_path string, version string"

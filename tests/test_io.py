@@ -84,6 +84,35 @@ def test_best_settings_only_improve(spark, tmp_path):
     assert sinks.best_settings(spark, path) == {"lr": 3}
 
 
+def test_writers_side_by_side_lose_nothing(spark, tmp_path):
+    """Four writers update one leaderboard, one record and one registry at the same time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    board, best, registered = f"{tmp_path}/board", f"{tmp_path}/best", f"{tmp_path}/registry"
+
+    def write(k):
+        versions = []
+        for i in range(2):
+            row = spark.createDataFrame([(f"{k}-{i}", float(10 * k + i))], "name string, loss double")
+            versions.append(sinks.update_leaderboard(row, board, ["loss"]))
+        sinks.save_if_better(spark, best, {"lr": k}, 4.0 - k, None)
+        try:
+            sinks.register_model(spark, registered, "panel", "linear/a", f"m{k}", "settings", "1")
+        except ValueError:
+            return versions, 0
+        return versions, 1
+
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(write, range(4)))
+    assert sorted(v for versions, _ in done for v in versions) == list(range(1, 9))
+    rows = sinks.read_leaderboard(spark, board)
+    assert {r.name for r in rows.collect()} == {f"{k}-{i}" for k in range(4) for i in range(2)}
+    assert sinks.best_settings(spark, best) == {"lr": 3}
+    assert sum(won for _, won in done) == 1 == spark.read.parquet(registered).count()
+    with pytest.raises(ValueError):
+        sinks.read_leaderboard(spark, f"{tmp_path}/none")
+
+
 def test_trial_prefix(spark):
     df = spark.createDataFrame([(1, 2.0)], "number int, user_attrs_val_MAPE double")
     assert sinks.trial_columns(df).columns == ["number", "val_MAPE"]
