@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelloom.forecast.naive import KEYS, ends, unfold_array
@@ -82,84 +84,238 @@ def lagged(train: DataFrame, cols: Sequence[str], lags: int, keys: Sequence[str]
     return lag_features(train, {c: range(1, lags + 1) for c in cols}, leads=steps, series=list(keys))
 
 
-def difference(col: str, d: int, lag: int) -> Column:
-    """The d-th difference of a column, `lag` rows back, from its lags <col>_lag1.. in the same row."""
-    terms = [(-1) ** i * math.comb(d, i) * F.col(f"{col}_lag{lag + i}" if lag + i else col).cast("double") for i in range(d + 1)]
+def polynomial(d: int, season: int = 0, D: int = 0) -> np.ndarray:
+    """Coefficients of d differences and D seasonal ones, the newest value first."""
+    out = np.ones(1)
+    for lag in [1] * d + [season] * D:
+        out = np.convolve(out, [1.0, *[0.0] * (lag - 1), -1.0])
+    return out
+
+
+def difference(col: str, d: int, lag: int, season: int = 0, D: int = 0) -> Column:
+    """The d-th (and D-th seasonal) difference of a column, `lag` rows back, from its lags <col>_lag1.. in the same row."""
+    terms = [float(c) * F.col(f"{col}_lag{lag + i}" if lag + i else col).cast("double") for i, c in enumerate(polynomial(d, season, D)) if c]
     return sum(terms[1:], terms[0])
 
 
+def continued(tail: np.ndarray, beta: dict[int, float], differences: np.ndarray, horizon: int, line: tuple[float, float] = (0.0, 0.0)) -> np.ndarray:
+    """Continue a series by an autoregression (coefficient by lag) on its differences, around a line (value at step 1, slope)."""
+    w, levels, path = list(np.convolve(tail, differences, "valid")), list(tail), []
+    for h in range(horizon):
+        w.append(line[0] + h * line[1] + sum(b * w[-lag] for lag, b in beta.items()))
+        levels.append(w[-1] - sum(c * levels[-j] for j, c in enumerate(differences) if j))
+        path.append(levels[-1])
+    return np.asarray(path)
+
+
 def ar_path(tail: np.ndarray, beta: np.ndarray, d: int, horizon: int) -> np.ndarray:
     """Continue a series by an autoregression (beta = lag 1.., intercept last) on its d-th differences."""
-    levels = [tail]
-    for _ in range(d):
-        levels.append(np.diff(levels[-1]))
-    p = len(beta) - 1
-    w = list(levels[-1][-p:]) if p else []
-    path = []
-    for _ in range(horizon):
-        nxt = beta[-1] + sum(beta[i] * w[-1 - i] for i in range(p))
-        w.append(nxt)
-        path.append(nxt)
-    out = np.asarray(path)
-    for level in reversed(levels[:-1]):
-        out = level[-1] + np.cumsum(out)
-    return out
+    return continued(tail, dict(enumerate(beta[:-1], 1)), polynomial(d), horizon, (beta[-1], 0.0))
 
 
-def arima(train: DataFrame, *, horizon: int, p: int = 12, d: int = 1, orders: Sequence[int] | None = None,
-          differences: Sequence[int] | None = None, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
-    """ARIMA(p, d, 0) per series by conditional least squares; with `orders` the p of least AIC.
+@dataclass(frozen=True)
+class Order:
+    """An autoregression: p lags and P lags of the season, on d differences and D of the season, with a trend n, c, t or ct.
 
-    All orders come from one set of sums: the equations of a smaller order are a leading part of
-    those of the largest.  Adds the chosen p and d and the AIC.  A series too short for the lags has
-    null forecasts.
+    The trend is a constant (c) and a slope over positions (t) of the differenced series.
     """
-    orders = [p] if orders is None else list(orders)
-    differences = [d] if differences is None else list(differences)
-    most, deep = max(orders), max(differences)
+
+    p: int = 12
+    d: int = 1
+    trend: str = "c"
+    P: int = 0
+    D: int = 0
+
+    def lags(self, season: int) -> list[int]:
+        return sorted({*range(1, self.p + 1), *(season * i for i in range(1, self.P + 1))})
+
+
+def arima_fits(train: DataFrame, orders: Sequence[Order], *, horizon: int, season: int = 0, keys: Sequence[str] = KEYS, y: str = "y") -> DataFrame:
+    """(keys, last_ts, order, aic, path): conditional least squares of every order; `order` is its place in `orders`.
+
+    Orders with the same differences come from one set of sums: the equations of a smaller one are a part of those of all lags.  All
+    are fitted on the same rows, so that criteria compare.  A series too short for all lags has null paths.
+    """
+    if any(o.trend not in ("n", "c", "t", "ct") or o.p < 0 or (o.P or o.D) and season < 2 for o in orders):
+        raise ValueError("a trend is n, c, t or ct; lags and differences of a season need its length")
     keys = list(keys)
-    parts = []
+    lags = sorted({lag for o in orders for lag in o.lags(season)})
+    kinds = sorted({(o.d, o.D) for o in orders})
+    reach = max(lags, default=0) + max(d + season * D for d, D in kinds)
     # one halo of lags of the values; differences and their lags are arithmetic on it
-    rows = lagged(train, [y], most + deep, keys) if most + deep else train
-    # every order and difference is fitted on the same rows, so that criteria compare
-    rows = rows.filter(F.col("idx") >= most + deep)
-    for dd in differences:
-        xs = [difference(y, dd, i) for i in range(1, most + 1)] + [F.lit(1.0)]
-        parts.append(normal_equations(rows, keys, xs, [difference(y, dd, 0)]).withColumn("d", F.lit(dd)))
+    rows = lagged(train, [y], reach, keys) if reach else train
+    rows = rows.filter(F.col("idx") >= reach)
+    line = [F.lit(1.0), *([F.col("idx").cast("double")] if any("t" in o.trend for o in orders) else [])]
+    k = len(lags) + len(line)
+    parts = []
+    for d, D in kinds:
+        xs = [difference(y, d, i, season, D) for i in lags] + line
+        parts.append(normal_equations(rows, keys, xs, [difference(y, d, 0, season, D)]).withColumn("_plain", F.lit(d)).withColumn("_seasonal", F.lit(D)))
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
-    k = most + 1
-
-    @F.pandas_udf("struct<aic: double, p: int, path: array<double>>")
-    def best(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for m, xx, xy, yy, dd, tail in batches:
-            rows = []
-            for mi, u, v, s, di, t in zip(m, xx, xy, yy, dd, tail):
-                if u is None or len(t) <= most + deep:
-                    rows.append((None, None, [None] * horizon))
+
+    @F.pandas_udf("array<struct<order: int, aic: double, path: array<double>>>")
+    def fits(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            out = []
+            for m, u, v, s, d, D, n, t in zip(*columns):
+                own = [i for i, o in enumerate(orders) if pd.isna(d) or (o.d, o.D) == (d, D)]
+                if u is None or len(t) <= reach:
+                    out.append([(i, None, [None] * horizon) for i in own])
                     continue
                 full, rhs = symmetric(u, k), np.asarray(v)
-                choice = None
-                for order in orders:
-                    pick = [*range(order), most]
-                    beta = solve(full[np.ix_(pick, pick)], rhs[pick][:, None])[:, 0]
-                    sse = max(s[0] - 2 * beta @ rhs[pick] + beta @ full[np.ix_(pick, pick)] @ beta, 1e-300)
-                    aic = mi * math.log(sse / mi) + 2 * (order + 1 + di)
-                    if choice is None or aic < choice[0]:
-                        choice = (aic, order, ar_path(np.asarray(t), beta, int(di), horizon).tolist())
-                rows.append(choice)
-            yield pd.DataFrame(rows, columns=["aic", "p", "path"])
-
-    joined = tails(train, most + deep + 1, [y], keys).join(sums, keys, "left")
-    fitted = joined.withColumn("b", best("m", "xx", "xy", "yy", "d", f"tail_{y}"))
-    chosen = fitted.groupBy(*keys).agg(F.min(F.struct("b.aic", "d", "b.p", "b.path", "last_ts")).alias("c")).select(*keys, "c.*")
-    return unfold_array(chosen, keys, F.col("path"), freq=freq).join(chosen.select(*keys, "p", "d", "aic"), keys)
-
-
-def varima(train: DataFrame, *, horizon: int, cols: Sequence[str], p: int = 12, d: int = 1, keys: Sequence[str] = KEYS,
-           freq: str = "D") -> DataFrame:
-    """VARIMA(p, d, 0): every component on the lags of all; `pred` is the first, `preds` all of them."""
+                found = []
+                for i in own:
+                    o = orders[i]
+                    used = o.lags(season)
+                    pick = [*(lags.index(x) for x in used), *([len(lags)] if "c" in o.trend else []), *([len(lags) + 1] if "t" in o.trend else [])]
+                    beta = solve(full[np.ix_(pick, pick)], rhs[pick][:, None])[:, 0] if pick else np.zeros(0)
+                    sse = max(s[0] - 2 * beta @ rhs[pick] + beta @ full[np.ix_(pick, pick)] @ beta, 1e-300) if pick else max(s[0], 1e-300)
+                    slope = beta[-1] if "t" in o.trend else 0.0
+                    start = (beta[len(used)] if "c" in o.trend else 0.0) + slope * n
+                    path = continued(np.asarray(t), dict(zip(used, beta)), polynomial(o.d, season, o.D), horizon, (start, slope))
+                    found.append((i, m * math.log(sse / m) + 2 * (len(pick) + o.d + o.D), path.tolist()))
+                out.append(found)
+            yield pd.Series(out)
+
+    joined = tails(train, reach + 1, [y], keys).join(sums, keys, "left")
+    fitted = joined.withColumn("f", F.explode(fits("m", "xx", "xy", "yy", "_plain", "_seasonal", "nt", f"tail_{y}")))
+    return fitted.select(*keys, "last_ts", "f.order", "f.aic", "f.path")
+
+
+def arima(train: DataFrame, *, horizon: int, p: int = 12, d: int = 1, orders: Sequence[int] | None = None,
+          differences: Sequence[int] | None = None, trend: str = "c", trends: Sequence[str] | None = None, season: int = 0, P: int = 0, D: int = 0,
+          keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
+    """ARIMA(p, d, 0)(P, D, 0) per series by conditional least squares; of several `orders`, `differences` and `trends` those of least AIC.
+
+    Adds the chosen p, d and trend and the AIC.  A series too short for the lags has null forecasts.
+    """
+    keys = list(keys)
+    tried = [Order(o, dd, t, P, D) for dd in sorted([d] if differences is None else differences)
+             for o in sorted([p] if orders is None else orders) for t in ([trend] if trends is None else trends)]
+    fitted = arima_fits(train, tried, horizon=horizon, season=season, keys=keys, y=y)
+    # ties go to the first one tried; a series without a fit keeps its null path
+    chosen = fitted.groupBy(*keys).agg(F.min(F.struct("aic", "order", "path", "last_ts")).alias("c")).select(*keys, "c.*")
+    own = [F.array(*[F.lit(getattr(o, name)) for o in tried])[F.col("order")] for name in ("p", "d", "trend")]
+    known = F.col("aic").isNotNull()
+    described = chosen.select(*keys, *[F.when(known, c).alias(name) for name, c in zip(("p", "d", "trend"), own)], "aic")
+    return unfold_array(chosen, keys, F.col("path"), freq=freq).join(described, keys)
+
+
+def arima_candidates(train: DataFrame, candidates: Sequence[dict], *, horizon: int, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame | None:
+    """Forecasts of many parameter sets from the sums of all lags: (keys, trial, step, ts, pred); None if their seasons differ.
+
+    All are fitted on the rows that have the lags of the largest.
+    """
+    seasons = {c.get("season", 0) for c in candidates}
+    if len(seasons) > 1 or any({"orders", "differences", "trends"} & c.keys() for c in candidates):
+        return None
+    tried = [Order(**{name: c[name] for name in ("p", "d", "trend", "P", "D") if name in c}) for c in candidates]
+    fitted = arima_fits(train, tried, horizon=horizon, season=seasons.pop(), keys=keys, y=y).withColumnRenamed("order", "trial")
+    return unfold_array(fitted, [*keys, "trial"], F.col("path"), freq=freq)
+
+
+def levinson(autocovariance: np.ndarray, most: int) -> list[tuple[np.ndarray, float]]:
+    """Coefficients and error variance of the autoregressions of order 0 to `most` from autocovariances, one order from the last."""
+    phi, error = np.zeros(0), max(float(autocovariance[0]), 0.0)
+    out = [(phi, error)]
+    for p in range(1, most + 1):
+        if error <= 1e-12 * autocovariance[0] or autocovariance[0] <= 0:
+            break
+        k = (autocovariance[p] - phi @ autocovariance[p - 1 : 0 : -1]) / error if p > 1 else autocovariance[1] / error
+        phi = np.append(phi - k * phi[::-1], k)
+        error *= 1 - k * k
+        out.append((phi, max(error, 0.0)))
+    return out
+
+
+def stationarity(partial_squares: float, autocovariance: np.ndarray, n: float) -> float:
+    """KPSS statistic of a level: squared partial sums against the long-run variance (Bartlett weights)."""
+    width = int(4 * (n / 100) ** 0.25)
+    long_run = autocovariance[0] + 2 * sum((1 - i / (width + 1)) * autocovariance[i] for i in range(1, width + 1))
+    return partial_squares / (n * n * long_run) if long_run > 0 else 0.0
+
+
+def auto_arima(train: DataFrame, *, horizon: int, max_p: int = 5, max_d: int = 2, season: int = 0, critical: float = 0.463,
+               keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
+    """M10 automatic: the fewest differences whose KPSS statistic is below `critical` (5 %), then the order of least AIC.
+
+    All orders up to max_p, and those of the season and the one after it, come from one set of autocovariances by the Levinson-Durbin recursion.  Partial sums
+    are taken per block of rows and carried over, so no series is gathered.  Adds p, d, the statistic and the AIC.  A series with
+    a null inside, or one with 10 rows at most beside its lags, has null forecasts.
+    """
+    from panelloom.operators import blocks
+
+    keys = list(keys)
+    longest = train.agg(F.max("nt")).first()[0] or 1
+    width = int(4 * (longest / 100) ** 0.25)
+    top = max(max_p, season + 1 if season else 0)
+    most, degrees = max(top, width, 1), range(max_d + 1)
+    idx, n = F.col("idx"), F.col("nt")
+
+    def mean(d: int) -> Column:
+        # a sum of differences is the last one of one degree less, minus the first
+        if not d:
+            return F.avg(y)
+        terms = [float(c) * (F.when(idx == n - 1 - j, F.col(y)).when(idx == d - 1 - j, -F.col(y)).otherwise(0.0)) for j, c in enumerate(polynomial(d - 1))]
+        return F.try_divide(F.sum(sum(terms[1:], terms[0])), F.max(n) - d)
+
+    means = train.groupBy(*keys).agg((F.count(y) == F.max(n)).alias("whole"), *[mean(d).alias(f"mean{d}") for d in degrees])
+    usable = means.filter("whole").drop("whole")
+    rows = blocks.lookup(lagged(train, [y], most + max_d, keys), usable, keys)
+    centred = {(d, i): F.when(idx >= d + i, difference(y, d, i) - F.col(f"mean{d}")) for d in degrees for i in range(most + 1)}
+    gammas = [F.array(*[F.coalesce(F.sum(centred[d, 0] * centred[d, i]), F.lit(0.0)) for i in range(most + 1)]).alias(f"g{d}") for d in degrees]
+    block = F.expr(f"idx div {blocks.BLOCK_ROWS}")
+    inside = W.partitionBy(*keys, "_blk").orderBy("idx").rowsBetween(W.unboundedPreceding, 0)
+    parts = rows.select(*keys, "idx", "nt", y, *[F.col(f"{y}_lag{i}") for i in range(1, most + max_d + 1)], *[f"mean{d}" for d in degrees], block.alias("_blk"))
+    parts = parts.select("*", *[F.coalesce(centred[d, 0], F.lit(0.0)).alias(f"c{d}") for d in degrees])
+    parts = parts.select("*", *[F.sum(f"c{d}").over(inside).alias(f"s{d}") for d in degrees])
+    per_block = parts.groupBy(*keys, "_blk").agg(
+        F.count(F.lit(1)).alias("b"), *gammas, *[F.sum(f"c{d}").alias(f"c{d}") for d in degrees], *[F.sum(f"s{d}").alias(f"s{d}") for d in degrees],
+        *[F.sum(F.col(f"s{d}") * F.col(f"s{d}")).alias(f"q{d}") for d in degrees])
+    earlier = W.partitionBy(*keys).orderBy("_blk").rowsBetween(W.unboundedPreceding, -1)
+    carried = per_block.select("*", *[F.coalesce(F.sum(f"c{d}").over(earlier), F.lit(0.0)).alias(f"o{d}") for d in degrees])
+    squares = [F.sum(F.col("b") * F.col(f"o{d}") ** 2 + 2 * F.col(f"o{d}") * F.col(f"s{d}") + F.col(f"q{d}")) for d in degrees]
+    sums = carried.groupBy(*keys).agg(
+        F.array(*squares).alias("squares"), *[F.array(*[F.sum(F.col(f"g{d}")[i]) for i in range(most + 1)]).alias(f"g{d}") for d in degrees])
+    stats = sums.join(usable, keys).select(*keys, "squares", F.array(*[f"g{d}" for d in degrees]).alias("g"), F.array(*[f"mean{d}" for d in degrees]).alias("means"))
+    orders = sorted({*range(max_p + 1), *((season, season + 1) if season else ())})
+
+    @F.pandas_udf("struct<p: int, d: int, kpss: double, aic: double, path: array<double>>")
+    def choose(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            out = []
+            for squares, g, mean, nt, tail in zip(*columns):
+                if squares is None or nt <= top + max_d + 10:
+                    out.append((None, None, None, None, [None] * horizon))
+                    continue
+                for d in degrees:
+                    size = nt - d
+                    gamma = np.asarray(g[d], dtype=float) / size
+                    kpss = stationarity(squares[d], gamma, size)
+                    if kpss <= critical:
+                        break
+                found = levinson(gamma, top)
+                scored = [(size * math.log(max(found[p][1], 1e-300)) + 2 * (p + 1 + d), p) for p in orders if p < len(found)]
+                aic, p = min(scored)
+                phi = found[p][0]
+                path = continued(np.asarray(tail), dict(enumerate(phi, 1)), polynomial(d), horizon, (mean[d] * (1 - phi.sum()), 0.0))
+                out.append((p, d, kpss, aic, path.tolist()))
+            yield pd.DataFrame(out, columns=["p", "d", "kpss", "aic", "path"])
+
+    joined = tails(train, top + max_d + 1, [y], keys).join(stats, keys, "left")
+    fitted = joined.withColumn("b", choose("squares", "g", "means", "nt", f"tail_{y}")).select(*keys, "last_ts", "b.*")
+    return unfold_array(fitted, keys, F.col("path"), freq=freq).join(fitted.select(*keys, "p", "d", "kpss", "aic"), keys)
+
+
+def varima(train: DataFrame, *, horizon: int, cols: Sequence[str] = (), p: int = 12, d: int = 1, keys: Sequence[str] = KEYS,
+           y: str = "y", past: Sequence[str] = (), freq: str = "D") -> DataFrame:
+    """VARIMA(p, d, 0): every component on the lags of all; `pred` is the first, `preds` all of them.
+
+    The components are `cols`, or the target and the `past` columns.
+    """
+    cols = list(cols) or [y, *past]
     keys, m = list(keys), len(cols)
     # one halo of lags of all values; differences and their lags are arithmetic on it
     data = lagged(train, cols, p + d, keys)

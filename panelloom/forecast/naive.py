@@ -109,14 +109,14 @@ def weighted_level(weight: Column, value: Column) -> Column:
     return F.when(F.count(value) == F.max("nt"), total).otherwise(F.try_divide(total, known))
 
 
-def smoothed(train: DataFrame, *, horizon: int, alpha: float = 0.3, keys: Sequence[str] = KEYS, y: str = "y",
+def smoothed(train: DataFrame, *, horizon: int, alpha: Column | float = 0.3, keys: Sequence[str] = KEYS, y: str = "y",
              freq: str = "D") -> DataFrame:
     """M7 simple: exponentially smoothed level with a given alpha; null values leave the weights of the others in proportion."""
     level = weighted_level(ses_weight(alpha, F.col("idx"), F.col("nt")), F.col(y))
     return unfold(ends(train, keys, level=level), keys, horizon, F.col("level"), freq=freq)
 
 
-def theta(train: DataFrame, *, horizon: int, theta_: float = 2.0, alpha: float = 0.2, season: int = 0,
+def theta(train: DataFrame, *, horizon: int, theta_: Column | float = 2.0, alpha: Column | float = 0.2, season: int = 0,
           season_mode: str = "multiplicative", keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
     """M9: linear trend combined with the smoothed theta line theta*y + (1 - theta)*trend.
 
@@ -177,6 +177,27 @@ def demand(train: DataFrame, *, keys: Sequence[str] = KEYS, y: str = "y",
     )
 
 
+def as_rows(model: Callable[..., DataFrame], names: Sequence[str]) -> Callable[..., DataFrame | None]:
+    """M19 for a model that is one aggregation: candidates are a column of its rows, so that one plan fits any number of them.
+
+    The result is (keys, trial, step, ts, pred), or None if the candidates set other parameters than `names`.  A training row is multiplied by the candidates
+    within its task; what is shuffled are the sums of each.
+    """
+
+    def many(train: DataFrame, candidates: Sequence[dict], *, horizon: int, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame | None:
+        own = sorted(candidates[0])
+        if any(sorted(c) != own for c in candidates) or set(own) - set(names):
+            return None
+        rows = train.select(*keys, "idx", "nt", "ts", F.col(y), F.inline(candidate_array(candidates, own)))
+        return model(rows, horizon=horizon, keys=[*keys, "trial", *own], y=y, freq=freq, **{c: F.col(c) for c in own}).drop(*own)
+
+    return many
+
+
+def candidate_array(candidates: Sequence[dict], names: Sequence[str]) -> Column:
+    return F.array(*[F.struct(F.lit(i).alias("trial"), *[F.lit(float(c[n])).alias(n) for n in names]) for i, c in enumerate(candidates)])
+
+
 def croston(train: DataFrame, *, horizon: int, version: str = "classic", alpha: float = 0.1, alpha_d: float = 0.1,
             alpha_p: float = 0.1, grid: Sequence[float] = (0.1, 0.2, 0.3), keys: Sequence[str] = KEYS, y: str = "y",
             freq: str = "D") -> DataFrame:
@@ -210,7 +231,25 @@ def croston(train: DataFrame, *, horizon: int, version: str = "classic", alpha:
     return unfold(joined, keys, horizon, F.coalesce("value", F.lit(0.0)), freq=freq)
 
 
-def local_level(train: DataFrame, *, horizon: int, q: float = 0.1, r: float = 1.0, p0: float = 1e6,
+def croston_candidates(train: DataFrame, candidates: Sequence[dict], *, horizon: int, keys: Sequence[str] = KEYS, y: str = "y",
+                       freq: str = "D") -> DataFrame | None:
+    """M19 for the classic and bias-corrected versions: demand is numbered once, candidates are a column of its rows."""
+    if any(c.get("version", "classic") not in ("classic", "sba") or c.keys() - {"version", "alpha"} for c in candidates):
+        return None
+    keys = list(keys)
+    full = [{"alpha": c.get("alpha", 0.1), "biased": float(c.get("version", "classic") == "classic")} for c in candidates]
+    table = candidate_array(full, ["alpha", "biased"])
+    rows = demand(train, keys=keys, y=y).select(*keys, "k", "kn", "z", "q", F.inline(table))
+    w = ses_weight(F.col("alpha"), F.col("k"), F.col("kn"))
+    fitted = rows.groupBy(*keys, "trial", "alpha", "biased").agg(F.sum(w * F.col("z")).alias("z"), F.sum(w * F.col("q")).alias("q"))
+    factor = F.when(F.col("biased") == 1, 1.0).otherwise(1 - F.col("alpha") / 2)
+    values = fitted.select(*keys, "trial", (factor * F.try_divide(F.col("z"), F.col("q"))).alias("value"))
+    base = ends(train, keys).select("*", F.inline(table)).drop("alpha", "biased")
+    joined = base.join(values, [*keys, "trial"], "left")
+    return unfold(joined, [*keys, "trial"], horizon, F.coalesce("value", F.lit(0.0)), freq=freq)
+
+
+def local_level(train: DataFrame, *, horizon: int, q: Column | float = 0.1, r: Column | float = 1.0, p0: float = 1e6,
                 keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
     """Kalman filter with one random-walk state, started at 0 with variance p0.
 
@@ -219,24 +258,20 @@ def local_level(train: DataFrame, *, horizon: int, q: float = 0.1, r: float = 1.
     a line times a power where q is 0, and gains and their products are ratios of v.  Null values leave the weights of
     the others in proportion.
     """
-    if q < 0 or r <= 0 or p0 <= 0:
+    if p0 <= 0 or any(isinstance(x, (int, float)) and x < low for x, low in ((q, 0), (r, 1e-300))):
         raise ValueError("the variances r and p0 must be above 0, q at least 0")
     idx, n = F.col("idx").cast("double"), F.col("nt").cast("double")
+    q, r = (x if isinstance(x, Column) else F.lit(float(x)) for x in (q, r))
     u0, v0 = p0 * r, p0 + r
-    root = math.sqrt(q * q + 4 * q * r)
+    root = F.sqrt(q * q + 4 * q * r)
     large = (q + 2 * r + root) / 2
-    if q == 0:
-        def v(i: Column) -> Column:
-            return v0 + i * (u0 / r)
-    else:
-        small = r * r / large
-        first = (u0 + (q + r) * v0 - small * v0) / root
-        ratio = small / large
+    small = r * r / large
+    first = F.try_divide(u0 + (q + r) * v0 - small * v0, root)
 
-        def v(i: Column) -> Column:
-            return first + (v0 - first) * F.pow(F.lit(ratio), i)
+    def v(i: Column) -> Column:
+        return F.when(root > 0, first + (v0 - first) * F.pow(small / large, i)).otherwise(v0 + i * (u0 / r))
 
     # v(i) is in units of large ** i
-    gain = F.when(idx == 0, F.lit(p0 / (p0 + r))).otherwise(1 - (r / large) * v(idx - 1) / v(idx))
-    weight = gain * v(idx) / v(n - 1) * F.pow(F.lit(r / large), n - 1 - idx)
+    gain = F.when(idx == 0, p0 / (p0 + r)).otherwise(1 - (r / large) * v(idx - 1) / v(idx))
+    weight = gain * v(idx) / v(n - 1) * F.pow(r / large, n - 1 - idx)
     return unfold(ends(train, keys, level=weighted_level(weight, F.col(y))), keys, horizon, F.col("level"), freq=freq)

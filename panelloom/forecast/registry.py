@@ -26,6 +26,7 @@ class Forecaster:
     """K5: a function (train, horizon=, keys=, y=, **params) -> (keys, step, ts, pred) and what it can use.
 
     A multivariate model takes the kinds of covariates that it names as `past`, `future` (with `ahead`) and `static`.
+    `many` (train, candidates, horizon=, keys=, y=) forecasts all candidates of a search by one plan, (keys, trial, step, ts, pred), or gives None.
     """
 
     fit_predict: Callable[..., DataFrame]
@@ -35,6 +36,7 @@ class Forecaster:
     past: bool = False
     future: bool = False
     static: bool = False
+    many: Callable[..., DataFrame | None] | None = None
 
 
 MODELS: dict[str, Forecaster] = {
@@ -46,12 +48,15 @@ MODELS: dict[str, Forecaster] = {
     ),
     "LinearRegression": Forecaster(linear.chunk_linear, {"kind": "linear"}, {"input_len": [3, 6, 12]}, multivariate=True, past=True, future=True, static=True),
     "ExponentialSmoothing": Forecaster(smoothing.exponential_smoothing, {"kinds": ("simple", "holt", "damped")}),
-    "SimpleSmoothing": Forecaster(naive.smoothed, {"alpha": 0.3}, {"alpha": [0.05, 0.9]}),
+    "SimpleSmoothing": Forecaster(naive.smoothed, {"alpha": 0.3}, {"alpha": [0.05, 0.9]}, many=naive.as_rows(naive.smoothed, ["alpha"])),
     "Croston": Forecaster(
-        naive.croston, {"version": "classic"}, {"version": ["classic", "optimized", "sba"]}, future=True,
+        naive.croston, {"version": "classic"}, {"version": ["classic", "optimized", "sba"], "alpha": [0.05, 0.5]}, many=naive.croston_candidates,
     ),
-    "Theta": Forecaster(naive.theta, {"theta_": 2.0}, {"theta_": [1.0, 3.0], "alpha": [0.05, 0.5]}),
-    "ARIMA": Forecaster(linear.arima, {"p": 12, "d": 1}, {"p": [0, 10], "d": [0, 2]}, future=True),
+    "Theta": Forecaster(naive.theta, {"theta_": 2.0}, {"theta_": [1.0, 3.0], "alpha": [0.05, 0.5]}, many=naive.as_rows(naive.theta, ["theta_", "alpha"])),
+    "ARIMA": Forecaster(linear.regressed(linear.arima), {"p": 12, "d": 1}, {"p": [0, 10], "d": [0, 2], "trend": ["n", "c", "t", "ct"]}, multivariate=True, future=True,
+                        many=linear.arima_candidates),
+    "AutoARIMA": Forecaster(linear.regressed(linear.auto_arima), {"max_p": 5, "max_d": 2, "season": 12}, {"max_p": [3, 7]}, multivariate=True, future=True),
+    "VARIMA": Forecaster(linear.varima, {"p": 12, "d": 1}, {"p": [1, 10], "d": [0, 2]}, multivariate=True, past=True),
     "FFT": Forecaster(spectral.fft, {"keep": 10}, {"keep": [5, 20], "trend": ["poly", "exp"]}),
     "Prophet": Forecaster(linear.structural, {}, {"mode": ["additive", "multiplicative"]}, future=True),
     "TBATS": Forecaster(linear.structural, {"periods": {12.0: 3, 52.0: 5}, "holidays": False, "transform": "log"}),
@@ -59,7 +64,8 @@ MODELS: dict[str, Forecaster] = {
                           {"input_len": [12, 24, 36], "output_len": [6, 12, 18]}, multivariate=True, past=True, future=True, static=True),
     "DLinear": Forecaster(linear.chunk_linear, {"kind": "dlinear", "input_len": 12, "output_len": 6, "kernel": 25},
                           {"kernel": [15, 25, 35]}, multivariate=True, past=True, future=True, static=True),
-    "Kalman": Forecaster(linear.regressed(naive.local_level), {"q": 0.1, "r": 1.0}, {"q": [0.01, 1.0]}, multivariate=True, future=True),
+    "Kalman": Forecaster(linear.regressed(naive.local_level), {"q": 0.1, "r": 1.0}, {"q": [0.01, 1.0]}, multivariate=True, future=True,
+                         many=naive.as_rows(naive.local_level, ["q", "r"])),
 }
 
 
@@ -149,21 +155,42 @@ def draw(space: dict, trials: int, seed: int = SEARCH_SEED) -> list[dict]:
 def search(prepared: DataFrame, name: str, trials: list[dict], *, horizon: int, loss: str = "MAPE", y: str = "y") -> DataFrame:
     """Loss of every parameter set, the mean over series and windows: (trial, params, loss).
 
-    All trials run in one job, as branches over the same prepared rows.
+    All trials run in one job.  Where the model can, they are rows of one plan, whatever their number; otherwise they are branches over
+    the same prepared rows.
     """
     model, keys = MODELS[name], ["series", "window_id"]
     train = prepared.filter("is_train")
-    parts = [
-        model.fit_predict(train, horizon=horizon, keys=keys, y=y, **{**model.params, **t})
-        .select(F.lit(i).alias("trial"), *keys, "step", "ts", "pred") for i, t in enumerate(trials)
-    ]
-    aligned = score(prepared, reduce(DataFrame.unionByName, parts), keys=keys, y=y)
+    candidates = [{**model.params, **t} for t in trials]
+    pred = model.many(train, candidates, horizon=horizon, keys=keys, y=y) if model.many else None
+    if pred is None:
+        pred = reduce(DataFrame.unionByName, [
+            model.fit_predict(train, horizon=horizon, keys=keys, y=y, **c).select(F.lit(i).alias("trial"), *keys, "step", "ts", "pred") for i, c in enumerate(candidates)
+        ])
+    aligned = score(prepared, pred.select("trial", *keys, "step", "ts", "pred"), keys=keys, y=y)
     chosen = metrics.loss_name(loss)
     per_series = metrics.evaluate(aligned, ["trial", *keys], metrics={chosen: metrics.loss(loss)})
     labels = F.create_map(*[c for i, t in enumerate(trials) for c in (F.lit(i), F.lit(repr(sorted(t.items()))))])
     return per_series.groupBy("trial").agg(F.avg(chosen).alias("loss")).withColumn("params", labels[F.col("trial")])
 
 
+def halving(prepared: DataFrame, name: str, trials: list[dict], *, horizon: int, loss: str = "MAPE", y: str = "y") -> DataFrame:
+    """M19 in rounds: all parameter sets on the first window, then the better half of them on twice as many windows, until all windows are used.
+
+    (trial, params, loss, windows): every trial with its loss in the last round that it reached and the windows used there.  The trials' losses pass
+    through the driver; ties go to the earlier trial.
+    """
+    count = prepared.agg(F.max("window_id")).first()[0] + 1
+    alive, windows, done = list(range(len(trials))), 1, []
+    while alive:
+        windows = min(windows, count)
+        scored = search(prepared.filter(F.col("window_id") < windows), name, [trials[i] for i in alive], horizon=horizon, loss=loss, y=y).collect()
+        order = sorted(scored, key=lambda r: (r.loss is None, r.loss or 0.0, r.trial))
+        keep = 0 if windows == count else -(-len(order) // 2)
+        done += [(alive[r.trial], r.params, r.loss, windows) for r in order[keep:]]
+        alive, windows = sorted(alive[r.trial] for r in order[:keep]), 2 * windows
+    return prepared.sparkSession.createDataFrame(sorted(done), "trial int, params string, loss double, windows int")
+
+
 def search_smoothing(prepared: DataFrame, alphas: Sequence[float], *, horizon: int, y: str = "y") -> DataFrame:
     """M19 for simple smoothing: all candidates are sums of one aggregation, (alpha, MAPE)."""
     keys = ["series", "window_id"]

@@ -8,7 +8,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.forecast import learned, linear, naive, registry, smoothing, spectral, state
+from panelloom.forecast import learned, linear, naive, quantile, registry, smoothing, spectral, state
 from panelloom.functions import metrics
 from panelloom.functions.timeaxis import next_steps
 from panelloom.operators import ranking
@@ -470,6 +470,68 @@ def m10(spark, sf):
     return rounded(linear.arima(train, horizon=H, orders=[0, 1, 2, 4, 6, 8, 10, 12], differences=[0, 1], keys=KEYS), pred=2, aic=3)
 
 
+@query("m10_arima_trends", f"""
+WITH RECURSIVE {v.PREP},
+d AS (SELECT series, ts, idx, nt, y, y - lag(y) OVER w AS w1, y - 2 * lag(y) OVER w + lag(y, 2) OVER w AS w2 FROM prep WHERE is_train WINDOW w AS (PARTITION BY series ORDER BY idx)),
+x AS (SELECT *, lag(w2) OVER (PARTITION BY series ORDER BY idx) AS x2 FROM d),
+f AS MATERIALIZED (SELECT series, max(ts) AS last_ts, max(nt) AS nt, arg_max(y, idx) AS last, arg_max(w1, idx) AS l1, arg_max(w2, idx) AS l2,
+  sum(w2 * x2) / sum(x2 * x2) FILTER (w2 IS NOT NULL) AS b2, sum(idx * w1) / sum(idx * idx) FILTER (w1 IS NOT NULL) AS bt, regr_slope(w1, idx) AS b, regr_intercept(w1, idx) AS a FROM x GROUP BY series),
+r AS (SELECT series, 0 AS step, l2 AS w, l1 AS rise, last AS n, last AS t, last AS ct FROM f
+  UNION ALL SELECT r.series, step + 1, b2 * w, rise + b2 * w, n + rise + b2 * w, t + bt * (nt + step), ct + a + b * (nt + step) FROM r JOIN f USING (series) WHERE step < {H}),
+u AS (UNPIVOT (SELECT series, step, n, t, ct FROM r WHERE step > 0) ON n, t, ct INTO NAME trend VALUE pred)
+SELECT trend, u.series, step, last_ts + to_days(step) AS ts, round(pred, 2) AS pred FROM u JOIN f USING (series)""")
+def m10_trends(spark, sf):
+    """No constant on second differences, a slope, a constant and a slope."""
+    train, parts = prepared(spark, sf).filter("is_train"), []
+    for trend, p, d in (("n", 1, 2), ("t", 0, 1), ("ct", 0, 1)):
+        parts.append(_out(linear.arima(train, horizon=H, p=p, d=d, trend=trend)).withColumn("trend", F.lit(trend)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("m10_arima_season", f"""
+WITH RECURSIVE {v.PREP},
+d AS (SELECT series, ts, idx, nt, y, y - lag(y) OVER (PARTITION BY series ORDER BY idx) AS w FROM prep WHERE is_train),
+x AS (SELECT *, lag(w, 12) OVER (PARTITION BY series ORDER BY idx) AS x FROM d),
+f AS (SELECT series, max(ts) AS last_ts, max(nt) AS nt, arg_max(y, idx) AS last, regr_slope(w, x) AS b, regr_intercept(w, x) AS a FROM x GROUP BY series),
+r AS (SELECT series, idx, w FROM d WHERE idx >= nt - 12
+  UNION ALL SELECT r.series, r.idx + 12, a + b * r.w FROM r JOIN f USING (series) WHERE r.idx + 12 < nt + {H})
+SELECT f.series, CAST(r.idx - nt + 1 AS INTEGER) AS step, last_ts + to_days(CAST(r.idx - nt + 1 AS INTEGER)) AS ts,
+  round(last + sum(r.w) OVER (PARTITION BY f.series ORDER BY r.idx), 2) AS pred FROM r JOIN f ON f.series = r.series AND r.idx >= f.nt""")
+def m10_season(spark, sf):
+    return _out(linear.arima(prepared(spark, sf).filter("is_train"), horizon=H, p=0, d=1, season=12, P=1))
+
+
+@query("m10_auto_arima", f"""
+WITH RECURSIVE {v.PREP}, tr AS (SELECT series, idx, nt, ts, y, y - lag(y) OVER w AS w1, y - 2 * lag(y) OVER w + lag(y, 2) OVER w AS w2 FROM prep WHERE is_train WINDOW w AS (PARTITION BY series ORDER BY idx)),
+w AS (SELECT series, 0 AS d, idx, y AS w FROM tr UNION ALL SELECT series, 1, idx, w1 FROM tr WHERE w1 IS NOT NULL UNION ALL SELECT series, 2, idx, w2 FROM tr WHERE w2 IS NOT NULL),
+c AS MATERIALIZED (SELECT *, w - avg(w) OVER (PARTITION BY series, d) AS c FROM w),
+s AS (SELECT series, d, c, w, idx, sum(c) OVER (PARTITION BY series, d ORDER BY idx) AS s FROM c),
+k AS (SELECT series, d, count(*) AS n, avg(w) AS m, sum(s * s) AS ss, floor(4 * (count(*) / 100) ** 0.25) AS width, arg_max(w, idx) AS lw, max_by(w, idx, 2)[2] AS lw2 FROM s GROUP BY ALL),
+g AS MATERIALIZED (SELECT a.series, a.d, i, sum(a.c * b.c) AS g FROM c a CROSS JOIN range(0, 20) t(i) JOIN c b ON b.series = a.series AND b.d = a.d AND b.idx = a.idx - i GROUP BY ALL),
+st AS (SELECT k.series, k.d, any_value(k.n) AS n, any_value(m) AS m, any_value(lw) AS lw, any_value(lw2) AS lw2,
+  any_value(ss) / (any_value(k.n) ** 2 * sum(CASE WHEN i = 0 THEN 1 WHEN i <= width THEN 2 * (1 - i / (width + 1)) ELSE 0 END * g / n)) AS kpss,
+  sum(g / n) FILTER (i = 0) AS g0, sum(g / n) FILTER (i = 1) AS g1, sum(g / n) FILTER (i = 2) AS g2 FROM k JOIN g USING (series, d) GROUP BY k.series, k.d),
+ch AS (SELECT * FROM st WHERE kpss <= 0.463 OR d = 2 QUALIFY row_number() OVER (PARTITION BY series ORDER BY d) = 1),
+l AS (SELECT *, g1 / g0 AS k1, (g2 - g1 / g0 * g1) / (g0 * (1 - (g1 / g0) ** 2)) AS k2 FROM ch),
+a AS (SELECT *, n * ln(g0) + 2 * (1 + d) AS a0, n * ln(g0 * (1 - k1 ** 2)) + 2 * (2 + d) AS a1, n * ln(g0 * (1 - k1 ** 2) * (1 - k2 ** 2)) + 2 * (3 + d) AS a2 FROM l),
+o AS MATERIALIZED (SELECT *, CASE WHEN a0 <= a1 AND a0 <= a2 THEN 0 WHEN a1 <= a2 THEN 1 ELSE 2 END AS p FROM a),
+f AS MATERIALIZED (SELECT *, CASE p WHEN 0 THEN 0 WHEN 1 THEN k1 ELSE k1 - k2 * k1 END AS f1, CASE p WHEN 2 THEN k2 ELSE 0 END AS f2 FROM o),
+e AS (SELECT series, max(ts) AS last_ts, arg_max(y, idx) AS last, arg_max(w1, idx) AS rise FROM tr GROUP BY series),
+r AS (SELECT f.series, 0 AS step, lw, lw2, last AS pred, rise FROM f JOIN e USING (series)
+  UNION ALL SELECT series, step + 1, nw, lw, pred + CASE d WHEN 0 THEN nw - pred WHEN 1 THEN nw ELSE rise + nw END, CASE d WHEN 0 THEN nw - pred WHEN 1 THEN nw ELSE rise + nw END
+    FROM (SELECT r.*, f.d, f.m + f.f1 * (r.lw - f.m) + f.f2 * (r.lw2 - f.m) AS nw FROM r JOIN f USING (series) WHERE r.step < {H}))
+SELECT r.series, step, last_ts + to_days(step) AS ts, round(pred, 2) AS pred, p, d, round(kpss, 8) AS kpss, round(CASE p WHEN 0 THEN a0 WHEN 1 THEN a1 ELSE a2 END, 4) AS aic
+FROM r JOIN f USING (series) JOIN e USING (series) WHERE step > 0""")
+def m10_automatic(spark, sf):
+    """Differences by the KPSS statistic, orders up to two by the recursion over orders."""
+    return rounded(linear.auto_arima(prepared(spark, sf).filter("is_train"), horizon=H, max_p=2), pred=2, kpss=8, aic=4)
+
+
+@query("m10_auto_arima_season")
+def m10_automatic_season(spark, sf):
+    return rounded(linear.auto_arima(prepared(spark, sf, True).filter("is_train"), horizon=H, season=12, keys=KEYS), pred=2, kpss=8, aic=4)
+
+
 @query("m11_varima_one_component", ONE_DIFFERENCED_LAG)
 def m11_one(spark, sf):
     return _out(linear.varima(prepared(spark, sf).filter("is_train"), horizon=H, cols=["y"], p=1, d=1))
@@ -575,6 +637,26 @@ def m17_exact(spark, sf):
     return rounded(exact_quantiles(rows, [0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99], keys=["series"], value="price"), price=4)
 
 
+CHANGE_QUANTILES = ", ".join(map(repr, registry.QUANTILES))
+
+
+@query("m17_fitted_intercepts", f"""
+WITH {v.PREP}, tr AS (SELECT * FROM prep WHERE is_train),
+x AS (SELECT a.series, CAST(step AS INTEGER) AS step, b.y - a.y AS rise FROM tr a CROSS JOIN range(1, 7) t(step) JOIN tr b ON b.series = a.series AND b.idx = a.idx + step WHERE a.idx + 6 < a.nt),
+s AS (SELECT step, q, rise, row_number() OVER (PARTITION BY step, q ORDER BY rise) AS r, count(*) OVER (PARTITION BY step, q) AS n FROM x CROSS JOIN (SELECT unnest([{CHANGE_QUANTILES}]::DOUBLE[]) AS q)),
+c AS (SELECT step, q, rise FROM s WHERE r = greatest(1, n - floor(n - q * n))),
+e AS (SELECT series, max(ts) AS last_ts, arg_max(y, idx) AS last FROM tr GROUP BY series)
+SELECT series, step, last_ts + to_days(step) AS ts, q, round(last + rise, 2) AS pred FROM e CROSS JOIN c""")
+def m17_intercepts(spark, sf):
+    """With the last value as the only input, fitted quantiles are exact order statistics of the changes."""
+    return rounded(quantile.quantile_linear(prepared(spark, sf).filter("is_train"), registry.QUANTILES, horizon=6, input_len=1), pred=2)
+
+
+@query("m17_fitted_quantiles")
+def m17_fitted(spark, sf):
+    return rounded(quantile.quantile_linear(prepared(spark, sf).filter("is_train"), registry.QUANTILES, horizon=6, input_len=12), pred=2)
+
+
 @query("p15_capability_filter", f"""
 WITH RECURSIVE {v.PREP}, tr AS MATERIALIZED (SELECT * FROM prep WHERE is_train),
 ends AS MATERIALIZED (SELECT series, max(nt) AS nt, max(ts) AS last_ts, arg_max(y, idx) AS last, arg_min(y, idx) AS first FROM tr GROUP BY series),
@@ -630,9 +712,11 @@ def m19(spark, sf):
 TRIALS = registry.draw({"theta_": [1.5, 3.0], "alpha": [0.05, 0.5]}, 4)
 
 
-@query("m19_m20_m21_trials", f"""
+def _theta_search_sql(trials: list[dict]) -> str:
+    """Losses of Theta parameter sets, the smoothed line as a plain recursion."""
+    return f"""
 WITH RECURSIVE {v.ROLLING}, tr AS MATERIALIZED (SELECT * FROM prep WHERE is_train),
-p(trial, alpha, theta) AS (VALUES {", ".join(f"({i}, {t['alpha']!r}::DOUBLE, {t['theta_']!r}::DOUBLE)" for i, t in enumerate(TRIALS))}),
+p(trial, alpha, theta) AS (VALUES {", ".join(f"({i}, {t['alpha']!r}::DOUBLE, {t['theta_']!r}::DOUBLE)" for i, t in enumerate(trials))}),
 r AS (SELECT series, window_id, regr_slope(y, idx) AS b, regr_intercept(y, idx) AS a, max(nt) AS nt FROM tr GROUP BY ALL),
 z AS MATERIALIZED (SELECT trial, series, window_id, idx, alpha, theta * y + (1 - theta) * (a + b * idx) AS z FROM tr JOIN r USING (series, window_id) CROSS JOIN p),
 s AS (SELECT trial, series, window_id, idx, z AS level FROM z WHERE idx = 0
@@ -643,12 +727,30 @@ m AS (SELECT trial, f.series, f.window_id, 100 * avg(abs(x.y - ((1 - 1 / theta)
   FROM f JOIN r USING (series, window_id) JOIN p USING (trial) JOIN prep x
   ON x.series = f.series AND x.window_id = f.window_id AND x.idx >= r.nt AND x.idx < r.nt + {H} GROUP BY ALL),
 l AS (SELECT trial, avg(mape) AS loss FROM m GROUP BY trial)
-SELECT trial, round(loss, 5) AS loss, round(min(loss) OVER (ORDER BY trial), 5) AS best_so_far FROM l""")
+SELECT trial, round(loss, 5) AS loss, round(min(loss) OVER (ORDER BY trial), 5) AS best_so_far FROM l"""
+
+
+@query("m19_m20_m21_trials", _theta_search_sql(TRIALS))
 def m21(spark, sf):
     scored = registry.search(prepared(spark, sf, True), "Theta", TRIALS, horizon=H)
     return rounded(ranking.trial_history(scored).drop("params"), loss=5, best_so_far=5)
 
 
+MANY_TRIALS = registry.draw({"theta_": [1.5, 3.0], "alpha": [0.05, 0.5]}, 50)
+
+
+@query("m19_fifty_trials", _theta_search_sql(MANY_TRIALS))
+def m19_fifty(spark, sf):
+    """Fifty parameter sets as rows of one plan."""
+    scored = registry.search(prepared(spark, sf, True), "Theta", MANY_TRIALS, horizon=H)
+    return rounded(ranking.trial_history(scored).drop("params"), loss=5, best_so_far=5)
+
+
+@query("m19_halving")
+def m19_halving(spark, sf):
+    return rounded(registry.halving(prepared(spark, sf, True), "Theta", MANY_TRIALS, horizon=H), loss=5)
+
+
 def _learned(estimator_name: str, **params):
     def run(spark, sf):
         p = prepared(spark, sf).withColumn("month", F.month("ts").cast("double"))
