@@ -254,6 +254,37 @@ def test_copies_are_no_template(spark):
     assert [got[k] for k in range(len(rows))] == want
 
 
+def unmarked_site(rng, host, pages):
+    """Pages whose menus, adverts, notes and comments are plain divs with other words on each page; (url, html, text)."""
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 9))) for _ in range(n))
+
+    for k in range(pages):
+        title, story = words(5), [words(rng.randint(8, 60)) for _ in range(rng.randint(2, 9))]
+        menu = "".join(f"<div><a href='/{w}'>{w}</a></div>" for w in words(rng.randint(4, 7)).split())
+        body = "".join(f"<div>{p}</div>" for p in [title, *story])
+        source = page(f"<div><div>{menu}</div></div><div>{words(6)}</div><div>{body}</div><div>{words(4)}</div>")
+        yield f"http://{host}/{k}", source, "\n".join([title, *story])
+
+
+def test_templates_alone_find_the_article(spark, monkeypatch):
+    """No tag, class or article tells content here: skeletons that recur on the host do; without templates it fails."""
+    rng = random.Random(11)
+    rows = [r for n in (20, 100, 300) for r in unmarked_site(rng, f"h{n}.org", n)]
+    few = list(unmarked_site(rng, "few.org", 5))
+    copies = [rows[0]] * 15  # repeated rows of one page are one page
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h, _) in enumerate(rows + few + copies)], "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in boilerplate.extract(pages).collect()}
+    assert len(got) == len(rows) + 20
+    assert [got[i] for i in range(len(rows))] == [t for *_, t in rows]
+    assert all(t in got[len(rows) + i] for i, (*_, t) in enumerate(few))  # too few pages to tell: nothing is lost
+    assert all(got[len(rows) + 5 + i] == rows[0][2] for i in range(15))
+    real = boilerplate.templates
+    monkeypatch.setattr(boilerplate, "templates", lambda p: real(p.limit(0)))
+    none = {r.page_id: r.text for r in boilerplate.extract(pages.where("page_id < 20")).collect()}
+    assert not any(none[i] == rows[i][2] for i in range(20))
+
+
 # top-k and neighbours
 
 def vectors(spark, values):
