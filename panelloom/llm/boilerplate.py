@@ -164,7 +164,9 @@ def measure(page: Page) -> Page:
         if event >= 0:
             page.above[k] = stack[-1] if stack else -1
             stack.append(k)
-            places.append(xxhash.xxh64_intdigest(f"{places[-1]}\0{name}\0{NUMBER.sub('', page.attributes[k])}"))
+            # a language or class of the whole page does not tell its parts apart
+            own = "" if name in ("html", "body") else NUMBER.sub("", page.attributes[k])
+            places.append(xxhash.xxh64_intdigest(f"{places[-1]}\0{name}\0{own}"))
             inside.append([])
             continue
         stack.pop()

@@ -264,7 +264,7 @@ def unmarked_site(rng, host, pages):
         menu = "".join(f"<div><a href='/{w}'>{w}</a></div>" for w in words(rng.randint(4, 7)).split())
         body = "".join(f"<div>{p}</div>" for p in [title, *story])
         source = page(f"<div><div>{menu}</div></div><div>{words(6)}</div><div>{body}</div><div>{words(4)}</div>")
-        yield f"http://{host}/{k}", source, "\n".join([title, *story])
+        yield f"http://{host}/{k}", source.replace("<html>", f"<html lang='{'de en fr'.split()[k % 3]}'>"), "\n".join([title, *story])
 
 
 def test_templates_alone_find_the_article(spark, monkeypatch):
