@@ -448,38 +448,92 @@ def test_no_learned_language(spark):
 
 # language model
 
-def test_tree():
-    """States are the longest retained contexts; distributions sum to one."""
-    rng = np.random.default_rng(5)
-    size = 6
-    tree = suffixtree.Tree(size, np.log10(rng.dirichlet(np.ones(size), 8)), [(np.array([1, 3]), np.array([1, 2])), (np.array([1 * 6 + 3, 2 * 6 + 2]), np.array([3, 4])), (np.array([(5 * 6 + 1) * 6 + 3]), np.array([5]))])
-    known = {(1,): 1, (3,): 2, (1, 3): 3, (2, 2): 4, (5, 1, 3): 5}
-    codes = rng.integers(0, size, 400)
-    codes[50:53] = 5, 1, 3
-    want = []
-    for i in range(1, len(codes)):
-        want.append(next((known[tuple(codes[i - k : i])] for k in (3, 2, 1) if k <= i and tuple(codes[i - k : i].tolist()) in known), 0))
-    assert tree.states(codes).tolist() == want
-    assert tree.score(codes) == pytest.approx(sum(tree.logs[s, c] for s, c in zip(want, codes[1:])))
-
-
-def test_grown_tree(spark):
-    """A context that decides what follows is retained and predicts it; none is where the test asks for more."""
-    import zlib
-
-    rng = np.random.default_rng(6)
-    texts = []
-    for _ in range(50):
-        own = [0]
-        for _ in range(200):
-            own.append(300 if own[-1] == 299 else int(rng.choice([299, 301, 302])))
-        texts.append((zlib.compress(np.array([*own, 0], dtype="<u2").tobytes()),))
-    tree = suffixtree.grow(spark.createDataFrame(texts, "ids binary"), 303, share=0.01, bits=50)
-    assert 10 ** tree.logs[:, :].astype(float).sum() >= 0 and (10**tree.logs).sum(axis=1) == pytest.approx(np.ones(len(tree.logs)))
-    state = dict(zip(*[x.tolist() for x in tree.levels[0]]))
-    assert 299 in state and 10 ** tree.logs[state[299], 300] > 0.99
-    flat = suffixtree.grow(spark.createDataFrame(texts, "ids binary"), 303, share=0.01, bits=1e9)
-    assert len(flat.logs) == 1 and all(not len(contexts) for contexts, _ in flat.levels)
+def told_by_hand(texts, out, least, depth, bits):
+    """log10 probabilities of texts by a suffix tree in dictionaries."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    seen = collections.Counter(w for own, o in zip(words, out) if not o for w in own)
+    ends = sum(not o for o in out)
+    symbol = {w: w if n >= least else w[-1] for w, n in seen.items()}
+    classes = collections.defaultdict(list)
+    for w, n in seen.items():
+        if symbol[w] != w:
+            classes[symbol[w]].append(n)
+    coded = [["", *[symbol.get(w, w[-1]) for w in own], ""] for own in words]
+    following = collections.defaultdict(collections.Counter)
+    for own, o in zip(coded, out):
+        for i in range(1, len(own) if not o else 0):
+            for k in range(min(i, depth) + 1):
+                following[tuple(own[i - k : i])][own[i]] += 1
+    size, states = 257 + sum(symbol[w] == w for w in seen), {}
+
+    def state(context):
+        return next((context[k:] for k in range(len(context)) if context[k:] in states), ())
+
+    def p(context, x):
+        own, below = following[context], p(state(context[1:]), x) if context else 1 / size
+        return (own[x] + len(own) * below) / (sum(own.values()) + len(own)) if own else below
+
+    for k in range(1, depth + 1):
+        for context in [c for c in following if len(c) == k]:
+            own, total = following[context], sum(following[context].values())
+            if total >= least and sum(n * math.log2(n / total / p(state(context[1:]), x)) for x, n in own.items()) >= bits:
+                states[context] = True
+    scores = []
+    for own, told in zip(words, coded):
+        score = sum(math.log10(p(state(tuple(told[max(0, i - depth) : i])), told[i])) for i in range(1, len(told)))
+        for w in own:
+            if symbol.get(w) != w:
+                c = classes[w[-1]]
+                score += math.log10(seen[w] + 0.5) - math.log10(sum(c) + 0.5 * (len(c) + 1))
+        scores.append(score)
+    return scores, len(states), ends
+
+
+@pytest.mark.parametrize("least, depth, bits", [(None, 3, 5.0), (4, 3, 2.0), (8, 2, 20.0), (2, 4, 0.5), (4, 3, 1e9)])
+def test_suffix_tree_by_hand(spark, least, depth, bits):
+    """Scores equal those of a tree in dictionaries, whatever the chunks; a test that asks too much leaves the root alone."""
+    rng = random.Random(6)
+    pool, texts = [f"w{k}{rng.choice('abc')}" for k in range(40)], [None, "", " ", "alone"]
+    for _ in range(60):
+        own = [rng.choice(pool)]
+        for _ in range(rng.randint(0, 60)):
+            own.append(pool[(pool.index(own[-1]) + rng.choice([1, 1, 1, 2, 7])) % 40] if rng.random() < 0.8 else rng.choice(pool))
+        texts.append(" ".join(own))
+    texts += texts[10:14]
+    out = [k % 4 == 1 for k in range(len(texts))]
+    n = sum(len((t or "").split()) + 1 for t, o in zip(texts, out) if not o)
+    want, states, _ = told_by_hand(texts, out, least or math.sqrt(n), depth, bits)
+    assert (states == 0) == (bits == 1e9)
+    docs = documents(spark, list(enumerate(texts)))
+    for parts in (1, 5):
+        got = suffixtree.score_documents(docs.repartition(parts), F.col("doc_id") % 4 == 1, least=least, depth=depth, bits=bits).collect()
+        assert sorted(r.doc_id for r in got) == list(range(len(texts))) and {r.train_tokens for r in got} == {n}
+        for r in got:
+            assert r.score == pytest.approx(want[r.doc_id], abs=1e-5)
+
+
+def test_packed_arrays():
+    for kind in ("<i4", "<i8", "<f4", "<u8"):
+        for own in (np.zeros(0), np.arange(1000) * 7):
+            assert (suffixtree.unpack(suffixtree.pack(own.astype(kind)), kind) == own).all()
+
+
+def test_model_grows_with_the_corpus(spark):
+    """The least count is the root of the training tokens, so words that a small corpus does not tell apart are told apart in a larger one."""
+    rng = random.Random(3)
+    better = []
+    for many in (200, 3200):
+        pool = [f"q{k}e" for k in range(250)]
+        texts = []
+        for _ in range(many):
+            own = [rng.choice(pool)]
+            for _ in range(40):
+                own.append(pool[(pool.index(own[-1]) * 7 + 3) % 250] if rng.random() < 0.7 else rng.choice(pool))
+            texts.append(" ".join(own))
+        got = suffixtree.score_documents(documents(spark, list(enumerate(texts))), F.col("doc_id") % 5 == 1).where("held_out").agg(
+            (F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).alias("better")).first()
+        better.append(got.better)
+    assert better[1] > better[0] + 0.1
 
 
 def test_language_model_cases(spark):
@@ -495,7 +549,7 @@ def test_rare_words_share_their_symbol(spark):
     """Over all words that training knows, and one unknown, the probabilities of a next word sum to one."""
     docs = documents(spark, [(k, t) for k, t in enumerate(["a b a c a b", "a d b a", "b a a"])] + [(10, "a"), (11, "b"), (12, "c"), (13, "d"), (14, "")])
     out = F.col("doc_id") >= 10
-    got = {r.doc_id: r for r in suffixtree.score_documents(docs, out, share=0.2).collect()}
+    got = {r.doc_id: r for r in suffixtree.score_documents(docs, out, least=3).collect()}
     assert got[12].n_known == 2 and got[12].score < got[10].score
 
 
