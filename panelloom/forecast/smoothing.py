@@ -3,12 +3,13 @@
 A smoothing recursion is affine in its state.  A block of rows therefore reduces to a map
 x -> M x + c and a quadratic form of its squared errors in x.  Blocks are reduced in parallel,
 composed in order, and only then started from the initial state, so a long series is split over
-many tasks.  Multiplicative forms run on logarithms.
+many tasks.  The blocks that reach a task together are reduced side by side: a loop over the rows of a block
+handles one row of each.  Seasons are kept by phase, so a row changes one of them.  Multiplicative forms run on logarithms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import product
 
 import numpy as np
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from panelloom.forecast.naive import KEYS, ends, unfold_array
 
 GRID = (0.1, 0.3, 0.5, 0.7, 0.9)
-REDUCE = 4096  # rows reduced by one task call
+REDUCE = 1024  # rows of a block
+TOGETHER = 32  # rows whose squared errors are summed by one product
+CELLS = 1 << 21  # numbers in the matrices of blocks that are reduced at once
 COMPOSE = 1024  # blocks composed by one task
 
 
@@ -38,40 +41,48 @@ def candidates(kinds: Sequence[str] = ("simple",), *, alphas: Sequence[float] =
     return out
 
 
-def transition(c: dict, period: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(A, g, w): x' = A x + g (y - w x) with x = (level, trend, seasons, the current one first)."""
-    d = 2 + period
-    A, g, w = np.zeros((d, d)), np.zeros(d), np.zeros(d)
-    A[0, 0], A[0, 1], A[1, 1] = 1, c["phi"], c["phi"]
-    w[0], w[1] = 1, c["phi"]
-    g[0], g[1] = c["alpha"], c["alpha"] * c["beta"]
-    if c["season"]:
-        w[2] = 1
-        for i in range(period):
-            A[2 + i, 2 + (i + 1) % period] = 1
-        g[2 + period - 1] = c["gamma"] * (1 - c["alpha"])
-    return A, g, w
-
-
-def reduce_block(y: np.ndarray, systems: list[tuple]) -> tuple:
-    """(M, c, Q, q, s) stacked over the candidate systems for the rows of a block."""
-    A = np.stack([s[0] for s in systems])
-    g = np.stack([s[1] for s in systems])
-    w = np.stack([s[2] for s in systems])
-    m, d = w.shape
-    B = A - g[:, :, None] * w[:, None, :]
-    M, c = np.broadcast_to(np.eye(d), (m, d, d)).copy(), np.zeros((m, d))
-    Q, q, s = np.zeros((m, d, d)), np.zeros((m, d)), np.zeros(m)
-    for v in y:
-        if np.isnan(v):  # the state moves on without a correction
-            M, c = A @ M, np.einsum("mde,me->md", A, c)
-            continue
-        r = v - (w * c).sum(1)
-        u = np.einsum("md,mde->me", w, M)
-        Q += u[:, :, None] * u[:, None, :]
-        q -= 2 * r[:, None] * u
-        s += r * r
-        M, c = B @ M, np.einsum("mde,me->md", B, c) + g * v
+def reduce_blocks(y: np.ndarray, start: np.ndarray, cands: list[dict], period: int) -> tuple:
+    """(M, c, Q, q, s) of many blocks at once: arrays over (block, candidate, ...).
+
+    `y` holds a block in every row, `start` the position of its first value.  The state is (level, trend, seasons by phase), so a row
+    of a block changes three rows of M, whatever the period.  A null value lets the state move on without a correction; blocks that
+    are shorter than others end in values that are masked by infinity.
+    """
+    alpha, beta, phi, gamma = (np.array([c[n] for c in cands])[None, :, None] for n in ("alpha", "beta", "phi", "gamma"))
+    season = np.array([float(c["season"]) for c in cands])[None, :, None]
+    beta, gamma = alpha * beta, season * gamma * (1 - alpha)
+    (b, length), m, d = y.shape, len(cands), 2 + period
+    M = np.broadcast_to(np.eye(d), (b, m, d, d)).copy()
+    c = np.zeros((b, m, d))
+    Q, q, s = np.zeros((b, m, d, d)), np.zeros((b, m, d)), np.zeros((b, m))
+    every = np.arange(b)
+    errors, places, used = np.zeros((TOGETHER, b, m)), np.zeros((TOGETHER, b, m, d)), 0
+    for t in range(length):
+        known, there = np.isfinite(y[:, t])[:, None, None], ~np.isinf(y[:, t])
+        value = np.where(known[:, 0, 0], y[:, t], 0.0)[:, None]
+        at = 2 + (start + t) % period if period else None
+        moved = np.where(there[:, None, None], phi, 1.0)
+        on = np.where(there[:, None, None], phi, 0.0)
+        level, trend = M[:, :, 0] + on * M[:, :, 1], moved * M[:, :, 1]
+        c_level, c_trend = c[:, :, 0] + on[..., 0] * c[:, :, 1], moved[..., 0] * c[:, :, 1]
+        u, seen = level, c_level
+        if period:
+            own, c_own = M[every, :, at], c[every, :, at]
+            u, seen = u + season * own, seen + season[..., 0] * c_own
+        u = np.where(known, u, 0.0)
+        r = np.where(known[..., 0], value - seen, 0.0)
+        M[:, :, 0], M[:, :, 1] = level - alpha * u, trend - beta * u
+        c[:, :, 0], c[:, :, 1] = c_level + alpha[..., 0] * r, c_trend + beta[..., 0] * r
+        if period:
+            M[every, :, at], c[every, :, at] = own - gamma * u, c_own + gamma[..., 0] * r
+        errors[used], places[used] = r, u
+        used += 1
+        if used == TOGETHER or t == length - 1:  # squared errors of some rows by one product
+            U, R = np.moveaxis(places[:used], 0, 2), np.moveaxis(errors[:used], 0, 2)
+            Q += U.swapaxes(-1, -2) @ U
+            q -= 2 * (R[:, :, None] @ U)[:, :, 0]
+            s += (R * R).sum(-1)
+            used = 0
     return M, c, Q, q, s
 
 
@@ -125,48 +136,58 @@ def fit(rows: DataFrame, cands: list[dict], *, period: int = 0, keys: Sequence[s
     `rows` hold (keys, idx, value) with dense positions from 0.  A null value corrects nothing and has no error; `n` counts
     the others.  Start values take the place of nulls from their neighbours; a series without a known value among the first has no state.
     """
-    systems = [transition(c, period) for c in cands]
     m, d = len(cands), 2 + period
     keys = list(keys)
     key_ddl = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
-    ddl = f"{key_ddl}, blk bigint, n bigint, summary binary, head array<double>"
+    ddl = f"{key_ddl}, blk bigint, n bigint, size bigint, summary binary, head array<double>"
     head_rows = max(2 * period, 2)
-
-    def reduce_rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("idx")
-        y = pdf["v"].to_numpy(float)
-        head = y[:head_rows].tolist() if pdf["idx"].iloc[0] == 0 else []
-        out = pdf[keys + ["blk"]].iloc[:1].copy()
-        out["n"], out["summary"], out["head"] = int(np.isfinite(y).sum()), [_pack(reduce_block(y, systems))], [head]
-        return out
-
-    def merge(pdf: pd.DataFrame) -> tuple[tuple, int, list]:
+    block_rows = max(block_rows, head_rows)
+    together = max(1, CELLS // (m * d * d))
+
+    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for at in range(0, len(whole), together):
+                pdf = whole.iloc[at : at + together]
+                y = np.full((len(pdf), max(map(len, pdf["values"]))), np.inf)
+                for k, own in enumerate(pdf["values"]):
+                    y[k, : len(own)] = [v if v is not None and np.isfinite(v) else np.nan for v in own]
+                parts = reduce_blocks(y, pdf["blk"].to_numpy() * block_rows, cands, period)
+                out = pdf[[*keys, "blk"]].copy()
+                out["n"], out["size"] = np.isfinite(y).sum(axis=1), [len(v) for v in pdf["values"]]
+                out["summary"] = [_pack(tuple(p[k] for p in parts)) for k in range(len(pdf))]
+                out["head"] = [y[k, : min(size, head_rows)].tolist() if blk == 0 else [] for k, (blk, size) in enumerate(zip(out["blk"], out["size"]))]
+                yield out
+
+    def merge(pdf: pd.DataFrame) -> tuple[tuple, int, int, list]:
         pdf = pdf.sort_values("blk")
         parts = [_unpack(raw, m, d) for raw in pdf["summary"]]
         whole = parts[0]
         for part in parts[1:]:
             whole = compose(whole, part)
-        return whole, int(pdf["n"].sum()), next((list(h) for h in pdf["head"] if len(h)), [])
+        return whole, int(pdf["n"].sum()), int(pdf["size"].sum()), next((list(h) for h in pdf["head"] if len(h)), [])
 
     def compose_blocks(pdf: pd.DataFrame) -> pd.DataFrame:
-        whole, n, head = merge(pdf)
+        whole, n, size, head = merge(pdf)
         out = pdf[keys].iloc[:1].copy()
-        out["blk"], out["n"], out["summary"], out["head"] = pdf["blk"].min() // COMPOSE, n, [_pack(whole)], [head]
+        out["blk"], out["n"], out["size"], out["summary"], out["head"] = pdf["blk"].min() // COMPOSE, n, size, [_pack(whole)], [head]
         return out
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
-        (M, c, Q, q, s), n, head = merge(pdf)
+        (M, c, Q, q, s), n, size, head = merge(pdf)
         first = pdf[keys].iloc[0]
         records = []
         for i in range(m):
             x = initial_state(pd.Series(head, dtype=float).ffill().bfill().to_numpy(), cands[i], period)
             sse = float(s[i] + q[i] @ x + x @ Q[i] @ x)
-            records.append([*first, i, max(sse, 0.0), n, (M[i] @ x + c[i]).tolist()])
+            state = M[i] @ x + c[i]
+            state[2:] = np.roll(state[2:], -(size % period)) if period else state[2:]  # the next season first
+            records.append([*first, i, max(sse, 0.0), n, state.tolist()])
         return pd.DataFrame(records, columns=[*keys, "cand", "sse", "n", "state"])
 
-    source = rows.select(*keys, "idx", F.col(value).cast("double").alias("v"))
-    source = source.withColumn("blk", F.expr(f"idx div {max(block_rows, head_rows)}"))
-    reduced = source.groupBy(*keys, "blk").applyInPandas(reduce_rows, ddl)
+    source = rows.select(*keys, F.expr(f"idx div {block_rows}").alias("blk"), "idx", F.col(value).cast("double").alias("v"))
+    # a block has a bounded number of rows; positions are dense, so their order is all that is needed
+    blocks = source.groupBy(*keys, "blk").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "v"))), lambda x: x["v"]).alias("values"))
+    reduced = blocks.mapInPandas(reduce_rows, ddl)
     composed = reduced.groupBy(*keys, F.expr(f"blk div {COMPOSE}")).applyInPandas(lambda pdf: compose_blocks(pdf), ddl)
     return composed.groupBy(*keys).applyInPandas(finish, f"{key_ddl}, cand int, sse double, n bigint, state array<double>")
 

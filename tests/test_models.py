@@ -264,3 +264,31 @@ def test_search_picks_the_better_parameter(spark):
 def test_best_model_respects_direction(spark):
     ev = spark.createDataFrame([("a", "s", 0.9, 3.0), ("b", "s", 0.2, 1.0)], "model string, series string, R2 double, MAPE double")
     assert ranking.best_model(ev, "R2").first().model == "a" and ranking.best_model(ev, "val_MAPE").first().model == "b"
+
+
+@pytest.mark.parametrize("period", [0, 4])
+def test_blocks_side_by_side(period):
+    """Blocks of different lengths and phases, with nulls, give the maps and errors that a recursion gives from any state."""
+    rng = np.random.default_rng(2)
+    cands = smoothing.candidates(["simple", "holt", "damped"] + (["holt+season"] if period else []), alphas=(0.2, 0.7))
+    sizes, start = [9, 4, 1, 40], np.array([0, 7, 3, 18])
+    y = np.full((4, 40), np.inf)
+    for k, n in enumerate(sizes):
+        y[k, :n] = np.where(rng.random(n) < 0.2, np.nan, rng.normal(10, 3, n))
+    M, c, Q, q, s = smoothing.reduce_blocks(y, start, cands, period)
+    for k, n in enumerate(sizes):
+        for i, cand in enumerate(cands):
+            x = rng.normal(size=2 + period)
+            level, trend, seasons, sse = x[0], x[1], x[2:].copy(), 0.0
+            for t in range(n):
+                level, trend = level + cand["phi"] * trend, cand["phi"] * trend
+                if np.isnan(y[k, t]):
+                    continue
+                at = (start[k] + t) % period if period else 0
+                e = y[k, t] - level - (seasons[at] if cand["season"] else 0.0)
+                sse += e * e
+                level, trend = level + cand["alpha"] * e, trend + cand["alpha"] * cand["beta"] * e
+                if cand["season"]:
+                    seasons[at] += cand["gamma"] * (1 - cand["alpha"]) * e
+            np.testing.assert_allclose(M[k, i] @ x + c[k, i], [level, trend, *seasons], rtol=1e-9, atol=1e-9)
+            np.testing.assert_allclose(s[k, i] + q[k, i] @ x + x @ Q[k, i] @ x, sse, rtol=1e-8, atol=1e-8)
