@@ -9,19 +9,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelloom.operators.blocks import lookup
+from panelloom.sources.sinks import stage
 
 ACCURACY = 20_000  # ranks of the sketch are off by at most one part in this many
-FEW = 10 * ACCURACY  # rows up to which a group is small enough for one buffer
+MARGIN = 3  # a bracket reaches so many times that far on both sides
 
 
 def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str], value: str) -> DataFrame:
-    """(keys, q, value) by linear interpolation between order statistics.
+    """(keys, q, value) by linear interpolation between order statistics, the same way for groups of any size.
 
-    Small groups use the exact aggregate, which buffers their values.  For a large group a sketch
-    brackets every quantile by two values; values below the bracket are only counted, and the few
-    inside are counted by value and ordered.
+    A sketch brackets every quantile by two values.  Values below the bracket are only counted; those inside are
+    counted by value and ordered, some 2 * MARGIN / ACCURACY of a group and the copies of values.  The counts tell whether a bracket holds its ranks; if
+    one does not, its quantile is found among all values on the side where the ranks must be, again counted by value.
     """
-    keys, margin = list(keys), 3 / ACCURACY
+    keys, margin = list(keys), MARGIN / ACCURACY
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
     shares = F.array(*[F.lit(max(q - margin, 0.0)) for q in qs], *[F.lit(min(q + margin, 1.0)) for q in qs])
     sketch = rows.groupBy(*keys).agg(
@@ -36,29 +37,41 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
             (F.lit(float(q)) * (F.col("n") - 1)).alias("at"),
         ) for i, q in enumerate(qs)
     ])
-    brackets = F.when(F.col("n") > FEW, table)
-    placed = lookup(rows, sketch.select(*keys, brackets.alias("brackets")), keys)
-    small = placed.filter(F.col("brackets").isNull()).groupBy(*keys).agg(
-        F.percentile("v", F.array(*[F.lit(float(q)) for q in qs])).alias("p")
-    )
-    small = small.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(float(q)).alias("q"), F.col("p")[i].alias(value)) for i, q in enumerate(qs)
-    ])))
-    large = placed.filter(F.col("brackets").isNotNull())
-    below = large.groupBy(*keys).agg(*[F.count_if(F.col("v") < F.col("brackets")[i]["lo"]).alias(f"b{i}") for i in range(len(qs))])
-    below = below.select(*keys, F.inline(F.array(*[
-        F.struct(F.lit(float(q)).alias("q"), F.col(f"b{i}").alias("below")) for i, q in enumerate(qs)
-    ])))
-    inside = large.withColumn("b", F.explode(F.filter("brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))))
-    counted = inside.groupBy(*keys, "b.q", "b.at", "v").agg(F.count(F.lit(1)).alias("c"))
+    sketch = sketch.select(*keys, "least", "most", table.alias("brackets"))
+    found = stage(_between(rows, sketch, keys, len(qs)))  # a row for every group and quantile
+    # at the ends of a group there is nothing beyond a bracket, so a rank that is not inside lies on one side
+    missed = found.filter("v is null").select(*keys, F.struct(
+        "q", F.when(F.col("side") < 0, F.col("least")).otherwise(F.col("lo")).alias("lo"),
+        F.when(F.col("side") > 0, F.col("most")).otherwise(F.col("hi")).alias("hi"), "at").alias("b"), "least", "most")
+    if missed.isEmpty():
+        return found.select(*keys, "q", F.col("v").alias(value))
+    wider = missed.groupBy(*keys).agg(F.first("least").alias("least"), F.first("most").alias("most"), F.collect_list("b").alias("brackets"))
+    again = _between(rows, wider, keys, len(qs))
+    return found.filter("v is not null").unionByName(again).select(*keys, "q", F.col("v").alias(value))
+
+
+def _between(rows: DataFrame, brackets: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """(keys, least, most, q, lo, hi, at, v, side): order statistics at the ranks around `at`, from the values inside the brackets.
+
+    `brackets` has (keys, least, most, brackets) with at most `most` brackets.  v is null where a rank is not inside; it is below the bracket
+    for a negative `side`, above it for a positive one, on both sides for 0.
+    """
+    placed = lookup(rows, brackets.select(*keys, "brackets"), keys).filter(F.col("brackets").isNotNull())
+    below = placed.groupBy(*keys).agg(*[F.count_if(F.col("v") < F.get("brackets", F.lit(i))["lo"]).alias(f"b{i}") for i in range(most)])
+    each = brackets.select(*keys, "least", "most", F.posexplode("brackets").alias("_i", "_b")).select(*keys, "least", "most", "_i", "_b.*")
+    each = each.join(below, keys).withColumn("below", F.element_at(F.array(*[F.col(f"b{i}") for i in range(most)]), F.col("_i") + 1))
+    inside = placed.withColumn("b", F.explode(F.filter("brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))))
+    counted = inside.groupBy(*keys, "b.q", "v").agg(F.count(F.lit(1)).alias("c"))
     upto = F.col("below") + F.sum("c").over(W.partitionBy(*keys, "q").orderBy("v"))
-    ranked = counted.join(below, [*keys, "q"]).withColumn("upto", upto)
+    columns = [*keys, "least", "most", "q", "lo", "hi", "at"]
+    ranked = counted.join(each.select(*columns, "below"), [*keys, "q"], "right").withColumn("upto", upto)
 
     def at_rank(r):
         # a value holds the ranks upto - c .. upto - 1
         return F.max(F.when((F.col("upto") - F.col("c") <= r) & (r < F.col("upto")), F.col("v")))
 
-    found = ranked.groupBy(*keys, "q", "at").agg(at_rank(F.floor("at")).alias("lo"), at_rank(F.ceil("at")).alias("hi"))
-    missed = F.raise_error(F.lit("the sketch did not bracket a quantile"))
-    exact = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") % 1)
-    return small.unionByName(found.select(*keys, "q", F.coalesce(exact, missed).alias(value)))
+    low, high = F.floor("at"), F.ceil("at")
+    found = ranked.groupBy(*columns).agg(at_rank(low).alias("a"), at_rank(high).alias("z"), F.min("below").alias("below"), F.max("upto").alias("upto"))
+    under, over = F.col("below") > low, F.coalesce("upto", "below") <= high
+    return found.select(*columns, (F.col("a") + (F.col("z") - F.col("a")) * (F.col("at") % 1)).alias("v"),
+                        F.when(under & over, 0).when(under, -1).otherwise(1).alias("side"))

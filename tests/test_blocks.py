@@ -90,11 +90,12 @@ def test_time_rank_and_factorize(spark, width):
         assert r.code == want
 
 
+@pytest.mark.parametrize("accuracy, margin", [(1000, 3), (10, 0)])
 @pytest.mark.parametrize("n", [1, 2, 7, 30_000])
-def test_exact_quantiles(spark, n, monkeypatch):
-    # with a coarse sketch the larger groups take the bracketing path
-    monkeypatch.setattr(quantiles, "ACCURACY", 1000)
-    monkeypatch.setattr(quantiles, "FEW", 10_000)
+def test_exact_quantiles(spark, n, accuracy, margin, monkeypatch):
+    # a coarse sketch whose brackets hold their ranks, and one whose brackets are single values that often do not
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    monkeypatch.setattr(quantiles, "MARGIN", margin)
     qs = [0.01, 0.25, 0.5, 0.9, 0.99]
     rng = np.random.default_rng(n)
     values = np.where(rng.random(n) < 0.4, 5.0, np.round(np.exp(rng.normal(0, 3, n)), 2))  # heavy tail, many ties
