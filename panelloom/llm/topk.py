@@ -141,10 +141,14 @@ def exact_top_k(vectors: DataFrame, *, k: int = 10, every: int = 100, scale: int
     rows but the query's own.  Vectors that are null, hold a null or non-finite component, have no id or
     another length than most take no part.  A repeated row is another row: a candidate, and a query of its own.
     Other columns are ignored; an empty table gives no rows.  Scores must stay below 2^53, where doubles count
-    exactly.
+    exactly; a vector whose square reaches that is an error, since its scores would be wrong.
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
     rows = widest(stage(placed(vectors, valid(), whole)))
+    # No inner product, and no part of one, is larger than the largest square of a norm; a component beyond a long saturates.
+    squares = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    if (rows.agg(F.max(squares)).first()[0] or 0.0) >= 2.0**53:
+        raise ValueError("a score could reach 2^53, beyond which doubles do not count exactly; take a smaller scale")
 
     def search(ids: np.ndarray, places: np.ndarray, candidates: np.ndarray) -> Callable:
         lists = Lists(candidates)

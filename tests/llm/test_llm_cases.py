@@ -446,6 +446,16 @@ def test_no_learned_language(spark):
     assert kept == {*range(60), *range(100, 160), 202, 203}
 
 
+def test_scores_beyond_exact_doubles_are_refused(spark):
+    """Components whose products doubles do not hold raise instead of wrapping; the largest that fit are scored exactly."""
+    fields = "vec_id bigint, embedding array<double>"
+    for big in (2.0**60, 1e200, -1e200, 2.0**17):
+        with pytest.raises(ValueError, match="2\\^53"):
+            topk.exact_top_k(spark.createDataFrame([(0, [1.0, 2.0]), (1, [big, 0.0])], fields))
+    got = topk.exact_top_k(spark.createDataFrame([(0, [2.0**16, 0.0]), (1, [2.0**16, 1.0])], fields)).collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in got] == [(0, 1, 2**52)]
+
+
 # language model
 
 def told_by_hand(texts, out, least, depth, bits):
