@@ -501,13 +501,50 @@ def fourier_terms(t: Column, periods: dict[float, int]) -> list[Column]:
     return out
 
 
+LAMBDAS = (-1.0, -0.5, 0.0, 0.25, 0.5, 0.75, 1.0)  # powers of a Box-Cox transform; 0 is the logarithm
+
+
+def box_cox(train: DataFrame, keys: Sequence[str], xs: Sequence[Column], y: str, lambdas: Sequence[float], *, ridge: float,
+            free: Sequence[int]) -> DataFrame:
+    """(keys, lambda, beta): the power of largest profile likelihood per series, and the coefficients for y ** lambda or ln y.
+
+    One aggregation holds the sums of all powers, and one UDF compares them.  A series with a value at or below 0 is not transformed.
+    """
+    grid, k = sorted({0.0, 1.0, *map(float, lambdas)}), len(xs)
+    able = [g in set(map(float, lambdas)) for g in grid]
+    positive = F.col(y) > 0
+    powers = [F.col(y).cast("double") if g == 1 else F.when(positive, F.log(y) if g == 0 else F.pow(F.col(y).cast("double"), F.lit(g))).when(~positive, 0.0) for g in grid]
+    equations = normal_equations(train, keys, xs, [*powers, F.when(positive, 0.0).when(~positive, 1.0)])
+    outputs, log, one = len(grid) + 1, grid.index(0.0), grid.index(1.0)
+
+    @F.pandas_udf("struct<lambda double, beta array<double>>")
+    def choose(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for ms, uppers, crosses, squares in batches:
+            out = []
+            for m, upper, cross, yy in zip(ms, uppers, crosses, squares):
+                xx, xy = symmetric(upper, k), np.reshape(cross, (k, outputs))
+                beta = solve(xx, xy, ridge, free)
+                if xy[0, -1] > 0:  # the first regressor is 1, so this counts values at or below 0
+                    best = one
+                else:
+                    sse = np.array(yy) - 2 * (beta * xy).sum(axis=0) + (beta * (xx @ beta)).sum(axis=0)
+                    likelihood = [-m / 2 * np.log(max(sse[i], 1e-300) / (g or 1.0) ** 2 / m) + (g - 1) * xy[0, log] if ok else -np.inf
+                                  for i, (g, ok) in enumerate(zip(grid, able))]
+                    best = int(np.argmax(likelihood))
+                out.append((grid[best], beta[:, best].tolist()))
+            yield pd.DataFrame(out, columns=["lambda", "beta"])
+
+    return equations.withColumn("_c", choose("m", "xx", "xy", "yy")).select(*keys, "_c.*")
+
+
 def structural(train: DataFrame, *, horizon: int, periods: dict[float, int] | None = None, holidays: bool = True,
-               ridge: float = 1e-3, transform: str | None = None, mode: str = "additive", cap: float | None = None,
+               ridge: float = 1e-3, transform: str | None = None, lambdas: Sequence[float] = LAMBDAS, mode: str = "additive", cap: float | None = None,
                floor: float | None = None, keys: Sequence[str] = KEYS, y: str = "y", freq: str = "D") -> DataFrame:
     """Trend, seasonal Fourier terms and holidays by ridge regression per series.
 
-    `transform="log"` or mode "multiplicative" fit the logarithm (log1p), as a Box-Cox with
-    lambda 0 would.  `cap` and `floor` bound the forecast.
+    `transform="log"` or mode "multiplicative" fit the logarithm (log1p).  `transform="boxcox"` fits the power (0: the logarithm)
+    among `lambdas` that is likeliest for each series; one with a value at or below 0 is not transformed, and a
+    forecast that no value has as its power is 0, for negative powers null.  `cap` and `floor` bound the forecast.
     """
     from panelloom.functions.calendar import holiday_flag
 
@@ -519,15 +556,24 @@ def structural(train: DataFrame, *, horizon: int, periods: dict[float, int] | No
         out = [F.lit(1.0), t / 365.0, *fourier_terms(t, periods)]
         return [*out, holiday_flag(ts)] if holidays else out
 
+    if transform not in (None, "log", "boxcox") or transform == "boxcox" and logged:
+        raise ValueError(f"unknown transform {transform!r} for mode {mode!r}")
     target = F.log1p(y) if logged else F.col(y)
     xs = design(F.col("idx").cast("double"), F.col("ts"))
-    fitted = coefficients(normal_equations(train, keys, xs, [target]), len(xs), ridge=ridge, free=[0, 1])
+    if transform == "boxcox":
+        fitted = box_cox(train, keys, xs, y, lambdas, ridge=ridge, free=[0, 1])
+    else:
+        fitted = coefficients(normal_equations(train, keys, xs, [target]), len(xs), ridge=ridge, free=[0, 1])
     future = fitted.join(ends(train, keys), keys).withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     future = future.withColumn("ts", next_steps(F.col("last_ts"), F.col("step"), freq))
     terms = design((F.col("nt") - 1 + F.col("step")).cast("double"), F.col("ts"))
     pred = sum((F.col("beta")[i] * x for i, x in enumerate(terms[1:], 1)), F.col("beta")[0])
     if logged:
         pred = F.expm1(pred)
+    if transform == "boxcox":
+        power = F.col("lambda")
+        back = F.when(power == 0, F.exp(pred)).when(pred > 0, F.pow(pred, F.try_divide(F.lit(1.0), power)))
+        pred = F.when(power == 1, pred).otherwise(back.when(power > 0, 0.0))
     if floor is not None:
         pred = F.greatest(pred, F.lit(floor))
     if cap is not None:

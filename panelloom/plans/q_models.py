@@ -580,6 +580,28 @@ def m13_log(spark, sf):
     return _out(linear.structural(train, horizon=H, periods={12.0: 3, 52.0: 3}, holidays=False, transform="log", floor=0.0))
 
 
+@query("m13_box_cox_trend", f"""
+WITH {v.PREP}, tr AS (SELECT *, idx / 365.0 AS x FROM prep WHERE is_train),
+powers AS (SELECT unnest([{", ".join(map(str, linear.LAMBDAS))}]) AS lam),
+z AS (SELECT series, lam, x, y, CASE WHEN lam = 0 THEN ln(y) ELSE CAST(y AS DOUBLE) ** lam END AS z FROM tr CROSS JOIN powers),
+fit AS (SELECT series, CAST(lam AS DOUBLE) AS lam, regr_intercept(z, x) AS a, regr_slope(z, x) AS b, count(*) AS m, sum(ln(y)) AS logs,
+  (regr_syy(z, x) - regr_slope(z, x) ** 2 * regr_sxx(z, x)) / CASE WHEN lam = 0 THEN 1 ELSE lam ** 2 END AS sse FROM z GROUP BY series, lam),
+best AS (SELECT * FROM fit QUALIFY row_number() OVER (PARTITION BY series ORDER BY -m / 2.0 * ln(sse / m) + (lam - 1) * logs DESC) = 1),
+e AS (SELECT series, max(nt) AS nt, max(ts) AS last_ts FROM tr GROUP BY series),
+p AS (SELECT *, a + b * (nt - 1 + step) / 365.0 AS p FROM best JOIN e USING (series) CROSS JOIN range(1, {H + 1}) t(step))
+SELECT series, CAST(step AS INTEGER) AS step, last_ts + to_days(CAST(step AS INTEGER)) AS ts, round(CASE WHEN lam = 0 THEN exp(p) ELSE p ** (1 / lam) END, 2) AS pred FROM p""")
+def m13_box_cox(spark, sf):
+    """Trend of the likeliest power of each series; with a constant and a slope only, SQL has the same regressions."""
+    train = prepared(spark, sf).filter("is_train")
+    return _out(linear.structural(train, horizon=H, periods={}, holidays=False, ridge=0.0, transform="boxcox"))
+
+
+@query("m13_box_cox_seasons")
+def m13_box_cox_seasons(spark, sf):
+    train = prepared(spark, sf).filter("is_train")
+    return _out(linear.structural(train, horizon=H, periods={7.0: 3, 365.25: 5}, transform="boxcox", floor=0.0))
+
+
 @query("m14_nlinear_one_input", f"""
 WITH {v.PREP}, tr AS (SELECT * FROM prep WHERE is_train),
 x AS (SELECT series, idx, lag(y) OVER (PARTITION BY series ORDER BY idx) AS base FROM tr QUALIFY idx >= 1 AND idx <= nt - 6),

@@ -292,3 +292,21 @@ def test_blocks_side_by_side(period):
                     seasons[at] += cand["gamma"] * (1 - cand["alpha"]) * e
             np.testing.assert_allclose(M[k, i] @ x + c[k, i], [level, trend, *seasons], rtol=1e-9, atol=1e-9)
             np.testing.assert_allclose(s[k, i] + q[k, i] @ x + x @ Q[k, i] @ x, sse, rtol=1e-8, atol=1e-8)
+
+
+def test_box_cox_finds_the_power(spark):
+    """A line in the square root, in the logarithm and as it stands; values at or below 0 are not transformed; a null is skipped."""
+    t, rng = np.arange(400), np.random.default_rng(8)
+    line = 20 + 0.05 * t + rng.normal(0, 0.3, 400)
+    series = {"root": line**2, "log": np.exp(line / 5), "plain": line, "negative": line - 25.0}
+    series["gap"] = [None if k == 30 else v for k, v in enumerate(series["root"])]
+    p = panel(spark, series)
+    xs = [F.lit(1.0), F.col("idx") / 365.0]
+    got = {r.series: r["lambda"] for r in linear.box_cox(p, ["series"], xs, "y", (-1.0, 0.0, 0.5, 1.0), ridge=0.0, free=[0, 1]).collect()}
+    assert got == {"root": 0.5, "log": 0.0, "plain": 1.0, "negative": 1.0, "gap": 0.5}
+    out = paths(linear.structural(p, horizon=5, periods={}, holidays=False, ridge=0.0, transform="boxcox", keys=["series"]))
+    want = 20 + 0.05 * np.arange(400, 405)
+    np.testing.assert_allclose(out["root"], want**2, rtol=0.02)
+    np.testing.assert_allclose(out["log"], np.exp(want / 5), rtol=0.05)
+    with pytest.raises(ValueError):
+        linear.structural(p, horizon=5, transform="sqrt")
