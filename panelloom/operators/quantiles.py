@@ -13,6 +13,7 @@ from panelloom.sources.sinks import stage
 
 ACCURACY = 20_000  # ranks of the sketch are off by at most one part in this many
 MARGIN = 3  # a bracket reaches so many times that far on both sides
+BRACKETS = 100_000  # up to so many, all groups together, are copied to every task
 
 
 def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str], value: str) -> DataFrame:
@@ -21,6 +22,7 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
     A sketch brackets every quantile by two values.  Values below the bracket are only counted; those inside are
     counted by value and ordered, some 2 * MARGIN / ACCURACY of a group and the copies of values.  The counts tell whether a bracket holds its ranks; if
     one does not, its quantile is found among all values on the side where the ranks must be, again counted by value.
+    The rows are never sorted: they meet their brackets in a broadcast, or in hash tables of the groups if there are many.
     """
     keys, margin = list(keys), MARGIN / ACCURACY
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
@@ -37,8 +39,9 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
             (F.lit(float(q)) * (F.col("n") - 1)).alias("at"),
         ) for i, q in enumerate(qs)
     ])
-    sketch = sketch.select(*keys, "least", "most", table.alias("brackets"))
-    found = stage(_between(rows, sketch, keys, len(qs)))  # a row for every group and quantile
+    sketch = stage(sketch.select(*keys, "least", "most", table.alias("brackets")))
+    way = "broadcast" if sketch.count() * len(qs) <= BRACKETS else "shuffle_hash"
+    found = stage(_between(rows, sketch, keys, len(qs), way))  # a row for every group and quantile
     # at the ends of a group there is nothing beyond a bracket, so a rank that is not inside lies on one side
     missed = found.filter("v is null").select(*keys, F.struct(
         "q", F.when(F.col("side") < 0, F.col("least")).otherwise(F.col("lo")).alias("lo"),
@@ -46,17 +49,17 @@ def exact_quantiles(df: DataFrame, qs: Sequence[float], *, keys: Sequence[str],
     if missed.isEmpty():
         return found.select(*keys, "q", F.col("v").alias(value))
     wider = missed.groupBy(*keys).agg(F.first("least").alias("least"), F.first("most").alias("most"), F.collect_list("b").alias("brackets"))
-    again = _between(rows, wider, keys, len(qs))
+    again = _between(rows, wider, keys, len(qs), way)
     return found.filter("v is not null").unionByName(again).select(*keys, "q", F.col("v").alias(value))
 
 
-def _between(rows: DataFrame, brackets: DataFrame, keys: list[str], most: int) -> DataFrame:
+def _between(rows: DataFrame, brackets: DataFrame, keys: list[str], most: int, way: str) -> DataFrame:
     """(keys, least, most, q, lo, hi, at, v, side): order statistics at the ranks around `at`, from the values inside the brackets.
 
     `brackets` has (keys, least, most, brackets) with at most `most` brackets.  v is null where a rank is not inside; it is below the bracket
-    for a negative `side`, above it for a positive one, on both sides for 0.
+    for a negative `side`, above it for a positive one, on both sides for 0.  `way` is how rows are joined to brackets.
     """
-    placed = lookup(rows, brackets.select(*keys, "brackets"), keys).filter(F.col("brackets").isNotNull())
+    placed = lookup(rows, brackets.select(*keys, "brackets").hint(way), keys).filter(F.col("brackets").isNotNull())
     below = placed.groupBy(*keys).agg(*[F.count_if(F.col("v") < F.get("brackets", F.lit(i))["lo"]).alias(f"b{i}") for i in range(most)])
     each = brackets.select(*keys, "least", "most", F.posexplode("brackets").alias("_i", "_b")).select(*keys, "least", "most", "_i", "_b.*")
     each = each.join(below, keys).withColumn("below", F.element_at(F.array(*[F.col(f"b{i}") for i in range(most)]), F.col("_i") + 1))

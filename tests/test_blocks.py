@@ -102,3 +102,26 @@ def test_exact_quantiles(spark, n, accuracy, margin, monkeypatch):
     df = spark.createDataFrame([("g", float(v)) for v in values], "series string, v double")
     got = {r.q: r.v for r in quantiles.exact_quantiles(df, qs, keys=["series"], value="v").collect()}
     np.testing.assert_allclose([got[q] for q in qs], np.quantile(values, qs), rtol=1e-12)
+
+
+@pytest.mark.parametrize("brackets, way", [(100_000, "BroadcastHashJoin"), (0, "ShuffledHashJoin")])
+def test_quantiles_do_not_sort_rows(spark, brackets, way, monkeypatch):
+    """Where Spark's estimate of the sketch rules out a broadcast, the rows of a group were sorted in one task."""
+    monkeypatch.setattr(quantiles, "BRACKETS", brackets, raising=False)
+    plans, plain = [], quantiles.lookup
+
+    def seen(*args):
+        joined = plain(*args)
+        plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        return joined
+
+    monkeypatch.setattr(quantiles, "lookup", seen)
+    df = spark.createDataFrame([(f"g{k % 3}", float(k)) for k in range(300)], "series string, v double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {(r.series, r.q): r.v for r in quantiles.exact_quantiles(df, [0.5], keys=["series"], value="v").collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == {("g0", 0.5): 148.5, ("g1", 0.5): 149.5, ("g2", 0.5): 150.5}
+    assert plans and all(way in p and "SortMergeJoin" not in p for p in plans)
