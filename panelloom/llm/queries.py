@@ -15,6 +15,7 @@ from panelloom.llm.common import held_out, table
 RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
 SEQUENCE, END_ID = 1024, 2
 SHINGLE, MAX_BITS = 3, 3
+LEAST, BITS = 2, 10.0  # op7: occurrences of a word or a context; bits that the next symbols of a retained context save
 PACKING_TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_multi_50k.tiktoken"
 
 
@@ -44,7 +45,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixtree.score_documents(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 1))
+    return suffixtree.score_documents(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 5, 1), least=LEAST, bits=BITS)
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

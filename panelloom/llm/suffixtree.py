@@ -8,17 +8,16 @@ over them reaches `bits`.  Distributions are smoothed towards those of that suff
 all next symbols.  A position is scored in its longest retained context; a word inside a symbol of many words then
 costs its share of that symbol.
 
-`least` is the square root of the number of training tokens unless it is given, so symbols and contexts grow with
-the corpus.  No task and no driver holds the words or the tree.  Texts are stored as numbers into the vocabulary of
+`least` is a fixed count, so symbols and contexts grow with the corpus in proportion; None stands for the square
+root of the number of training tokens.  No task and no driver holds the words or the tree.  Texts are stored as numbers into the vocabulary of
 their chunk (a bounded run of texts), and every chunk fetches the counts of its own words.  Then, a level at a time,
-every chunk counts its runs of a context and a next symbol, and deals them out over buckets by their hash.  A bucket
-adds up what all chunks sent and answers each; contexts are summed over buckets, tested, and joined back.  Runs are
-told apart by 64-bit hashes.
+every chunk counts its runs of a context and a next symbol, and deals them out over buckets by their context; those of
+a very frequent context go to several buckets.  A bucket adds up what all chunks sent, tests its contexts and answers
+each chunk.  Runs are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
@@ -28,22 +27,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from panelloom.llm.common import utf8
-from panelloom.sources.sinks import stage
+from panelloom.sources.sinks import stage, unstage
 
 DEPTH = 3
+LEAST = 2  # what training holds once is no evidence
 BITS = 200.0
-CHUNK = 3_000_000  # tokens after which a chunk ends
-CLASSES = 257  # keys of symbols: 0 is the end of a text, 1-256 are rare words by final byte, hashes are frequent words
+CHUNK = 1_500_000  # tokens after which a chunk ends
+SPLIT = 500_000  # occurrences for every bucket over which a context is dealt out
+WORD_BITS = 31  # of a word's place in its chunk; with the chunk's number above it, that numbers a word
+CLASSES = 257  # keys of symbols: 0 is the end of a text, 1-256 are rare words by final byte, numbers from here on are frequent words
 
 
 def pack(values: np.ndarray) -> bytes:
     """An array of numbers, compressed byte plane by byte plane."""
-    return zlib.compress(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T.tobytes(), 1)
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    used = values.itemsize
+    if values.dtype.kind in "iu" and len(values) and values.min() >= 0:
+        used = max(1, -(-int(values.max()).bit_length() // 8))
+    return used.to_bytes(1, "little") + len(values).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes[:, :used].T.tobytes(), asbytes=True)
 
 
 def unpack(packed: bytes, kind: str) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    used, n = packed[0], int.from_bytes(packed[1:9], "little")
+    values = np.zeros((n, np.dtype(kind).itemsize), dtype=np.uint8)
+    values[:, :used] = np.frombuffer(pa.Codec("zstd").decompress(packed[9:], used * n), dtype=np.uint8).reshape(used, n).T
+    return values.view(kind).ravel()
+
+
+def unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct numbers of 64 bits, the first place of each, and for every place which one it holds.
+
+    The upper bits are sorted with the place in the lower ones; keys that only the bits left out tell apart are sorted in full.
+    """
+    if not len(keys):
+        return np.unique(keys, return_index=True, return_inverse=True)
+    low = np.uint64(len(keys).bit_length())
+    lead = np.uint64(64 - max(1, int(keys.max()).bit_length()))
+    tagged = keys.astype(np.uint64) << lead >> low << low
+    tagged |= np.arange(len(keys), dtype=np.uint64)
+    tagged.sort()
+    at = (tagged & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    tagged >>= low
+    values = keys[at]
+    fresh = np.concatenate([[True], values[1:] != values[:-1]])
+    if (fresh[1:] & (tagged[1:] == tagged[:-1])).any():
+        return np.unique(keys, return_index=True, return_inverse=True)
+    place = np.empty(len(keys), dtype=np.int64)
+    place[at] = np.cumsum(fresh) - 1
+    return values[fresh], at[fresh], place
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,8 +102,8 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     kind = None
     for whole in batches:
-        for batch in (whole.slice(at, 2000) for at in range(0, whole.num_rows, 2000)):
-            chunk, kind, texts, taught = part << 24 | number, batch.column(0).type, [], []
+        for batch in (whole.slice(at, 500) for at in range(0, whole.num_rows, 500)):
+            chunk, kind, texts, taught = part << 12 | number, batch.column(0).type, [], []
             for held, text in zip(batch.column(1).to_pylist(), utf8(batch.column(2))):
                 own = text.lower().split()
                 for w in set(own).difference(known):
@@ -89,7 +120,7 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from vocabulary(chunk, kind)
                 known, learned, tokens, number = {}, learned[:0], 0, number + 1
     if known:
-        yield from vocabulary(part << 24 | number, kind)
+        yield from vocabulary(part << 12 | number, kind)
 
 
 def _mixed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -103,60 +134,69 @@ def _mixed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
 class Runs:
     """Positions of the texts of a chunk, and level by level their runs: a context of so many symbols and the next one.
 
-    `total`, `kinds` and `size` are those of the root: training tokens, symbols among them, all symbols.
+    `total`, `kinds` and `size` are those of the root: training tokens, symbols among them, all symbols.  A context
+    goes to one more of the `buckets` for every `most` occurrences.
     """
 
     def __init__(self, codes: np.ndarray, lengths: np.ndarray, train: np.ndarray, keys: np.ndarray, counts: np.ndarray,
-                 total: int, kinds: int, size: int, least: float):
-        self.codes, self.lengths, self.keys, self.least, self.level = codes, lengths, keys.view(np.uint64), least, 0
+                 total: int, kinds: int, size: int, least: float, buckets: int, most: int):
+        self.codes, self.lengths, self.keys, self.least, self.buckets, self.most, self.level = codes, lengths, keys.view(np.uint64), least, buckets, most, 0
         self.place = np.arange(len(codes), dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
         self.train = np.repeat(train, lengths)
         root = (counts + kinds / size) / (total + kinds) if total else np.full(len(keys), 1 / size)
         self.value = root[codes]  # of every position: probability in the longest retained context up to this level
-        self.run, self.contexts, self.often = codes, self.keys, counts  # of every position: run that ends there; per run: hash, count
+        self.run, self.contexts, self.often = codes, _mixed(np.zeros_like(self.keys), self.keys), counts  # of every position: run that ends there; per run: hash, count
 
     def next_level(self) -> None:
-        """Number the runs with a context that is one symbol longer than before."""
+        """Number the runs with a context that is one symbol longer than before, by bucket and context."""
         self.level += 1
         at = np.flatnonzero(self.place >= self.level)
         before = self.run[at - 1]
         able = (before >= 0) & (self.often[before] >= self.least) if len(self.often) else np.zeros(len(at), dtype=bool)
         self.at, before = at[able], before[able]
-        found, self.inverse = np.unique(before.astype(np.int64) * len(self.keys) + self.codes[self.at], return_inverse=True)
+        found, _, inverse = unique(before.astype(np.int64) * len(self.keys) + self.codes[self.at])
         context, symbol = found // max(1, len(self.keys)), found % max(1, len(self.keys))
-        self.of_run, self.hashes = self.contexts[context], _mixed(self.contexts[context], self.keys[symbol])
+        parts = np.ceil(self.often[context] / self.most).astype(np.uint64) if len(found) else np.zeros(0, dtype=np.uint64)
+        own = self.contexts[context]
+        self.to = (own + _mixed(own, self.keys[symbol]) % np.maximum(parts, np.uint64(1))) % np.uint64(self.buckets)
+        order = np.argsort(self.to.astype(np.uint16) if self.buckets < 1 << 16 else self.to, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        self.inverse, self.to, context, self.symbol = rank[inverse], self.to[order], context[order], self.keys[symbol[order]]
+        self.first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (self.to[1:] != self.to[:-1])])) if len(order) else np.zeros(0, dtype=np.int64)
+        self.times = np.diff(np.append(self.first, len(order)))
+        self.cells, self.split = self.contexts[context[self.first]], parts[order][self.first] > 1  # a cell: runs of a context that go to one bucket
         self.n = np.bincount(self.inverse, weights=self.train[self.at], minlength=len(found)).astype(np.int64)
         self.below = np.zeros(len(found))  # probability of the next symbol in the longest retained suffix, the same wherever a run stands
         self.below[self.inverse] = self.value[self.at]
 
-    def sent(self, buckets: int) -> Iterator[dict]:
-        """A row for every bucket: its runs in order, their contexts as runs of equal ones, and contexts that the bucket owns."""
-        to, owner = self.hashes % np.uint64(buckets), np.unique(self.of_run)
-        order = np.argsort(to, kind="stable")
-        cuts = np.searchsorted(to[order], np.arange(buckets + 1, dtype=np.uint64))
-        owned = owner % np.uint64(buckets)
-        for k in np.unique(to).tolist() + np.setdiff1d(owned, to).tolist():
-            own = order[cuts[k] : cuts[k + 1]]
-            change = np.flatnonzero(np.concatenate([[True], self.of_run[own][1:] != self.of_run[own][:-1]])) if len(own) else np.zeros(0, dtype=np.int64)
-            yield {"bucket": k, "hashes": pack(self.hashes[own]), "n": pack(self.n[own]), "below": pack(self.below[own].astype(np.float32)),
-                   "contexts": pack(self.of_run[own][change]), "times": pack(np.diff(np.append(change, len(own)))), "owned": pack(owner[owned == k])}
-
-    def received(self, buckets: int, counts: dict[int, bytes], kept: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        """Take the counts of all chunks, and the contexts that are retained (sorted hashes, totals, distinct next symbols)."""
-        to = self.hashes % np.uint64(buckets)
-        order = np.argsort(to, kind="stable")
-        often = np.zeros(len(self.hashes), dtype=np.int64)
-        if len(order):
-            often[order] = np.concatenate([unpack(counts[k], "<i8") for k in np.unique(to).tolist()])
-        contexts, total, kinds = kept
-        value = self.below
-        if len(contexts):
-            at = np.minimum(np.searchsorted(contexts, self.of_run), len(contexts) - 1)
-            value = np.where(contexts[at] == self.of_run, (often + kinds[at] * value) / (total[at] + kinds[at]), value)
+    def sent(self) -> Iterator[dict]:
+        """A row for every bucket: its contexts with the bits that their next symbols cost in the suffix, and their runs."""
+        cost = np.add.reduceat(self.n * np.log2(self.below), self.first).astype(np.float32) if len(self.n) else np.zeros(0, dtype=np.float32)
+        for k in np.unique(self.to).tolist():
+            a, b = np.searchsorted(self.to, np.array([k, k + 1], dtype=np.uint64))
+            c, d = np.searchsorted(self.first, [a, b])
+            yield {"bucket": k, "contexts": pack(self.cells[c:d]), "times": pack(self.times[c:d]), "split": pack(self.split[c:d]), "cost": pack(cost[c:d]),
+                   "symbols": pack(self.symbol[a:b]), "n": pack(self.n[a:b])}
+
+    def received(self, answers: dict[int, tuple[bytes, bytes, bytes]], split: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        """Take the counts of all chunks, and totals and distinct next symbols of the retained contexts.
+
+        Those of contexts that are split over buckets are in `split`: sorted hashes, totals, next symbols.
+        """
+        buckets = np.unique(self.to).tolist()
+        often, total, kinds = (np.concatenate([unpack(answers[k][i], "<i8") for k in buckets] or [np.zeros(0, dtype=np.int64)]) for i in range(3))
+        if len(split[0]):
+            at = np.minimum(np.searchsorted(split[0], self.cells), len(split[0]) - 1)
+            found = self.split & (split[0][at] == self.cells)
+            total, kinds = np.where(found, split[1][at], total), np.where(found, split[2][at], kinds)
+        total, kinds = np.repeat(total, self.times), np.repeat(kinds, self.times)
+        value = np.where(total > 0, (often + kinds * self.below) / np.maximum(total + kinds, 1), self.below)
         self.value[self.at] = value[self.inverse]
         run = np.full(len(self.codes), -1, dtype=np.int32)
         run[self.at] = self.inverse
-        self.run, self.contexts, self.often, self.at, self.inverse = run, self.hashes, often, None, None
+        self.contexts = _mixed(np.repeat(self.cells, self.times), self.symbol)
+        self.run, self.often, self.at, self.inverse = run, often, None, None
 
     def scores(self) -> np.ndarray:
         """log10 probability of every text: of all its symbols after the first."""
@@ -164,38 +204,43 @@ class Runs:
         return np.add.reduceat(logs, np.cumsum(self.lengths) - self.lengths) if len(self.lengths) else np.zeros(0)
 
 
-SENT = "chunk bigint, bucket bigint, hashes binary, n binary, below binary, contexts binary, times binary, owned binary"
-COUNTED = "chunk bigint, bucket bigint, counts binary, context bigint, total bigint, kinds bigint, bits double"
+PARTS = ("contexts", "times", "split", "cost", "symbols", "n")
+SENT = "chunk bigint, bucket bigint, " + ", ".join(f"{c} binary" for c in PARTS)
+COUNTED = "chunk bigint, bucket bigint, counts binary, totals binary, kinds_of binary, context bigint, total bigint, kinds bigint, bits double"
+
+
+def _counted(group: pa.Table, bits: float) -> pa.Table:
+    """A bucket: for every chunk the counts of its runs over all chunks and the sums of its retained contexts; sums of contexts that are split."""
+    own = {c: [unpack(x, kind) for x in group.column(c).to_pylist()] for c, kind in zip(PARTS, ("<u8", "<i8", "?", "<f4", "<u8", "<i8"))}
+    cells, runs = (np.cumsum([len(x) for x in own[c]])[:-1] for c in ("contexts", "n"))
+    own = {c: np.concatenate(x) for c, x in own.items()}
+    contexts, cell, of_cell = unique(own["contexts"])
+    every, first, place = unique(_mixed(np.repeat(own["contexts"], own["times"]), own["symbols"]))
+    n = np.bincount(place, weights=own["n"], minlength=len(every)).astype(np.int64)
+    at, seen = np.repeat(of_cell, own["times"])[first], n > 0
+    at, known = at[seen], n[seen]
+    total, kinds, told = (np.bincount(at, weights=w, minlength=len(contexts)) for w in (known, np.ones(len(at)), known * np.log2(known)))
+    gain, split = told - np.bincount(of_cell, weights=own["cost"], minlength=len(contexts)), own["split"][cell]
+    kept = ~split & (gain - total * np.log2(np.maximum(total, 1)) >= bits)
 
+    def back(values: np.ndarray, cuts: np.ndarray) -> list[bytes]:
+        return [pack(x.astype(np.int64)) for x in np.split(values, cuts)]
 
-def _counted(group: pa.Table) -> pa.Table:
-    """A bucket: counts over all chunks for each of them, sums per context, and the contexts that chunks ask for."""
-    chunks, parts = group.column("chunk").to_pylist(), {c: group.column(c).to_pylist() for c in ("hashes", "n", "below", "contexts", "times", "owned")}
-    hashes = [unpack(x, "<u8") for x in parts["hashes"]]
-    every, first, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    n = np.bincount(place, weights=np.concatenate([unpack(x, "<i8") for x in parts["n"]]), minlength=len(every)).astype(np.int64)
-    below = np.concatenate([unpack(x, "<f4") for x in parts["below"]])[first].astype(np.float64)
-    of_run = np.concatenate([np.repeat(unpack(c, "<u8"), unpack(t, "<i8")) for c, t in zip(parts["contexts"], parts["times"])])[first]
-    back = [pack(x) for x in np.split(n[place], np.cumsum([len(x) for x in hashes])[:-1])]
-    seen = n > 0
-    contexts, at = np.unique(of_run[seen], return_inverse=True)
-    sums = [np.bincount(at, weights=w, minlength=len(contexts)) for w in (n[seen], np.ones(seen.sum()), n[seen] * np.log2(n[seen] / below[seen]))]
-    asked = [unpack(x, "<u8") for x in parts["owned"]]
-    a, b, c = len(chunks), len(contexts), sum(map(len, asked))
-    of = np.repeat(np.array(chunks, dtype=np.int64), [len(x) for x in asked])
+    a, b = group.num_rows, int(split.sum())
 
     def filled(kind: pa.DataType, *own) -> pa.Array:
-        """A column of the three kinds of rows; a kind without it has nulls."""
+        """A column of the two kinds of rows; a kind without it has nulls."""
         return pa.concat_arrays([pa.nulls(x, kind) if isinstance(x, int) else pa.array(x, kind) for x in own])
 
     return pa.table({
-        "chunk": filled(pa.int64(), chunks, b, of), "bucket": filled(pa.int64(), group.column("bucket").to_pylist(), b, c),
-        "counts": filled(pa.binary(), back, b, c), "context": filled(pa.int64(), a, contexts.view(np.int64), np.concatenate(asked).view(np.int64)),
-        "total": filled(pa.int64(), a, sums[0].astype(np.int64), c), "kinds": filled(pa.int64(), a, sums[1].astype(np.int64), c),
-        "bits": filled(pa.float64(), a, sums[2], c)})
+        "chunk": filled(pa.int64(), group.column("chunk").to_pylist(), b), "bucket": filled(pa.int64(), group.column("bucket").to_pylist(), b),
+        "counts": filled(pa.binary(), back(n[place], runs), b), "totals": filled(pa.binary(), back((total * kept)[of_cell], cells), b),
+        "kinds_of": filled(pa.binary(), back((kinds * kept)[of_cell], cells), b), "context": filled(pa.int64(), a, contexts[split].view(np.int64)),
+        "total": filled(pa.int64(), a, total[split].astype(np.int64)), "kinds": filled(pa.int64(), a, kinds[split].astype(np.int64)),
+        "bits": filled(pa.float64(), a, gain[split])})
 
 
-def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: str = "text", least: float | None = None,
+def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id", text: str = "text", least: float | None = LEAST,
                     depth: int = DEPTH, bits: float = BITS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every whole text.
 
@@ -216,9 +261,11 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
     # A word stands once in a chunk, so the window over a word has at most as many rows as there are chunks.
     every = Window.partitionBy("word")
     by_end = F.conv(F.hex(F.substring("word", -1, 1)), 16, 10).cast("bigint") + 1
-    words = both.where("word is not null").select(
-        "chunk", "id", "word", F.sum("n").over(every).alias("c"), (F.col("chunk") == F.min("chunk").over(every)).alias("first"))
-    words = stage(words.select("chunk", "id", "c", "first", F.when(F.col("c") >= least, F.xxhash64("word")).otherwise(by_end).alias("symbol")))
+    words = both.where("word is not null").select("word", "n", F.expr(f"shiftleft(chunk, {WORD_BITS}) | id").alias("key"))
+    words = words.select("word", "key", F.sum("n").over(every).alias("c"), F.min("key").over(every).alias("least_key"))
+    words = stage(words.select(
+        F.shiftright("key", WORD_BITS).alias("chunk"), F.expr(f"key & {(1 << WORD_BITS) - 1}L").alias("id"), "c", (F.col("key") == F.col("least_key")).alias("first"),
+        F.when(F.col("c") >= least, F.col("least_key") + CLASSES).otherwise(by_end).alias("symbol")))
     found = words.where("first and c > 0")
     rare = found.where(f"symbol between 1 and {CLASSES - 1}").groupBy("symbol").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
     distinct = found.count()
@@ -262,18 +309,20 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
     per_text = {"doc_id": kind, "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "inside": "double"}
     coded = stage(texts.groupBy("chunk").cogroup(words.select("chunk", "id", "c", "symbol").groupBy("chunk")).applyInArrow(
         encode, "chunk bigint, " + ", ".join(f"{c} array<{t}>" for c, t in per_text.items()) + ", codes binary, keys binary, counts binary"))
-    buckets = max(1, coded.count())
+    unstage(both)
+    unstage(words)
+    buckets, most = max(1, coded.count()), SPLIT
 
     def runs(chunk: pa.Table | pa.RecordBatch, at: int = 0) -> Runs:
         own = {c: chunk.column(c)[at].as_py() for c in ("codes", "keys", "counts", "n_tokens", "held_out")}
         return Runs(unpack(own["codes"], "<i4"), np.array(own["n_tokens"], dtype=np.int64) + 1, ~np.array(own["held_out"], dtype=bool),
-                    unpack(own["keys"], "<i8"), unpack(own["counts"], "<f8"), total, kinds, size, least)
+                    unpack(own["keys"], "<i8"), unpack(own["counts"], "<f8"), total, kinds, size, least, buckets, most)
 
     def sent(chunk: int, own: Runs) -> Iterator[pa.RecordBatch]:
         own.next_level()
-        for row in own.sent(buckets):
+        for row in own.sent():
             yield pa.record_batch({"chunk": pa.array([chunk], pa.int64()), "bucket": pa.array([row["bucket"]], pa.int64()),
-                                   **{c: pa.array([row[c]], pa.binary()) for c in ("hashes", "n", "below", "contexts", "times", "owned")}})
+                                   **{c: pa.array([row[c]], pa.binary()) for c in PARTS}})
 
     def first_level(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,13 +335,8 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
         own, levels = runs(chunk), answers.column("level").to_numpy()
         for level in range(1, levels.max() + 1 if len(levels) else 1):
             part = answers.filter(pa.array(levels == level))
-            counts = part.filter(part.column("counts").is_valid())
-            kept = part.filter(part.column("context").is_valid())
-            context = kept.column("context").to_numpy().astype(np.int64).view(np.uint64)
-            order = np.argsort(context)
             own.next_level()
-            own.received(buckets, dict(zip(counts.column("bucket").to_pylist(), counts.column("counts").to_pylist())),
-                         (context[order], kept.column("total").to_numpy()[order], kept.column("kinds").to_numpy()[order]))
+            own.received(dict(zip(part.column("bucket").to_pylist(), zip(*(part.column(c).to_pylist() for c in ("counts", "totals", "kinds_of"))))), split[level - 1])
         return own
 
     def further_level(key, chunk: pa.Table, answers: pa.Table) -> pa.Table:
@@ -303,18 +347,19 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
         score = pa.array(answered(chunk, answers).scores() + own.pop("inside").to_numpy())
         return pa.table({**own, "train_tokens": pa.array([total] * len(score), pa.int64()), "score": score})
 
-    sent_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), *[(c, pa.binary()) for c in ("hashes", "n", "below", "contexts", "times", "owned")]])
+    sent_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), *[(c, pa.binary()) for c in PARTS]])
     needed = coded.select("chunk", "n_tokens", "held_out", "codes", "keys", "counts")
-    answers = None
+    answers, split = None, []  # of every level: the retained among the contexts that are split, of which there are at most total / SPLIT
     for level in range(1, depth + 1):
         own = needed.mapInArrow(first_level, SENT) if answers is None else (
             needed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(further_level, SENT))
-        counted = stage(own.groupBy("bucket").applyInArrow(_counted, COUNTED))
-        retained = counted.where("total is not null").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("total", "kinds", "bits")])
-        retained = retained.where(F.col("bits") - F.col("total") * F.log2("total") >= bits).select("context", "total", "kinds")
-        asked = counted.where("chunk is not null and context is not null").select("chunk", "context").join(retained, "context")
-        back = counted.where("counts is not null").select("chunk", "bucket", "counts").unionByName(asked, allowMissingColumns=True)
-        back = back.withColumn("level", F.lit(level))
+        counted = stage(own.groupBy("bucket").applyInArrow(lambda group: _counted(group, bits), COUNTED))
+        found = counted.where("context is not null").groupBy("context").agg(*[F.sum(c).alias(c) for c in ("total", "kinds", "bits")])
+        found = found.where((F.col("total") > 0) & (F.col("bits") - F.col("total") * F.log2("total") >= bits)).collect()
+        found = np.array([(r.context, r.total, r.kinds) for r in found], dtype=np.int64).reshape(-1, 3)
+        found = found[np.argsort(found[:, 0].view(np.uint64))]
+        split = [*split, (np.ascontiguousarray(found[:, 0]).view(np.uint64), found[:, 1], found[:, 2])]
+        back = counted.where("chunk is not null").select("chunk", "bucket", "counts", "totals", "kinds_of", F.lit(level).alias("level"))
         answers = back if answers is None else answers.unionByName(back)
 
     return coded.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(scored, (

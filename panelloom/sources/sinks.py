@@ -43,6 +43,14 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a table that `stage` gave, once no later plan reads it."""
+    files = df.inputFiles()
+    if files:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_by(df: DataFrame, path: str, by: Sequence[str], *, mode: str = "append") -> None:
     """Parquet partitioned by columns.
 

@@ -12,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from panelloom.llm import queries as llm_queries
 from panelloom.llm import ann, boilerplate, bpe, components, langid, packing, quality, simhash, suffixtree, topk, urls
 from panelloom.llm.common import held_out
 from panelloom.llm.queries import RULES
@@ -546,6 +547,32 @@ def test_model_grows_with_the_corpus(spark):
     assert better[1] > better[0] + 0.1
 
 
+def test_rare_words_and_contexts_count_in_a_large_corpus(spark):
+    """A pair of words that training holds twice counts however large the corpus is; the root of its tokens left such words out."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(200)) for _ in range(100)] + ["a twice told tale"] * 2
+    docs = documents(spark, list(enumerate([*texts, "b twice told tale", "b tale twice told"])))
+    got = {r.doc_id: r.score for r in suffixtree.score_documents(docs, F.col("doc_id") >= len(texts), bits=llm_queries.BITS).collect()}
+    assert llm_queries.LEAST == 2 and got[len(texts)] > got[len(texts) + 1] + 2
+
+
+def test_split_contexts(spark, monkeypatch):
+    """Contexts that are dealt out over buckets give the scores of those that are not."""
+    rng = random.Random(9)
+    docs = documents(spark, [(k, " ".join(rng.choice("abcdefghij") + rng.choice("xy") for _ in range(50))) for k in range(60)]).repartition(5)
+    whole = {r.doc_id: r.score for r in suffixtree.score_documents(docs, F.col("doc_id") % 5 == 1, bits=5.0).collect()}
+    monkeypatch.setattr(suffixtree, "SPLIT", 7)
+    split = {r.doc_id: r.score for r in suffixtree.score_documents(docs, F.col("doc_id") % 5 == 1, bits=5.0).collect()}
+    assert split == pytest.approx(whole, abs=1e-9)
+
+
+def test_unique():
+    for own in ([], [3], [5, 5, 1], [2**64 - 1, 2**64 - 2, 2**64 - 1, 2**64 - 2], [7, 2**63, 7, 0]):
+        keys = np.array(own, dtype=np.uint64)
+        for got, want in zip(suffixtree.unique(keys), np.unique(keys, return_index=True, return_inverse=True)):
+            assert got.tolist() == want.tolist()
+
+
 def test_language_model_cases(spark):
     got = {r.doc_id: r for r in suffixtree.score_documents(odd(spark), held_out(F.col("doc_id"), 5, 1)).collect()}
     assert got[2].n_tokens == got[3].n_tokens == got[4].n_tokens == 1 and got[5].n_tokens == 40_001 and got[None].held_out is False
