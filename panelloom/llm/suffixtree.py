@@ -18,7 +18,9 @@ each chunk.  Runs are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -77,10 +79,17 @@ def unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values[fresh], at[fresh], place
 
 
+def _numbers() -> defaultdict[bytes, int]:
+    """Words by number; a new word gets the next one."""
+    known: defaultdict[bytes, int] = defaultdict()
+    known.default_factory = known.__len__
+    return known
+
+
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of two kinds: texts as numbers of their chunk's words, and those words with their training counts."""
     part, number = TaskContext.get().partitionId(), 0
-    known: dict[bytes, int] = {}
+    known = _numbers()
     learned = np.zeros(0, dtype=np.int64)  # per word: training tokens of the chunk
     tokens = 0
 
@@ -106,8 +115,6 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chunk, kind, texts, taught = part << 12 | number, batch.column(0).type, [], []
             for held, text in zip(batch.column(1).to_pylist(), utf8(batch.column(2))):
                 own = text.lower().split()
-                for w in set(own).difference(known):
-                    known[w] = len(known)
                 ids = np.fromiter(map(known.__getitem__, own), dtype="<i4", count=len(own))
                 if not held:
                     taught.append(ids)
@@ -118,7 +125,7 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows(chunk, batch.column(0), batch.column(1), texts, [], [], [])
             if tokens >= CHUNK:
                 yield from vocabulary(chunk, kind)
-                known, learned, tokens, number = {}, learned[:0], 0, number + 1
+                known, learned, tokens, number = _numbers(), learned[:0], 0, number + 1
     if known:
         yield from vocabulary(part << 12 | number, kind)
 
@@ -166,18 +173,18 @@ class Runs:
         self.first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (self.to[1:] != self.to[:-1])])) if len(order) else np.zeros(0, dtype=np.int64)
         self.times = np.diff(np.append(self.first, len(order)))
         self.cells, self.split = self.contexts[context[self.first]], parts[order][self.first] > 1  # a cell: runs of a context that go to one bucket
-        self.n = np.bincount(self.inverse, weights=self.train[self.at], minlength=len(found)).astype(np.int64)
         self.below = np.zeros(len(found))  # probability of the next symbol in the longest retained suffix, the same wherever a run stands
         self.below[self.inverse] = self.value[self.at]
 
     def sent(self) -> Iterator[dict]:
         """A row for every bucket: its contexts with the bits that their next symbols cost in the suffix, and their runs."""
-        cost = np.add.reduceat(self.n * np.log2(self.below), self.first).astype(np.float32) if len(self.n) else np.zeros(0, dtype=np.float32)
+        n = np.bincount(self.inverse, weights=self.train[self.at], minlength=len(self.symbol)).astype(np.int64)
+        cost = np.add.reduceat(n * np.log2(self.below), self.first).astype(np.float32) if len(n) else np.zeros(0, dtype=np.float32)
         for k in np.unique(self.to).tolist():
             a, b = np.searchsorted(self.to, np.array([k, k + 1], dtype=np.uint64))
             c, d = np.searchsorted(self.first, [a, b])
             yield {"bucket": k, "contexts": pack(self.cells[c:d]), "times": pack(self.times[c:d]), "split": pack(self.split[c:d]), "cost": pack(cost[c:d]),
-                   "symbols": pack(self.symbol[a:b]), "n": pack(self.n[a:b])}
+                   "symbols": pack(self.symbol[a:b]), "n": pack(n[a:b])}
 
     def received(self, answers: dict[int, tuple[bytes, bytes, bytes]], split: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
         """Take the counts of all chunks, and totals and distinct next symbols of the retained contexts.
@@ -295,6 +302,11 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
             parts.append(float(part[at].sum()))
             codes.append(np.concatenate([[0], code[at] + 1, [0]]).astype("<i4"))
 
+        codes = np.concatenate(codes)
+        order = np.append(0, 1 + np.argsort(-np.bincount(codes, minlength=len(keys) + 1)[1:], kind="stable"))  # frequent symbols get small codes
+        renamed = np.empty(len(order), dtype="<i4")
+        renamed[order] = np.arange(len(order))
+
         def one(values, kind: pa.DataType) -> pa.Array:
             values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else pa.array(values, kind)
             return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
@@ -302,9 +314,9 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
         return pa.table({
             "chunk": pa.array([key[0].as_py()], pa.int64()), "doc_id": one(left.column("doc_id"), None), "held_out": one(left.column("held_out"), None),
             "n_tokens": one(n_tokens, pa.int64()), "n_known": one(known, pa.int64()), "base_score": one(scores, pa.float64()),
-            "inside": one(parts, pa.float64()), "codes": pa.array([pack(np.concatenate(codes))], pa.binary()),
-            "keys": pa.array([pack(np.concatenate([[0], keys]).astype("<i8"))], pa.binary()),
-            "counts": pa.array([pack(np.concatenate([[ends], often]).astype("<f8"))], pa.binary())})
+            "inside": one(parts, pa.float64()), "codes": pa.array([pack(renamed[codes])], pa.binary()),
+            "keys": pa.array([pack(np.append(0, keys)[order].astype("<i8"))], pa.binary()),
+            "counts": pa.array([pack(np.append(ends, often)[order].astype("<f8"))], pa.binary())})
 
     per_text = {"doc_id": kind, "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "inside": "double"}
     coded = stage(texts.groupBy("chunk").cogroup(words.select("chunk", "id", "c", "symbol").groupBy("chunk")).applyInArrow(
