@@ -9,32 +9,33 @@ all next symbols.  A position is scored in its longest retained context; a word
 costs its share of that symbol.
 
 `least` is a fixed count, so symbols and contexts grow with the corpus in proportion; None stands for the square
-root of the number of training tokens.  No task and no driver holds the words or the tree.  Texts are stored as numbers into the vocabulary of
-their chunk (a bounded run of texts), and every chunk fetches the counts of its own words.  Then, a level at a time,
-every chunk counts its runs of a context and a next symbol, and deals them out over buckets by their context; those of
-a very frequent context go to several buckets.  A bucket adds up what all chunks sent, tests its contexts and answers
-each chunk.  Runs are told apart by 64-bit hashes.
+root of the number of training tokens.  No task and no driver holds the words or the tree.  Texts are stored as
+numbers into the vocabulary of their chunk (a bounded run of texts).  Every chunk deals its words out over buckets,
+which add up what all chunks sent, number the words and answer each chunk.  Then, a level at a time, every chunk counts
+its runs of a context and a next symbol, and deals them out over buckets by their context; those of a very frequent
+context go to several buckets.  A bucket adds up, tests its contexts and answers each chunk.  Words are told apart by
+their bytes, runs by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from panelloom.llm.common import utf8
+from panelloom.llm.common import slices
 from panelloom.sources.sinks import stage, unstage
 
 DEPTH = 3
 LEAST = 2  # what training holds once is no evidence
 BITS = 200.0
 CHUNK = 1_500_000  # tokens after which a chunk ends
+CHUNK_BYTES = 64 << 20  # bytes of words after which it ends too
 SPLIT = 500_000  # occurrences for every bucket over which a context is dealt out
 WORD_BITS = 31  # of a word's place in its chunk; with the chunk's number above it, that numbers a word
 CLASSES = 257  # keys of symbols: 0 is the end of a text, 1-256 are rare words by final byte, numbers from here on are frequent words
@@ -63,71 +64,133 @@ def unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     if not len(keys):
         return np.unique(keys, return_index=True, return_inverse=True)
-    low = np.uint64(len(keys).bit_length())
-    lead = np.uint64(64 - max(1, int(keys.max()).bit_length()))
-    tagged = keys.astype(np.uint64) << lead >> low << low
+    low, top = len(keys).bit_length(), max(1, int(keys.max()).bit_length())
+    whole = top + low <= 64
+    tagged = keys.astype(np.uint64)
+    tagged <<= np.uint64(low if whole else 64 - top)
+    if not whole:
+        tagged >>= np.uint64(low)
+        tagged <<= np.uint64(low)
     tagged |= np.arange(len(keys), dtype=np.uint64)
     tagged.sort()
-    at = (tagged & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
-    tagged >>= low
-    values = keys[at]
-    fresh = np.concatenate([[True], values[1:] != values[:-1]])
-    if (fresh[1:] & (tagged[1:] == tagged[:-1])).any():
+    at = (tagged & np.uint64((1 << low) - 1)).view(np.int64)
+    tagged >>= np.uint64(low)
+    values = tagged.astype(keys.dtype) if whole else keys[at]
+    fresh = np.append(True, values[1:] != values[:-1])
+    if not whole and (fresh[1:] & (tagged[1:] == tagged[:-1])).any():
         return np.unique(keys, return_index=True, return_inverse=True)
-    place = np.empty(len(keys), dtype=np.int64)
-    place[at] = np.cumsum(fresh) - 1
+    place = np.empty(len(keys), dtype=np.int32)
+    place[at] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
     return values[fresh], at[fresh], place
 
 
-def _numbers() -> defaultdict[bytes, int]:
-    """Words by number; a new word gets the next one."""
-    known: defaultdict[bytes, int] = defaultdict()
-    known.default_factory = known.__len__
-    return known
+def _bytes(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Strings of bytes that stand one after another."""
+    ends = np.append(0, np.cumsum(lengths)).astype("<i8")
+    return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _parts(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The reverse of `_bytes`."""
+    strings = strings.cast(pa.large_binary())
+    ends = np.frombuffer(strings.buffers()[1], dtype="<i8")[strings.offset : strings.offset + len(strings) + 1]
+    data = strings.buffers()[2]
+    return (np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]] if data and data.size else np.zeros(0, dtype=np.uint8)), np.diff(ends)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts one after another, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, ends = split.flatten(), split.offsets.to_numpy()
+    full = pc.not_equal(pc.binary_length(words), 0)  # white space at an end of a text gives an empty one
+    before = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    return words.filter(full), np.diff(before[ends - ends[0]])
+
+
+def _one(values: pa.Array) -> pa.Array:
+    """A column of a single row that holds all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of two kinds: texts as numbers of their chunk's words, and those words with their training counts."""
+    """A row for every chunk: its texts as numbers of its words, and those words with their training counts."""
     part, number = TaskContext.get().partitionId(), 0
-    known = _numbers()
-    learned = np.zeros(0, dtype=np.int64)  # per word: training tokens of the chunk
-    tokens = 0
-
-    def rows(chunk: int, ids: pa.Array, held: pa.Array, texts: list, places: list, words: list, counts: list) -> pa.RecordBatch:
-        n = max(len(texts), len(words))
+    held: list[tuple[pa.Array, pa.Array, pa.Array, np.ndarray]] = []
+    tokens = size = 0
+
+    def chunk() -> pa.RecordBatch:
+        ids, out, words, n = zip(*held)
+        out, n, coded = pa.concat_arrays(out), np.concatenate(n), pa.concat_arrays(words).dictionary_encode()
+        codes, train = coded.indices.to_numpy(), ~pc.fill_null(out, False).to_numpy(zero_copy_only=False)
+        learned = np.bincount(codes[np.repeat(train, n)], minlength=len(coded.dictionary))
+        data, lengths = _parts(coded.dictionary)
         return pa.record_batch({
-            "chunk": pa.array([chunk] * n, pa.int64()), "doc_id": ids, "held_out": held,
-            "ids": pa.array(texts, pa.binary()) if texts else pa.nulls(n, pa.binary()),
-            "id": pa.array(places, pa.int64()) if words else pa.nulls(n, pa.int64()),
-            "word": pa.array(words, pa.binary()) if words else pa.nulls(n, pa.binary()),
-            "n": pa.array(counts, pa.int64()) if words else pa.nulls(n, pa.int64())})
-
-    def vocabulary(chunk: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-        every = list(known)
-        for at in range(0, len(every), 50_000):
-            own = every[at : at + 50_000]
-            places = range(at, at + len(own))
-            yield rows(chunk, pa.nulls(len(own), kind), pa.nulls(len(own), pa.bool_()), [], list(places), own, learned[at : at + len(own)])
-
-    kind = None
-    for whole in batches:
-        for batch in (whole.slice(at, 500) for at in range(0, whole.num_rows, 500)):
-            chunk, kind, texts, taught = part << 12 | number, batch.column(0).type, [], []
-            for held, text in zip(batch.column(1).to_pylist(), utf8(batch.column(2))):
-                own = text.lower().split()
-                ids = np.fromiter(map(known.__getitem__, own), dtype="<i4", count=len(own))
-                if not held:
-                    taught.append(ids)
-                tokens += len(own)
-                texts.append(pack(ids))
-            before, learned = learned, np.bincount(np.concatenate(taught) if taught else np.zeros(0, dtype="<i4"), minlength=len(known))
-            learned[: len(before)] += before
-            yield rows(chunk, batch.column(0), batch.column(1), texts, [], [], [])
-            if tokens >= CHUNK:
-                yield from vocabulary(chunk, kind)
-                known, learned, tokens, number = _numbers(), learned[:0], 0, number + 1
-    if known:
-        yield from vocabulary(part << 12 | number, kind)
+            "chunk": pa.array([part << 12 | number], pa.int64()), "doc_id": _one(pa.concat_arrays(ids)), "held_out": _one(out), "n_words": _one(pa.array(n, pa.int64())),
+            "ids": pa.array([pack(codes)], pa.binary()), "words": pa.array([pack(data)], pa.binary()), "lengths": pa.array([pack(lengths)], pa.binary()),
+            "n": pa.array([pack(learned)], pa.binary()), "ends": pa.array([train.sum()], pa.int64()), "taught": pa.array([learned.sum()], pa.int64())})
+
+    for batch in batches:
+        for own in slices(batch) if batch.num_rows else ():
+            words, n = _words(own.column(2))
+            held.append((own.column(0), own.column(1), words, n))
+            tokens, size = tokens + len(words) + len(n), size + words.nbytes
+            if tokens >= CHUNK or size >= CHUNK_BYTES:
+                yield chunk()
+                held.clear()
+                tokens, size, number = 0, 0, number + 1
+    if held:
+        yield chunk()
+    pa.default_memory_pool().release_unused()
+
+
+def _dealt(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The words of every chunk by bucket, with their places in the chunk and their training counts."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            data, lengths, n = (unpack(batch.column(c)[k].as_py(), kind) for c, kind in (("words", "u1"), ("lengths", "<i8"), ("n", "<i8")))
+            if not len(lengths):
+                continue
+            starts = np.cumsum(lengths) - lengths
+            place = np.arange(len(data)) - np.repeat(starts, lengths)
+            powers = np.multiply.accumulate(np.full(int(lengths.max()), 0x9E3779B97F4A7C15, dtype=np.uint64))
+            # Words are dealt out by a hash and told apart by their bytes.
+            to = _mixed(np.add.reduceat((data + np.uint64(1)) * powers[place], starts), lengths.astype(np.uint64)) % np.uint64(buckets)
+            order = np.argsort(to.astype(np.uint16) if buckets < 1 << 16 else to, kind="stable")
+            data, lengths = _parts(_bytes(data, lengths).take(pa.array(order)))
+            ends, keys = np.append(0, np.cumsum(lengths)), np.unique(to)
+            cuts = np.append(np.searchsorted(to[order], keys), len(order)).tolist()
+            rows = [(pack(data[ends[a] : ends[b]]), pack(lengths[a:b]), pack(np.diff(order[a:b], prepend=0)), pack(n[order[a:b]])) for a, b in zip(cuts, cuts[1:])]
+            yield pa.record_batch({"chunk": pa.array([batch.column("chunk")[k].as_py()] * len(rows), pa.int64()), "bucket": pa.array(keys.astype(np.int64)),
+                                   **{c: pa.array(x, pa.binary()) for c, x in zip(("words", "lengths", "ids", "n"), zip(*rows))}})
+            pa.default_memory_pool().release_unused()
+
+
+def _numbered(group: pa.Table, least: float) -> pa.Table:
+    """A bucket of words: for every chunk the training counts of its words over all chunks and their symbols; training tokens and distinct words
+    of every rare symbol, and in class 0 those of all frequent words."""
+    group = group.sort_by("chunk")
+    chunks = group.column("chunk").to_numpy()
+    data, lengths, ids, n = ([unpack(x, kind) for x in group.column(c).to_pylist()] for c, kind in (("words", "u1"), ("lengths", "<i8"), ("ids", "<i8"), ("n", "<i8")))
+    cuts = np.cumsum([len(x) for x in lengths])[:-1]
+    data, lengths = np.concatenate(data), np.concatenate(lengths)
+    place = _bytes(data, lengths).dictionary_encode().indices.to_numpy()  # numbered as they come
+    c = np.bincount(place, weights=np.concatenate(n)).astype(np.int64)
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(place), prepend=-1))
+    key = np.concatenate([np.cumsum(x) + (chunk << WORD_BITS) for x, chunk in zip(ids, chunks)])[first]  # of the first chunk that has the word
+    symbol = np.where(c >= least, key + CLASSES, data[np.cumsum(lengths)[first] - 1].astype(np.int64) + 1)
+    of_class = np.where(symbol < CLASSES, symbol, 0)[c > 0]
+    tokens, words = np.bincount(of_class, weights=c[c > 0], minlength=CLASSES).astype(np.int64), np.bincount(of_class, minlength=CLASSES)
+    classes = np.flatnonzero(words)
+
+    def filled(rows: list[bytes]) -> pa.Array:
+        return pa.array(rows + [None] * len(classes), pa.binary())
+
+    none = [None] * len(chunks)
+    return pa.table({
+        "chunk": pa.array([*chunks.tolist(), *[None] * len(classes)], pa.int64()), "ids": filled(group.column("ids").to_pylist()),
+        "c": filled([pack(x) for x in np.split(c[place], cuts)]), "symbol": filled([pack(x) for x in np.split(symbol[place], cuts)]),
+        "class": pa.array([*none, *classes.tolist()], pa.int64()), "tokens": pa.array([*none, *tokens[classes].tolist()], pa.int64()),
+        "words": pa.array([*none, *words[classes].tolist()], pa.int64())})
 
 
 def _mixed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
@@ -152,29 +215,37 @@ class Runs:
         self.train = np.repeat(train, lengths)
         root = (counts + kinds / size) / (total + kinds) if total else np.full(len(keys), 1 / size)
         self.value = root[codes]  # of every position: probability in the longest retained context up to this level
-        self.run, self.contexts, self.often = codes, _mixed(np.zeros_like(self.keys), self.keys), counts  # of every position: run that ends there; per run: hash, count
+        self.inside = np.append(self.place[1:] > 0, False)  # of every position: whether its text goes on
+        self.at, self.inverse = np.arange(len(codes)), codes  # the positions of this level, and the run that ends at each
+        self.contexts, self.often = _mixed(np.zeros_like(self.keys), self.keys), counts  # per run: hash, count
 
     def next_level(self) -> None:
-        """Number the runs with a context that is one symbol longer than before, by bucket and context."""
+        """Number the runs with a context that is one symbol longer than before, by bucket and context.
+
+        The suffix of a run is no rarer than the run, so their positions are among those that follow positions of the level before.
+        """
         self.level += 1
-        at = np.flatnonzero(self.place >= self.level)
-        before = self.run[at - 1]
-        able = (before >= 0) & (self.often[before] >= self.least) if len(self.often) else np.zeros(len(at), dtype=bool)
-        self.at, before = at[able], before[able]
-        found, _, inverse = unique(before.astype(np.int64) * len(self.keys) + self.codes[self.at])
-        context, symbol = found // max(1, len(self.keys)), found % max(1, len(self.keys))
-        parts = np.ceil(self.often[context] / self.most).astype(np.uint64) if len(found) else np.zeros(0, dtype=np.uint64)
-        own = self.contexts[context]
-        self.to = (own + _mixed(own, self.keys[symbol]) % np.maximum(parts, np.uint64(1))) % np.uint64(self.buckets)
-        order = np.argsort(self.to.astype(np.uint16) if self.buckets < 1 << 16 else self.to, kind="stable")
-        rank = np.empty(len(order), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        self.inverse, self.to, context, self.symbol = rank[inverse], self.to[order], context[order], self.keys[symbol[order]]
-        self.first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (self.to[1:] != self.to[:-1])])) if len(order) else np.zeros(0, dtype=np.int64)
+        able = self.inside[self.at] & (self.often >= self.least)[self.inverse]
+        self.at, before = self.at[able] + 1, self.inverse[able]
+        codes = self.codes[self.at]
+        _, leader, inverse = unique(before.astype(np.int64) * len(self.keys) + codes)
+        context, symbol = before[leader], codes[leader]
+        first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(leader) else np.zeros(0, dtype=np.int64)
+        times = np.diff(np.append(first, len(leader)))
+        own, parts = self.contexts[context[first]], np.ceil(self.often[context[first]] / self.most).astype(np.uint64)
+        to, dealt = np.repeat(own % np.uint64(self.buckets), times), parts > 1
+        if dealt.any():
+            at, own, parts_of = (np.repeat(x, times[dealt]) for x in (first[dealt] - np.cumsum(times[dealt]) + times[dealt], own[dealt], parts[dealt]))
+            at += np.arange(len(at))
+            to[at] = (own + _mixed(own, self.keys[symbol[at]]) % parts_of) % np.uint64(self.buckets)
+        order = np.argsort(to.astype(np.uint16) if self.buckets < 1 << 16 else to, kind="stable")
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        self.inverse, self.to, context, self.symbol = rank[inverse], to[order], context[order], self.keys[symbol[order]]
+        self.first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (self.to[1:] != self.to[:-1]))) if len(order) else first
         self.times = np.diff(np.append(self.first, len(order)))
-        self.cells, self.split = self.contexts[context[self.first]], parts[order][self.first] > 1  # a cell: runs of a context that go to one bucket
-        self.below = np.zeros(len(found))  # probability of the next symbol in the longest retained suffix, the same wherever a run stands
-        self.below[self.inverse] = self.value[self.at]
+        self.cells, self.split = self.contexts[context[self.first]], np.repeat(dealt, times)[order[self.first]]  # a cell: runs of a context that go to one bucket
+        self.below = self.value[self.at[leader[order]]]  # probability of the next symbol in the longest retained suffix, the same wherever a run stands
 
     def sent(self) -> Iterator[dict]:
         """A row for every bucket: its contexts with the bits that their next symbols cost in the suffix, and their runs."""
@@ -200,10 +271,7 @@ class Runs:
         total, kinds = np.repeat(total, self.times), np.repeat(kinds, self.times)
         value = np.where(total > 0, (often + kinds * self.below) / np.maximum(total + kinds, 1), self.below)
         self.value[self.at] = value[self.inverse]
-        run = np.full(len(self.codes), -1, dtype=np.int32)
-        run[self.at] = self.inverse
-        self.contexts = _mixed(np.repeat(self.cells, self.times), self.symbol)
-        self.run, self.often, self.at, self.inverse = run, often, None, None
+        self.contexts, self.often = _mixed(np.repeat(self.cells, self.times), self.symbol), often
 
     def scores(self) -> np.ndarray:
         """log10 probability of every text: of all its symbols after the first."""
@@ -259,71 +327,66 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).cast("string").alias("text"))
-    both = stage(rows.mapInArrow(_chunks, f"chunk bigint, doc_id {kind}, held_out boolean, ids binary, id bigint, word binary, n bigint"))
-    texts = both.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
-    ends = texts.where("not held_out").count()
-    total = ends + (both.agg(F.sum("n")).first()[0] or 0)
+    both = stage(rows.mapInArrow(_chunks, (
+        f"chunk bigint, doc_id array<{kind}>, held_out array<boolean>, n_words array<bigint>, ids binary, words binary, lengths binary, n binary, ends bigint, taught bigint")))
+    all_of = both.agg(F.count("*").alias("chunks"), F.sum("ends").alias("ends"), F.sum("taught").alias("taught")).first()
+    ends, buckets = all_of.ends or 0, max(1, all_of.chunks)
+    total = ends + (all_of.taught or 0)
     least = max(1.0, total**0.5 if least is None else least)
 
-    # A word stands once in a chunk, so the window over a word has at most as many rows as there are chunks.
-    every = Window.partitionBy("word")
-    by_end = F.conv(F.hex(F.substring("word", -1, 1)), 16, 10).cast("bigint") + 1
-    words = both.where("word is not null").select("word", "n", F.expr(f"shiftleft(chunk, {WORD_BITS}) | id").alias("key"))
-    words = words.select("word", "key", F.sum("n").over(every).alias("c"), F.min("key").over(every).alias("least_key"))
-    words = stage(words.select(
-        F.shiftright("key", WORD_BITS).alias("chunk"), F.expr(f"key & {(1 << WORD_BITS) - 1}L").alias("id"), "c", (F.col("key") == F.col("least_key")).alias("first"),
-        F.when(F.col("c") >= least, F.col("least_key") + CLASSES).otherwise(by_end).alias("symbol")))
-    found = words.where("first and c > 0")
-    rare = found.where(f"symbol between 1 and {CLASSES - 1}").groupBy("symbol").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
-    distinct = found.count()
-    frequent = distinct - sum(r.v for r in rare)
-    distinct, kinds, size = distinct + (1 if ends else 0), frequent + len(rare) + (1 if ends else 0), frequent + CLASSES
+    dealt = both.select("chunk", "words", "lengths", "n").mapInArrow(
+        lambda batches: _dealt(batches, buckets), "chunk bigint, bucket bigint, words binary, lengths binary, ids binary, n binary")
+    words = stage(dealt.groupBy("bucket").applyInArrow(
+        lambda group: _numbered(group, least), "chunk bigint, ids binary, c binary, symbol binary, class bigint, tokens bigint, words bigint"))
+    rare = words.where("class is not null").groupBy("class").agg(F.sum("tokens").alias("c"), F.sum("words").alias("v")).collect()
+    frequent, rare = sum(r.v for r in rare if not r["class"]), [r for r in rare if r["class"]]
+    distinct = frequent + sum(r.v for r in rare) + (1 if ends else 0)
+    kinds, size = frequent + len(rare) + (1 if ends else 0), frequent + CLASSES
     inside = np.zeros((CLASSES, 2))  # per rare symbol: training tokens and distinct words; one more slot is for the unknown
     for r in rare:
-        inside[r.symbol] = r.c, r.v
+        inside[r["class"]] = r.c, r.v
     base = np.log10(total + 0.5 * (distinct + 1))
 
     def encode(key, left: pa.Table, right: pa.Table) -> pa.Table:
         """All texts of a chunk as one row of symbols, with what the counts of its words give."""
-        order = np.argsort(right.column("id").to_numpy())
-        counts, words_of = right.column("c").to_numpy()[order].astype(np.float64), right.column("symbol").to_numpy()[order].astype(np.int64)
-        rest = (words_of >= 0) & (words_of < CLASSES)
+        ids, n = unpack(left.column("ids")[0].as_py(), "<i4"), left.column("n_words").combine_chunks().flatten().to_numpy()
+        counts, words_of = np.zeros(ids.max() + 1 if len(ids) else 0), np.zeros(ids.max() + 1 if len(ids) else 0, dtype=np.int64)
+        for own in zip(*(right.column(c).to_pylist() for c in ("ids", "c", "symbol"))):
+            at, counts_at, symbols = (unpack(x, "<i8") for x in own)
+            at = np.cumsum(at)
+            counts[at], words_of[at] = counts_at, symbols
+        rest = words_of < CLASSES
         of_class = inside[np.where(rest, words_of, 0)]
         logs = np.log10(counts + 0.5) - base
         part = np.where(rest, np.log10(counts + 0.5) - np.log10(of_class[:, 0] + 0.5 * (of_class[:, 1] + 1)), 0.0)
-        keys, first, code = np.unique(words_of, return_index=True, return_inverse=True)
+        keys, first, code = unique(words_of)
         often = np.where(rest, of_class[:, 0], counts)[first]
-        n_tokens, known, scores, parts, codes = [], [], [], [], [np.zeros(0, dtype="<i4")]
-        for ids in left.column("ids").to_pylist():
-            at = unpack(ids, "<i4")
-            n_tokens.append(len(at) + 1)
-            known.append(int(np.count_nonzero(counts[at])) + (1 if ends else 0))
-            scores.append(float(logs[at].sum() + np.log10(ends + 0.5) - base))
-            parts.append(float(part[at].sum()))
-            codes.append(np.concatenate([[0], code[at] + 1, [0]]).astype("<i4"))
-
-        codes = np.concatenate(codes)
+        of_text = np.repeat(np.arange(len(n)), n)
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            return np.bincount(of_text, weights=values[ids], minlength=len(n))
+
+        known, scores, parts = summed(counts > 0).astype(np.int64) + (1 if ends else 0), summed(logs) + (np.log10(ends + 0.5) - base), summed(part)
+        codes = np.zeros(len(ids) + 2 * len(n), dtype="<i4")
+        codes[np.arange(len(ids)) + 2 * of_text + 1] = code[ids] + 1
         order = np.append(0, 1 + np.argsort(-np.bincount(codes, minlength=len(keys) + 1)[1:], kind="stable"))  # frequent symbols get small codes
         renamed = np.empty(len(order), dtype="<i4")
         renamed[order] = np.arange(len(order))
 
-        def one(values, kind: pa.DataType) -> pa.Array:
-            values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else pa.array(values, kind)
-            return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
         return pa.table({
-            "chunk": pa.array([key[0].as_py()], pa.int64()), "doc_id": one(left.column("doc_id"), None), "held_out": one(left.column("held_out"), None),
-            "n_tokens": one(n_tokens, pa.int64()), "n_known": one(known, pa.int64()), "base_score": one(scores, pa.float64()),
-            "inside": one(parts, pa.float64()), "codes": pa.array([pack(renamed[codes])], pa.binary()),
+            "chunk": pa.array([key[0].as_py()], pa.int64()), "doc_id": left.column("doc_id"), "held_out": left.column("held_out"),
+            "n_tokens": _one(pa.array(n + 1, pa.int64())), "n_known": _one(pa.array(known)), "base_score": _one(pa.array(scores)),
+            "inside": _one(pa.array(parts)), "codes": pa.array([pack(renamed[codes])], pa.binary()),
             "keys": pa.array([pack(np.append(0, keys)[order].astype("<i8"))], pa.binary()),
             "counts": pa.array([pack(np.append(ends, often)[order].astype("<f8"))], pa.binary())})
 
     per_text = {"doc_id": kind, "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "inside": "double"}
-    coded = stage(texts.groupBy("chunk").cogroup(words.select("chunk", "id", "c", "symbol").groupBy("chunk")).applyInArrow(
+    texts, words_of_chunks = both.select("chunk", "doc_id", "held_out", "n_words", "ids"), words.where("chunk is not null").select("chunk", "ids", "c", "symbol")
+    coded = stage(texts.groupBy("chunk").cogroup(words_of_chunks.groupBy("chunk")).applyInArrow(
         encode, "chunk bigint, " + ", ".join(f"{c} array<{t}>" for c, t in per_text.items()) + ", codes binary, keys binary, counts binary"))
     unstage(both)
     unstage(words)
-    buckets, most = max(1, coded.count()), SPLIT
+    most = SPLIT
 
     def runs(chunk: pa.Table | pa.RecordBatch, at: int = 0) -> Runs:
         own = {c: chunk.column(c)[at].as_py() for c in ("codes", "keys", "counts", "n_tokens", "held_out")}

@@ -4,9 +4,11 @@ import collections
 import itertools
 import math
 import random
+import types
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -566,6 +568,62 @@ def test_split_contexts(spark, monkeypatch):
     assert split == pytest.approx(whole, abs=1e-9)
 
 
+def test_words_and_runs_take_a_row_per_chunk_and_bucket(spark, monkeypatch):
+    """Tables of the language model have rows for chunks and their buckets; one row for every word of a chunk took most of the time outside Python."""
+    held, stage = [], suffixtree.stage
+
+    def counted(df):
+        out = stage(df)
+        held.append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(suffixtree, "stage", counted)
+    docs = documents(spark, [(k, " ".join(f"w{k}x{j}" for j in range(100))) for k in range(40)]).coalesce(1)
+    assert suffixtree.score_documents(docs, F.col("doc_id") % 5 == 1).count() == 40
+    assert len(held) == 3 + suffixtree.DEPTH and all(n <= 1 + suffixtree.CLASSES for _, n in held)
+
+
+def test_words_of_texts():
+    """Words are those between ASCII white space, whatever else a text holds, also in a part of a column."""
+    texts = [None, "", " ", "a", " A  b\t", "\x0b\x1c\x1d a\x00b\x85 \xa0\u2003c ÄÖÅ\r\n", *(f"aA{chr(k)}Bb" for k in range(256))]
+    for at in (0, 4):
+        words, n = suffixtree._words(pa.array(texts).slice(at))
+        want = [(t or "").encode().lower().split() for t in texts[at:]]
+        assert n.tolist() == [len(x) for x in want] and words.cast(pa.binary()).to_pylist() == [w for x in want for w in x]
+    broken = pa.array([b"A\xff\xc3 \x80B "], pa.binary()).view(pa.string())
+    assert suffixtree._words(broken)[0].view(pa.binary()).to_pylist() == [b"a\xff\xc3", b"\x80b"]
+
+
+@pytest.mark.parametrize("tokens, size", [(1, 1 << 20), (1_500_000, 1), (40, 1 << 20), (1_500_000, 1 << 20)])
+def test_chunks_hold_all_texts(monkeypatch, tokens, size):
+    """A chunk ends by tokens or by bytes; texts without words count too, and every word's training tokens are those of all chunks."""
+    monkeypatch.setattr(suffixtree, "CHUNK", tokens)
+    monkeypatch.setattr(suffixtree, "CHUNK_BYTES", size)
+    monkeypatch.setattr(suffixtree, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    texts = [None, "", "b a b", " a ", "c" * 300, *[f"w{k % 7} a" for k in range(30)], None]
+    out = [None, True, *[k % 4 == 1 for k in range(len(texts) - 2)]]
+    batches = [pa.record_batch({"doc_id": pa.array([k], pa.int64()), "held_out": pa.array([o], pa.bool_()), "text": pa.array([t], pa.string())}) for k, (t, o) in enumerate(zip(texts, out))]
+    chunks = list(suffixtree._chunks(batches))
+    assert [c.column("chunk")[0].as_py() for c in chunks] == [3 << 12 | k for k in range(len(chunks))]
+    assert [k for c in chunks for k in c.column("doc_id")[0].as_py()] == list(range(len(texts)))
+    assert (len(chunks) == 1) == (tokens == 1_500_000 and size > 1) and (len(chunks) == len(texts)) == (tokens == 1)
+    sent = [(row["chunk"], row["bucket"], row) for c in suffixtree._dealt(chunks, 3) for row in c.to_pylist()]
+    counts, symbols = collections.defaultdict(set), {}
+    for bucket in {b for _, b, _ in sent}:
+        group = pa.Table.from_pylist([row for _, b, row in sent if b == bucket])
+        told = suffixtree._numbered(group, 2.0).to_pylist()
+        for row, own in zip([r for r in told if r["chunk"] is not None], sorted((row for _, b, row in sent if b == bucket), key=lambda row: row["chunk"])):
+            lengths = suffixtree.unpack(own["lengths"], "<i8")
+            words = np.split(suffixtree.unpack(own["words"], "u1"), np.cumsum(lengths)[:-1])
+            for w, c, x in zip(words, suffixtree.unpack(row["c"], "<i8").tolist(), suffixtree.unpack(row["symbol"], "<i8").tolist()):
+                counts[w.tobytes()].add(c)
+                assert symbols.setdefault(w.tobytes(), x) == x
+    seen = collections.Counter(w for t, o in zip(texts, out) if not o for w in (t or "").encode().split())
+    assert {w: {seen[w]} for w in counts} == counts and set(seen) <= set(counts)
+    assert all((x < suffixtree.CLASSES and x == w[-1] + 1) if seen[w] < 2 else x >= suffixtree.CLASSES for w, x in symbols.items())
+    assert len({x for x in symbols.values() if x >= suffixtree.CLASSES}) == sum(c >= 2 for c in seen.values())
+
+
 def test_unique():
     for own in ([], [3], [5, 5, 1], [2**64 - 1, 2**64 - 2, 2**64 - 1, 2**64 - 2], [7, 2**63, 7, 0]):
         keys = np.array(own, dtype=np.uint64)
