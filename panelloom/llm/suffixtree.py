@@ -228,8 +228,9 @@ class Runs:
         able = self.inside[self.at] & (self.often >= self.least)[self.inverse]
         self.at, before = self.at[able] + 1, self.inverse[able]
         codes = self.codes[self.at]
-        _, leader, inverse = unique(before.astype(np.int64) * len(self.keys) + codes)
-        context, symbol = before[leader], codes[leader]
+        found, leader, inverse = unique(before.astype(np.int64) * len(self.keys) + codes)
+        context = (found // max(1, len(self.keys))).astype(np.int32)
+        symbol = (found - context * np.int64(len(self.keys))).astype(np.int32)
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(leader) else np.zeros(0, dtype=np.int64)
         times = np.diff(np.append(first, len(leader)))
         own, parts = self.contexts[context[first]], np.ceil(self.often[context[first]] / self.most).astype(np.uint64)
@@ -245,24 +246,23 @@ class Runs:
         self.first = np.flatnonzero(np.append(True, (context[1:] != context[:-1]) | (self.to[1:] != self.to[:-1]))) if len(order) else first
         self.times = np.diff(np.append(self.first, len(order)))
         self.cells, self.split = self.contexts[context[self.first]], np.repeat(dealt, times)[order[self.first]]  # a cell: runs of a context that go to one bucket
-        self.below = self.value[self.at[leader[order]]]  # probability of the next symbol in the longest retained suffix, the same wherever a run stands
+        self.below = self.value[self.at][leader[order]]  # probability of the next symbol in the longest retained suffix, the same wherever a run stands
 
-    def sent(self) -> Iterator[dict]:
-        """A row for every bucket: its contexts with the bits that their next symbols cost in the suffix, and their runs."""
+    def sent(self) -> dict[str, list]:
+        """Columns of a row for every bucket: its contexts with the bits that their next symbols cost in the suffix, and their runs."""
         n = np.bincount(self.inverse, weights=self.train[self.at], minlength=len(self.symbol)).astype(np.int64)
         cost = np.add.reduceat(n * np.log2(self.below), self.first).astype(np.float32) if len(n) else np.zeros(0, dtype=np.float32)
-        for k in np.unique(self.to).tolist():
-            a, b = np.searchsorted(self.to, np.array([k, k + 1], dtype=np.uint64))
-            c, d = np.searchsorted(self.first, [a, b])
-            yield {"bucket": k, "contexts": pack(self.cells[c:d]), "times": pack(self.times[c:d]), "split": pack(self.split[c:d]), "cost": pack(cost[c:d]),
-                   "symbols": pack(self.symbol[a:b]), "n": pack(n[a:b])}
+        at = np.flatnonzero(np.append(True, self.to[1:] != self.to[:-1])) if len(self.to) else np.zeros(0, dtype=np.int64)
+        buckets, runs, cells = self.to[at].astype(np.int64), np.append(at, len(self.to)).tolist(), np.append(np.searchsorted(self.first, at), len(self.first)).tolist()
+        parts = {"contexts": (self.cells, cells), "times": (self.times, cells), "split": (self.split, cells), "cost": (cost, cells), "symbols": (self.symbol, runs), "n": (n, runs)}
+        return {"bucket": buckets.tolist(), **{c: [pack(values[a:b]) for a, b in zip(cuts, cuts[1:])] for c, (values, cuts) in parts.items()}}
 
     def received(self, answers: dict[int, tuple[bytes, bytes, bytes]], split: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
         """Take the counts of all chunks, and totals and distinct next symbols of the retained contexts.
 
         Those of contexts that are split over buckets are in `split`: sorted hashes, totals, next symbols.
         """
-        buckets = np.unique(self.to).tolist()
+        buckets = self.to[np.append(True, self.to[1:] != self.to[:-1])].tolist() if len(self.to) else []
         often, total, kinds = (np.concatenate([unpack(answers[k][i], "<i8") for k in buckets] or [np.zeros(0, dtype=np.int64)]) for i in range(3))
         if len(split[0]):
             at = np.minimum(np.searchsorted(split[0], self.cells), len(split[0]) - 1)
@@ -393,16 +393,16 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
         return Runs(unpack(own["codes"], "<i4"), np.array(own["n_tokens"], dtype=np.int64) + 1, ~np.array(own["held_out"], dtype=bool),
                     unpack(own["keys"], "<i8"), unpack(own["counts"], "<f8"), total, kinds, size, least, buckets, most)
 
-    def sent(chunk: int, own: Runs) -> Iterator[pa.RecordBatch]:
+    def sent(chunk: int, own: Runs) -> pa.RecordBatch:
         own.next_level()
-        for row in own.sent():
-            yield pa.record_batch({"chunk": pa.array([chunk], pa.int64()), "bucket": pa.array([row["bucket"]], pa.int64()),
-                                   **{c: pa.array([row[c]], pa.binary()) for c in PARTS}})
+        rows = own.sent()
+        return pa.record_batch({"chunk": pa.array([chunk] * len(rows["bucket"]), pa.int64()), "bucket": pa.array(rows["bucket"], pa.int64()),
+                                **{c: pa.array(rows[c], pa.binary()) for c in PARTS}})
 
     def first_level(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                yield from sent(batch.column("chunk")[k].as_py(), runs(batch, k))
+                yield sent(batch.column("chunk")[k].as_py(), runs(batch, k))
                 pa.default_memory_pool().release_unused()
 
     def answered(chunk: pa.Table, answers: pa.Table) -> Runs:
@@ -415,14 +415,13 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
         return own
 
     def further_level(key, chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(sent(key[0].as_py(), answered(chunk, answers))), schema=sent_schema)
+        return pa.Table.from_batches([sent(key[0].as_py(), answered(chunk, answers))])
 
     def scored(key, chunk: pa.Table, answers: pa.Table) -> pa.Table:
         own = {c: chunk.column(c).combine_chunks().flatten() for c in per_text}
         score = pa.array(answered(chunk, answers).scores() + own.pop("inside").to_numpy())
         return pa.table({**own, "train_tokens": pa.array([total] * len(score), pa.int64()), "score": score})
 
-    sent_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), *[(c, pa.binary()) for c in PARTS]])
     needed = coded.select("chunk", "n_tokens", "held_out", "codes", "keys", "counts")
     answers, split = None, []  # of every level: the retained among the contexts that are split, of which there are at most total / SPLIT
     for level in range(1, depth + 1):
