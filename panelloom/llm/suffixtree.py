@@ -364,7 +364,7 @@ def score_documents(docs: DataFrame, held_out: Column, *, doc_id: str = "doc_id"
         of_text = np.repeat(np.arange(len(n)), n)
 
         def summed(values: np.ndarray) -> np.ndarray:
-            return np.bincount(of_text, weights=values[ids], minlength=len(n))
+            return np.bincount(of_text, weights=values[ids], minlength=len(n)).astype(np.float64)  # without any word it counts in integers
 
         known, scores, parts = summed(counts > 0).astype(np.int64) + (1 if ends else 0), summed(logs) + (np.log10(ends + 0.5) - base), summed(part)
         codes = np.zeros(len(ids) + 2 * len(n), dtype="<i4")
